@@ -6,6 +6,7 @@ import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows of one Arrow batch. Texts average a few kilobytes, so a batch is about a megabyte.
 BATCH_ROWS = 512
@@ -45,3 +46,11 @@ def own_column(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+_TYPES = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "binary": T.BinaryType(), "boolean": T.BooleanType()}
+
+
+def fields(spec: str) -> T.StructType:
+    """A struct of simple types from ``"name type, ..."``; unlike DDL it needs no running session."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (f.split() for f in spec.split(","))])

@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folioscope.llm.bpe import op5_bpe
+from folioscope.llm.decontamination import OP3_SQL, op3_decontamination
+from folioscope.llm.media import op1_media
+from folioscope.llm.secrets import op7_secrets
 from folioscope.llm.sharding import op9_sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_sharding": op9_sharding}
+    return {
+        "op1_media": op1_media,
+        "op3_decontamination": op3_decontamination,
+        "op5_bpe": op5_bpe,
+        "op7_secrets": op7_secrets,
+        "op9_sharding": op9_sharding,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_decontamination": OP3_SQL}
