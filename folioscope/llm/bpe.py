@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from folioscope.llm.common import table
 
 #: Pre-tokens that a worker remembers; when there are more, it starts anew. Longer ones aren't remembered.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 64
+REMEMBERED, REMEMBERED_CHARS = 1_000_000, 64
 NO_PAIR = 1 << 62
 
 
@@ -34,48 +34,43 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [whole]
     n = len(piece)
     leaves = 1 << (n - 1).bit_length()
+    get = ranks.get
     # a node is rank * leaves + position, so that the least node is the leftmost pair of least rank
     tree = [NO_PAIR] * (2 * leaves)
-    end = list(range(1, n + 1))
-    before = list(range(-1, n))
-    get = ranks.get
     for i in range(n - 1):
-        rank = get(piece[i : i + 2])
-        if rank is not None:
+        if (rank := get(piece[i : i + 2])) is not None:
             tree[leaves + i] = rank * leaves + i
     for k in range(leaves - 1, 0, -1):
-        a, b = tree[2 * k], tree[2 * k + 1]
-        tree[k] = a if a < b else b
-
-    def put(i: int, node: int) -> None:
-        k = leaves + i
-        tree[k] = node
-        while k > 1:
-            a, b = tree[k], tree[k ^ 1]
-            k >>= 1
-            least = a if a < b else b
-            if tree[k] == least:
-                return
-            tree[k] = least
-
-    def pair(i: int) -> int:
-        """The node of the token that starts at i with its right neighbour."""
-        j = end[i]
-        if j >= n:
-            return NO_PAIR
-        rank = get(piece[i : end[j]])
-        return NO_PAIR if rank is None else rank * leaves + i
-
-    while tree[1] < NO_PAIR:
-        i = tree[1] % leaves
+        x, y = tree[2 * k], tree[2 * k + 1]
+        tree[k] = x if x < y else y
+    end, before = list(range(1, n + 1)), list(range(-1, n))
+    while (least := tree[1]) < NO_PAIR:
+        i = least % leaves
         j = end[i]
-        end[i] = end[j]
-        if end[j] < n:
-            before[end[j]] = i
-        put(j, NO_PAIR)
-        put(i, pair(i))
-        if before[i] >= 0:
-            put(before[i], pair(before[i]))
+        stop = end[i] = end[j]
+        here, right = leaves + i, leaves + j
+        tree[right] = tree[here] = NO_PAIR
+        if stop < n:
+            before[stop] = i
+            if (rank := get(piece[i : end[stop]])) is not None:
+                tree[here] = rank * leaves + i
+        left = here
+        if (p := before[i]) >= 0:
+            left = leaves + p
+            rank = get(piece[p:stop])
+            tree[left] = NO_PAIR if rank is None else rank * leaves + p
+        while here > 1:  # the three leaves' ancestors, level by level; they soon coincide
+            here >>= 1
+            left >>= 1
+            right >>= 1
+            x, y = tree[2 * here], tree[2 * here + 1]
+            tree[here] = x if x < y else y
+            if left != here:
+                x, y = tree[2 * left], tree[2 * left + 1]
+                tree[left] = x if x < y else y
+            if right != here:
+                x, y = tree[2 * right], tree[2 * right + 1]
+                tree[right] = x if x < y else y
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : end[i]]])

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioscope.llm.bpe import op5_bpe
 from folioscope.llm.decontamination import OP3_SQL, op3_decontamination
+from folioscope.llm.language import op4_language
 from folioscope.llm.media import op1_media
+from folioscope.llm.pii import op2_pii
 from folioscope.llm.secrets import op7_secrets
 from folioscope.llm.sharding import op9_sharding
 
@@ -16,7 +18,9 @@ from folioscope.llm.sharding import op9_sharding
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_media": op1_media,
+        "op2_pii": op2_pii,
         "op3_decontamination": op3_decontamination,
+        "op4_language": op4_language,
         "op5_bpe": op5_bpe,
         "op7_secrets": op7_secrets,
         "op9_sharding": op9_sharding,
