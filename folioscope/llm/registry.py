@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioscope.llm.bpe import op5_bpe
 from folioscope.llm.decontamination import OP3_SQL, op3_decontamination
+from folioscope.llm.jaccard import op10_jaccard
 from folioscope.llm.language import op4_language
 from folioscope.llm.media import op1_media
 from folioscope.llm.pii import op2_pii
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_bpe": op5_bpe,
         "op7_secrets": op7_secrets,
         "op9_sharding": op9_sharding,
+        "op10_jaccard": op10_jaccard,
     }
 
 
