@@ -12,6 +12,7 @@ from folioscope.llm.jaccard import op10_jaccard
 from folioscope.llm.language import op4_language
 from folioscope.llm.media import op1_media
 from folioscope.llm.pii import op2_pii
+from folioscope.llm.repeats import op6_repeats
 from folioscope.llm.secrets import op7_secrets
 from folioscope.llm.sharding import op9_sharding
 
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontamination": op3_decontamination,
         "op4_language": op4_language,
         "op5_bpe": op5_bpe,
+        "op6_repeats": op6_repeats,
         "op7_secrets": op7_secrets,
         "op9_sharding": op9_sharding,
         "op10_jaccard": op10_jaccard,
