@@ -343,6 +343,16 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     )
 
 
+def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The documents that are the smallest of their component; of rows with equal ids all stay.
+
+    Only ids are joined to the documents, and only of those that go: an id whose component is another's.
+    """
+    groups = jaccard_components(docs, doc_id, text, size, percent)
+    gone = settle(groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias(doc_id)).distinct())
+    return docs.join(gone, doc_id, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))

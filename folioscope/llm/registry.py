@@ -15,6 +15,7 @@ from folioscope.llm.pii import op2_pii
 from folioscope.llm.repeats import op6_repeats
 from folioscope.llm.secrets import op7_secrets
 from folioscope.llm.sharding import op9_sharding
+from folioscope.llm.toxicity import op8_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -26,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_bpe": op5_bpe,
         "op6_repeats": op6_repeats,
         "op7_secrets": op7_secrets,
+        "op8_toxicity": op8_toxicity,
         "op9_sharding": op9_sharding,
         "op10_jaccard": op10_jaccard,
     }
