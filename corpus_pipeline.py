@@ -1,7 +1,73 @@
-"""Corpus preparation in stages, each written as Parquet and read again."""
+"""Corpus preparation in stages, each written as Parquet in the shared folder and read again.
+
+Stages: language identification, near-duplicate removal, benchmark decontamination, pseudonyms,
+tokenisation. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioscope.llm import bpe, decontamination, jaccard, language, pii
+from folioscope.llm.common import shared_dir, table
+
+#: No SQL: language profiles, pseudonyms and token ids aren't SQL expressions; tests compare with brute force.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognisable language go; ``lang`` becomes the predicted one."""
+    columns = docs.columns
+    found = language.identify(docs).where(F.col("lang_pred") != language.UND)
+    return found.withColumn("lang", F.col("lang_pred")).select(*columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies the document with the smallest id stays."""
+    return jaccard.keep_one_of_each(docs)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go; shorter benchmark spans are cut out of the others."""
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Validated personal numbers, dates and addresses get pseudonyms."""
+    done = pii.pseudonym_columns(docs).select(*docs.columns)
+    return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids (little-endian unsigned 32-bit), their number, and whether decoding gives the text back."""
+    path, pattern = bpe.default_files()
+    coded = docs.withColumn("ids", bpe.encode(F.col("text"), path, pattern))
+    back = bpe.decode(F.col("ids"), path, pattern)
+    return coded.select(
+        "doc_id", "lang", "source", "ids",
+        F.expr("CAST(octet_length(ids) div 4 AS BIGINT)").alias("n_tokens"),
+        (back == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"),
+    )
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", identify_language),
+    ("near_duplicates", drop_near_copies),
+    ("decontamination", remove_benchmark),
+    ("pii", replace_personal_data),
+    ("bpe", tokenise),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, one after another, on the documents table."""
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for i, (name, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}_{name}")
+        docs = spark.read.parquet(f"{folder}/{i}_{name}")
+    return docs
