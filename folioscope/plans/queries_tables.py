@@ -1 +1,308 @@
-"""Statistics, graph and merge queries."""
+"""Statistics, graph, merge and report queries over the tables read as publications."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from folioscope.functions import text
+from folioscope.operators import classify, compare, extract, graph, merge, names, report, statistics, taxonomy
+from folioscope.plans.catalogue import query
+from folioscope.plans.frames import FACTS_SQL, authors, authorships, citations, facts, table
+from folioscope.streaming import batches
+
+WITH = f"WITH {FACTS_SQL}"
+
+
+def joined(column: str):
+    return F.array_join(F.col(column), "|")
+
+
+CATEGORY_SQL = """
+SELECT category, tc_count, article_count, doi_count, faculty_count, department_count, round(tc_count / article_count, 6) AS citation_average FROM
+ (SELECT category, CAST(sum(tc) AS BIGINT) AS tc_count, count(*) AS article_count, count(*) AS doi_count FROM (SELECT DISTINCT category, doi, tc FROM facts) GROUP BY 1)
+ JOIN (SELECT category, count(DISTINCT author) AS faculty_count, count(DISTINCT affiliation) AS department_count FROM facts GROUP BY 1) USING (category)
+"""
+
+
+@query("q01_category_stats", WITH + CATEGORY_SQL)
+def _q01(spark, sf):
+    return statistics.category_stats(facts(spark, sf))
+
+
+@query("q01b_category_stats_mid", WITH.replace("SELECT top AS category", "SELECT affiliation AS category") + CATEGORY_SQL)
+def _q01b(spark, sf):
+    return statistics.category_stats(facts(spark, sf, "affiliation"))
+
+
+@query("q02_author_category_stats", WITH + "SELECT category, author, CAST(sum(tc) AS BIGINT) AS total_citations, count(*) AS article_count, round(sum(tc) / count(*), 6) AS average_citations FROM facts GROUP BY 1, 2")
+def _q02(spark, sf):
+    return statistics.author_category_stats(facts(spark, sf))
+
+
+@query("q03_author_category_last_write", WITH + "SELECT category, author, arg_max(tc, doi) AS total_citations, CAST(1 AS BIGINT) AS article_count FROM facts GROUP BY 1, 2")
+def _q03(spark, sf):
+    return statistics.author_category_stats(facts(spark, sf), last_write=True)
+
+
+@query("q04_author_global_stats", WITH + "SELECT author, CAST(sum(tc) AS BIGINT) AS total_citations, count(*) AS article_count, round(sum(tc) / count(*), 6) AS average_citations, string_agg(DISTINCT category, '|' ORDER BY category) AS categories, string_agg(DISTINCT journal, '|' ORDER BY journal) AS journals FROM facts GROUP BY 1")
+def _q04(spark, sf):
+    return statistics.author_stats(facts(spark, sf)).withColumns({"categories": joined("categories"), "journals": joined("journals")})
+
+
+@query("q05_article_category", WITH + "SELECT category, doi, max(title) AS title, max(tc) AS tc, max(journal) AS journal, string_agg(DISTINCT author, '|' ORDER BY author) AS authors, string_agg(DISTINCT affiliation, '|' ORDER BY affiliation) AS affiliations FROM facts GROUP BY 1, 2")
+def _q05(spark, sf):
+    return statistics.article_category(facts(spark, sf)).withColumns({"authors": joined("authors"), "affiliations": joined("affiliations")})
+
+
+@query("q06_article_details", WITH + "SELECT doi, max(title) AS title, max(tc) AS tc, max(journal) AS journal, string_agg(DISTINCT author, '|' ORDER BY author) AS authors, string_agg(DISTINCT category, '|' ORDER BY category) AS categories FROM facts GROUP BY 1")
+def _q06(spark, sf):
+    return statistics.article_details(facts(spark, sf)).withColumns({"authors": joined("authors"), "categories": joined("categories")})
+
+
+def _dimension(spark, sf) -> DataFrame:
+    return authors(spark, sf).select("top", F.col("affiliation").alias("mid"), F.col("author").alias("low"))
+
+
+@query("q07_taxonomy_paths", "WITH " + FACTS_SQL + "SELECT author AS low, affiliation AS mid, top, top || '/' || affiliation || '/' || author AS path FROM people")
+def _q07(spark, sf):
+    dim = _dimension(spark, sf)
+    return taxonomy.parents(taxonomy.parents(dim.select("low"), dim, "low"), dim, "mid").withColumn("path", taxonomy.path(F.col("top"), F.col("mid"), F.col("low")))
+
+
+@query("q07b_taxonomy_children", "SELECT r_name AS top, n_name AS mid FROM region JOIN nation ON r_regionkey = n_regionkey JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1, 2")
+def _q07b(spark, sf):
+    return taxonomy.children(_dimension(spark, sf), "top")
+
+
+@query("q08_taxonomy_invalid", "SELECT n_name AS label, n_name IN (SELECT r_name FROM region JOIN nation ON r_regionkey = n_regionkey JOIN supplier ON s_nationkey = n_nationkey) AS valid FROM nation UNION ALL SELECT r_name, r_name IN (SELECT r_name FROM region JOIN nation ON r_regionkey = n_regionkey JOIN supplier ON s_nationkey = n_nationkey) FROM region")
+def _q08(spark, sf):
+    labels = table(spark, sf, "nation").select(F.col("n_name").alias("label")).union(table(spark, sf, "region").select("r_name"))
+    return taxonomy.is_valid(_dimension(spark, sf), labels, "top", "label")
+
+
+@query("q09_category_url", "SELECT s_suppkey, replace(url_encode(n_name || '/' || s_name), '%2F', '/') AS url FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def _q09(spark, sf):
+    both = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    return both.select("s_suppkey", text.encode_once(text.url_path(F.concat_ws("/", "n_name", "s_name"))).alias("url"))
+
+
+@query("q10_normal_id", "SELECT p_partkey, rtrim(replace(lower(p_brand), ' ', '-') || '_' || replace(lower(p_name), ' ', '-') || '_' , '_') AS id FROM part")
+def _q10(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", text.normal_id(F.array("p_brand", "p_name", F.lit(""))).alias("id"))
+
+
+@query("q11_month_range_filter", "SELECT o_orderkey, CAST(CAST(last_day(o_orderdate) AS DATE) AS VARCHAR) AS month_end FROM orders WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '1995-03' AND '1996-10'")
+def _q11(spark, sf):
+    date = F.col("o_orderdate")
+    parts = F.struct(F.array(F.array(F.year(date).cast("long"), F.month(date).cast("long"), F.dayofmonth(date).cast("long"))).alias("date-parts"))
+    orders = table(spark, sf, "orders").withColumn("published", parts)
+    return orders.where(extract.published_between((1995, 3), (1996, 10))).select("o_orderkey", text.month_end(F.year(date), F.month(date)).cast("string").alias("month_end"))
+
+
+@query("q12_nested_affiliation_match", WITH + "SELECT DISTINCT doi FROM ships WHERE contains(lower(affiliation), '_1')")
+def _q12(spark, sf):
+    people = F.collect_list(F.struct("author", F.array(F.struct(F.col("affiliation").alias("name"))).alias("affiliation"))).alias("author")
+    return authorships(spark, sf).groupBy("doi").agg(people).where(extract.affiliated_with("_1")).select("doi")
+
+
+@query("q13_new_articles_anti", "SELECT o_orderkey AS \"DOI\" FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'")
+def _q13(spark, sf):
+    orders = table(spark, sf, "orders")
+    stored = orders.where("o_orderdate < timestamp'1996-01-01'").select(F.col("o_orderkey").alias("_id"))
+    return extract.new_works(orders.select(F.col("o_orderkey").alias("DOI")), stored)
+
+
+@query("q14_coalesce_enrichment", "SELECT doc_id, coalesce(quality, -1) AS quality FROM documents LEFT JOIN labels USING (doc_id) WHERE text IS NOT NULL AND text <> ''")
+def _q14(spark, sf):
+    joined_ = table(spark, sf, "documents").select("doc_id", "text").join(table(spark, sf, "labels"), "doc_id", "left")
+    return joined_.where("text IS NOT NULL AND text <> ''").select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"))
+
+
+@query("q15_dates_joined", "SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) || '-' || CAST(month(o_orderdate) AS VARCHAR) AS published, CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS parsed FROM orders")
+def _q15(spark, sf):
+    date = F.col("o_orderdate")
+    published = text.date_of(F.array(F.array(F.year(date), F.month(date))))
+    return table(spark, sf, "orders").select("o_orderkey", published.alias("published"), text.parse_date(published).cast("string").alias("parsed"))
+
+
+@query("q22_most_frequent_variation", """WITH v AS (SELECT p_brand AS category, CASE WHEN p_partkey % 3 = 0 THEN upper(p_type) WHEN p_partkey % 3 = 1 THEN p_type ELSE replace(p_type, ' ', '') END AS value FROM part),
+c AS (SELECT replace(lower(value), ' ', '') AS norm, value, count(DISTINCT category) AS n FROM v GROUP BY 1, 2)
+SELECT norm, value AS best FROM c QUALIFY row_number() OVER (PARTITION BY norm ORDER BY n DESC, value) = 1""")
+def _q22(spark, sf):
+    k = F.col("p_partkey") % 3
+    spelled = F.when(k == 0, F.upper("p_type")).when(k == 1, F.col("p_type")).otherwise(F.replace("p_type", F.lit(" "), F.lit("")))
+    return names.most_frequent(names.variations(table(spark, sf, "part").select(F.col("p_brand").alias("category"), spelled.alias("value"))))
+
+
+@query("q28_full_outer_stats", "SELECT coalesce(s_nationkey, c_nationkey) AS nationkey, s_n, c_n FROM (SELECT s_nationkey, count(*) AS s_n FROM supplier WHERE s_acctbal > 0 GROUP BY 1) FULL JOIN (SELECT c_nationkey, count(*) AS c_n FROM customer WHERE c_acctbal > 0 GROUP BY 1) ON s_nationkey = c_nationkey")
+def _q28(spark, sf):
+    s = table(spark, sf, "supplier").where("s_acctbal > 0").groupBy(F.col("s_nationkey").alias("nationkey")).agg(F.count("*").alias("s_n"))
+    c = table(spark, sf, "customer").where("c_acctbal > 0").groupBy(F.col("c_nationkey").alias("nationkey")).agg(F.count("*").alias("c_n"))
+    return s.join(c, "nationkey", "full_outer")
+
+
+@query("q29_concat_align", "SELECT DISTINCT s_nationkey AS nationkey, CAST(NULL AS VARCHAR) AS segment FROM supplier UNION SELECT DISTINCT c_nationkey, c_mktsegment FROM customer")
+def _q29(spark, sf):
+    s = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("nationkey"))
+    c = table(spark, sf, "customer").select(F.col("c_nationkey").alias("nationkey"), F.col("c_mktsegment").alias("segment"))
+    return s.unionByName(c, allowMissingColumns=True).dropDuplicates()
+
+
+EDGES_SQL = "edges AS (SELECT a.author AS src, b.author AS dst, count(*) AS weight FROM ships a JOIN ships b ON a.doi = b.doi AND a.author < b.author GROUP BY 1, 2)"
+
+
+@query("q30_coauthor_edges", WITH + f", {EDGES_SQL} SELECT * FROM edges")
+def _q30(spark, sf):
+    return graph.coauthor_edges(authorships(spark, sf))
+
+
+@query("q30b_edge_articles", WITH + "SELECT a.author AS src, b.author AS dst, string_agg(CAST(a.doi AS VARCHAR), '|' ORDER BY a.doi) AS articles FROM ships a JOIN ships b ON a.doi = b.doi AND a.author < b.author GROUP BY 1, 2")
+def _q30b(spark, sf):
+    return graph.edge_articles(authorships(spark, sf)).withColumn("articles", F.array_join(F.transform("articles", lambda x: x.cast("string")), "|"))
+
+
+@query("q31_degree", WITH + f", {EDGES_SQL} SELECT node, count(*) AS degree, CAST(sum(weight) AS BIGINT) AS strength FROM (SELECT src AS node, weight FROM edges UNION ALL SELECT dst, weight FROM edges) GROUP BY 1")
+def _q31(spark, sf):
+    return graph.degrees(graph.coauthor_edges(authorships(spark, sf)))
+
+
+@query("q32_category_overlap", WITH + ", t AS (SELECT DISTINCT doi, top FROM ships) SELECT a.top AS src, b.top AS dst, count(*) AS weight FROM t a JOIN t b ON a.doi = b.doi AND a.top < b.top GROUP BY 1, 2")
+def _q32(spark, sf):
+    return graph.coauthor_edges(authorships(spark, sf), member="top")
+
+
+ROLLUP_SQL = """SELECT affiliation AS department, count(*) AS papers, CAST(sum(tc) AS BIGINT) AS tc_sum, coalesce(round(CAST(sum(tc) AS DOUBLE) / count(*), 2), 0) AS per_paper FROM (SELECT DISTINCT affiliation, doi, tc FROM facts) GROUP BY 1"""
+
+
+def _rollup(spark, sf) -> DataFrame:
+    each = facts(spark, sf).groupBy("affiliation", "doi").agg(F.max("tc").alias("tc"))
+    sums = each.groupBy(F.col("affiliation").alias("department")).agg(F.count("*").alias("papers"), F.sum("tc").alias("tc_sum"))
+    return sums.withColumn("per_paper", text.safe_ratio(F.col("tc_sum"), F.col("papers")))
+
+
+@query("q33_department_rollup", WITH + f"SELECT d.*, faculty FROM ({ROLLUP_SQL}) d JOIN (SELECT affiliation AS department, count(DISTINCT author) AS faculty FROM facts GROUP BY 1) USING (department)")
+def _q33(spark, sf):
+    people = facts(spark, sf).groupBy(F.col("affiliation").alias("department")).agg(F.countDistinct("author").alias("faculty"))
+    return _rollup(spark, sf).join(people, "department")
+
+
+@query("q34_zscore_top15", WITH + f", d AS ({ROLLUP_SQL}) SELECT department, papers, tc_sum, per_paper, round((papers - avg(papers) OVER ()) / stddev_samp(papers) OVER (), 6) AS z_papers, round((tc_sum - avg(tc_sum) OVER ()) / stddev_samp(tc_sum) OVER (), 6) AS z_tc_sum FROM d ORDER BY tc_sum DESC, department LIMIT 15")
+def _q34(spark, sf):
+    return report.first_sorted(report.standard_scores(_rollup(spark, sf), ["papers", "tc_sum"]), 15, F.desc("tc_sum"), F.col("department"))
+
+
+@query("q35_summary_stats", WITH + "SELECT count(tc) AS n, round(avg(tc), 6) AS mean, CAST(median(tc) AS DOUBLE) AS median, max(tc) AS largest FROM cites")
+def _q35(spark, sf):
+    return report.summary_stats(citations(spark, sf), "tc")
+
+
+@query("q36_log_histogram", WITH + "SELECT CAST(CASE WHEN log10(tc) < 0 THEN 0 WHEN log10(tc) >= 3 THEN 31 ELSE floor((log10(tc) - 0) * 30 / 3) + 1 END AS BIGINT) AS bin, count(*) AS n FROM cites WHERE tc > 0 GROUP BY 1")
+def _q36(spark, sf):
+    return report.log_histogram(citations(spark, sf), "tc", 0.0, 3.0)
+
+
+@query("q37_pivot_matrix", WITH + ", t AS (SELECT DISTINCT doi, top FROM ships), e AS (SELECT a.top AS src, b.top AS dst, count(*) AS weight FROM t a JOIN t b ON a.doi = b.doi AND a.top <> b.top GROUP BY 1, 2) SELECT src, CAST(sum(weight) FILTER (dst = 'AFRICA') AS BIGINT) AS \"AFRICA\", CAST(sum(weight) FILTER (dst = 'ASIA') AS BIGINT) AS \"ASIA\", CAST(sum(weight) FILTER (dst = 'EUROPE') AS BIGINT) AS \"EUROPE\" FROM e GROUP BY 1")
+def _q37(spark, sf):
+    return graph.matrix(graph.coauthor_edges(authorships(spark, sf), member="top"), ["AFRICA", "ASIA", "EUROPE"])
+
+
+def _slice(spark, sf, condition: str) -> DataFrame:
+    return batches.batch_categories(facts(spark, sf).where(condition))
+
+
+def _shown(df: DataFrame, *lists: str) -> DataFrame:
+    return df.withColumns({c: F.array_join(F.transform(c, lambda x: x.cast("string")), "|") for c in lists})
+
+
+MERGED_SQL = WITH + """, s AS (SELECT category, month {cond} AS early, doi, tc, author FROM facts),
+a AS (SELECT category AS _id, early, CAST(sum(tc) AS BIGINT) AS tc FROM (SELECT DISTINCT category, early, doi, tc FROM s) GROUP BY 1, 2),
+k AS (SELECT category AS _id, count(DISTINCT doi) AS article_count, count(DISTINCT author) AS faculty_count, string_agg(DISTINCT author, '|' ORDER BY author) AS faculty FROM s GROUP BY 1),
+t AS (SELECT _id, CAST(sum(tc) AS BIGINT) AS tc_count FROM a GROUP BY 1)
+SELECT _id, faculty, tc_count, article_count, faculty_count, round(tc_count / article_count, 6) AS citation_average FROM k JOIN t USING (_id)"""
+
+
+@query("q38_merge_categories", MERGED_SQL.format(cond="< '1996-01'"))
+def _q38(spark, sf):
+    merged = merge.merge_categories(_slice(spark, sf, "month < '1996-01'"), _slice(spark, sf, "month >= '1996-01'"))
+    return _shown(merged, "faculty").drop("doi_list")
+
+
+def _author_rows(spark, sf, condition: str) -> DataFrame:
+    each = facts(spark, sf).where(condition)
+    return each.groupBy(F.col("author").alias("_id")).agg(F.array_sort(F.collect_set("doi")).alias("dois"), F.array_sort(F.collect_set("category")).alias("categories"), F.sum("tc").alias("total_citations"))
+
+
+@query("q39_merge_authors", WITH + "SELECT author AS _id, string_agg(DISTINCT category, '|' ORDER BY category) AS categories, CAST(sum(tc) AS BIGINT) AS total_citations, count(*) AS article_count FROM facts GROUP BY 1")
+def _q39(spark, sf):
+    merged = merge.merge_authors(_author_rows(spark, sf, "month < '1996-01'"), _author_rows(spark, sf, "month >= '1996-01'"))
+    return _shown(merged, "categories").drop("dois")
+
+
+@query("q40_insert_ignore", "SELECT o_orderkey AS _id, o_orderdate < TIMESTAMP '1996-01-01' AS stored, o_orderkey AS ordinal FROM orders")
+def _q40(spark, sf):
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("_id"), "o_orderdate", F.col("o_orderkey").alias("ordinal"))
+    old = rows.where("o_orderdate < timestamp'1996-01-01'").select("_id", F.lit(True).alias("stored"), "ordinal")
+    again = rows.select("_id", F.lit(False).alias("stored"), "ordinal")
+    return merge.insert_new(old, again.union(again.withColumn("ordinal", F.col("ordinal") + 1)))
+
+
+@query("q41_replay_noop", MERGED_SQL.format(cond="< '1996-01'"))
+def _q41(spark, sf):
+    new = _slice(spark, sf, "month >= '1996-01'")
+    merged = merge.merge_categories(_slice(spark, sf, "month < '1996-01'"), new)
+    return _shown(merge.merge_categories(merged, new), "faculty").drop("doi_list")
+
+
+@query("q47_list_sheet", WITH + "SELECT DISTINCT category, author FROM facts")
+def _q47(spark, sf):
+    return report.list_sheet(facts(spark, sf).groupBy("category").agg(F.collect_set("author").alias("faculty")), "category", "faculty", "author")
+
+
+@query("q48_map_sheet", WITH + "SELECT category, author, count(*) AS articles FROM facts GROUP BY 1, 2")
+def _q48(spark, sf):
+    counted = facts(spark, sf).groupBy("category", "author").agg(F.count("*").alias("articles"))
+    maps = counted.groupBy("category").agg(F.map_from_entries(F.collect_list(F.struct("author", "articles"))).alias("m"))
+    return report.map_sheet(maps, "category", "m").toDF("category", "author", "articles")
+
+
+@query("q49_name_block_groups", "SELECT lower(split_part(p_name, ' ', -1)) || '|' || lower(substr(p_name, 1, 1)) AS key, count(*) AS n, count(DISTINCT p_brand) AS brands FROM part GROUP BY 1 HAVING count(*) >= 2")
+def _q49(spark, sf):
+    keyed = table(spark, sf, "part").groupBy(text.person_key(F.col("p_name")).alias("key")).agg(F.count("*").alias("n"), F.countDistinct("p_brand").alias("brands"))
+    return keyed.where("n >= 2")
+
+
+@query("q50_classify_flatten", WITH + "SELECT top AS key, CAST('' AS VARCHAR) AS parent, top AS label, 'top' AS level FROM people GROUP BY 1 UNION ALL SELECT top, top, affiliation, 'mid' FROM people GROUP BY top, affiliation UNION ALL SELECT top, top || '/' || affiliation, author, 'low' FROM people")
+def _q50(spark, sf):
+    mids = _dimension(spark, sf).groupBy("top", "mid").agg(F.collect_list("low").alias("lows"))
+    tree = mids.groupBy("top").agg(F.map_from_entries(F.collect_list(F.struct("mid", "lows"))).alias("m")).select(F.col("top").alias("key"), F.create_map("top", "m").alias("tree"))
+    return classify.label_rows(tree, "key", F.col("tree"))
+
+
+@query("q52_month_micro_batches", MERGED_SQL.format(cond="< '1996-01'"))
+def _q52(spark, sf):
+    from folioscope.plans.storage import shared_folder
+
+    yearly = facts(spark, sf).select(F.substring("month", 1, 4).alias("month"), "category", "doi", "author", "tc")
+    return _shown(batches.merged_by_month(spark, yearly, shared_folder(spark)), "faculty").drop("doi_list")
+
+
+@query("q54_drop_null_columns", "SELECT s_suppkey, s_name FROM supplier")
+def _q54(spark, sf):
+    return extract.drop_empty_columns(table(spark, sf, "supplier").select("s_suppkey", "s_name", F.lit(None).cast("string").alias("nothing")))
+
+
+@query("q55_relative_share", WITH + f"SELECT department, papers, tc_sum, per_paper, tc_sum / sum(tc_sum) OVER () AS rel FROM ({ROLLUP_SQL})".replace("tc_sum / sum(tc_sum) OVER () AS rel", "round(tc_sum / sum(tc_sum) OVER (), 9) AS rel_tc_sum"))
+def _q55(spark, sf):
+    return report.normalised(_rollup(spark, sf), "tc_sum").withColumn("rel_tc_sum", F.round("rel_tc_sum", 9))
+
+
+@query("q56_highly_cited", WITH + "SELECT doi, tc, CASE WHEN len(title) > 30 THEN title ELSE title END AS title FROM (SELECT DISTINCT doi, tc, title FROM facts) WHERE tc > 150")
+def _q56(spark, sf):
+    return facts(spark, sf).where("tc > 150").select("doi", "tc", "title").distinct()
+
+
+@query("q57_roster_departments", WITH + "SELECT author, string_agg(DISTINCT affiliation, '|' ORDER BY affiliation) AS departments, count(DISTINCT affiliation) AS n FROM people GROUP BY 1")
+def _q57(spark, sf):
+    rosters = authors(spark, sf).groupBy("author").agg(F.array_sort(F.collect_set("affiliation")).alias("d"))
+    return rosters.select("author", F.array_join("d", "|").alias("departments"), F.size("d").cast("long").alias("n"))

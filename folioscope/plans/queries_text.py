@@ -1 +1,211 @@
-"""Text, dedup and comparison queries."""
+"""Text, signature, near-duplicate, comparison and markup queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from folioscope.functions import markup, minhash, text
+from folioscope.operators import classify, compare, names
+from folioscope.plans.catalogue import query
+from folioscope.plans.frames import table
+from folioscope.sources import readers
+
+#: Distinct character trigrams in SQL; shorter texts are their own only one.
+GRAMS_SQL = "CASE WHEN length({v}) >= 3 THEN list_distinct(list_transform(range(1, length({v}) - 1), lambda i: substring({v}, i, 3))) WHEN length({v}) > 0 THEN [{v}] ELSE [] END"
+COUNT = 20
+
+
+@query("q16_ngrams", f"SELECT p_partkey, array_to_string(list_sort({GRAMS_SQL.format(v='p_name')}), '|') AS grams FROM part")
+def _q16(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", F.array_join(F.array_sort(text.ngrams(F.col("p_name"), 3)), "|").alias("grams"))
+
+
+def _signature_sql() -> str:
+    cells = ", ".join(f"list_min(list_transform(xs, lambda x: (x * {a} + {b}) % {minhash.PRIME}))" for a, b in minhash.coefficients(COUNT))
+    numbers = f"list_transform({GRAMS_SQL.format(v='p_name')}, lambda g: CAST('0x' || substr(md5(g), 1, 8) AS BIGINT) % {minhash.PRIME})"
+    return f"sig AS (SELECT p_partkey, [{cells}] AS s FROM (SELECT p_partkey, {numbers} AS xs FROM part))"
+
+
+def _signatures(spark, sf) -> DataFrame:
+    return table(spark, sf, "part").select("p_partkey", minhash.signature(text.ngrams(F.col("p_name"), 3), COUNT).alias("s"))
+
+
+@query("q17_minhash_signature", f"WITH {_signature_sql()} SELECT p_partkey, array_to_string(s, ',') AS signature FROM sig")
+def _q17(spark, sf):
+    return _signatures(spark, sf).select("p_partkey", F.array_join(F.transform("s", lambda x: x.cast("string")), ",").alias("signature"))
+
+
+@query("q18_signature_similarity", f"WITH {_signature_sql()} SELECT a.p_partkey, len(list_filter(list_zip(a.s, b.s), lambda z: z[1] = z[2])) / {COUNT} AS similarity FROM sig a JOIN sig b ON b.p_partkey = a.p_partkey + 1")
+def _q18(spark, sf):
+    signed = _signatures(spark, sf)
+    after = signed.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("s").alias("t"))
+    return signed.join(after, "p_partkey").select("p_partkey", minhash.similarity(F.col("s"), F.col("t")).alias("similarity"))
+
+
+#: Names by category in two spellings, with near and exact repeats.
+VALUES_SQL = "v AS (SELECT DISTINCT p_brand AS category, CASE WHEN p_partkey % 5 = 0 THEN upper(p_name) WHEN p_partkey % 5 = 1 THEN p_name || ' x' ELSE p_name END AS value FROM part)"
+PAIRS_SQL = (
+    f"g AS (SELECT category, value, {GRAMS_SQL.format(v='value')} AS grams FROM v), "
+    "p AS (SELECT a.category, a.value AS v1, b.value AS v2, CAST(len(list_intersect(a.grams, b.grams)) AS DOUBLE) / len(list_distinct(list_concat(a.grams, b.grams))) AS similarity "
+    "FROM g a JOIN g b ON a.category = b.category AND a.value < b.value), pairs AS (SELECT * FROM p WHERE similarity > 0.5)"
+)
+KEPT_SQL = (
+    "c AS (SELECT replace(lower(value), ' ', '') AS norm, value, count(*) AS n FROM v GROUP BY 1, 2), "
+    "best AS (SELECT norm, value AS b FROM c QUALIFY row_number() OVER (PARTITION BY norm ORDER BY n DESC, value) = 1), "
+    "gone AS (SELECT DISTINCT category, CASE WHEN v1 = x.b AND v2 <> y.b THEN v2 WHEN v2 = y.b AND v1 <> x.b THEN v1 ELSE greatest(v1, v2) END AS value "
+    "FROM pairs JOIN best x ON x.norm = replace(lower(v1), ' ', '') JOIN best y ON y.norm = replace(lower(v2), ' ', '')), "
+    "kept AS (SELECT * FROM v ANTI JOIN gone USING (category, value))"
+)
+
+
+def _values(spark, sf) -> DataFrame:
+    k = F.col("p_partkey") % 5
+    value = F.when(k == 0, F.upper("p_name")).when(k == 1, F.concat("p_name", F.lit(" x"))).otherwise(F.col("p_name"))
+    return table(spark, sf, "part").select(F.col("p_brand").alias("category"), value.alias("value")).distinct()
+
+
+@query("q19_exact_jaccard_pairs", f"WITH {VALUES_SQL}, {PAIRS_SQL} SELECT category, v1, v2, round(similarity, 9) AS similarity FROM pairs")
+def _q19(spark, sf):
+    return names.similar_pairs(_values(spark, sf)).withColumn("similarity", F.round("similarity", 9))
+
+
+@query("q20_near_dup_removed", f"WITH {VALUES_SQL}, {PAIRS_SQL}, {KEPT_SQL} SELECT category, value FROM kept")
+def _q20(spark, sf):
+    return names.remove_near_duplicates(_values(spark, sf))
+
+
+@query("q21_standardised", f"WITH {VALUES_SQL}, {PAIRS_SQL}, {KEPT_SQL}, k AS (SELECT replace(lower(value), ' ', '') AS norm, value, count(*) AS kept FROM kept GROUP BY 1, 2), s AS (SELECT c.norm, c.value AS b FROM c LEFT JOIN k USING (norm, value) QUALIFY row_number() OVER (PARTITION BY c.norm ORDER BY n DESC, coalesce(kept, 0) DESC, c.value) = 1) SELECT DISTINCT category, b AS value FROM kept JOIN s ON norm = replace(lower(value), ' ', '')")
+def _q21(spark, sf):
+    values = _values(spark, sf)
+    return names.standardise(values, names.remove_near_duplicates(values))
+
+
+@query("q21b_renamed_stats", f"WITH {VALUES_SQL}, c AS (SELECT replace(lower(value), ' ', '') AS norm, min(value) AS b FROM v GROUP BY 1), r AS (SELECT p_brand AS category, p_name AS author, p_partkey AS ordinal FROM part) SELECT category, author, ordinal, coalesce(b, author) AS key FROM r LEFT JOIN c ON norm = replace(lower(author), ' ', '') QUALIFY row_number() OVER (PARTITION BY category, coalesce(b, author) ORDER BY ordinal DESC, author) = 1")
+def _q21b(spark, sf):
+    stats = table(spark, sf, "part").select(F.col("p_brand").alias("category"), F.col("p_name").alias("author"), F.col("p_partkey").alias("ordinal"))
+    return names.rename(stats, _values(spark, sf))
+
+
+@query("q21c_minhash_pairs")
+def _q21c(spark, sf):
+    return names.minhash_pairs(_values(spark, sf), count=COUNT)
+
+
+REGULAR_SQL = r"regexp_replace(lower(substr(text, 1, 60)), '[^\p{L}\p{N}_]+', '', 'g')"
+
+
+def _titles(spark, sf, condition: str) -> DataFrame:
+    return table(spark, sf, "documents").where(condition).select(F.substring("text", 1, 60).alias("title"))
+
+
+@query("q23_regularise", f"SELECT doc_id, {REGULAR_SQL} AS title FROM documents")
+def _q23(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", text.regularise(F.substring("text", 1, 60)).alias("title"))
+
+
+SIDES_SQL = f"l AS (SELECT DISTINCT {REGULAR_SQL} AS title FROM documents WHERE doc_id % 2 = 0), r AS (SELECT DISTINCT {REGULAR_SQL} AS title FROM documents WHERE doc_id % 2 = 1), s AS (SELECT coalesce(l.title, r.title) AS title, CASE WHEN l.title IS NOT NULL AND r.title IS NOT NULL THEN 'both' WHEN r.title IS NULL THEN 'left' ELSE 'right' END AS side FROM l FULL JOIN r ON l.title = r.title WHERE coalesce(l.title, r.title) <> '')"
+
+
+def _sides(spark, sf) -> DataFrame:
+    return compare.compare(compare.regularised(_titles(spark, sf, "doc_id % 2 = 0")), compare.regularised(_titles(spark, sf, "doc_id % 2 = 1")))
+
+
+@query("q24_set_compare", f"WITH {SIDES_SQL} SELECT title, side FROM s")
+def _q24(spark, sf):
+    return _sides(spark, sf)
+
+
+@query("q25_similar_titles", "WITH n AS (SELECT DISTINCT replace(lower(p_type), ' ', '') AS title FROM part), m AS (SELECT DISTINCT replace(lower(p_name), ' ', '') AS title FROM part), a AS (SELECT title, list_distinct(string_split(title, '')) AS c FROM n), b AS (SELECT title, list_distinct(string_split(title, '')) AS c FROM m) SELECT DISTINCT a.title FROM a JOIN b ON len(list_intersect(a.c, b.c)) >= 0.8 * len(list_distinct(list_concat(a.c, b.c)))")
+def _q25(spark, sf):
+    part = table(spark, sf, "part")
+    types, called = (compare.regularised(part.select(F.col(c).alias("title"))) for c in ("p_type", "p_name"))
+    return compare.fuzzy_semi_join(types, called)
+
+
+@query("q26_recall_pct", f"WITH {SIDES_SQL}, c AS (SELECT count_if(side = 'both') AS found, count_if(side = 'left') AS l, count_if(side = 'right') AS r FROM s) SELECT CAST(found AS BIGINT) AS found, CAST(l AS BIGINT) AS left_only, CAST(r AS BIGINT) AS right_only, round(100.0 * r / (found + r), 2) AS missing_percent, round(100 - 100.0 * r / (found + r), 2) AS recall_percent, CAST(floor((found + r) / r) AS BIGINT) AS one_in FROM c")
+def _q26(spark, sf):
+    return compare.summary(_sides(spark, sf))
+
+
+@query("q27_citation_title", "SELECT p_partkey, p_name AS title FROM part")
+def _q27(spark, sf):
+    k = F.col("p_partkey") % 3
+    quoted, dated, plain = F.concat(F.lit('Doe, J. "'), "p_name", F.lit('", Journal [x]')), F.concat(F.lit("Doe, J. (2019). "), "p_name", F.lit(". https://x.org/a")), F.concat("p_name", F.lit(", Journal of Parts"))
+    citation = F.when(k == 0, quoted).when(k == 1, dated).otherwise(plain)
+    return table(spark, sf, "part").select("p_partkey", text.citation_title(citation).alias("title"))
+
+
+@query("q42_meta_candidates")
+def _q42(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.array_join(markup.abstract_candidates(F.col("html")), "\n").alias("candidates"))
+
+
+@query("q43_strip_tags", "SELECT page_id, trim(regexp_replace(html, '<[^>]+>', '', 'g'), ' ') AS plain FROM pages")
+def _q43(spark, sf):
+    return table(spark, sf, "pages").select("page_id", text.strip_tags(F.col("html")).alias("plain"))
+
+
+@query("q44_jats_markdown")
+def _q44(spark, sf):
+    return table(spark, sf, "pages").select("page_id", markup.to_markdown(F.col("html")).alias("markdown"))
+
+
+WORDS_SQL = r"len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))"
+
+
+@query("q45_word_counts", f"SELECT doc_id, CAST({WORDS_SQL} AS BIGINT) AS words, CAST({WORDS_SQL} * 0.75 AS DOUBLE) AS tokens, length(text) AS chars FROM documents")
+def _q45(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", text.word_counts(F.col("text")).alias("c")).select("doc_id", "c.*")
+
+
+@query("q46_json_props", "SELECT event_id, CAST(len(json_keys(props)) AS BIGINT) AS n_keys, array_to_string(list_sort(json_keys(props)), '|') AS keys FROM events")
+def _q46(spark, sf):
+    keys = F.map_keys(F.from_json("props", "map<string, string>"))
+    return table(spark, sf, "events").select("event_id", F.size(keys).cast("long").alias("n_keys"), F.array_join(F.array_sort(keys), "|").alias("keys"))
+
+
+@query("q51_validate_retry")
+def _q51(spark, sf):
+    tree = {"Common words": {"English": ["the and of", "is are was"], "French": ["le la les", "de du des"]}, "Other words": {"German": ["der die das"], "Spanish": ["el los las"]}}
+    done = classify.classify(table(spark, sf, "documents").select("doc_id", "text"), "text", tree)
+    lists = {c: F.array_join(f"classification.{c}", "|") for c in ("top", "mid", "low", "themes")}
+    return done.where("classification.error IS NULL").select("doc_id", *[e.alias(c) for c, e in lists.items()])
+
+
+@query("q53_section_fill", "WITH l AS (SELECT conv_id AS doc, turn AS line, CASE WHEN turn % 3 = 0 THEN 'part ' || turn ELSE NULL END AS own, role || ' ' || turn AS citation FROM conversations) SELECT doc, line, section, citation, CAST(line AS VARCHAR) AS total FROM (SELECT *, last_value(own IGNORE NULLS) OVER (PARTITION BY doc ORDER BY line) AS section FROM l) WHERE own IS NULL")
+def _q53(spark, sf):
+    line = F.col("turn").cast("string")
+    cells = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("| part "), line, F.lit(" |"))).otherwise(F.concat(F.lit("|"), F.col("role"), F.lit(" "), line, F.lit(" | "), line, F.lit("|")))
+    rows = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("line"), cells.alias("value"))
+    return readers.citation_table(rows, skip=0)
+
+
+@query("q58_clean_text", r"SELECT p_partkey, trim(regexp_replace(regexp_replace(lower(p_name || ' (' || p_brand || ')'), '[!-/:-@\[-`{-~]', '', 'g'), '\s+', ' ', 'g')) AS cleaned FROM part")
+def _q58(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", text.clean(F.concat(F.col("p_name"), F.lit(" ("), F.col("p_brand"), F.lit(")"))).alias("cleaned"))
+
+
+@query("q59_edit_ratio", "SELECT p_partkey, round(100 * (1 - levenshtein(p_name, p_type) / greatest(length(p_name), length(p_type))), 2) AS ratio FROM part")
+def _q59(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", text.edit_ratio(F.col("p_name"), F.col("p_type")).alias("ratio"))
+
+
+@query("q60_case_forms", "SELECT p_partkey, upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) AS sentence, substr(p_name, 1, 5) || '...' AS short FROM part")
+def _q60(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", text.sentence_case(F.col("p_type")).alias("sentence"), text.shorten(F.col("p_name"), 5).alias("short"))
+
+
+@query("q61_tagged_record", "SELECT doc_id, 'PT J' || chr(10) || 'AU ' || source || chr(10) || 'TI ' || lang || chr(10) || 'AB No abstract' || chr(10) || 'ER' AS record FROM documents")
+def _q61(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", text.tagged_record(F.array("source"), F.col("lang"), F.lit(None).cast("string")).alias("record"))
+
+
+@query("q62_ascii_fold")
+def _q62(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", markup.ascii_fold(F.col("text")).alias("folded"))
+
+
+@query("q63_match_ratio")
+def _q63(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", markup.match_ratio(F.col("p_name"), F.col("p_type")).alias("ratio"))
