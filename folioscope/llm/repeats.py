@@ -78,10 +78,22 @@ def _pack(batches):
         yield block()
 
 
+def anchor_key(code: np.ndarray, part, n_parts: int) -> np.ndarray:
+    return (code & np.uint64(0xFFFFFFFF)) * np.uint64(n_parts) + np.asarray(part, np.uint64)
+
+
+def anchor_codes(anchors: np.ndarray, n_parts: int) -> np.ndarray:
+    return (anchors // np.uint64(n_parts)).astype(np.uint32)
+
+
 class Block:
-    """A block's documents, and of every window its anchor."""
+    """A block's documents, and of every window its anchor.
+
+    An anchor is a code below 2**32 in one of the parts. Parts are of bounded size, so the chance that two
+    different substrings have one anchor stays below one in a thousand at any corpus size; it only costs a comparison.
+    """
 
-    def __init__(self, row: pa.Table, least: int):
+    def __init__(self, row: pa.Table, least: int, n_parts: int):
         self.number = row["block"][0].as_py()
         self.ids, self.sizes = (np.frombuffer(row[c][0].as_buffer(), np.int64) for c in ("ids", "sizes"))
         self.data = np.frombuffer(row["text"][0].as_buffer(), np.uint8)
@@ -89,7 +101,8 @@ class Block:
         ends = np.cumsum(self.sizes)
         n = len(self.data) - least + 1
         if n <= 0:
-            self.starts = self.stops = self.anchor = self.doc = np.zeros(0, np.int64)
+            self.starts = self.stops = self.doc = np.zeros(0, np.int64)
+            self.anchor = np.zeros(0, np.uint64)
             return
         low = hashing.window_hashes(self.data, ANCHOR)
         width, span = least - ANCHOR + 1, 1
@@ -111,7 +124,8 @@ class Block:
         keep = inside[first]
         #: stretches of windows with one anchor: first window, end of the windows, anchor and document
         self.starts, self.stops = first[keep], last[keep]
-        self.anchor, self.doc = low[self.starts], doc[self.starts]
+        hashes, self.doc = low[self.starts], doc[self.starts]
+        self.anchor = anchor_key(hashes // np.uint64(n_parts), hashes % np.uint64(n_parts), n_parts)
 
     def anchors(self) -> np.ndarray:
         """Distinct anchors; those of two documents twice."""
@@ -143,12 +157,12 @@ class Block:
 
 def _send_anchors(n_parts: int, least: int):
     def run(group: pa.Table) -> pa.Table:
-        block = Block(group, least)
+        block = Block(group, least, n_parts)
         found = np.sort(block.anchors())
         parts = (found % np.uint64(n_parts)).astype(np.int64)
         order = np.argsort(parts, kind="stable")
         cuts = np.searchsorted(parts[order], np.arange(n_parts + 1))
-        rows = [(p, block.number, found[o].astype(np.uint64).tobytes()) for p in range(n_parts) if len(o := order[cuts[p] : cuts[p + 1]])]
+        rows = [(p, block.number, anchor_codes(found[o], n_parts).tobytes()) for p in range(n_parts) if len(o := order[cuts[p] : cuts[p + 1]])]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), ANCHORS)], schema=ANCHORS) if rows else ANCHORS.empty_table()
 
     return run
@@ -156,7 +170,7 @@ def _send_anchors(n_parts: int, least: int):
 
 def _answer_anchors(group: pa.Table) -> pa.Table:
     """One part: of each block's anchors those that occur in two documents."""
-    found = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["hashes"]]
+    found = [np.frombuffer(x.as_buffer(), np.uint32) for x in group["hashes"]]
     every = np.concatenate(found)
     order = np.argsort(every)
     same = np.zeros(len(every), bool)
@@ -169,8 +183,10 @@ def _answer_anchors(group: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), ANSWERS)], schema=ANSWERS)
 
 
-def _shared_of(answers: pa.Table) -> np.ndarray:
-    found = [np.frombuffer(d.as_buffer(), np.uint64) for k, d in zip(answers["kind"].to_pylist(), answers["data"]) if k == "anchors"]
+def _shared_of(answers: pa.Table, n_parts: int) -> np.ndarray:
+    """The block's shared anchors, sorted."""
+    rows = zip(answers["kind"].to_pylist(), answers["part"].to_pylist(), answers["data"])
+    found = [anchor_key(np.frombuffer(d.as_buffer(), np.uint32).astype(np.uint64), p, n_parts) for k, p, d in rows if k == "anchors"]
     return np.sort(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
 
@@ -178,13 +194,13 @@ def _send_stretches(n_parts: int, least: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return STRETCHES.empty_table()
-        block = Block(left, least)
-        _, _, owners, parts, _, starts, ends, anchors, order, cuts = block.stretches(_shared_of(right), n_parts)
+        block = Block(left, least, n_parts)
+        _, _, owners, parts, _, starts, ends, anchors, order, cuts = block.stretches(_shared_of(right, n_parts), n_parts)
         rows, data = [], block.data.tobytes()
         for p in np.unique(parts).tolist():
             own = order[cuts[p] : cuts[p + 1]]
             text = b"".join([data[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist())])
-            rows.append((p, block.number, anchors[own].astype(np.uint64).tobytes(), owners[own].tobytes(), (ends - starts)[own].astype(np.uint32).tobytes(), text))
+            rows.append((p, block.number, anchor_codes(anchors[own], n_parts).tobytes(), owners[own].tobytes(), (ends - starts)[own].astype(np.uint32).tobytes(), text))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), STRETCHES)], schema=STRETCHES) if rows else STRETCHES.empty_table()
 
     return run
@@ -250,7 +266,7 @@ def _answer_stretches(least: int):
         def gather(name, kind):
             return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group[name]])
 
-        anchors, owners, sizes, data = gather("anchors", np.uint64), gather("owners", np.int64), gather("sizes", np.uint32).astype(np.int64), gather("text", np.uint8)
+        anchors, owners, sizes, data = gather("anchors", np.uint32), gather("owners", np.int64), gather("sizes", np.uint32).astype(np.int64), gather("text", np.uint8)
         starts = np.cumsum(sizes) - sizes
         hashes = hashing.range_hashes(hashing.prefix_sums(data), starts, starts + sizes) ^ hashing.mix(sizes)
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
@@ -313,9 +329,9 @@ def _remove(n_parts: int, least: int, texts: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return RESULT.empty_table()
-        block = Block(left, least)
+        block = Block(left, least, n_parts)
         gone = np.zeros(len(block.data) + 1, np.int32)
-        keep, which, owners, parts, place, starts, ends, *_ = block.stretches(_shared_of(right), n_parts)
+        keep, which, owners, parts, place, starts, ends, *_ = block.stretches(_shared_of(right, n_parts), n_parts)
         if len(keep):
             windows = ends - starts - least + 1
             offsets = np.cumsum(windows) - windows
