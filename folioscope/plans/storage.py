@@ -10,7 +10,6 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a temporary folder only where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="folioscope-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    if not found and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="folioscope-"))
+    return found or spark.sparkContext.getCheckpointDir()
