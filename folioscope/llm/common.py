@@ -19,14 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only where it is unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one of this process only where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="folioscope-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(found or tempfile.mkdtemp(prefix="folioscope-"))
+    return found or context.getCheckpointDir()
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -356,3 +356,15 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + least(len(ws), 4) - 1], ' ') AS g FROM w, unnest(generate_series(1, greatest(len(ws) - 3, 1))) AS t(i) WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n u ON u.doc_id = x JOIN n v ON v.doc_id = y WHERE 100 * c >= 85 * (u.n + v.n - c)),
+l AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT a, y FROM reach JOIN l ON b = x)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, low AS component_id FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY 1) USING (doc_id)
+"""

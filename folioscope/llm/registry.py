@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioscope.llm.bpe import op5_bpe
 from folioscope.llm.decontamination import OP3_SQL, op3_decontamination
-from folioscope.llm.jaccard import op10_jaccard
+from folioscope.llm.jaccard import OP10_SQL, op10_jaccard
 from folioscope.llm.language import op4_language
 from folioscope.llm.media import op1_media
 from folioscope.llm.pii import op2_pii
-from folioscope.llm.repeats import op6_repeats
+from folioscope.llm.repeats import OP6_SQL, op6_repeats
 from folioscope.llm.secrets import op7_secrets
 from folioscope.llm.sharding import op9_sharding
 from folioscope.llm.toxicity import op8_toxicity
@@ -34,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL}
+    return {"op3_decontamination": OP3_SQL, "op6_repeats": OP6_SQL, "op10_jaccard": OP10_SQL}

@@ -406,3 +406,17 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         "kept_sha256",
     )
+
+
+OP6_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM d, unnest(range(0, greatest(len(h) // 2 - 49, 0))) AS t(i)),
+f AS (SELECT s, min(doc_id) AS m FROM w GROUP BY s),
+b AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM w JOIN f USING (s) WHERE doc_id > m),
+r AS (SELECT doc_id, count(*) AS n_removed, count_if(new) AS n_spans FROM (SELECT doc_id, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) > 1, true) AS new FROM b) GROUP BY 1),
+k AS (SELECT doc_id, string_agg(substr(h, 2 * p + 1, 2), '' ORDER BY p) AS kept
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS p FROM d SEMI JOIN r USING (doc_id)) ANTI JOIN b USING (doc_id, p) GROUP BY 1)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN r.doc_id IS NULL THEN h ELSE coalesce(kept, '') END)) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
