@@ -38,12 +38,20 @@ def utf8_size(text: Column | str) -> Column:
     return F.octet_length(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))).cast("long")
 
 
-def own_column(df: DataFrame, name: str) -> str:
-    """A column name that ``df`` doesn't have (case-insensitively), derived from ``name``."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
+def make_room(df: DataFrame, *outputs: str) -> DataFrame:
+    """``df`` without columns that have an output's name in any case: an output replaces an input column of its name."""
+    taken = {o.lower() for o in outputs}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
+def packed(df: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns, and the whole row as a struct ``document``, so that an operator's outputs can't clash with it."""
+    return df.select(*[F.col(f"`{c}`") for c in needed], F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("document"))
+
+
+def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of packed rows, some of them replaced."""
+    return df.select(*[changed[c].alias(c) if c in changed else F.col(f"document.`{c}`").alias(c) for c in columns])
 
 
 _TYPES = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "binary": T.BinaryType(), "boolean": T.BooleanType()}

@@ -9,7 +9,7 @@ memory for each pass over the documents, so what is broadcast never grows with t
 
 Defined results: null or wordless texts have no words and no hits; items without words are ignored;
 items shorter than the window count as one window of their own length; equal items all count;
-an empty benchmark hits nothing. Extra columns are carried along; clashing output names raise.
+an empty benchmark hits nothing. Extra columns are carried along; an output replaces a column of its name.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscope.llm.common import settle, table
+from folioscope.llm.common import make_room, packed, settle, table, unpacked
 
 WINDOW = 13
 #: Words of one automaton, on average; about 30 MB in a worker.
@@ -198,8 +198,7 @@ def _pieces(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataF
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` with n_words, ``spans`` of hit words (array of start, end) and the distinct ``items`` found, sorted."""
-    if clash := {"n_words", "spans", "items"} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"the documents already have {sorted(clash)}")
+    docs = make_room(docs, "n_words", "spans", "items")
     spark = docs.sparkSession
     pieces = settle(_pieces(benchmark, item_id, item_text, window))
     total = pieces.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -261,10 +260,10 @@ def _cut_spans(text, spans):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, min_span: int = WINDOW) -> DataFrame:
     """Drop documents beyond the coverage limit; cut hit spans of ``min_span`` words or more from the others."""
-    found = find_contamination(docs, benchmark).where(~contaminated())
+    found = find_contamination(packed(docs, "text"), benchmark).where(~contaminated())
     long_spans = F.filter("spans", lambda s: s["end"] - s["start"] >= min_span)
     cut = F.when(F.size(long_spans) > 0, _cut_spans("text", long_spans)).otherwise(F.col("text"))
-    return found.withColumn("text", cut).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unpacked(found, docs.columns, text=cut)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -350,7 +350,7 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """
     groups = jaccard_components(docs, doc_id, text, size, percent)
     gone = settle(groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias(doc_id)).distinct())
-    return docs.join(gone, doc_id, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.join(gone, doc_id, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])  # extra columns don't matter
 
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ distance: the sum of rank differences, with a fixed one for n-grams that the pro
 Defined results: null text and text without a letter give ``und`` and score 0; ties in counts go by
 the n-gram's code, ties in distance to the language that sorts first; without training rows every
 text is ``und``. Rows with a null language aren't trained on. The number of languages is bounded by
-``MAX_LANGUAGES``, which is checked, so the profiles that workers get have a proven size.
+``MAX_LANGUAGES``, which is checked, so the profiles that workers get have a proven size. Extra columns
+are carried along; an output replaces a column of its name.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioscope.llm.common import settle, table
+from folioscope.llm.common import make_room, settle, table
 
 #: n-grams of a profile, in a language and in a document.
 PROFILE = 400
@@ -116,8 +117,7 @@ class Profiles:
 
 def predict_language(docs: DataFrame, profiles: DataFrame, text: str = "text", size: int = PROFILE) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (1: the document's order equals the profile's, 0: nothing in common)."""
-    if clash := {"lang_pred", "score"} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"the input already has {sorted(clash)}")
+    docs = make_room(docs, "lang_pred", "score")
     rows = profiles.limit(MAX_LANGUAGES * size + 1).collect()  # bounded by the number of languages
     if len(rows) > MAX_LANGUAGES * size:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -142,7 +142,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def identify(docs: DataFrame) -> DataFrame:
     """Train on the rows that aren't held out and predict all; adds held_out, lang_pred and score."""
     profiles = settle(train_profiles(docs.where(~held_out())))
-    return predict_language(docs, profiles).withColumn("held_out", held_out())
+    return predict_language(make_room(docs, "held_out"), profiles).withColumn("held_out", held_out())
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ reader can be exercised on any table.
 
 Defined results: a null container gives a null struct; a damaged or empty one gives a struct whose
 ``error`` is set and whose other fields are null; repeated rows get equal values. Null text is
-stored as the empty text. Only the named column is read, so extra columns don't matter.
+stored as the empty text. Extra columns are carried along; the output replaces a column of its name.
 """
 
 from __future__ import annotations
@@ -238,7 +238,8 @@ def store_samples(text: Column) -> Column:
 
 def media_columns(df: DataFrame, media: str, name: str = "media_info") -> DataFrame:
     """``df`` with a struct ``name`` of the first track's properties; null where ``media`` is null."""
-    return df.withColumn(name, F.when(F.col(f"`{media}`").isNotNull(), _probe_all(F.col(f"`{media}`"))))
+    info = F.when(F.col(f"`{media}`").isNotNull(), _probe_all(F.col(f"`{media}`")))
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower()], info.alias(name))
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ Mail addresses, which hold neither numbers nor dates, keep their domain; their l
 and digits are permuted the same way.
 
 Defined results: null text stays null and has no spans; empty text stays empty; a number that fails
-its validation isn't touched. Extra columns are carried along; clashing output names raise.
+its validation isn't touched. Extra columns are carried along; an output (or
+``pii_found``) replaces a column of its name.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import fields, table
+from folioscope.llm.common import fields, make_room, table
 
 #: The key of tests and checks; production passes its own.
 DEMO_KEY = b"demonstration key, not for production"
@@ -266,8 +267,7 @@ OUTPUT = fields("text string, n_values int, spans string")
 
 def pseudonym_columns(df: DataFrame, text: str = "text", key: bytes = DEMO_KEY, back: bool = False) -> DataFrame:
     """``df`` with the text replaced, ``n_values`` and ``spans`` (kind:start:end in code points of the input, comma-joined)."""
-    if clash := {"n_values", "spans", "pii_found"} & {c.lower() for c in df.columns}:
-        raise ValueError(f"the input already has {sorted(clash)}")
+    df = make_room(df, "n_values", "spans", "pii_found")
 
     @F.pandas_udf(OUTPUT)
     def replace(texts: pd.Series) -> pd.DataFrame:

@@ -7,7 +7,7 @@ or added literals are joined, so ``A = "x1"; password = A + "y2"`` marks both li
 scored by the sensitivity of the target name and by its own shape; spans of the parts are returned.
 
 Defined results: null text counts as empty and has no spans; repeated rows get equal spans. Extra
-columns are carried along, and clashing output names raise.
+columns are carried along; an output (or ``secrets_found``) replaces a column of its name.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import fields, table
+from folioscope.llm.common import fields, make_room, table
 
 # The base patterns and the least lengths of what they catch.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -191,8 +191,7 @@ def _scan(texts: pd.Series) -> pd.DataFrame:
 
 def find_secrets(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with n_assign, n_access, n_hex, base_spans and spans (kind:start:end in code points, comma-joined)."""
-    if clash := {"n_assign", "n_access", "n_hex", "base_spans", "spans", "secrets_found"} & {c.lower() for c in df.columns}:
-        raise ValueError(f"the input already has {sorted(clash)}")
+    df = make_room(df, "n_assign", "n_access", "n_hex", "base_spans", "spans", "secrets_found")
     return df.withColumn("secrets_found", _scan(F.coalesce(F.col(f"`{text}`"), F.lit("")))).select(*[F.col(f"`{c}`") for c in df.columns], "secrets_found.*")
 
 

@@ -10,7 +10,7 @@ Everything is DataFrame and SQL functions. The matrix is drawn in two levels (gr
 sqrt(P) partitions, then the partitions of each group in parallel), so no fold is longer than sqrt(P).
 
 Defined results: an empty table gives no rows; repeated rows are placed one by one; null columns
-are carried along; input columns are kept, and a clashing ``shard`` or ``slot`` raises ValueError.
+are carried along; input columns are kept, but ``shard`` or ``slot`` is replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioscope.llm.common import settle, table, utf8_size
+from folioscope.llm.common import make_room, settle, table, utf8_size
 
 SHARDS = 24
 #: Rows that one task orders in the second permutation, on average.
@@ -134,8 +134,7 @@ def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, seed: int = 20260)
     Pass only the columns that should move. The input is checkpointed once with its partition
     number and a random key, so that all later steps see the same partitions even after a loss.
     """
-    if {"shard", "slot"} & {c.lower() for c in df.columns}:
-        raise ValueError("the input already has a column named shard or slot")
+    df = make_room(df, "shard", "slot")
     if shards < 1:
         raise ValueError("at least one shard is needed")
     names = [F.col(f"`{c}`") for c in df.columns]

@@ -14,7 +14,8 @@
 
 Defined results: null and empty texts get the score of a text without hits; without labelled rows
 of both classes no lexicon can be learned and every score is the prior (0 without rows); repeated
-rows score alike; rows of the sample with a null label aren't learned from.
+rows score alike; rows of the sample with a null label aren't learned from. Extra columns are carried along;
+an input column named ``score`` is replaced.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import table
+from folioscope.llm.common import make_room, table
 
 #: Labelled rows that are learned from at most, chosen by a hash of their id.
 SAMPLE = 12_000
@@ -203,8 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[Lexicon
 
 def score_toxicity(docs: DataFrame, model: tuple[Lexicon, np.ndarray], text: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1)."""
-    if "score" in {c.lower() for c in docs.columns}:
-        raise ValueError("the input already has a column named score")
+    docs = make_room(docs, "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
