@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.llm import bpe, decontamination, jaccard, language, pii
-from folioscope.llm.common import shared_dir, table
+from folioscope.llm.common import packed, shared_dir, table, unpacked
 
 #: No SQL: language profiles, pseudonyms and token ids aren't SQL expressions; tests compare with brute force.
 ORACLE_SQL = None
@@ -21,9 +21,8 @@ ORACLE_SQL = None
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language go; ``lang`` becomes the predicted one."""
-    columns = docs.columns
-    found = language.identify(docs).where(F.col("lang_pred") != language.UND)
-    return found.withColumn("lang", F.col("lang_pred")).select(*columns)
+    found = language.identify(packed(docs, "doc_id", "text", "lang")).where(F.col("lang_pred") != language.UND)
+    return unpacked(found, docs.columns, lang=F.col("lang_pred"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,19 +32,23 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; shorter benchmark spans are cut out of the others."""
-    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return counted(decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Validated personal numbers, dates and addresses get pseudonyms."""
-    done = pii.pseudonym_columns(docs).select(*docs.columns)
-    return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return counted(unpacked(pii.pseudonym_columns(packed(docs, "text")), docs.columns, text=F.col("text")))
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the texts as they are now."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit), their number, and whether decoding gives the text back."""
     path, pattern = bpe.default_files()
-    coded = docs.withColumn("ids", bpe.encode(F.col("text"), path, pattern))
+    coded = docs.select("doc_id", "lang", "source", "text", bpe.encode(F.col("text"), path, pattern).alias("ids"))
     back = bpe.decode(F.col("ids"), path, pattern)
     return coded.select(
         "doc_id", "lang", "source", "ids",
