@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import make_room, table
+from folioscope.llm.common import make_room, settle, table
 
 #: Labelled rows that are learned from at most, chosen by a hash of their id.
 SAMPLE = 12_000
@@ -158,6 +158,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def _lexicons(counts: DataFrame, pos: list[int], neg: list[int]) -> list[Lexicon]:
     """Lexicons of half 0, of half 1 and of both. A bounded number of entries comes to the driver."""
     sides = counts.groupBy("feature").agg(*[F.sum(F.when(F.col("half") == h, F.col(c)).otherwise(0)).alias(f"{c}{h}") for h in (0, 1) for c in ("pos", "neg")])
+    sides = settle(sides.where(F.col("pos0") + F.col("pos1") >= LEAST_ROWS))
     out = []
     for halves in ((0,), (1,), (0, 1)):
         p, n = sum(pos[h] for h in halves), sum(neg[h] for h in halves)
@@ -178,6 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[Lexicon
     sample = known.withColumn("at", F.xxhash64("doc_id")).orderBy("at", "doc_id").limit(SAMPLE).withColumn("half", F.pmod(F.xxhash64("at"), F.lit(2)))
     # at most SAMPLE rows of three numbers are broadcast
     rows = docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(sample.select("doc_id", "toxic", "half")), "doc_id").select("text", "half", "toxic")
+    rows = settle(rows)  # the bounded sample, read several times
     sizes = {(r.half, r.toxic): r.n for r in rows.groupBy("half", "toxic").agg(F.count("*").alias("n")).collect()}
     pos = [sum(v for (h, t), v in sizes.items() if h == half and t) for half in (0, 1)]
     neg = [sum(v for (h, t), v in sizes.items() if h == half and not t) for half in (0, 1)]
@@ -186,8 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[Lexicon
         w = np.zeros(N_FEATURES + 3)
         w[-1] = math.log(max(prior, 1e-9) / max(1 - prior, 1e-9))
         return Lexicon([]), w
-    counts = rows.mapInArrow(_count_features, "feature string, half long, pos long, neg long").groupBy("feature", "half").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    lexicons = _lexicons(counts.where(F.col("pos") > 0), pos, neg)
+    counts = rows.mapInArrow(_count_features, "feature string, half long, pos long, neg long")
+    lexicons = _lexicons(counts, pos, neg)
     shared = docs.sparkSession.sparkContext.broadcast(lexicons)
 
     def vote(batches):
