@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def list_sheet(df: DataFrame, key: str, items: str, name: str) -> DataFrame:
@@ -26,11 +25,14 @@ def joined_lists(df: DataFrame) -> DataFrame:
 def standard_scores(df: DataFrame, columns: list[str]) -> DataFrame:
     """``z_<column>``: distance from the mean in sample standard deviations.
 
-    Mean and deviation are one aggregated row that is joined back; a window over the whole table would put it in one task.
+    Mean and deviation are one aggregated row; a window over the whole table would put it in one task.
     """
-    moments = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("avg", F.avg), ("std", F.stddev_samp))])
-    joined = df.crossJoin(F.broadcast(moments))  # one row
-    return joined.select(*df.columns, *[F.round(F.try_divide(F.col(c) - F.col(f"avg_{c}"), F.col(f"std_{c}")), 6).alias(f"z_{c}") for c in columns])
+    moments = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("avg", F.avg), ("std", F.stddev_samp))]).first()
+
+    def score(c: str) -> Column:
+        return F.round(F.try_divide(F.col(c) - F.lit(moments[f"avg_{c}"]), F.lit(moments[f"std_{c}"]).cast("double")), 6).alias(f"z_{c}")
+
+    return df.select(*df.columns, *[score(c) for c in columns])
 
 
 def summary_stats(df: DataFrame, value: str) -> DataFrame:
@@ -49,4 +51,5 @@ def first_sorted(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 def normalised(df: DataFrame, column: str) -> DataFrame:
     """``rel_<column>``: share of the column's total."""
-    return df.withColumn(f"rel_{column}", F.try_divide(F.col(column), F.sum(column).over(Window.partitionBy())))
+    total = df.agg(F.sum(column)).first()[0]
+    return df.withColumn(f"rel_{column}", F.try_divide(F.col(column), F.lit(total)))

@@ -35,11 +35,11 @@ def merge_stream(facts: DataFrame, state: str, checkpoint: str) -> None:
 
 
 def merged_by_month(spark: SparkSession, facts: DataFrame, folder: str) -> DataFrame:
-    """Facts with a ``month`` column run through the stream, one file and batch per month; the final state."""
+    """Facts with a ``month`` column run through the stream, a batch per month; the final state."""
     root = f"{folder}/stream-{uuid.uuid4().hex}"
     months = [r.month for r in facts.select("month").distinct().orderBy("month").collect()]  # one row per calendar month
     for month in months:
-        facts.where(F.col("month") == month).drop("month").coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = spark.readStream.schema(facts.drop("month").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    merge_stream(stream, f"{root}/state", f"{root}/checkpoint")
+        facts.where(F.col("month") == month).drop("month").write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(facts.drop("month").schema).parquet(f"{root}/in")
+        merge_stream(stream, f"{root}/state", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/state/{len(months) - 1}")
