@@ -35,6 +35,8 @@ FRAGMENT_BYTES = 16_000_000
 LEAST_FRAGMENTS = 16
 #: n-grams that a task of the first step holds before it passes them on.
 HELD = 1_500_000
+#: Characters that are hashed in one go; about 40 bytes of memory each.
+AT_ONCE = 2_000_000
 #: n-grams and sets of one block of a cell, and columns of one fragment of a cell.
 BLOCK_TOKENS, BLOCK_SETS, COLUMNS = 1_000_000, 1_200, 4_096
 
@@ -45,7 +47,18 @@ FACTORS = hashing.mix(np.arange(101, 133, dtype=np.uint64))
 
 
 def shingle_sets(texts: list[str | None], size: int = SIZE) -> list[np.ndarray]:
-    """The sorted distinct n-gram hashes of each text."""
+    """The sorted distinct n-gram hashes of each text; a few texts are hashed at once, by their length."""
+    out, held, chars = [], [], 0
+    for text in texts:
+        held.append(text)
+        chars += len(text or "")
+        if chars > AT_ONCE:
+            out += _sets_of(held, size)
+            held, chars = [], 0
+    return out + _sets_of(held, size)
+
+
+def _sets_of(texts: list[str | None], size: int) -> list[np.ndarray]:
     raw = [(t or "").encode("utf-8", "surrogatepass").translate(LOWER) for t in texts]
     data = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
     if not len(data):
