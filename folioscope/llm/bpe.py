@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from folioscope.llm.common import table
 
-#: Pre-tokens that a worker remembers; when there are more, it starts anew. Longer ones aren't remembered.
-REMEMBERED, REMEMBERED_CHARS = 1_000_000, 64
+#: Pre-tokens that a worker remembers in each of two generations; longer ones aren't remembered.
+REMEMBERED, REMEMBERED_CHARS = 150_000, 64
 NO_PAIR = 1 << 62
 
 
@@ -79,21 +79,28 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Vocabulary(dict):
-    """Pre-token -> its ids as bytes, computed when first asked for."""
+    """Pre-token -> its ids as bytes, computed when first asked for.
+
+    When the table is full it becomes the older generation, from which entries in use come back.
+    """
 
     def __init__(self, path: str, pattern: str):
         import regex
 
         super().__init__()
+        self.older: dict[str, bytes] = {}
         with open(path, "rb") as lines:  # a file of the installed tokenizer package, present on every node
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.tokens = dict(zip(self.ranks.values(), self.ranks.keys()))
         self.split = regex.compile(pattern).findall
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge_piece(piece.encode(), self.ranks), "<u4").tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = np.array(merge_piece(piece.encode(), self.ranks), "<u4").tobytes()
         if len(piece) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
