@@ -56,3 +56,11 @@ def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
         return np.zeros(0, _U)
     sums = prefix_sums(data)
     return mix((sums[size:] - sums[:-size]) * _powers(_inverse(), len(data))[: len(data) - size + 1])
+
+
+def by_value(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stable order by value; the distinct values; and the bounds of each one's run in the order (one more than values)."""
+    order = np.argsort(parts, kind="stable")
+    ordered = parts[order]
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))
+    return order, ordered[starts], np.append(starts, len(ordered))

@@ -103,18 +103,16 @@ def set_columns(docs: DataFrame, size: int = SIZE, text: str = "text") -> DataFr
     return docs.withColumn("_set", keys(F.col(f"`{text}`"))).select(*[F.col(f"`{c}`") for c in docs.columns if c != text], "_set.*")
 
 
-def _blobs(parts: np.ndarray, n_parts: int, owners: np.ndarray, sizes: np.ndarray, *values: np.ndarray):
+def _blobs(parts: np.ndarray, owners: np.ndarray, sizes: np.ndarray, *values: np.ndarray):
     """One row per part: owners (key, set size), how many values each has there, and the values.
 
     ``parts`` tells each value's part, ``owners`` its owner (ascending index into the rows of ``sizes``).
     """
-    order = np.argsort(parts, kind="stable")
-    cuts = np.searchsorted(parts[order], np.arange(n_parts + 1))
-    for part in range(n_parts):
-        own = order[cuts[part] : cuts[part + 1]]
-        if len(own):
-            ids, counts = np.unique(owners[own], return_counts=True)
-            yield part, sizes[ids].tobytes(), counts.astype(np.uint32).tobytes(), *(v[own].tobytes() for v in values)
+    order, found, cuts = hashing.by_value(parts)
+    for part, a, b in zip(found.tolist(), cuts[:-1], cuts[1:]):
+        own = order[a:b]
+        ids, counts = np.unique(owners[own], return_counts=True)
+        yield part, sizes[ids].tobytes(), counts.astype(np.uint32).tobytes(), *(v[own].tobytes() for v in values)
 
 
 OWNER = np.dtype([("key", "<i8"), ("n", "<u4")])
@@ -132,7 +130,7 @@ def _segments(n_fragments: int, size: int):
         sizes["key"], sizes["n"] = list(held), [len(s) for s in held.values()]
         tokens = np.concatenate(list(held.values()))
         parts = ((tokens >> np.uint64(40)) * np.uint64(n_fragments) >> np.uint64(24)).astype(np.int16 if n_fragments < 1 << 15 else np.int32)
-        rows = list(_blobs(parts, n_fragments, np.repeat(np.arange(len(held)), sizes["n"]), sizes, tokens))
+        rows = list(_blobs(parts, np.repeat(np.arange(len(held)), sizes["n"]), sizes, tokens))
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def run(batches):
@@ -186,7 +184,7 @@ def _shared(n_parts: int):
         number, scale = number[shared][back].astype(np.uint32), scale[shared][back]
         owner = np.repeat(np.arange(len(owners)), counts)[at]
         parts = (owners["key"][owner].view(np.uint64) % np.uint64(n_parts)).astype(np.int32)
-        rows = [(p, int(key[0].as_py()), *rest) for p, *rest in _blobs(parts, n_parts, owner, owners, number, scale)]
+        rows = [(p, int(key[0].as_py()), *rest) for p, *rest in _blobs(parts, owner, owners, number, scale)]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), SHARED)], schema=SHARED) if rows else SHARED.empty_table()
 
     return run
@@ -235,9 +233,10 @@ def _prefixes(n_parts: int):
             tokens = np.concatenate(found)
             sets = np.repeat(batch.column(0).to_numpy(), [len(f) for f in found])
             parts = (hashing.mix(tokens) % np.uint64(n_parts)).astype(np.int32)
-            order = np.argsort(parts, kind="stable")
-            cuts = np.searchsorted(parts[order], np.arange(n_parts + 1))
-            rows = [(p, tokens[o].tobytes(), sets[o].tobytes()) for p in range(n_parts) if len(o := order[cuts[p] : cuts[p + 1]])]
+            order, distinct, cuts = hashing.by_value(parts)
+            rows = [(p, tokens[order[a:b]].tobytes(), sets[order[a:b]].tobytes()) for p, a, b in zip(distinct.tolist(), cuts[:-1], cuts[1:])]
+            if not rows:
+                continue
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), BY_TOKEN)], schema=BY_TOKEN)
 
     return run

@@ -139,7 +139,7 @@ class Block:
         return np.concatenate([a[new], np.unique(a[second])])
 
     def stretches(self, shared: np.ndarray, n_parts: int):
-        """Distinct stretches with shared anchors, by part: (part of each, its order within the part, index of each stretch in them ...)."""
+        """The stretches with shared anchors, which distinct one each is, and the distinct ones' owners, bounds, anchors and order by part."""
         at = np.minimum(np.searchsorted(shared, self.anchor), max(0, len(shared) - 1))
         keep = np.flatnonzero(shared[at] == self.anchor) if len(shared) else np.zeros(0, np.int64)
         starts, ends = self.starts[keep], self.stops[keep] + self.least - 1
@@ -148,11 +148,7 @@ class Block:
         owners = np.full(len(distinct), NO_ID)
         np.minimum.at(owners, which, self.ids[self.doc[keep]])
         parts = (self.anchor[keep][first] % np.uint64(n_parts)).astype(np.int64)
-        order = np.argsort(parts, kind="stable")
-        place = np.empty(len(order), np.int64)
-        cuts = np.searchsorted(parts[order], np.arange(n_parts + 1))
-        place[order] = np.arange(len(order)) - cuts[parts[order]]
-        return keep, which, owners, parts, place, starts[first], ends[first], self.anchor[keep][first], order, cuts
+        return keep, which, owners, starts[first], ends[first], self.anchor[keep][first], hashing.by_value(parts)
 
 
 def _send_anchors(n_parts: int, least: int):
@@ -160,9 +156,8 @@ def _send_anchors(n_parts: int, least: int):
         block = Block(group, least, n_parts)
         found = np.sort(block.anchors())
         parts = (found % np.uint64(n_parts)).astype(np.int64)
-        order = np.argsort(parts, kind="stable")
-        cuts = np.searchsorted(parts[order], np.arange(n_parts + 1))
-        rows = [(p, block.number, anchor_codes(found[o], n_parts).tobytes()) for p in range(n_parts) if len(o := order[cuts[p] : cuts[p + 1]])]
+        order, distinct, cuts = hashing.by_value(parts)
+        rows = [(p, block.number, anchor_codes(found[order[a:b]], n_parts).tobytes()) for p, a, b in zip(distinct.tolist(), cuts[:-1], cuts[1:])]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), ANCHORS)], schema=ANCHORS) if rows else ANCHORS.empty_table()
 
     return run
@@ -195,10 +190,10 @@ def _send_stretches(n_parts: int, least: int):
         if not left.num_rows:
             return STRETCHES.empty_table()
         block = Block(left, least, n_parts)
-        _, _, owners, parts, _, starts, ends, anchors, order, cuts = block.stretches(_shared_of(right, n_parts), n_parts)
+        _, _, owners, starts, ends, anchors, (order, parts, cuts) = block.stretches(_shared_of(right, n_parts), n_parts)
         rows, data = [], block.data.tobytes()
-        for p in np.unique(parts).tolist():
-            own = order[cuts[p] : cuts[p + 1]]
+        for p, i, j in zip(parts.tolist(), cuts[:-1], cuts[1:]):
+            own = order[i:j]
             text = b"".join([data[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist())])
             rows.append((p, block.number, anchor_codes(anchors[own], n_parts).tobytes(), owners[own].tobytes(), (ends - starts)[own].astype(np.uint32).tobytes(), text))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), STRETCHES)], schema=STRETCHES) if rows else STRETCHES.empty_table()
@@ -331,13 +326,12 @@ def _remove(n_parts: int, least: int, texts: bool):
             return RESULT.empty_table()
         block = Block(left, least, n_parts)
         gone = np.zeros(len(block.data) + 1, np.int32)
-        keep, which, owners, parts, place, starts, ends, *_ = block.stretches(_shared_of(right, n_parts), n_parts)
+        keep, which, owners, starts, ends, _, (order, parts, cuts) = block.stretches(_shared_of(right, n_parts), n_parts)
         if len(keep):
             windows = ends - starts - least + 1
             offsets = np.cumsum(windows) - windows
             owner = np.repeat(owners, windows)
-            order = np.lexsort((place, parts))
-            base = np.searchsorted(parts[order], np.arange(n_parts))
+            base = dict(zip(parts.tolist(), cuts.tolist()))
             for part, kind, raw in zip(right["part"].to_pylist(), right["kind"].to_pylist(), right["data"]):
                 if kind == "runs":
                     runs = np.frombuffer(raw.as_buffer(), RUN)
