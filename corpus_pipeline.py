@@ -48,12 +48,10 @@ def counted(docs: DataFrame) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit), their number, and whether decoding gives the text back."""
     path, pattern = bpe.default_files()
-    coded = docs.select("doc_id", "lang", "source", "text", bpe.encode(F.col("text"), path, pattern).alias("ids"))
-    back = bpe.decode(F.col("ids"), path, pattern)
+    coded = docs.select("doc_id", "lang", "source", bpe.encode_checked(F.col("text"), path, pattern).alias("coded"))
     return coded.select(
-        "doc_id", "lang", "source", "ids",
-        F.expr("CAST(octet_length(ids) div 4 AS BIGINT)").alias("n_tokens"),
-        (back == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"),
+        "doc_id", "lang", "source", "coded.ids",
+        F.expr("CAST(octet_length(coded.ids) div 4 AS BIGINT)").alias("n_tokens"), "coded.round_trip",
     )
 
 

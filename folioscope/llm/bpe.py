@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioscope.llm.common import table
 
@@ -137,6 +138,21 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
     return raw(ids)
 
 
+CHECKED = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("round_trip", T.BooleanType())])
+
+
+def encode_checked(text: Column, path: str, pattern: str) -> Column:
+    """A struct of the ids and of whether decoding them gives the text's bytes, in one pass over the workers."""
+
+    @F.pandas_udf(CHECKED)
+    def ids(texts: pd.Series) -> pd.DataFrame:
+        v = _vocabulary(path, pattern)
+        coded = texts.map(v.encode)
+        return pd.DataFrame({"ids": coded, "round_trip": [v.decode(c) == t.encode() for c, t in zip(coded, texts)]})
+
+    return ids(F.coalesce(text, F.lit("")))
+
+
 def default_files() -> tuple[str, str]:
     """Path and pattern of the public 50k byte-level vocabulary."""
     import public_tokenizers

@@ -196,8 +196,11 @@ def _pieces(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataF
     return benchmark.select(F.col(f"`{item_id}`").cast("string"), F.col(f"`{text}`")).where(F.col(f"`{item_id}`").isNotNull()).mapInArrow(cut, "item string, n long, words binary")
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` with n_words, ``spans`` of hit words (array of start, end) and the distinct ``items`` found, sorted."""
+def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, cut: int | None = None) -> DataFrame:
+    """``docs`` with n_words, ``spans`` of hit words (array of start, end) and the distinct ``items`` found, sorted.
+
+    With ``cut``, spans of so many words or more are cut out of the text.
+    """
     docs = make_room(docs, "n_words", "spans", "items")
     spark = docs.sparkSession
     pieces = settle(_pieces(benchmark, item_id, item_text, window))
@@ -209,19 +212,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     for b in range(blocks):
         rows = pieces.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == b).select("item", "words").collect()  # one block, bounded by BLOCK_WORDS
         block = spark.sparkContext.broadcast({"items": [(r.item, bytes(r.words).split(b" ")) for r in rows], "window": window})
-        out = out.mapInArrow(_scan(block, at), schema)
+        out = out.mapInArrow(_scan(block, at, cut if b == blocks - 1 else None), schema)
         if b % PASSES == PASSES - 1 and b < blocks - 1:
             out = settle(out)
     return out
 
 
-def _scan(block, at: int):
+def _scan(block, at: int, cut: int | None):
     """The pass over the documents for one block of items."""
 
     def scan(batches):
         automaton = _automaton(block)
         for batch in batches:
-            counts, spans, items = [], [], []
+            counts, spans, items, texts = [], [], [], []
             known = zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())
             for raw, (old_spans, old_items) in zip(batch.column(at), known):
                 words = words_of(raw.as_py())
@@ -229,9 +232,13 @@ def _scan(block, at: int):
                 if old_spans:
                     hit = merge_spans([*hit, *((s["start"], s["end"]) for s in old_spans)])
                 counts.append(len(words))
+                if cut is not None:
+                    texts.append(cut_spans(raw.as_py(), [s for s in hit if s[1] - s[0] >= cut]))
                 spans.append([{"start": a, "end": b} for a, b in hit])
                 items.append(sorted(found | set(old_items or ())))
             kept = batch.columns[:-3]
+            if cut is not None:
+                kept[at] = pa.array(texts, batch.schema.field(at).type)
             tail = [pa.array(counts, pa.int64()), pa.array(spans, batch.schema.field(batch.num_columns - 2).type), pa.array(items, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([*kept, *tail], batch.schema.names)
 
@@ -247,23 +254,22 @@ def contaminated() -> F.Column:
     return (hit_words() > 0) & (20 * hit_words() >= F.col("n_words"))
 
 
-@F.udf(T.StringType())
-def _cut_spans(text, spans):
-    """``text`` without the words of ``spans`` and what stands between them (few documents get here)."""
+def cut_spans(text: str | None, spans: list[tuple[int, int]]) -> str | None:
+    """``text`` without the words of ``spans`` and what stands between them."""
+    if not spans:
+        return text
     at = [m.span() for m in WORD.finditer(text)]
     out, last = [], 0
-    for s in spans:
-        out.append(text[last : at[s["start"]][0]])
-        last = at[s["end"] - 1][1]
+    for start, end in spans:
+        out.append(text[last : at[start][0]])
+        last = at[end - 1][1]
     return "".join([*out, text[last:]])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, min_span: int = WINDOW) -> DataFrame:
     """Drop documents beyond the coverage limit; cut hit spans of ``min_span`` words or more from the others."""
-    found = find_contamination(packed(docs, "text"), benchmark).where(~contaminated())
-    long_spans = F.filter("spans", lambda s: s["end"] - s["start"] >= min_span)
-    cut = F.when(F.size(long_spans) > 0, _cut_spans("text", long_spans)).otherwise(F.col("text"))
-    return unpacked(found, docs.columns, text=cut)
+    found = find_contamination(packed(docs, "text"), benchmark, cut=min_span).where(~contaminated())
+    return unpacked(found, docs.columns, text=F.col("text"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,14 +31,14 @@ from folioscope.llm.components import components
 
 SIZE, PERCENT = 4, 85
 #: Text bytes of one fragment (a token comes from about seven bytes).
-FRAGMENT_BYTES = 8_000_000
+FRAGMENT_BYTES = 4_000_000
 LEAST_FRAGMENTS = 16
 #: n-grams that a task of the first step holds before it passes them on.
-HELD = 1_000_000
+HELD = 600_000
 #: Characters that are hashed in one go; about 40 bytes of memory each.
-AT_ONCE = 1_000_000
+AT_ONCE = 500_000
 #: n-grams and sets of one block of a cell, and columns of one fragment of a cell.
-BLOCK_TOKENS, BLOCK_SETS, COLUMNS = 600_000, 600, 4_096
+BLOCK_TOKENS, BLOCK_SETS, COLUMNS = 400_000, 600, 2_048
 
 #: ASCII capitals become small letters.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
