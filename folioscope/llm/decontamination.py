@@ -32,6 +32,8 @@ PASSES = 3
 
 #: Word characters: ASCII letters and digits and everything beyond ASCII.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: The same before capitals become small letters, for positions in the text as it is.
+RAW_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: The same on UTF-8 bytes: capitals become small letters, other characters below 128 become spaces.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -258,7 +260,7 @@ def cut_spans(text: str | None, spans: list[tuple[int, int]]) -> str | None:
     """``text`` without the words of ``spans`` and what stands between them."""
     if not spans:
         return text
-    at = [m.span() for m in WORD.finditer(text)]
+    at = [m.span() for m in RAW_WORD.finditer(text)]
     out, last = [], 0
     for start, end in spans:
         out.append(text[last : at[start][0]])

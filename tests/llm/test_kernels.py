@@ -88,6 +88,15 @@ def test_words_are_those_of_the_pattern():
     assert [w.decode() for w in decontamination.words_of(text)] == decontamination.WORD.findall(low)
 
 
+def test_spans_are_cut_from_texts_with_capitals():
+    text = "McDONALD said: Über the Hills, A-b_c iPHONE\x00END."
+    words = decontamination.words_of(text)
+    assert len(words) == len(decontamination.RAW_WORD.findall(text)) == 10
+    assert decontamination.cut_spans(text, [(1, 5)]) == "McDONALD , A-b_c iPHONE\x00END."
+    assert decontamination.cut_spans(text, [(0, 1), (8, 10)]) == " said: Über the Hills, A-b_c ."
+    assert decontamination.cut_spans(text, []) == text and decontamination.cut_spans(None, []) is None
+
+
 def test_bpe_equals_the_public_tokenizer():
     import tiktoken
 
