@@ -35,6 +35,8 @@ FRAGMENT_BYTES = 4_000_000
 LEAST_FRAGMENTS = 16
 #: n-grams that a task of the first step holds before it passes them on.
 HELD = 600_000
+#: Keys of sets that a task remembers to have passed on; copies of them aren't sent again.
+REMEMBERED = 200_000
 #: Characters that are hashed in one go; about 40 bytes of memory each.
 AT_ONCE = 500_000
 #: n-grams and sets of one block of a cell, and columns of one fragment of a cell.
@@ -135,15 +137,19 @@ def _segments(n_fragments: int, size: int):
 
     def run(batches):
         held: dict[int, np.ndarray] = {}
+        sent: set[int] = set()
         total = 0
         for batch in batches:
             for s in shingle_sets(batch.column(0).to_pylist(), size):
-                if len(s) and (key := class_key(s)) not in held:
+                if len(s) and (key := class_key(s)) not in sent:
+                    sent.add(key)
                     held[key] = s
                     total += len(s)
             if total > HELD:
                 yield from flush(held)
                 held, total = {}, 0
+                if len(sent) > REMEMBERED:
+                    sent.clear()
         yield from flush(held)
 
     return run
