@@ -18,6 +18,9 @@ from folioscope.llm.common import packed, shared_dir, table, unpacked
 #: No SQL: language profiles, pseudonyms and token ids aren't SQL expressions; tests compare with brute force.
 ORACLE_SQL = None
 
+#: Near copies share so many percent of their distinct shingles of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language go; ``lang`` becomes the predicted one."""
@@ -26,8 +29,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the document with the smallest id stays."""
-    return jaccard.keep_one_of_each(docs)
+    """Of every group of near copies the document with the smallest id stays; near is a Jaccard similarity of 0.8 of five-word shingles."""
+    return jaccard.keep_one_of_each(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

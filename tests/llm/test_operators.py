@@ -228,6 +228,18 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(nothing)).count() == 0
 
 
+def test_near_copies_of_the_pipeline_share_four_fifths_of_five_word_shingles(spark, tmp_path):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(400)]
+    texts = {1: " ".join(words), 2: " ".join(words + [f"x{i}" for i in range(86)]), 3: " ".join(words + [f"y{i}" for i in range(110)])}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in texts.items())}
+    similar = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in sets for j in sets if i < j}
+    assert 0.81 < similar[1, 2] < 0.83 and similar[1, 3] < 0.8 and similar[2, 3] < 0.8
+    docs = spark.createDataFrame([(i, t, "xx", "s", len(t)) for i, t in texts.items()], SCHEMA)
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path)).collect()) == [1, 3]
+
+
 def test_clashing_columns_are_replaced(docs, spark):
     wide = docs.select("*", *[F.lit("x").alias(c) for c in ("score", "lang_pred", "held_out", "spans", "items", "n_words", "n_assign", "secrets_found", "base_spans", "document")])
     bench = spark.createDataFrame([(1, "zz yy")], "item_id long, text string")
