@@ -11,7 +11,8 @@ Mail addresses, which hold neither numbers nor dates, keep their domain; their l
 and digits are permuted the same way.
 
 Defined results: null text stays null and has no spans; empty text stays empty; a number that fails
-its validation isn't touched. Extra columns are carried along; an output (or
+its validation isn't touched. Of a card or account with further groups of digits or capitals behind it
+only its own groups are replaced: those up to the first end, or the end of the country's length, that is valid. Extra columns are carried along; an output (or
 ``pii_found``) replaces a column of its name.
 """
 
@@ -234,13 +235,45 @@ def _starts(text: str, anchor: int):
     yield anchor
 
 
+#: Lengths of the account numbers of each country.
+IBAN_LENGTHS = {
+    c: int(n)
+    for n, countries in (x.split(":") for x in (
+        "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+        "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+        "28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU 31:MT,SC 32:LC 33:RU"
+    ).split())
+    for c in countries.split(",")
+}
+
+
+def _ends(kind: str, value: str) -> list[int]:
+    """Where a match can end, in the order of trial: its own end, and for cards and accounts those of its groups.
+
+    A card is tried from the shortest on, so what stands behind it has no say in where it ends; an
+    account at its country's length, then from the longest on.
+    """
+    if kind not in ("card", "iban"):
+        return [len(value)]
+    ends = [i for i, c in enumerate(value) if c in " -"] + [len(value)]
+    own = IBAN_LENGTHS.get(value[:2])
+    return ends if kind == "card" else sorted(ends, key=lambda e: (e - value.count(" ", 0, e) != own, -e))
+
+
 def _value_at(text: str, start: int, key: bytes, back: bool) -> tuple[str, int, str] | None:
     """(kind, end, replacement) of the valid value that begins at ``start``."""
     for pattern in (FIND, FIND_CARD):
         if start >= 0 and (match := pattern.match(text, start)):
             kind = next(n for n in NAMES if match.re is FIND_CARD and n == "card" or match.re is FIND and match[n])
-            if (new := MAKE[kind](match[0], key, back)) is not None:
-                return kind, match.end(), new
+            value, make = match[0], MAKE[kind]
+            ends = _ends(kind, value)
+            for i, end in enumerate(ends):
+                if (new := make(value[:end], key, back)) is None:
+                    continue
+                # as in the input, no end that is tried before may be valid: cycle walking, so that the pseudonym is found again
+                while any(make((new + value[end:])[:e], key, back) is not None for e in ends[:i]):
+                    new = make(new, key, back)
+                return kind, start + end, new
     return None
 
 

@@ -55,6 +55,34 @@ def test_pseudonyms():
     assert pii.pseudonymise("", b"k") == ("", []) and pii.pseudonymise("nothing here", b"k") == ("nothing here", [])
 
 
+@pytest.mark.parametrize("card", ["4539148803436467", "4539 1488 0343 6467", "4539-1488-0343-6467", "378282246310005", "3782 822463 10005"])
+def test_groups_behind_a_card_do_not_hide_it(card):
+    alone = pii.pseudonymise(card, b"k")[0]
+    for tail in (" 12/25", " 7 times", " 123", " 1", "-12/25", " 123-45", " 1 2 3", *(f" {i}" for i in range(1000))):
+        new, spans = pii.pseudonymise(f"card {card}{tail}", b"k")
+        assert spans == [("card", 5, 5 + len(card))] and new == f"card {alone}{tail}" and alone != card
+        assert pii.pseudonymise(new, b"k", back=True)[0] == f"card {card}{tail}"
+
+
+def test_long_cards_in_groups_are_found_and_restored():
+    for n in range(300):
+        body = hashlib.sha256(str(n).encode()).hexdigest()
+        body = "6" + "".join(str(int(c, 16) % 10) for c in body[:17])
+        digits = next(body + str(c) for c in range(10) if pii.luhn(body + str(c)))
+        text = f"{digits[:4]} {digits[4:8]} {digits[8:12]} {digits[12:16]} {digits[16:]} 12/25"
+        new, spans = pii.pseudonymise(text, b"k")
+        assert spans == [("card", 0, 19 if pii.luhn(digits[:16]) else 23)] and pii.pseudonymise(new, b"k", back=True) == (text, spans)
+
+
+@pytest.mark.parametrize("account", ["AT611904300234573201", "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00", "BE68539007547034"])
+def test_words_behind_an_account_do_not_hide_it(account):
+    alone = pii.pseudonymise(account, b"k")[0]
+    for tail in (" EUR", " BANK", " BANK AG", " BIC 12", " AB", *(f" {i}" for i in range(300))):
+        new, spans = pii.pseudonymise(f"to {account}{tail}", b"k")
+        assert spans == [("iban", 3, 3 + len(account))] and new == f"to {alone}{tail}" and alone != account
+        assert pii.pseudonymise(new, b"k", back=True)[0] == f"to {account}{tail}"
+
+
 def brute_windows(words, items, window=13):
     hit, found = set(), set()
     for name, item in items:
