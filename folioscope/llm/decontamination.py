@@ -9,6 +9,7 @@ memory for each pass over the documents, so what is broadcast never grows with t
 
 Defined results: null or wordless texts have no words and no hits; items without words are ignored;
 items shorter than the window count as one window of their own length; equal items all count;
+the words of items without an id are hit like others', but no item is named for them;
 an empty benchmark hits nothing. Extra columns are carried along; an output replaces a column of its name.
 """
 
@@ -54,7 +55,7 @@ def words_of(text: str | None) -> list[bytes]:
 class Automaton:
     """Generalised suffix automaton of word sequences, with the windows' items at its states."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
         self.window = window
         self.go: list[dict[bytes, int]] = [{}]
         self.link, self.length = [-1], [0]
@@ -102,8 +103,8 @@ class Automaton:
         for v in order:
             up = self.link[v]
             self.window_state[v] = self.window_state[up] if self.length[up] >= self.window else v if self.length[v] >= self.window else -1
-        self.items_at: dict[int, set[str]] = {}
-        short: dict[int, dict[int, set[str]]] = {}
+        self.items_at: dict[int, set[str | None]] = {}
+        short: dict[int, dict[int, set[str | None]]] = {}
         for item, words in items:
             v = 0
             for word in words:
@@ -132,10 +133,10 @@ class Automaton:
             start = end
 
     def stream(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Maximal hit ranges of word positions (end exclusive), and the items whose windows occur."""
+        """Maximal hit ranges of word positions (end exclusive), and the items whose windows occur, those without an id left out."""
         go, link, length, window = self.go, self.link, self.length, self.window
         spans: list[tuple[int, int]] = []
-        items: set[str] = set()
+        items: set[str | None] = set()
         for start, end in self._runs(words):
             v = matched = 0
             for i in range(start, end):
@@ -162,7 +163,7 @@ class Automaton:
                     while spans and spans[-1][1] >= first:
                         first = min(first, spans.pop()[0])
                     spans.append((first, i + 1))
-        return spans, items
+        return spans, items - {None}
 
 
 @lru_cache(maxsize=1)
@@ -181,7 +182,7 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _pieces(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
-    """(item, words): items as texts of words; very long ones as overlapping pieces, so that blocks stay bounded."""
+    """Distinct (item, words): items as texts of words; very long ones as overlapping pieces, so that blocks stay bounded."""
 
     def cut(batches):
         for batch in batches:
@@ -191,11 +192,11 @@ def _pieces(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataF
                 for at in range(0, max(1, len(words) - window + 1), BLOCK_WORDS // 4):
                     piece = words[at : at + BLOCK_WORDS // 4 + window - 1]
                     if piece:
-                        out.append((str(item), len(piece), b" ".join(piece)))
+                        out.append((item, len(piece), b" ".join(piece)))
             items, sizes, texts = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(sizes, pa.int64()), pa.array(texts, pa.binary())], ["item", "n", "words"])
 
-    return benchmark.select(F.col(f"`{item_id}`").cast("string"), F.col(f"`{text}`")).where(F.col(f"`{item_id}`").isNotNull()).mapInArrow(cut, "item string, n long, words binary")
+    return benchmark.select(F.col(f"`{item_id}`").cast("string"), F.col(f"`{text}`")).mapInArrow(cut, "item string, n long, words binary").distinct()
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, cut: int | None = None) -> DataFrame:

@@ -75,6 +75,21 @@ def test_decontamination(docs, empty, spark, monkeypatch):
     assert clean.columns == docs.columns and clean.count() < docs.count()
 
 
+def test_benchmark_items_without_an_id_and_repeated_ones(docs, spark, monkeypatch):
+    some = [r[1] for r in rows() if r[1] and 20 < len(r[1].split()) < 200]
+    items = [(None, " ".join(some[0].split()[2:25])), (None, "zz yy"), (1, " ".join(some[1].split()[2:25])), *[(2, " ".join(some[2].split()[:30]))] * 200]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    plain = [(None if i is None else str(i), decontamination.words_of(t)) for i, t in items[:4]]
+    assert decontamination._pieces(bench, "item_id", "text", 13).count() == len(plain)
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 100)
+    hits = 0
+    for r in decontamination.find_contamination(docs, bench).collect():
+        hit, found = brute_windows(decontamination.words_of(r.text), plain)
+        assert {i for s in r.spans or () for i in range(s.start, s.end)} == hit and set(r["items"] or ()) == found - {None}
+        hits += None in found
+    assert hits
+
+
 def test_language(docs, empty, spark):
     data = [(i, ("der die das und nicht " if i % 2 else "the of and is not ") * 5, "de" if i % 2 else "en") for i in range(40)] + [(90, None, "en"), (91, "12", None), (92, "", "de")]
     got = language.identify(spark.createDataFrame(data, "doc_id long, text string, lang string")).collect()
