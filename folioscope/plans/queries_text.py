@@ -14,6 +14,8 @@ from folioscope.sources import readers
 #: Distinct character trigrams in SQL; shorter texts are their own only one.
 GRAMS_SQL = "CASE WHEN length({v}) >= 3 THEN list_distinct(list_transform(range(1, length({v}) - 1), lambda i: substring({v}, i, 3))) WHEN length({v}) > 0 THEN [{v}] ELSE [] END"
 COUNT = 20
+#: Hashes of the operator's own default, which the b queries and q21c use.
+FULL_COUNT = 100
 
 
 @query("q16_ngrams", f"SELECT p_partkey, array_to_string(list_sort({GRAMS_SQL.format(v='p_name')}), '|') AS grams FROM part")
@@ -21,24 +23,41 @@ def _q16(spark, sf):
     return table(spark, sf, "part").select("p_partkey", F.array_join(F.array_sort(text.ngrams(F.col("p_name"), 3)), "|").alias("grams"))
 
 
-def _signature_sql() -> str:
-    cells = ", ".join(f"list_min(list_transform(xs, lambda x: (x * {a} + {b}) % {minhash.PRIME}))" for a, b in minhash.coefficients(COUNT))
+def _signature_sql(count: int = COUNT) -> str:
+    cells = ", ".join(f"list_min(list_transform(xs, lambda x: (x * {a} + {b}) % {minhash.PRIME}))" for a, b in minhash.coefficients(count))
     numbers = f"list_transform({GRAMS_SQL.format(v='p_name')}, lambda g: CAST('0x' || substr(md5(g), 1, 8) AS BIGINT) % {minhash.PRIME})"
     return f"sig AS (SELECT p_partkey, [{cells}] AS s FROM (SELECT p_partkey, {numbers} AS xs FROM part))"
 
 
-def _signatures(spark, sf) -> DataFrame:
-    return table(spark, sf, "part").select("p_partkey", minhash.signature(text.ngrams(F.col("p_name"), 3), COUNT).alias("s"))
+def _signatures(spark, sf, count: int = COUNT) -> DataFrame:
+    return table(spark, sf, "part").select("p_partkey", minhash.signature(text.ngrams(F.col("p_name"), 3), count).alias("s"))
 
 
 @query("q17_minhash_signature", f"WITH {_signature_sql()} SELECT p_partkey, array_to_string(s, ',') AS signature FROM sig")
 def _q17(spark, sf):
-    return _signatures(spark, sf).select("p_partkey", F.array_join(F.transform("s", lambda x: x.cast("string")), ",").alias("signature"))
+    return _joined(_signatures(spark, sf))
+
+
+@query("q17b_minhash_signature_full", f"WITH {_signature_sql(FULL_COUNT)} SELECT p_partkey, array_to_string(s, ',') AS signature FROM sig")
+def _q17b(spark, sf):
+    return _joined(_signatures(spark, sf, FULL_COUNT))
+
+
+def _joined(signed: DataFrame) -> DataFrame:
+    return signed.select("p_partkey", F.array_join(F.transform("s", lambda x: x.cast("string")), ",").alias("signature"))
 
 
 @query("q18_signature_similarity", f"WITH {_signature_sql()} SELECT a.p_partkey, len(list_filter(list_zip(a.s, b.s), lambda z: z[1] = z[2])) / {COUNT} AS similarity FROM sig a JOIN sig b ON b.p_partkey = a.p_partkey + 1")
 def _q18(spark, sf):
-    signed = _signatures(spark, sf)
+    return _to_next(_signatures(spark, sf))
+
+
+@query("q18b_signature_similarity_full", f"WITH {_signature_sql(FULL_COUNT)} SELECT a.p_partkey, len(list_filter(list_zip(a.s, b.s), lambda z: z[1] = z[2])) / {FULL_COUNT} AS similarity FROM sig a JOIN sig b ON b.p_partkey = a.p_partkey + 1")
+def _q18b(spark, sf):
+    return _to_next(_signatures(spark, sf, FULL_COUNT))
+
+
+def _to_next(signed: DataFrame) -> DataFrame:
     after = signed.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("s").alias("t"))
     return signed.join(after, "p_partkey").select("p_partkey", minhash.similarity(F.col("s"), F.col("t")).alias("similarity"))
 
@@ -89,7 +108,7 @@ def _q21b(spark, sf):
 
 @query("q21c_minhash_pairs")
 def _q21c(spark, sf):
-    return names.minhash_pairs(_values(spark, sf), count=COUNT)
+    return names.minhash_pairs(_values(spark, sf))
 
 
 REGULAR_SQL = r"regexp_replace(lower(substr(text, 1, 60)), '[^\p{L}\p{N}_]+', '', 'g')"

@@ -1,11 +1,14 @@
 """Every query with SQL against DuckDB on the smallest tables."""
 
 import glob
+import hashlib
+import itertools
 import os
 
 import duckdb
 import pytest
 
+from folioscope.functions import minhash
 from folioscope.plans import catalogue
 
 DATA = "/root/testdata/sf0.001"
@@ -38,3 +41,22 @@ def test_query(spark, sql, name):
         names = [d[0] for d in expected.description]
         assert sorted(got.columns) == sorted(names)
         assert normal(got.columns, rows) == normal(names, expected.fetchall())
+
+
+def test_minhash_pairs_are_those_of_a_hundred_hashes(spark):
+    """q21c against all pairs, with signatures computed in plain Python."""
+    spelling = {0: str.upper, 1: lambda v: v + " x"}
+    parts = spark.read.parquet(f"{DATA}/part.parquet").select("p_partkey", "p_brand", "p_name").collect()
+    values = {(r.p_brand, spelling.get(r.p_partkey % 5, str)(r.p_name)) for r in parts}
+
+    def signature(value):
+        xs = [int(hashlib.md5(value[i : i + 3].encode()).hexdigest()[:8], 16) % minhash.PRIME for i in range(len(value) - 2)]
+        return [min((x * a + b) % minhash.PRIME for x in xs) for a, b in minhash.coefficients(100)]
+
+    signed = {v: signature(v[1]) for v in values}
+    expected = set()
+    for a, b in itertools.product(values, values):
+        if a[0] == b[0] and a[1] < b[1] and (same := sum(x == y for x, y in zip(signed[a], signed[b]))) > 50:
+            expected.add((a[0], a[1], b[1], same))
+    got = {(r.category, r.v1, r.v2, round(100 * r.similarity)) for r in QUERIES["q21c_minhash_pairs"](spark, DATA).collect()}
+    assert expected and got == expected
