@@ -147,6 +147,34 @@ def _q26(spark, sf):
     return compare.summary(_sides(spark, sf))
 
 
+#: The whole text, and sides by source; documents without one are on the right.
+WHOLE_SQL = r"regexp_replace(lower(text), '[^\p{L}\p{N}_]+', '', 'g')"
+LEFT, RIGHT = "source < 'src2'", "(source >= 'src2' OR source IS NULL)"
+
+
+@query("q23b_regularise_whole", f"SELECT doc_id, {WHOLE_SQL} AS title FROM documents")
+def _q23b(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", text.regularise(F.col("text")).alias("title"))
+
+
+WHOLE_SIDES_SQL = f"l AS (SELECT DISTINCT {WHOLE_SQL} AS title FROM documents WHERE {LEFT}), r AS (SELECT DISTINCT {WHOLE_SQL} AS title FROM documents WHERE {RIGHT}), s AS (SELECT coalesce(l.title, r.title) AS title, CASE WHEN l.title IS NOT NULL AND r.title IS NOT NULL THEN 'both' WHEN r.title IS NULL THEN 'left' ELSE 'right' END AS side FROM l FULL JOIN r ON l.title = r.title WHERE coalesce(l.title, r.title) <> '')"
+
+
+def _whole_sides(spark, sf) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return compare.compare(*(compare.regularised(docs.where(side), "text") for side in (LEFT, RIGHT)))
+
+
+@query("q24b_compare_sources", f"WITH {WHOLE_SIDES_SQL} SELECT title, side FROM s")
+def _q24b(spark, sf):
+    return _whole_sides(spark, sf)
+
+
+@query("q26b_recall_sources", f"WITH {WHOLE_SIDES_SQL}, c AS (SELECT count_if(side = 'both') AS found, count_if(side = 'left') AS l, count_if(side = 'right') AS r FROM s) SELECT CAST(found AS BIGINT) AS found, CAST(l AS BIGINT) AS left_only, CAST(r AS BIGINT) AS right_only, round(100.0 * r / (found + r), 2) AS missing_percent, round(100 - 100.0 * r / (found + r), 2) AS recall_percent, CAST(floor((found + r) / r) AS BIGINT) AS one_in FROM c")
+def _q26b(spark, sf):
+    return compare.summary(_whole_sides(spark, sf))
+
+
 @query("q27_citation_title", "SELECT p_partkey, p_name AS title FROM part")
 def _q27(spark, sf):
     k = F.col("p_partkey") % 3

@@ -60,3 +60,14 @@ def test_minhash_pairs_are_those_of_a_hundred_hashes(spark):
             expected.add((a[0], a[1], b[1], same))
     got = {(r.category, r.v1, r.v2, round(100 * r.similarity)) for r in QUERIES["q21c_minhash_pairs"](spark, DATA).collect()}
     assert expected and got == expected
+
+
+def test_texts_that_differ_behind_their_opening_are_different(spark, tmp_path):
+    opening = "The same opening of sixty characters and more, word for word " * 2
+    docs = [(1, opening + "Ends SO.", "src1"), (2, opening + "Ends otherwise.", "src2"), (3, opening + "ends so", "src3"), (4, opening + "left", "src10"), (5, "...", "src2"), (6, opening + "none", None)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    whole = {i: "".join(c for c in t.lower() if c.isalnum()) for i, t, _ in docs}
+    assert {r.doc_id: r.title for r in QUERIES["q23b_regularise_whole"](spark, str(tmp_path)).collect()} == whole
+    got = {r.title: r.side for r in QUERIES["q24b_compare_sources"](spark, str(tmp_path)).collect()}
+    assert got == {whole[1]: "both", whole[2]: "right", whole[4]: "left", whole[6]: "right"}
+    assert QUERIES["q26b_recall_sources"](spark, str(tmp_path)).first()[:3] == (1, 1, 2)
