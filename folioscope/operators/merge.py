@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 from pyspark.sql.window import Window
 
 
@@ -14,27 +15,43 @@ def _both(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def _merged(field: str, kind: str, gate: Column) -> Column:
-    o, n = F.col(f"o.{field}"), F.col(f"n.{field}")
-    made = F.array_sort(F.array_union(o, n)) if kind == "set" else o + n
+    o, n = F.col(f"o.`{field}`"), F.col(f"n.`{field}`")
+    made = {"set": lambda: F.array_sort(F.array_union(o, n)), "sum": lambda: o + n, "kept": lambda: o}[kind]()
+    made = made if kind == "sum" else F.coalesce(made, o, n)
     return F.when(F.col("o").isNull(), n).when(F.col("n").isNull() | gate, o).otherwise(made)
 
 
-def _upsert(old: DataFrame, new: DataFrame, key: str, gate_on: str, sets: list[str], sums: list[str]) -> DataFrame:
-    """Disjoint ``gate_on`` sets are merged; any overlap leaves the stored row as it is."""
+def _aligned(df: DataFrame, other: DataFrame) -> DataFrame:
+    """``df`` with the columns that only ``other`` has, as nulls."""
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in other.schema.fields if f.name not in df.columns})
+
+
+def _upsert(old: DataFrame, new: DataFrame, key: str, gate_on: str, sums: list[str], made: list[str]) -> DataFrame:
+    """Disjoint ``gate_on`` sets are merged; any overlap leaves the stored row as it is.
+
+    All arrays are sets and united; other columns keep the stored value. Columns of ``made`` are computed
+    anew by the caller.
+    """
+    old, new = (df.drop(*made) for df in (_aligned(old, new), _aligned(new, old)))
     gate = F.coalesce(F.arrays_overlap(F.col(f"o.{gate_on}"), F.col(f"n.{gate_on}")), F.lit(False))
-    return _both(old, new, key).select(key, *[_merged(c, "set", gate).alias(c) for c in sets], *[_merged(c, "sum", gate).alias(c) for c in sums])
+    kinds = {f.name: "set" if isinstance(f.dataType, ArrayType) else "sum" if f.name in sums else "kept" for f in old.schema.fields if f.name != key}
+    return _both(old, new, key).select(key, *[_merged(c, kind, gate).alias(c) for c, kind in kinds.items()])
 
 
 def merge_categories(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(_id, doi_list, faculty, tc_count) and counts; the citation average is over all articles."""
-    out = _upsert(old.select("_id", "doi_list", "faculty", "tc_count"), new.select("_id", "doi_list", "faculty", "tc_count"), "_id", "doi_list", ["doi_list", "faculty"], ["tc_count"])
-    return recount(out, {"article_count": "doi_list", "faculty_count": "faculty"}).withColumn("citation_average", F.round(F.try_divide("tc_count", "article_count"), 6))
+    """(_id, doi_list, faculty, tc_count), all other columns of either side, and counts; the citation average is over all articles."""
+    counts = {"article_count": "doi_list", "faculty_count": "faculty"}
+    if "departments" in {*old.columns, *new.columns}:
+        counts["department_count"] = "departments"
+    out = _upsert(old, new, "_id", "doi_list", ["tc_count"], [*counts, "citation_average"])
+    return recount(out, counts).withColumn("citation_average", F.round(F.try_divide("tc_count", "article_count"), 6))
 
 
 def merge_authors(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(_id, dois, categories, total_citations) and the article count."""
-    keep = ["_id", "dois", "categories", "total_citations"]
-    return recount(_upsert(old.select(keep), new.select(keep), "_id", "dois", ["dois", "categories"], ["total_citations"]), {"article_count": "dois"})
+    """(_id, dois, categories, total_citations), all other columns of either side, and the article count."""
+    out = recount(_upsert(old, new, "_id", "dois", ["total_citations"], ["article_count", "average_citations"]), {"article_count": "dois"})
+    averaged = "average_citations" in {*old.columns, *new.columns}
+    return out.withColumn("average_citations", F.try_divide("total_citations", "article_count")) if averaged else out
 
 
 def recount(df: DataFrame, counts: dict[str, str]) -> DataFrame:

@@ -172,3 +172,18 @@ def test_rest_pages_and_months():
     replies = iter([{"message": {"items": [1], "next-cursor": "n"}}, {"message": {"items": [2], "next-cursor": "m"}}, {"message": {"items": []}}])
     assert list(rest.pages("http://x", rest.Month(2020, 2), "uni", 1, get=lambda url: next(replies))) == [1, 2]
     assert "2020-02-29" in rest.page_url("http://x", rest.Month(2020, 2), "*", None, 5)
+
+
+def test_merged_state_keeps_all_columns(spark, tmp_path):
+    schema = "_id string, doi_list array<string>, faculty array<string>, departments array<string>, titles array<string>, themes array<string>, category_name string, department_count long, tc_count long"
+    first = spark.createDataFrame([("a", ["1"], ["x"], ["d1"], ["t1"], ["m1"], "A", 1, 3), ("b", ["9"], ["y"], ["d9"], ["t9"], None, "B", 1, 1)], schema)
+    second = spark.createDataFrame([("a", ["2"], ["x", "z"], ["d2"], ["t2"], None, "A", 1, 4), ("b", ["9"], ["w"], ["d8"], ["t8"], ["m8"], "B", 1, 5)], schema)
+    people = "_id string, dois array<string>, categories array<string>, titles array<string>, department_affiliations array<string>, name string, total_citations long"
+    one, two = (spark.createDataFrame([("p", [i], [f"c{i}"], [f"t{i}"], [f"d{i}"], "P", 2)], people) for i in ("1", "2"))
+    writers.next_version(spark, str(tmp_path), 0, {"category_data": first, "faculty_data": one})
+    writers.next_version(spark, str(tmp_path), 1, {"category_data": second, "faculty_data": two})
+    got = {r._id: r.asDict() for r in spark.read.parquet(f"{tmp_path}/v2/category_data").collect()}
+    assert got["a"] == {"_id": "a", "doi_list": ["1", "2"], "faculty": ["x", "z"], "departments": ["d1", "d2"], "titles": ["t1", "t2"], "themes": ["m1"], "category_name": "A", "tc_count": 7, "article_count": 2, "faculty_count": 2, "department_count": 2, "citation_average": 3.5}
+    assert got["b"]["departments"] == ["d9"] and got["b"]["themes"] is None and got["b"]["tc_count"] == 1
+    author = spark.read.parquet(f"{tmp_path}/v2/faculty_data").first().asDict()
+    assert author == {"_id": "p", "dois": ["1", "2"], "categories": ["c1", "c2"], "titles": ["t1", "t2"], "department_affiliations": ["d1", "d2"], "name": "P", "total_citations": 4, "article_count": 2}
