@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,26 +11,61 @@ from pyspark.sql import types as T
 
 #: Rows of one Arrow batch. Texts average a few kilobytes, so a batch is about a megabyte.
 BATCH_ROWS = 512
+#: Bytes of one Arrow batch; a batch has one row at least, however long its text is.
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the given directory; bounds the Arrow batches of the Python stages that follow."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """A table of the given directory.
+
+    The Arrow batches of the Python stages that follow are bounded by rows and by bytes, so that very long
+    texts travel in batches of few rows. A stricter bound of the session stays.
+    """
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        held = str(spark.conf.get(key, "0"))
+        if not held.isdigit() or not 0 < int(held) <= most:
+            spark.conf.set(key, str(most))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one of this process only where it is unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``). Where it is unset, a local session gets a temporary one; a cluster raises."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(found or tempfile.mkdtemp(prefix="folioscope-"))
+    if not found and context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="folioscope-"))
     return found or context.getCheckpointDir()
 
 
+class Scratch:
+    """Tables of one run in the shared folder, which cut the lineage; each is deleted as soon as it isn't needed.
+
+    A table is written once and read by name, so a lost executor costs its tasks and not the steps before.
+    """
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.folder = spark, f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables of these names; without names, everything."""
+        for path in [f"{self.folder}/{n}" for n in names] or [self.folder]:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
+    """Cut the lineage of a small table with a reliable checkpoint in the shared folder."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscope.llm import bpe, components, decontamination, jaccard, language, media, pii, repeats, secrets, sharding, toxicity
+from folioscope.llm.common import Scratch
 from tests.llm.test_kernels import brute_windows, prose
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -212,9 +213,9 @@ def test_jaccard(spark, empty, monkeypatch, sets_in_block):
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (103, 101), (7, 7)]
-    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u long, v long"), Scratch(spark, "test"), "a").collect()}
     assert all(got[i] == 0 for i in range(61)) and got[103] == got[101] == 100 and 7 in got
-    assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+    assert components.components(spark.createDataFrame([], "u long, v long"), Scratch(spark, "test"), "b").count() == 0
 
 
 def test_pipeline(spark, tmp_path):
