@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{key}"
-        held = str(spark.conf.get(key, "0"))
+        held = spark.conf.get(key).rstrip("b")
         if not held.isdigit() or not 0 < int(held) <= most:
             spark.conf.set(key, str(most))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
