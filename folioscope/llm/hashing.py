@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 
@@ -64,3 +65,50 @@ def by_value(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ordered = parts[order]
     starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))
     return order, ordered[starts], np.append(starts, len(ordered))
+
+
+IS_SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+STEP, ALL_BITS = _U(0x9FB21C651E98DF25), _U(0xFFFFFFFFFFFFFFFF)
+#: Bytes of a word up to which it is hashed eight bytes at a time.
+LONG = 64
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and 64-bit hashes of the words of bytes that end with a space.
+
+    Words are hashed eight bytes at a time by a mixed chain that begins with their length; those of more than
+    ``LONG`` bytes by BLAKE2b.
+    """
+    space = IS_SPACE[data]
+    edge = np.diff(np.concatenate([[True], space]).view(np.int8))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    lengths = ends - starts
+    hashes = mix(lengths.astype(_U) * STEP)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    chunk = np.arange(8)
+    left = np.flatnonzero(lengths <= LONG)
+    for at in range(0, LONG, 8):
+        left = left[lengths[left] > at]
+        if not len(left):
+            break
+        part = padded[(starts[left] + at)[:, None] + chunk].view("<u8")[:, 0]
+        bits = (8 * np.maximum(0, 8 - (lengths[left] - at))).astype(_U)
+        hashes[left] = mix(hashes[left] * STEP + (part & (ALL_BITS >> bits)))
+    for i in np.flatnonzero(lengths > LONG).tolist():
+        hashes[i] = int.from_bytes(blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return starts, hashes
+
+
+def text_words(raw: list[bytes]) -> tuple[np.ndarray, list[int]]:
+    """Hashes of the words of all texts, and the bounds of each text's words (one more than texts)."""
+    starts, words = word_hashes(np.frombuffer(b" ".join([*raw, b""]), np.uint8))
+    return words, np.searchsorted(starts, np.cumsum([0, *(len(r) + 1 for r in raw)])).tolist()
+
+
+def chain(words: np.ndarray, used: int) -> np.ndarray:
+    """Hashes of all runs of ``used`` words."""
+    n = len(words) - used + 1
+    grams = np.full(n, used, _U)
+    for i in range(used):
+        grams = mix(grams * STEP + words[i : n + i])
+    return grams

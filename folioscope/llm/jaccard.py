@@ -28,14 +28,13 @@ fewer words than the n-gram size make one n-gram of the whole; repeated rows are
 other; rows with a null id get the smallest id of their component, null where all its ids are null;
 an empty table gives no rows; extra columns play no part. A very long text is one set of any size, its n-grams spread over the
 fragments; a worker holds about 60 bytes per word of it. Words and n-grams are compared by 64-bit
-hashes (words by BLAKE2b, n-grams by a mixed chain of their words' hashes), so two different ones
-agree with probability 2**-64.
+hashes (a mixed chain over words' bytes, over long words BLAKE2b, and over n-grams' words), taken as
+random: two different ones then agree with probability 2**-64.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -56,8 +55,8 @@ LEAST_FRAGMENTS = 16
 HELD = 600_000
 #: Keys of sets that a task remembers to have passed on; copies of them aren't sent again.
 REMEMBERED = 200_000
-#: Words whose hashes a worker remembers.
-WORDS = 500_000
+#: Characters that are hashed in one go, about 40 bytes of memory each.
+AT_ONCE = 500_000
 #: n-grams and sets of one block of a cell, and columns of one product of counts.
 BLOCK_TOKENS, BLOCK_SETS, COLUMNS = 400_000, 600, 2_048
 #: Strips of the global order in which overlaps are counted.
@@ -65,40 +64,32 @@ STRIPS = 8
 
 #: ASCII capitals become small letters.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-STEP, LAST = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
+LAST = np.uint64(0xD6E8FEB86659FD93)
 
 
-class _Words(dict):
-    """Word -> its 64-bit hash."""
+def shingle_sets(texts: list[str | None], size: int = SIZE) -> list[np.ndarray]:
+    """The sorted distinct n-gram hashes of each text; a few texts are hashed at once, by their length."""
+    out, held, chars = [], [], 0
+    for text in texts:
+        held.append(text)
+        chars += len(text or "")
+        if chars > AT_ONCE:
+            out += _sets_of(held, size)
+            held, chars = [], 0
+    return out + _sets_of(held, size)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS:
-            self.clear()
-        self[word] = found = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return found
 
-
-WORD_HASHES = _Words()
-
-
-def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
-    """The sorted distinct n-gram hashes of a text."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(WORD_HASHES.__getitem__, words), np.uint64, len(words))
-    n, used = (len(words) - size + 1, size) if len(words) >= size else (1, len(words))
-    grams = np.full(n, used, np.uint64)
-    for i in range(used):
-        grams = hashing.mix(grams * STEP + hashes[i : n + i])
-    return np.unique(grams)
+def _sets_of(texts: list[str | None], size: int) -> list[np.ndarray]:
+    words, bounds = hashing.text_words([(t or "").encode("utf-8", "surrogatepass").translate(LOWER) for t in texts])
+    grams = hashing.chain(words, size) if len(words) >= size else words[:0]
+    return [np.unique(grams[a : b - size + 1] if b - a >= size else hashing.chain(words[a:b], b - a)[: b - a]) for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def class_key(grams: np.ndarray) -> int:
     """A key of the set as a whole."""
     if not len(grams):
         return 0
-    total = hashing.mix(grams ^ LAST).sum(dtype=np.uint64, keepdims=True) + np.array([len(grams)], np.uint64) * STEP
+    total = hashing.mix(grams ^ LAST).sum(dtype=np.uint64, keepdims=True) + np.array([len(grams)], np.uint64) * hashing.STEP
     return int(hashing.mix(total)[0].astype(np.int64))
 
 
@@ -107,7 +98,7 @@ def set_columns(docs: DataFrame, size: int = SIZE, text: str = "text") -> DataFr
 
     @F.pandas_udf(fields("n_shingles long, set_key long"))
     def keys(texts: pd.Series) -> pd.DataFrame:
-        rows = [(len(s), class_key(s)) for s in (shingle_set(t, size) for t in texts)]
+        rows = [(len(s), class_key(s)) for s in shingle_sets(list(texts), size)]
         return pd.DataFrame(rows, columns=["n_shingles", "set_key"], dtype=np.int64)
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c != text and c.lower() not in ("n_shingles", "set_key", "_set")]
@@ -149,7 +140,7 @@ def _sent_of(batch: int, held: dict[int, np.ndarray], n_fragments: int) -> pa.Re
     return _rows(SENT, rows).combine_chunks().to_batches()[0]
 
 
-def _batches(n_fragments: int, size: int):
+def _batches(n_fragments: int, size: int, most: int):
     """Texts to fragments."""
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -158,13 +149,12 @@ def _batches(n_fragments: int, size: int):
         sent: set[int] = set()
         total = 0
         for batch in batches:
-            for text in batch.column(0):
-                s = shingle_set(text.as_py(), size)
+            for s in shingle_sets(batch.column(0).to_pylist(), size):
                 if len(s) and (key := class_key(s)) not in sent:
                     sent.add(key)
                     held[key] = s
                     total += len(s)
-                if total > HELD:
+                if total > most:
                     yield _sent_of(number, held, n_fragments)
                     number, held, total = number + 1, {}, 0
                     if len(sent) > REMEMBERED:
@@ -420,7 +410,7 @@ def linked_sets(docs: DataFrame, scratch: Scratch, text: str = "text", size: int
     """(set_key, component, links): sets that are linked with a different one, their component's smallest key, and their number of links."""
     total = docs.agg(F.coalesce(F.sum(utf8_size(text)), F.lit(0))).first()[0]
     fragments = max(LEAST_FRAGMENTS, -(-total // FRAGMENT_BYTES))
-    sent = docs.select(F.col(f"`{text}`")).mapInArrow(_batches(fragments, size), SENT_DDL)
+    sent = docs.select(F.col(f"`{text}`")).mapInArrow(_batches(fragments, size, HELD), SENT_DDL)
     answers = sent.groupBy("part").applyInArrow(_shared, ANSWER_DDL)
     # a set that several tasks have sent comes back from each of them
     alive = scratch.settle(answers.groupBy("batch").applyInArrow(_alive(percent), ALIVE_DDL).dropDuplicates(["set_key"]), "alive")

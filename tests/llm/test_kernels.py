@@ -159,7 +159,7 @@ def test_language_kernel():
 
 
 def test_shingles_equal_sets_have_equal_keys():
-    sets = [jaccard.shingle_set(t) for t in ["A b c d e", "a B\tc\nd  e", "a b", None, "", "  ", "a b c d e f", "b a"]]
+    sets = jaccard.shingle_sets(["A b c d e", "a B\tc\nd  e", "a b", None, "", "  ", "a b c d e f", "b a"])
     assert [len(s) for s in sets] == [2, 2, 1, 0, 0, 0, 3, 1]
     keys = [jaccard.class_key(s) for s in sets]
     assert keys[0] == keys[1] and len({keys[0], keys[2], keys[6], keys[7]}) == 4 and keys[3] == 0
@@ -197,3 +197,47 @@ def test_label_model_finds_the_good_voters():
     noise = rng.random((4000, 3)) < 0.1
     post = toxicity.label_model(np.column_stack([good, good[:, :1], noise]).astype(float), np.full(4000, np.nan), 0.2)
     assert ((post > 0.5) == truth).mean() > 0.95
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [8, 16, 64, 1024])
+def test_words_that_differ_by_a_swap_have_different_hashes(n):
+    word = thue_morse(n)
+    swapped = word.translate(str.maketrans("ab", "ba"))
+    one, two = jaccard.shingle_sets([f"x {word} y z", f"x {swapped} y z"])
+    assert len(one) == len(two) == 1 and one[0] != two[0]
+
+
+def test_words_are_hashed_by_all_their_bytes():
+    words = [w for n in (*range(1, 20), 63, 64, 65, 200) for w in ("a" * n, "a" * (n - 1) + "b", "b" + "a" * (n - 1))] + ["\0", "\0\0", "a\0", "é", "ab"]
+    hashed = [jaccard.shingle_sets([w])[0][0] for w in words]
+    assert len(set(hashed)) == len(set(words))
+    assert [x.tolist() for x in jaccard.shingle_sets(words)] == [[h] for h in hashed]
+
+
+def test_overlaps_of_any_size_are_compared_in_integers():
+    inter = np.array([[700_001]])
+    for n, expected in ((700_001 + 61_764, True), (700_001 + 61_765, False)):  # both sets of that size: 100 * 700001 / (2 n - 700001) is 85 at n = 761765.8
+        assert jaccard.linked(inter, np.array([n]), np.array([n]), 85)[0, 0] == (100 * 700_001 >= 85 * (2 * n - 700_001)) == expected
+    left, right = np.arange(0, 700_000, dtype=np.uint64), np.arange(1, 700_001, dtype=np.uint64)
+    assert jaccard.overlaps([left], [right])[0, 0] == 699_999
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_chains_join_whoever_can_reach_the_threshold(seed):
+    rng = np.random.default_rng(seed)
+    found = np.zeros(60, jaccard.CHAIN)
+    found["token"], found["key"], found["low"] = rng.integers(0, 3, 60), np.arange(60), rng.integers(1, 400, 60)
+    found["high"] = found["low"]
+    half, links = jaccard.chained(found[:30], 85)
+    rest, more = jaccard.chained(found[30:], 85)
+    _, last = jaccard.chained(np.concatenate([half, rest]), 85)
+    every = np.concatenate([links, more, last])
+    label = jaccard.smallest_reachable(60, every[:, 0], every[:, 1])
+    for i in range(60):
+        for j in range(60):
+            if found["token"][i] == found["token"][j] and found["low"][i] <= found["low"][j] and 100 * found["low"][i] >= 85 * found["low"][j]:
+                assert label[i] == label[j]
