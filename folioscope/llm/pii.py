@@ -5,12 +5,21 @@ Its digits are read as a number of the format's domain, which a keyed Feistel ne
 the result is not of the domain, the permutation is applied again (cycle walking). Punctuation and
 letter case stay, check digits are computed anew. The permutation depends on the key and the format
 alone, so equal values have equal pseudonyms in all documents, different values different ones, and
-the key's holder can invert it (``restore``).
+the key's holder can invert it (``restore``). A phone number's last ten digits are one domain, whatever
+its punctuation and country code, so all spellings of a number stay linked; numbers of the North American
+plan stay valid. Accounts are read in either case. An IPv6 address is permuted as a number and written in
+its normal form.
+
+The key has no default: callers pass it. ``session_key`` reads it from ``spark.folioscope.pseudonym.key``;
+where that is unset it draws one for the run, which nobody keeps, so pseudonyms are linked within the run
+and can't be inverted.
 
 Mail addresses, which hold neither numbers nor dates, keep their domain; their local part's letters
-and digits are permuted the same way.
+and digits are permuted the same way. By the standard a local part has 64 characters at most and a label 63; what is
+longer is no address and isn't touched.
 
-Defined results: null text stays null and has no spans; empty text stays empty; a number that fails
+Defined results: null text stays null and has no spans; empty text stays empty; an empty table gives no
+rows; repeated rows get equal pseudonyms; a very long text is scanned once from its start to its end; a number that fails
 its validation isn't touched. Of a card or account with further groups of digits or capitals behind it
 only its own groups are replaced: those up to the first end, or the end of the country's length, that is valid. Extra columns are carried along; an output (or
 ``pii_found``) replaces a column of its name.
@@ -19,7 +28,10 @@ only its own groups are replaced: those up to the first end, or the end of the c
 from __future__ import annotations
 
 import hashlib
+import ipaddress
+import logging
 import re
+import secrets
 from datetime import date, timedelta
 from functools import lru_cache
 from math import isqrt
@@ -30,16 +42,16 @@ from pyspark.sql import functions as F
 
 from folioscope.llm.common import fields, make_room, table
 
-#: The key of tests and checks; production passes its own.
-DEMO_KEY = b"demonstration key, not for production"
+KEY_SETTING = "spark.folioscope.pseudonym.key"
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 
 FIND = re.compile(
-    r"""(?P<email>(?<![\w.+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-]))
-    |(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w))
+    r"""(?P<email>(?<![\w.+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,63}(?![\w-]))
+    |(?P<iban>(?<!\w)[A-Za-z]{2}\d{2}(?:\x20?[A-Za-z0-9]{4}){2,7}(?:\x20?[A-Za-z0-9]{1,3})?(?!\w))
+    |(?P<ip6>(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:]|\.\d))
     |(?P<iso>(?<![\w-])\d{4}[-/.](?:0[1-9]|1[0-2])[-/.](?:0[1-9]|[12]\d|3[01])(?![\w-]))
-    |(?P<dmy>(?<![\w.-])(?:0[1-9]|[12]\d|3[01])([-/.])(?:0[1-9]|[12]\d|3[01])\5\d{4}(?![\w-]))
+    |(?P<dmy>(?<![\w.-])(?:0[1-9]|[12]\d|3[01])(?P<between>[-/.])(?:0[1-9]|[12]\d|3[01])(?P=between)\d{4}(?![\w-]))
     |(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))
     |(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
     |(?P<phone>(?<![\w+])(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{3}\)\x20?|\d{3}[\x20.-])\d{3}[\x20.-]\d{4}(?!\w)|(?<![\w+])\+\d{8,15}(?!\w))
@@ -47,7 +59,7 @@ FIND = re.compile(
     re.VERBOSE | re.ASCII,
 )
 DIGIT = re.compile(r"[0-9]")
-NAMES = ("email", "iban", "iso", "dmy", "ip", "ssn", "phone", "card")
+NAMES = ("email", "iban", "ip6", "iso", "dmy", "ip", "ssn", "phone", "card")
 
 
 class Permutation:
@@ -108,18 +120,18 @@ def _card(value: str, key: bytes, back: bool) -> str | None:
 
 
 def _plan(digits: str) -> bool:
-    """North American number plan: area and exchange begin with 2 to 9."""
-    return digits[-10] >= "2" and digits[-7] >= "2"
+    """North American number plan: area and exchange begin with 2 to 9 and don't end in 11."""
+    return digits[0] >= "2" and digits[3] >= "2" and digits[1:3] != "11" and digits[4:6] != "11"
 
 
 def _phone(value: str, key: bytes, back: bool) -> str | None:
     digits = "".join(DIGIT.findall(value))
     if not 8 <= len(digits) <= 15:
         return None
-    n = min(10, len(digits) - 1)
+    n = 10 if len(digits) >= 10 else len(digits) - 1  # shorter ones keep their first digit, a part of the country code
     lead, rest = digits[:-n], digits[-n:]
     same = (lambda x: _plan(f"{x:010d}") == _plan(rest)) if n == 10 else None
-    return _put_digits(value, lead + f"{_permutation(key, 'phone' + lead, 10**n).apply(int(rest), same, back):0{n}d}")
+    return _put_digits(value, lead + f"{_permutation(key, 'phone', 10**n).apply(int(rest), same, back):0{n}d}")
 
 
 def _social(x: int) -> bool:
@@ -140,6 +152,16 @@ def _ip(value: str, key: bytes, back: bool) -> str | None:
     return ".".join(map(str, x.to_bytes(4, "big")))
 
 
+def _ip6(value: str, key: bytes, back: bool) -> str | None:
+    try:
+        address = ipaddress.IPv6Address(value)
+    except ValueError:
+        return None
+    if not int(address) >> 16:  # unspecified, loopback, and what may as well be punctuation
+        return None
+    return str(ipaddress.IPv6Address(_permutation(key, "ip6", 1 << 128).apply(int(address), lambda x: x >> 16 > 0, back)))
+
+
 def _day(year: str, month: str, day: str, key: bytes, back: bool) -> date | None:
     try:
         found = date(int(year), int(month), int(day))
@@ -204,16 +226,16 @@ def _mod97(account: str) -> int:
 
 
 def _iban(value: str, key: bytes, back: bool) -> str | None:
-    plain = value.replace(" ", "")
+    plain = value.replace(" ", "").upper()
     if not 15 <= len(plain) <= 34 or _mod97(plain[4:] + plain[:4]) != 1:
         return None
     body = _by_class(plain[4:], f"iban {plain[:2]}", key, back)
     check = 98 - _mod97(body + plain[:2] + "00")
     new = iter(plain[:2] + f"{check:02d}" + body)
-    return "".join(c if c == " " else next(new) for c in value)
+    return "".join(c if c == " " else next(new).lower() if c.islower() else next(new) for c in value)
 
 
-MAKE = {"email": _email, "iban": _iban, "iso": _iso, "dmy": _dmy, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card}
+MAKE = {"email": _email, "iban": _iban, "ip6": _ip6, "iso": _iso, "dmy": _dmy, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card}
 
 
 #: Every value holds a digit or an at sign; these are rare in text and quick to find.
@@ -228,8 +250,13 @@ def _starts(text: str, anchor: int):
         if local:
             yield local.start()
         return
-    if text[max(0, anchor - 2) : anchor].isupper():
+    if anchor >= 2 and text[anchor - 2 : anchor].isalpha():
         yield anchor - 2
+    if ":" in text[max(0, anchor - 3) : anchor + 5]:
+        start = anchor
+        while start and start > anchor - 40 and text[start - 1] in "0123456789abcdefABCDEF:":
+            start -= 1
+        yield start
     if text[anchor - 1 : anchor] in ("+", "("):
         yield anchor - 1
     yield anchor
@@ -256,7 +283,7 @@ def _ends(kind: str, value: str) -> list[int]:
     if kind not in ("card", "iban"):
         return [len(value)]
     ends = [i for i, c in enumerate(value) if c in " -"] + [len(value)]
-    own = IBAN_LENGTHS.get(value[:2])
+    own = IBAN_LENGTHS.get(value[:2].upper())
     return ends if kind == "card" else sorted(ends, key=lambda e: (e - value.count(" ", 0, e) != own, -e))
 
 
@@ -298,7 +325,15 @@ FIND_CARD = re.compile(r"(?<![\w.-])\d(?:[\x20-]?\d){12,18}(?![\w-])", re.ASCII)
 OUTPUT = fields("text string, n_values int, spans string")
 
 
-def pseudonym_columns(df: DataFrame, text: str = "text", key: bytes = DEMO_KEY, back: bool = False) -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The key of the session's setting, or one that is drawn for this run and kept nowhere."""
+    if found := spark.conf.get(KEY_SETTING, None):
+        return found.encode()
+    logging.getLogger(__name__).warning("%s is unset: pseudonyms of this run can't be restored or linked with other runs", KEY_SETTING)
+    return secrets.token_bytes(32)
+
+
+def pseudonym_columns(df: DataFrame, key: bytes, text: str = "text", back: bool = False) -> DataFrame:
     """``df`` with the text replaced, ``n_values`` and ``spans`` (kind:start:end in code points of the input, comma-joined)."""
     df = make_room(df, "n_values", "spans", "pii_found")
 
@@ -315,11 +350,11 @@ def pseudonym_columns(df: DataFrame, text: str = "text", key: bytes = DEMO_KEY,
     return done.select(*kept, "pii_found.n_values", "pii_found.spans")
 
 
-def restore(df: DataFrame, text: str = "text", key: bytes = DEMO_KEY) -> DataFrame:
+def restore(df: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """The inverse of ``pseudonym_columns`` on its text column, for the key's holder."""
-    return pseudonym_columns(df, text, key, back=True).drop("n_values", "spans")
+    return pseudonym_columns(df, key, text, back=True).drop("n_values", "spans")
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms."""
-    return pseudonym_columns(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pseudonym_columns(table(spark, sf_dir, "documents").select("doc_id", "text"), session_key(spark))

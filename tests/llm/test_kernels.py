@@ -241,3 +241,34 @@ def test_chains_join_whoever_can_reach_the_threshold(seed):
         for j in range(60):
             if found["token"][i] == found["token"][j] and found["low"][i] <= found["low"][j] and 100 * found["low"][i] >= 85 * found["low"][j]:
                 assert label[i] == label[j]
+
+
+def test_all_spellings_of_a_phone_have_one_pseudonym():
+    spellings = ["+1 212-555-0143", "212-555-0143", "(212) 555-0143", "+12125550143", "+1 (212) 555-0143", "212.555.0143"]
+    new = [pii.pseudonymise(f"call {x} now", b"k")[0][5:-4] for x in spellings]
+    assert len({"".join(c for c in x if c.isdigit())[-10:] for x in new}) == 1
+    assert new[0].startswith("+1 ") and new[2][0] == "(" and [pii.pseudonymise(f"call {x} now", b"k", back=True)[0][5:-4] for x in new] == spellings
+
+
+def test_valid_phones_stay_valid_and_different():
+    rng, seen = random.Random(5), set()
+    while len(seen) < 2000:
+        digits = str(rng.randrange(2 * 10**9, 10**10))
+        if pii._plan(digits):
+            seen.add(f"{digits[:3]}-{digits[3:6]}-{digits[6:]}")
+    new = {x: pii.pseudonymise(x, b"k")[0] for x in seen}
+    assert len(set(new.values())) == 2000 and all(pii._plan(y.replace("-", "")) for y in new.values())
+    assert sum(x[0] == y[0] for x, y in new.items()) < 500  # the first digit isn't kept
+    assert all(pii.pseudonymise(y, b"k", back=True)[0] == x for x, y in new.items())
+
+
+def test_small_letters_and_other_formats():
+    upper, lower = "DE89 3704 0044 0532 0130 00", "de89 3704 0044 0532 0130 00"
+    assert pii.pseudonymise(lower, b"k")[0] == pii.pseudonymise(upper, b"k")[0].lower() != lower
+    for address in ("2001:db8::8a2e:370:7334", "fe80::1:2"):
+        new, spans = pii.pseudonymise(f"from {address}, at 12:30:45", b"k")
+        assert spans == [("ip6", 5, 5 + len(address))] and address not in new and new.endswith(", at 12:30:45")
+        assert pii.pseudonymise(new, b"k", back=True)[0] == f"from {address}, at 12:30:45"
+    labels = "a@" + "x1." * 20 + "org"
+    assert pii.pseudonymise(labels, b"k")[1] == [("email", 0, len(labels))]
+    assert pii.pseudonymise("y" * 64 + "@mail.org", b"k")[1] and not pii.pseudonymise("y" * 65 + "@mail.org", b"k")[1]

@@ -10,6 +10,7 @@ from folioscope.llm import bpe, components, decontamination, jaccard, language,
 from folioscope.llm.common import Scratch
 from tests.llm.test_kernels import brute_windows, prose
 
+KEY = b"a key of these tests"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -49,12 +50,12 @@ def test_media(docs, empty):
 
 def test_pii(docs, empty, spark):
     df = spark.createDataFrame([(1, "card 4539148803436467", "x"), (2, "4539148803436467 twice", "y"), (3, None, "z")], "doc_id long, text string, extra string")
-    got = {r.doc_id: r for r in pii.pseudonym_columns(df).collect()}
+    got = {r.doc_id: r for r in pii.pseudonym_columns(df, KEY).collect()}
     assert got[1].text[5:] == got[2].text[:16] and got[1].n_values == 1 and got[3].text is None and got[1].extra == "x"
-    back = pii.restore(pii.pseudonym_columns(df).select("doc_id", "text")).where("doc_id = 1").first().text
+    back = pii.restore(pii.pseudonym_columns(df, KEY).select("doc_id", "text"), KEY).where("doc_id = 1").first().text
     assert back == "card 4539148803436467"
-    assert pii.pseudonym_columns(empty).count() == 0 and pii.pseudonym_columns(docs).count() == docs.count()
-    clash = pii.pseudonym_columns(docs.withColumn("Spans", F.lit(1)).withColumn("pii_found", F.lit(2)))
+    assert pii.pseudonym_columns(empty, KEY).count() == 0 and pii.pseudonym_columns(docs, KEY).count() == docs.count()
+    clash = pii.pseudonym_columns(docs.withColumn("Spans", F.lit(1)).withColumn("pii_found", F.lit(2)), KEY)
     assert clash.schema["spans"].dataType.simpleString() == "string" and clash.count() == docs.count()
 
 
