@@ -2,6 +2,13 @@
 
 Stages: language identification, near-duplicate removal, benchmark decontamination, pseudonyms,
 tokenisation. All but the last return the columns of documents.
+
+Defined results, stage by stage. Null texts and those without a letter have no language and go in the first
+stage, so the later ones see none from there; on their own, the near-copy stage keeps null and empty texts and rows
+with a null id, decontamination keeps them as they are, pseudonyms leave a null text null, and tokenisation
+gives null texts no ids. Repeated rows (one id and one text) stay or go together. Of equal similarity the smallest id
+stays. Empty tables give no rows in every stage, and an empty benchmark removes nothing. Very long texts are
+handled whole. Extra columns are carried through, whatever their names, up to the last stage.
 """
 
 from __future__ import annotations
@@ -39,12 +46,14 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Validated personal numbers, dates and addresses get pseudonyms."""
-    return counted(unpacked(pii.pseudonym_columns(packed(docs, "text")), docs.columns, text=F.col("text")))
+    """Validated personal numbers, dates and addresses get pseudonyms, by the key that ``spark.folioscope.pseudonym.key`` holds or one of this run."""
+    return counted(unpacked(pii.pseudonym_columns(packed(docs, "text"), pii.session_key(spark)), docs.columns, text=F.col("text")))
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """``n_chars`` of the texts as they are now."""
+    """``n_chars`` of the texts as they are now, where the table has that column."""
+    if "n_chars" not in docs.columns:
+        return docs
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
