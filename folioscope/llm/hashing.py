@@ -46,13 +46,8 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of byte ranges; ranges of equal bytes have equal hashes."""
-    return mix((sums[ends] - sums[starts]) * _powers(_inverse(), len(sums))[starts])
-
-
 def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of every window of ``size`` bytes."""
+    """Hash of every window of ``size`` bytes: equal windows have equal hashes; that different ones have different hashes isn't relied on."""
     if len(data) < size:
         return np.zeros(0, _U)
     sums = prefix_sums(data)
@@ -73,30 +68,29 @@ STEP, ALL_BITS = _U(0x9FB21C651E98DF25), _U(0xFFFFFFFFFFFFFFFF)
 LONG = 64
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and 64-bit hashes of the words of bytes that end with a space.
-
-    Words are hashed eight bytes at a time by a mixed chain that begins with their length; those of more than
-    ``LONG`` bytes by BLAKE2b.
-    """
-    space = IS_SPACE[data]
-    edge = np.diff(np.concatenate([[True], space]).view(np.int8))
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    lengths = ends - starts
+def byte_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, long: int = LONG) -> np.ndarray:
+    """64-bit hashes of byte ranges: a mixed chain over eight bytes at a time that begins with the length; BLAKE2b for ranges of more than ``long`` bytes."""
     hashes = mix(lengths.astype(_U) * STEP)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     chunk = np.arange(8)
-    left = np.flatnonzero(lengths <= LONG)
-    for at in range(0, LONG, 8):
+    left = np.flatnonzero(lengths <= long)
+    for at in range(0, long, 8):
         left = left[lengths[left] > at]
         if not len(left):
             break
         part = padded[(starts[left] + at)[:, None] + chunk].view("<u8")[:, 0]
         bits = (8 * np.maximum(0, 8 - (lengths[left] - at))).astype(_U)
         hashes[left] = mix(hashes[left] * STEP + (part & (ALL_BITS >> bits)))
-    for i in np.flatnonzero(lengths > LONG).tolist():
-        hashes[i] = int.from_bytes(blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
-    return starts, hashes
+    for i in np.flatnonzero(lengths > long).tolist():
+        hashes[i] = int.from_bytes(blake2b(data[starts[i] : starts[i] + lengths[i]].tobytes(), digest_size=8).digest(), "little")
+    return hashes
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the words of bytes that end with a space."""
+    edge = np.diff(np.concatenate([[True], IS_SPACE[data]]).view(np.int8))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    return starts, byte_hashes(data, starts, ends - starts)
 
 
 def text_words(raw: list[bytes]) -> tuple[np.ndarray, list[int]]:

@@ -411,7 +411,8 @@ def linked_sets(docs: DataFrame, scratch: Scratch, text: str = "text", size: int
     total = docs.agg(F.coalesce(F.sum(utf8_size(text)), F.lit(0))).first()[0]
     fragments = max(LEAST_FRAGMENTS, -(-total // FRAGMENT_BYTES))
     sent = docs.select(F.col(f"`{text}`")).mapInArrow(_batches(fragments, size, HELD), SENT_DDL)
-    answers = sent.groupBy("part").applyInArrow(_shared, ANSWER_DDL)
+    # fragments have nearly one size; in twice as many tasks, few tasks get two of them
+    answers = sent.repartition(2 * fragments, "part").groupBy("part").applyInArrow(_shared, ANSWER_DDL)
     # a set that several tasks have sent comes back from each of them
     alive = scratch.settle(answers.groupBy("batch").applyInArrow(_alive(percent), ALIVE_DDL).dropDuplicates(["set_key"]), "alive")
     chains = alive.mapInArrow(_prefixes(fragments, percent), "part int, chains binary, links binary")

@@ -13,15 +13,19 @@ suffix array covers all strings that can be equal. In steps:
 1. Documents are packed into blocks of bounded size, written once, and bucketed by block.
 2. Blocks send their distinct anchors to parts; parts answer which ones two documents have.
 3. Blocks send each distinct stretch around a shared anchor once, with its smallest document; parts
-   build the transform of those that differ from others with the same anchor, expand intervals, and
-   answer with the smallest document of every window where it is smaller than the block's own.
+   build the transform of all distinct stretches, expand intervals, and answer with the smallest
+   document of every window where it is smaller than the block's own.
 4. Blocks mark windows, merge them into removed runs, and emit one row per document.
 
 A block sends an anchor or a stretch once however many of its documents have it, so what a part
 gets of one hot passage grows with the number of blocks, not of documents.
 
-Defined results: null text counts as empty; texts shorter than ``least`` keep everything; documents
-with equal ids don't remove each other's text; a null id counts as larger than all others.
+Defined results: null text counts as empty; texts shorter than ``least`` keep everything; an empty table
+gives no rows; documents with equal ids (repeated rows too) don't remove each other's text; a null id counts
+as the greatest long, so such documents and one with that id don't remove each other's. Of equal strings
+the one in the document with the smallest id stays. Extra columns play no part. A very long text is one
+block and needs about 60 bytes of a worker's memory per byte. Copies of a stretch are told by 64-bit hashes
+(mixed chains, for long ones BLAKE2b) taken as random.
 """
 
 from __future__ import annotations
@@ -36,46 +40,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.llm import hashing
-from folioscope.llm.common import settle, table, utf8_size
+from folioscope.llm.common import Scratch, table, utf8_size
 
 LEAST = 50
 #: Bytes of an anchor.
 ANCHOR = 20
 BLOCK_BYTES, PART_BYTES, LEAST_PARTS = 2_000_000, 8_000_000, 16
+#: Buckets of the table of blocks at most. Beyond, tasks get longer, but a task still holds one block at a time.
+MOST_BUCKETS = 100_000
+#: Bytes of a stretch up to which it is hashed eight at a time.
+LONG = 128
 NO_ID = np.iinfo(np.int64).max
 #: A byte that UTF-8 never has.
 SEPARATOR = 255
 
-BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()), ("text", pa.binary())])
+BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("sizes", pa.binary()), ("text", pa.binary())])
 ANCHORS = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("hashes", pa.binary())])
-STRETCHES = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("anchors", pa.binary()), ("owners", pa.binary()), ("sizes", pa.binary()), ("text", pa.binary())])
+STRETCHES = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("owners", pa.binary()), ("sizes", pa.binary()), ("text", pa.binary())])
 ANSWERS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("kind", pa.string()), ("data", pa.binary())])
 #: An answer of step 3: of the block's ``stretch`` in that part, ``count`` windows from ``first`` have the smallest document ``owner``.
 RUN = np.dtype([("stretch", "<u4"), ("first", "<u4"), ("count", "<u4"), ("owner", "<i8")])
-DDL = {id(ANCHORS): "part int, block long, hashes binary", id(STRETCHES): "part int, block long, anchors binary, owners binary, sizes binary, text binary", id(ANSWERS): "block long, part int, kind string, data binary"}
+DDL = {id(ANCHORS): "part int, block long, hashes binary", id(STRETCHES): "part int, block long, owners binary, sizes binary, text binary", id(ANSWERS): "block long, part int, kind string, data binary"}
 
 
-def _pack(batches):
-    """Documents to blocks of about ``BLOCK_BYTES``."""
-    task, made = TaskContext.get().partitionId() << 24, 0
-    ids, texts, held = [], [], 0
+def _pack(most: int):
+    """Documents to blocks of about ``most`` bytes."""
 
-    def block():
-        sizes = np.array([len(t) for t in texts], np.int64)
-        return pa.RecordBatch.from_arrays([pa.array([task + made], pa.int64()), *(pa.array([x], pa.binary()) for x in (np.array(ids, np.int64).tobytes(), sizes.tobytes(), b"".join(texts)))], schema=BLOCKS)
+    def run(batches):
+        task, made = TaskContext.get().partitionId() << 24, 0
+        ids, texts, held = [], [], 0
 
-    for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            ids.append(NO_ID if doc is None else doc)
-            texts.append(raw)
-            held += len(raw) + 64
-            if held > BLOCK_BYTES:
-                yield block()
-                made += 1
-                ids, texts, held = [], [], 0
-    if ids:
-        yield block()
+        def block():
+            columns = (np.array([NO_ID if i is None else i for i in ids], np.int64), np.array([i is None for i in ids]), np.array([len(t) for t in texts], np.int64))
+            return pa.RecordBatch.from_arrays([pa.array([task + made], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in columns), pa.array([b"".join(texts)], pa.binary())], schema=BLOCKS)
+
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                raw = (text or "").encode("utf-8", "surrogatepass")
+                ids.append(doc)
+                texts.append(raw)
+                held += len(raw) + 64
+                if held > most:
+                    yield block()
+                    made += 1
+                    ids, texts, held = [], [], 0
+        if ids:
+            yield block()
+
+    return run
 
 
 def anchor_key(code: np.ndarray, part, n_parts: int) -> np.ndarray:
@@ -96,6 +108,7 @@ class Block:
     def __init__(self, row: pa.Table, least: int, n_parts: int):
         self.number = row["block"][0].as_py()
         self.ids, self.sizes = (np.frombuffer(row[c][0].as_buffer(), np.int64) for c in ("ids", "sizes"))
+        self.nulls = np.frombuffer(row["nulls"][0].as_buffer(), bool)
         self.data = np.frombuffer(row["text"][0].as_buffer(), np.uint8)
         self.least = least
         ends = np.cumsum(self.sizes)
@@ -139,16 +152,16 @@ class Block:
         return np.concatenate([a[new], np.unique(a[second])])
 
     def stretches(self, shared: np.ndarray, n_parts: int):
-        """The stretches with shared anchors, which distinct one each is, and the distinct ones' owners, bounds, anchors and order by part."""
+        """The stretches with shared anchors, which distinct one each is, and the distinct ones' owners, bounds and order by part."""
         at = np.minimum(np.searchsorted(shared, self.anchor), max(0, len(shared) - 1))
         keep = np.flatnonzero(shared[at] == self.anchor) if len(shared) else np.zeros(0, np.int64)
         starts, ends = self.starts[keep], self.stops[keep] + self.least - 1
-        hashes = hashing.range_hashes(hashing.prefix_sums(self.data), starts, ends) ^ hashing.mix(ends - starts)
+        hashes = hashing.byte_hashes(self.data, starts, ends - starts, LONG)
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         owners = np.full(len(distinct), NO_ID)
         np.minimum.at(owners, which, self.ids[self.doc[keep]])
         parts = (self.anchor[keep][first] % np.uint64(n_parts)).astype(np.int64)
-        return keep, which, owners, starts[first], ends[first], self.anchor[keep][first], hashing.by_value(parts)
+        return keep, which, owners, starts[first], ends[first], hashing.by_value(parts)
 
 
 def _send_anchors(n_parts: int, least: int):
@@ -190,36 +203,46 @@ def _send_stretches(n_parts: int, least: int):
         if not left.num_rows:
             return STRETCHES.empty_table()
         block = Block(left, least, n_parts)
-        _, _, owners, starts, ends, anchors, (order, parts, cuts) = block.stretches(_shared_of(right, n_parts), n_parts)
+        _, _, owners, starts, ends, (order, parts, cuts) = block.stretches(_shared_of(right, n_parts), n_parts)
         rows, data = [], block.data.tobytes()
         for p, i, j in zip(parts.tolist(), cuts[:-1], cuts[1:]):
             own = order[i:j]
             text = b"".join([data[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist())])
-            rows.append((p, block.number, anchor_codes(anchors[own], n_parts).tobytes(), owners[own].tobytes(), (ends - starts)[own].astype(np.uint32).tobytes(), text))
+            rows.append((p, block.number, owners[own].tobytes(), (ends - starts)[own].astype(np.uint32).tobytes(), text))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), STRETCHES)], schema=STRETCHES) if rows else STRETCHES.empty_table()
 
     return run
 
 
 def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes ordered by their first ``depth`` symbols at least, by doubling the compared length from 8."""
+    """Suffixes ordered by their first ``depth`` symbols at least, by doubling the compared length from 8.
+
+    A suffix whose first symbols nobody else has is in its place; only the others are compared further.
+    """
     n = len(data)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     key = np.zeros(n, np.uint64)
     for j in range(8):
         key = key << np.uint64(8) | padded[j : n + j]
-    length = 8
+    order = np.argsort(key)
+    rank = np.empty(n, np.int64)
+    places, length = np.arange(n), 8  # where the suffixes that are still compared stand in the order
+    suffixes, key = order, key[order]
     while True:
-        order = np.argsort(key, kind="stable")
-        if length >= depth:
-            return order
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
-        if rank[order[-1]] == n:
+        new = np.ones(len(places), bool)
+        np.not_equal(key[1:], key[:-1], out=new[1:])
+        rank[suffixes] = np.maximum.accumulate(np.where(new, places, 0))
+        places = places[~(new & np.append(new[1:], True))]
+        if length >= depth or not len(places):
             return order
-        later = np.zeros(n, np.int64)
-        later[: max(0, n - length)] = rank[length:]
-        key = (rank.astype(np.uint64) << np.uint64(32)) | later.astype(np.uint64)
+        suffixes = order[places]
+        later = np.zeros(len(places), np.uint64)
+        inside = suffixes + length < n
+        later[inside] = rank[suffixes[inside] + length] + 1
+        key = rank[suffixes].astype(np.uint64) << np.uint64(32) | later
+        within = np.argsort(key)
+        order[places] = suffixes = suffixes[within]
+        key = key[within]
         length *= 2
 
 
@@ -233,25 +256,27 @@ def repeated_windows(data: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarr
     order = suffix_order(data, least)
     before = data[order - 1]
     before[order == 0] = SEPARATOR
-    step = np.empty(n, np.int64)  # from a suffix to the one with one symbol more in front
-    step[np.argsort(before, kind="stable")] = np.arange(n)
-    ranks, interval = np.arange(n), np.zeros(n, np.int64)
-    target_of = np.empty(n, np.int64)
+    small = np.int32 if n < 1 << 23 else np.int64
+    step = np.empty(n, small)  # from a suffix to the one with one symbol more in front
+    step[np.argsort(before, kind="stable")] = np.arange(n, dtype=small)
+    ranks, interval = np.arange(n, dtype=small), np.zeros(n, small)
+    target_of = np.empty(n, small)
     marked = np.zeros(n, bool)
     for _ in range(least):
-        open_ended = before[ranks] != SEPARATOR
-        ranks, interval = ranks[open_ended], interval[open_ended]
+        symbol = before[ranks]
+        open_ended = symbol != SEPARATOR
+        if not open_ended.all():
+            ranks, interval, symbol = ranks[open_ended], interval[open_ended], symbol[open_ended]
         to = step[ranks]
-        target_of[to] = interval << 8 | before[ranks]
+        target_of[to] = interval << 8 | symbol
         marked[to] = True
-        ranks = np.flatnonzero(marked)
+        ranks = np.flatnonzero(marked).astype(small)
         marked[ranks] = False
         key = target_of[ranks]
         new = np.ones(len(ranks), bool)
         new[1:] = (key[1:] != key[:-1]) | (ranks[1:] != ranks[:-1] + 1)
-        interval = np.cumsum(new) - 1
-        several = np.bincount(interval)[interval] > 1 if len(ranks) else new
-        ranks, interval = ranks[several], interval[several]
+        several = ~(new & np.append(new[1:], True)) if len(ranks) else new
+        ranks, interval = ranks[several], (np.cumsum(new, dtype=small) - small(1))[several]
     begins = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]])) if len(ranks) else np.zeros(0, np.int64)
     return order[ranks], begins
 
@@ -261,28 +286,25 @@ def _answer_stretches(least: int):
         def gather(name, kind):
             return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group[name]])
 
-        anchors, owners, sizes, data = gather("anchors", np.uint32), gather("owners", np.int64), gather("sizes", np.uint32).astype(np.int64), gather("text", np.uint8)
+        owners, sizes, data = gather("owners", np.int64), gather("sizes", np.uint32).astype(np.int64), gather("text", np.uint8)
         starts = np.cumsum(sizes) - sizes
-        hashes = hashing.range_hashes(hashing.prefix_sums(data), starts, starts + sizes) ^ hashing.mix(sizes)
+        hashes = hashing.byte_hashes(data, starts, sizes, LONG)
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         lowest = np.full(len(first), NO_ID)
         np.minimum.at(lowest, which, owners)
         windows = sizes[first] - least + 1
         offsets = np.cumsum(windows) - windows
         least_owner = np.repeat(lowest, windows)  # of every window of every distinct stretch
-        _, group_of, members = np.unique(anchors[first], return_inverse=True, return_counts=True)
-        differ = np.flatnonzero(members[group_of] > 1)
-        if len(differ):
-            lengths = sizes[first][differ]
-            at = np.cumsum(lengths + 1) - lengths - 1
-            joined = np.full(int((lengths + 1).sum()), SEPARATOR, np.uint8)
-            inner = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            joined[np.repeat(at, lengths) + inner] = data[np.repeat(starts[first][differ], lengths) + inner]
-            positions, begins = repeated_windows(joined, least)
-            if len(positions):
-                stretch = np.searchsorted(at, positions, "right") - 1
-                low = np.minimum.reduceat(lowest[differ[stretch]], begins)
-                least_owner[offsets[differ[stretch]] + positions - at[stretch]] = np.repeat(low, np.diff(np.append(begins, len(positions))))
+        lengths = sizes[first]
+        at = np.cumsum(lengths + 1) - lengths - 1
+        joined = np.full(int((lengths + 1).sum()), SEPARATOR, np.uint8)
+        inner = _ragged(lengths)
+        joined[np.repeat(at, lengths) + inner] = data[np.repeat(starts[first], lengths) + inner]
+        positions, begins = repeated_windows(joined, least)
+        if len(positions):
+            stretch = np.searchsorted(at, positions, "right") - 1
+            low = np.minimum.reduceat(lowest[stretch], begins)
+            least_owner[offsets[stretch] + positions - at[stretch]] = np.repeat(low, np.diff(np.append(begins, len(positions))))
         # runs of windows with one owner, of distinct stretches
         new = np.ones(len(least_owner), bool)
         new[1:] = least_owner[1:] != least_owner[:-1]
@@ -326,7 +348,7 @@ def _remove(n_parts: int, least: int, texts: bool):
             return RESULT.empty_table()
         block = Block(left, least, n_parts)
         gone = np.zeros(len(block.data) + 1, np.int32)
-        keep, which, owners, starts, ends, _, (order, parts, cuts) = block.stretches(_shared_of(right, n_parts), n_parts)
+        keep, which, owners, starts, ends, (order, parts, cuts) = block.stretches(_shared_of(right, n_parts), n_parts)
         if len(keep):
             windows = ends - starts - least + 1
             offsets = np.cumsum(windows) - windows
@@ -354,12 +376,12 @@ def _remove(n_parts: int, least: int, texts: bool):
         split = np.unique(inner_ends[covered[inner_ends - 1] & covered[inner_ends]]) if len(inner_ends) else inner_ends
         begins, stops = np.sort(np.append(begins, split)), np.sort(np.append(stops, split))
         out, data = [], block.data
-        for doc, size, end in zip(block.ids.tolist(), block.sizes.tolist(), doc_ends.tolist()):
+        for doc, null, size, end in zip(block.ids.tolist(), block.nulls.tolist(), block.sizes.tolist(), doc_ends.tolist()):
             a, b = np.searchsorted(begins, [end - size, end])
             text = data[end - size : end]
             left_over = text[~covered[end - size : end]].tobytes() if b > a else text.tobytes()
             spans = [{"start": x - end + size, "end": y - end + size} for x, y in zip(begins[a:b].tolist(), stops[a:b].tolist())]
-            out.append((None if doc == NO_ID else doc, size, spans, left_over if texts else None, hashlib.sha256(left_over).hexdigest()))
+            out.append((None if null else doc, size, spans, left_over if texts else None, hashlib.sha256(left_over).hexdigest()))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), RESULT)], schema=RESULT)
 
     return run
@@ -374,20 +396,24 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     total = docs.agg(F.coalesce(F.sum(utf8_size("text")), F.lit(0))).first()[0]
     n_parts = max(LEAST_PARTS, -(-total // PART_BYTES))
-    buckets = max(1, min(20_000, -(-total // (2 * BLOCK_BYTES))))
-    name = f"repeat_blocks_{uuid.uuid4().hex}"
-    docs.mapInArrow(_pack, "block long, ids binary, sizes binary, text binary").write.option("compression", "zstd").bucketBy(buckets, "block").saveAsTable(name)
+    buckets = max(1, min(MOST_BUCKETS, -(-total // (2 * BLOCK_BYTES))))
+    scratch, name = Scratch(spark, "repeats"), f"repeat_blocks_{uuid.uuid4().hex}"
+    packed = docs.mapInArrow(_pack(BLOCK_BYTES), "block long, ids binary, nulls binary, sizes binary, text binary")
+    packed.write.option("compression", "zstd").option("path", f"{scratch.folder}/blocks").bucketBy(buckets, "block").saveAsTable(name)
     try:
         blocks = spark.table(name)
-        anchors = blocks.groupBy("block").applyInArrow(_send_anchors(n_parts, least), DDL[id(ANCHORS)])
-        answers = settle(anchors.groupBy("part").applyInArrow(_answer_anchors, DDL[id(ANSWERS)]))
-        sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_send_stretches(n_parts, least), DDL[id(STRETCHES)])
-        runs = settle(sent.groupBy("part").applyInArrow(_answer_stretches(least), DDL[id(ANSWERS)]))
+        # parts have nearly one size; in twice as many tasks, few tasks get two of them
+        anchors = blocks.groupBy("block").applyInArrow(_send_anchors(n_parts, least), DDL[id(ANCHORS)]).repartition(2 * n_parts, "part")
+        answers = scratch.settle(anchors.groupBy("part").applyInArrow(_answer_anchors, DDL[id(ANSWERS)]), "answers")
+        sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_send_stretches(n_parts, least), DDL[id(STRETCHES)]).repartition(2 * n_parts, "part")
+        runs = scratch.settle(sent.groupBy("part").applyInArrow(_answer_stretches(least), DDL[id(ANSWERS)]), "runs")
         every = answers.union(runs)
         done = blocks.groupBy("block").cogroup(every.groupBy("block")).applyInArrow(_remove(n_parts, least, texts), "doc_id long, n_bytes long, removed array<struct<start: long, end: long>>, kept binary, kept_sha256 string")
-        return settle(done)
+        done = scratch.settle(done, "done")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        scratch.drop("blocks", "answers", "runs")
+    return done
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

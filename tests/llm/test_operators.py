@@ -194,9 +194,10 @@ def brute_components(data, percent=85):
     return {i: (len(sets[i]), root(i)) for i in sets}
 
 
-@pytest.mark.parametrize("sets_in_block", [1200, 3])
-def test_jaccard(spark, empty, monkeypatch, sets_in_block):
+@pytest.mark.parametrize("sets_in_block, held", [(1200, 600_000), (3, 500)])
+def test_jaccard(spark, empty, monkeypatch, sets_in_block, held):
     monkeypatch.setattr(jaccard, "BLOCK_SETS", sets_in_block)
+    monkeypatch.setattr(jaccard, "HELD", held)  # one batch a task, then many
     rng = random.Random(6)
     base = [f"w{rng.randrange(500)}" for _ in range(120)]
     data = [(r[0], r[1]) for r in rows()[:-2]]
@@ -212,6 +213,18 @@ def test_jaccard(spark, empty, monkeypatch, sets_in_block):
         assert {r.doc_id for r in kept.collect()} == {c for _, c in got.values()}
 
 
+def test_an_n_gram_in_all_documents_and_rows_of_one_id(spark):
+    rng = random.Random(3)
+    common = "these four words recur"
+    data = [(i, f"{common} " + " ".join(f"v{rng.randrange(10**6)}" for _ in range(30))) for i in range(300)]
+    data += [(400, data[7][1]), (401, data[7][1] + " more"), (500, data[9][1]), (500, "something else that nobody has")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.n_links) for r in jaccard.jaccard_components(df).collect()}
+    assert got[(7, 31)] == (7, 1) and got[(400, 31)] == (7, 1) and got[(401, 32)] == (7, 1) and got[(500, 2)] == (500, 0) and got[(8, 31)] == (8, 0)
+    kept = sorted((r.doc_id, r.text) for r in jaccard.keep_one_of_each(df).collect())
+    assert kept == sorted([*data[:300], (500, "something else that nobody has")])
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (103, 101), (7, 7)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u long, v long"), Scratch(spark, "test"), "a").collect()}
