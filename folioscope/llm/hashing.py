@@ -68,17 +68,21 @@ STEP, ALL_BITS = _U(0x9FB21C651E98DF25), _U(0xFFFFFFFFFFFFFFFF)
 LONG = 64
 
 
+def eights(data: np.ndarray, kind: str = "<u8") -> np.ndarray:
+    """The eight bytes from every position on as one number; beyond the end are zeros."""
+    return np.ndarray(len(data) + 1, kind, np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+
+
 def byte_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, long: int = LONG) -> np.ndarray:
     """64-bit hashes of byte ranges: a mixed chain over eight bytes at a time that begins with the length; BLAKE2b for ranges of more than ``long`` bytes."""
     hashes = mix(lengths.astype(_U) * STEP)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    chunk = np.arange(8)
+    eight = eights(data)
     left = np.flatnonzero(lengths <= long)
     for at in range(0, long, 8):
         left = left[lengths[left] > at]
         if not len(left):
             break
-        part = padded[(starts[left] + at)[:, None] + chunk].view("<u8")[:, 0]
+        part = eight[starts[left] + at]
         bits = (8 * np.maximum(0, 8 - (lengths[left] - at))).astype(_U)
         hashes[left] = mix(hashes[left] * STEP + (part & (ALL_BITS >> bits)))
     for i in np.flatnonzero(lengths > long).tolist():

@@ -2,9 +2,9 @@
 
 Every byte covered by a string of ``least`` bytes that also starts in a document with a smaller id
 is removed. Which strings repeat is derived from suffix arrays: suffixes are ordered, the transform
-is taken, and from the interval of the empty string a breadth-first backward extension derives the
-intervals of all repeated strings by increasing length, stopping at ``least``. The intervals that
-are left are the classes of equal ``least``-byte strings.
+is taken, and a breadth-first backward extension derives the intervals of all repeated strings by
+increasing length, stopping at ``least``; it begins with the strings of eight bytes, whose intervals the
+ordering has found already. The intervals that are left are the classes of equal ``least``-byte strings.
 
 The corpus is far larger than one suffix array. Equal strings of ``least`` bytes contain the same
 least-hashed short substring (their anchor), so strings are dealt out by anchor, and each part's
@@ -51,6 +51,8 @@ MOST_BUCKETS = 100_000
 #: Bytes of a stretch up to which it is hashed eight at a time.
 LONG = 128
 NO_ID = np.iinfo(np.int64).max
+#: Symbols by which suffixes are ordered first.
+FIRST = 8
 #: A byte that UTF-8 never has.
 SEPARATOR = 255
 
@@ -214,27 +216,25 @@ def _send_stretches(n_parts: int, least: int):
     return run
 
 
-def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes ordered by their first ``depth`` symbols at least, by doubling the compared length from 8.
+def suffix_order(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes ordered by their first ``depth`` symbols at least, by doubling the compared length from ``FIRST``; and where in the order other first ``FIRST`` symbols begin.
 
     A suffix whose first symbols nobody else has is in its place; only the others are compared further.
     """
     n = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    key = np.zeros(n, np.uint64)
-    for j in range(8):
-        key = key << np.uint64(8) | padded[j : n + j]
+    key = hashing.eights(data, ">u8")[:n].astype(np.uint64)
     order = np.argsort(key)
-    rank = np.empty(n, np.int64)
-    places, length = np.arange(n), 8  # where the suffixes that are still compared stand in the order
+    rank, begins = np.empty(n, np.int64), None
+    places, length = np.arange(n), FIRST  # where the suffixes that are still compared stand in the order
     suffixes, key = order, key[order]
     while True:
         new = np.ones(len(places), bool)
         np.not_equal(key[1:], key[:-1], out=new[1:])
+        begins = new if begins is None else begins
         rank[suffixes] = np.maximum.accumulate(np.where(new, places, 0))
         places = places[~(new & np.append(new[1:], True))]
         if length >= depth or not len(places):
-            return order
+            return order, begins
         suffixes = order[places]
         later = np.zeros(len(places), np.uint64)
         inside = suffixes + length < n
@@ -253,16 +253,23 @@ def repeated_windows(data: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarr
     gives those of the next; intervals of one suffix are dropped, as they don't repeat.
     """
     n = len(data)
-    order = suffix_order(data, least)
+    order, begins = suffix_order(data, least)
     before = data[order - 1]
     before[order == 0] = SEPARATOR
     small = np.int32 if n < 1 << 23 else np.int64
     step = np.empty(n, small)  # from a suffix to the one with one symbol more in front
     step[np.argsort(before, kind="stable")] = np.arange(n, dtype=small)
-    ranks, interval = np.arange(n, dtype=small), np.zeros(n, small)
+    if least >= FIRST:
+        separators = np.concatenate([[0], np.cumsum(data == SEPARATOR)])
+        whole = separators[np.minimum(order + FIRST, n)] == separators[order]
+        several = ~(begins & np.append(begins[1:], True)) & whole & (order + FIRST <= n)
+        ranks = np.flatnonzero(several).astype(small)
+        interval = (np.cumsum(begins, dtype=small) - small(1))[several]
+    else:
+        ranks, interval = np.arange(n, dtype=small), np.zeros(n, small)
     target_of = np.empty(n, small)
     marked = np.zeros(n, bool)
-    for _ in range(least):
+    for _ in range(least - FIRST if least >= FIRST else least):
         symbol = before[ranks]
         open_ended = symbol != SEPARATOR
         if not open_ended.all():

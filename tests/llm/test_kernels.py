@@ -173,13 +173,13 @@ def test_window_hashes_agree_between_places():
             assert (found[i] == found[j]) == (bytes(data[i : i + 3]) == bytes(data[j : j + 3]))
 
 
+@pytest.mark.parametrize("least", [5, 7, 8, 9, 12])
 @pytest.mark.parametrize("seed", range(8))
-def test_interval_expansion(seed):
+def test_interval_expansion(seed, least):
     rng = random.Random(seed)
     parts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(8, 60))) for _ in range(6)]
     parts.append(parts[0][2:])
     data = np.frombuffer(b"\xff".join(parts) + b"\xff", np.uint8)
-    least = 7
     positions, begins = repeats.repeated_windows(data, least)
     classes = {}
     raw = data.tobytes()
