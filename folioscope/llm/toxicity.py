@@ -1,21 +1,24 @@
 """Toxicity by weak supervision.
 
 1. Lexicons. Words and word beginnings that are much more frequent in toxic rows are learned from a
-   bounded sample of labelled rows, separately on two halves.
+   bounded sample of labelled rows, separately on two halves. Whatever has enough evidence is an entry.
 2. Voters. The lexicons are dealt into many small ones, which vote "toxic" or abstain; patterns of
-   shouting, insulting address and density vote as well. For fitting, a row of one half is voted on
-   with the other half's lexicons, so no voter has seen the row's label. The label, where a row has
-   one, votes too.
-3. Label model. Expectation maximisation estimates each voter's rates given the hidden class;
-   residual correlations between voters shrink their weights, so that voters that say the same
-   thing don't count twice. It gives every row of the sample a posterior.
-4. Classifier. A logistic regression on the votes and hit counts is trained on the posteriors and
-   scores all rows.
+   shouting, insulting address and density vote as well. They vote on the labelled sample and on a bounded
+   sample of rows without a label. For fitting, a row of one half is voted on with the other half's
+   lexicons, so no voter has seen the row's label.
+3. Label model. A generative model of the hidden class and the votes, in which a vote depends on the class
+   and on one other vote: expectation maximisation estimates each voter's accuracy and the pairwise
+   correlations within both classes, and the strongest correlations (the tree of greatest conditional
+   mutual information) enter the model. Labels count as evidence for accuracies and correlations alone;
+   every row's posterior comes from its votes.
+4. Classifier. A logistic regression on the votes and hit counts is trained on the posteriors of all rows of
+   both samples and scores the whole table.
 
 Defined results: null and empty texts get the score of a text without hits; without labelled rows
 of both classes no lexicon can be learned and every score is the prior (0 without rows); repeated
-rows score alike; rows of the sample with a null label aren't learned from. Extra columns are carried along;
-an input column named ``score`` is replaced.
+rows score alike and weigh once each; an empty table gives no rows; ties in the samples' order go by id. A very
+long text is scored whole, in time and memory in proportion to its length. Rows of the sample with a null label
+aren't learned from. Extra columns are carried along; an input column named ``score`` is replaced.
 """
 
 from __future__ import annotations
@@ -30,12 +33,12 @@ from pyspark.sql import functions as F
 
 from folioscope.llm.common import make_room, settle, table
 
-#: Labelled rows that are learned from at most, chosen by a hash of their id.
-SAMPLE = 12_000
-#: Lexicon entries at most, and the least evidence for one: rows, and log odds in standard errors.
-ENTRIES, LEAST_ROWS, LEAST_Z = 3_000, 3, 3.0
-#: Small lexicons that vote, by strength of their entries.
-LEXICONS = 24
+#: Labelled rows that are learned from at most, and rows without a label, both chosen by a hash of their id.
+SAMPLE, UNLABELLED = 12_000, 12_000
+#: The least evidence for a lexicon entry: rows, log odds, and log odds in standard errors. The sample bounds their number.
+LEAST_ROWS, LEAST_ODDS, LEAST_Z = 3, 1.5, 3.0
+#: Small lexicons that vote: each holds the entries of one band of log odds.
+LEXICONS, BAND = 24, 0.25
 PREFIXES = (4, 5, 6, 7)
 WORD = re.compile(r"[^\W\d_]+")
 # Words of address in the corpus languages.
@@ -73,12 +76,12 @@ def _count_features(batches):
 
 
 class Lexicon:
-    """Entries with their log odds, dealt into small lexicons by strength."""
+    """Entries with their log odds, in small lexicons by bands of them."""
 
     def __init__(self, entries: list[tuple[str, float]]):
         ordered = sorted(entries, key=lambda e: (-e[1], e[0]))
         self.odds = dict(ordered)
-        self.voter = {f: i % LEXICONS for i, (f, _) in enumerate(ordered)}
+        self.voter = {f: min(LEXICONS - 1, max(0, int((odds - LEAST_ODDS) / BAND))) for f, odds in ordered}
         self.known = frozenset(self.odds)
         lengths = {len(f) - 1 for f in self.known if f.endswith("*")}
         self.prefixes = {k: {f[:-1] for f in self.known if f.endswith("*") and len(f) == k + 1} for k in lengths}
@@ -109,29 +112,68 @@ class Lexicon:
         return out
 
 
+def rates(votes: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows with these weights: each voter's rate, and how often two voters vote together; both smoothed."""
+    n = weight.sum() + 2
+    return (weight @ votes + 1) / n, ((votes * weight[:, None]).T @ votes + 0.5) / n
+
+
+def information(single: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Mutual information of every two voters."""
+    total = np.zeros_like(both)
+    a, b = single[:, None], single[None, :]
+    for joint, x, y in ((both, a, b), (a - both, a, 1 - b), (b - both, 1 - a, b), (1 - a - b + both, 1 - a, 1 - b)):
+        joint = np.clip(joint, 1e-9, 1)
+        total += joint * np.log(joint / np.clip(x * y, 1e-9, 1))
+    np.fill_diagonal(total, 0)
+    return total
+
+
+def strongest_tree(weights: np.ndarray) -> np.ndarray:
+    """Each node's parent in the spanning tree of greatest weight; -1 for the root."""
+    m = len(weights)
+    parent, best, done = np.full(m, -1), np.full(m, -np.inf), np.zeros(m, bool)
+    best[0] = 0
+    for _ in range(m):
+        i = int(np.where(done, -np.inf, best).argmax())
+        done[i] = True
+        closer = ~done & (weights[i] > best)
+        best[closer], parent[closer] = weights[i][closer], i
+    return parent
+
+
+def vote_odds(votes: np.ndarray, tree: np.ndarray, one: tuple, zero: tuple) -> np.ndarray:
+    """Log odds of class 1 that each row's votes give, every vote judged given its parent's vote."""
+    out = np.zeros(len(votes))
+    for i, p in enumerate(tree):
+        chance = []
+        for single, both in (one, zero):
+            if p < 0:
+                on = np.full(len(votes), single[i])
+            else:
+                on = np.where(votes[:, p] > 0, both[i, p] / single[p], (single[i] - both[i, p]) / (1 - single[p]))
+            on = np.clip(on, 1e-4, 1 - 1e-4)
+            chance.append(np.where(votes[:, i] > 0, on, 1 - on))
+        out += np.log(chance[0]) - np.log(chance[1])
+    return out
+
+
 def label_model(votes: np.ndarray, gold: np.ndarray, prior: float) -> np.ndarray:
     """Posterior of class 1 for every row. ``votes`` are 0/1; ``gold`` is 0, 1 or nan where there is no label."""
-    n, m = votes.shape
-    start = np.where(np.isnan(gold), np.where(votes.sum(1) >= 2, 0.8, 0.1), np.where(gold == 1, 0.9, 0.1))
-    post, weight, agreement = start, np.ones(m), 0.95
-    labelled = ~np.isnan(gold)
+    labelled, base = ~np.isnan(gold), math.log(prior / (1 - prior))
+    post = np.where(votes.sum(1) >= 2, 0.8, 0.1)
+    tree = None
     for round_ in range(ROUNDS):
-        on, off = post.sum() + 2, (1 - post).sum() + 2
-        rate1 = (post @ votes + 1) / on
-        rate0 = ((1 - post) @ votes + 1) / off
-        if round_ % 10 == 5:  # residual correlations within the classes
-            residual = votes - post[:, None] * rate1 - (1 - post)[:, None] * rate0
-            spread = residual.std(0) + 1e-9
-            correlation = (residual.T @ residual) / n / np.outer(spread, spread)
-            np.fill_diagonal(correlation, 0)
-            weight = 1 / (1 + np.clip(correlation, 0, 1).sum(0))
-        logit = np.full(n, math.log(prior / (1 - prior)))
-        logit += votes @ (weight * np.log(rate1 / rate0)) + (1 - votes) @ (weight * np.log((1 - rate1) / (1 - rate0)))
-        if labelled.any():
-            match = np.where(gold[labelled] == 1, post[labelled], 1 - post[labelled]).sum()
-            agreement = min(0.99, max(0.8, (match + 1) / (labelled.sum() + 2)))
-            logit[labelled] += np.where(gold[labelled] == 1, 1, -1) * math.log(agreement / (1 - agreement))
-        post = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        weight = np.where(labelled, np.nan_to_num(gold), post)
+        one, zero = rates(votes, weight), rates(votes, 1 - weight)
+        if round_ <= ROUNDS // 2:  # later rounds keep the tree, so that the steps settle
+            share = weight.mean()
+            tree = strongest_tree(share * information(*one) + (1 - share) * information(*zero))
+        new = 1 / (1 + np.exp(-np.clip(base + vote_odds(votes, tree, one, zero), -30, 30)))
+        moved = np.abs(new - post).max()
+        post = new
+        if round_ > ROUNDS // 2 and moved < 1e-6:
+            break
     return post
 
 
@@ -156,7 +198,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _lexicons(counts: DataFrame, pos: list[int], neg: list[int]) -> list[Lexicon]:
-    """Lexicons of half 0, of half 1 and of both. A bounded number of entries comes to the driver."""
+    """Lexicons of half 0, of half 1 and of both. The entries come to the driver: the sample has a bounded number of rows, and an entry needs several."""
     sides = counts.groupBy("feature").agg(*[F.sum(F.when(F.col("half") == h, F.col(c)).otherwise(0)).alias(f"{c}{h}") for h in (0, 1) for c in ("pos", "neg")])
     sides = settle(sides.where(F.col("pos0") + F.col("pos1") >= LEAST_ROWS))
     out = []
@@ -168,19 +210,29 @@ def _lexicons(counts: DataFrame, pos: list[int], neg: list[int]) -> list[Lexicon
         a, b = sum(F.col(f"pos{h}") for h in halves) + 0.5, sum(F.col(f"neg{h}") for h in halves) + 0.5
         odds = F.log(a / (p + 1.0)) - F.log(b / (n + 1.0))
         z = odds / F.sqrt(1 / a + 1 / b)
-        best = sides.select("feature", odds.alias("odds"), z.alias("z"), a.alias("rows")).where((F.col("rows") > LEAST_ROWS) & (F.col("z") >= LEAST_Z) & (F.col("odds") >= 1.5))
-        out.append(Lexicon([(r.feature, r.odds) for r in best.orderBy(F.desc("z"), "feature").limit(ENTRIES).collect()]))
+        best = sides.select("feature", odds.alias("odds"), z.alias("z"), a.alias("rows")).where((F.col("rows") > LEAST_ROWS) & (F.col("z") >= LEAST_Z) & (F.col("odds") >= LEAST_ODDS))
+        out.append(Lexicon([(r.feature, r.odds) for r in best.collect()]))
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[Lexicon, np.ndarray]:
-    """The final lexicon and the classifier's weights. ``docs`` has doc_id and text, ``labels`` doc_id and toxic."""
+def _samples(docs: DataFrame, labels: DataFrame, text: str) -> DataFrame:
+    """(text, half, toxic) of the labelled sample and, with a null ``toxic``, of the sample without labels."""
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
-    sample = known.withColumn("at", F.xxhash64("doc_id")).orderBy("at", "doc_id").limit(SAMPLE).withColumn("half", F.pmod(F.xxhash64("at"), F.lit(2)))
-    # at most SAMPLE rows of three numbers are broadcast
-    rows = docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(sample.select("doc_id", "toxic", "half")), "doc_id").select("text", "half", "toxic")
-    rows = settle(rows)  # the bounded sample, read several times
-    sizes = {(r.half, r.toxic): r.n for r in rows.groupBy("half", "toxic").agg(F.count("*").alias("n")).collect()}
+    first = lambda df, n: df.withColumn("at", F.xxhash64("doc_id")).orderBy("at", "doc_id").limit(n)
+    others = docs.select("doc_id").where("doc_id IS NOT NULL").join(known, "doc_id", "left_anti").distinct()
+    sample = first(known, SAMPLE).unionByName(first(others, UNLABELLED).withColumn("toxic", F.lit(None).cast("long")))
+    sample = settle(sample.select("doc_id", "toxic", F.pmod(F.xxhash64("at"), F.lit(2)).alias("half")))
+    # at most SAMPLE + UNLABELLED rows of three numbers are broadcast
+    return docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(sample), "doc_id").select("text", "half", "toxic")
+
+
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", use_labels: bool = True) -> tuple[Lexicon, np.ndarray]:
+    """The final lexicon and the classifier's weights. ``docs`` has doc_id and text, ``labels`` doc_id and toxic.
+
+    Without ``use_labels`` only the lexicons learn from labels, not the label model.
+    """
+    rows = settle(_samples(docs, labels, text))  # the bounded samples, read several times
+    sizes = {(r.half, r.toxic): r.n for r in rows.where("toxic IS NOT NULL").groupBy("half", "toxic").agg(F.count("*").alias("n")).collect()}
     pos = [sum(v for (h, t), v in sizes.items() if h == half and t) for half in (0, 1)]
     neg = [sum(v for (h, t), v in sizes.items() if h == half and not t) for half in (0, 1)]
     if not sum(pos) or not sum(neg):
@@ -188,19 +240,20 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[Lexicon
         w = np.zeros(N_FEATURES + 3)
         w[-1] = math.log(max(prior, 1e-9) / max(1 - prior, 1e-9))
         return Lexicon([]), w
-    counts = rows.mapInArrow(_count_features, "feature string, half long, pos long, neg long")
+    counts = rows.where("toxic IS NOT NULL").mapInArrow(_count_features, "feature string, half long, pos long, neg long")
     lexicons = _lexicons(counts, pos, neg)
     shared = docs.sparkSession.sparkContext.broadcast(lexicons)
 
     def vote(batches):
         for batch in batches:
-            found = [(shared.value[1 - half].vector(t).tolist(), float(toxic)) for t, half, toxic in zip(*(c.to_pylist() for c in batch.columns))]
+            found = [(shared.value[1 - half].vector(t).tolist(), toxic) for t, half, toxic in zip(*(c.to_pylist() for c in batch.columns))]
             x, y = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64())], ["x", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int64())], ["x", "y"])
 
-    voted = rows.mapInArrow(vote, "x array<double>, y double").collect()  # the bounded sample's votes
+    voted = rows.mapInArrow(vote, "x array<double>, y long").collect()  # the bounded samples' votes
     x = np.array([r.x for r in voted])
-    post = label_model(x[:, :N_FEATURES], np.array([r.y for r in voted]), sum(pos) / (sum(pos) + sum(neg)))
+    gold = np.array([float("nan") if r.y is None or not use_labels else float(r.y) for r in voted])
+    post = label_model(x[:, :N_FEATURES], gold, sum(pos) / (sum(pos) + sum(neg)))
     return lexicons[2], fit_logistic(x, post)
 
 

@@ -272,3 +272,85 @@ def test_small_letters_and_other_formats():
     labels = "a@" + "x1." * 20 + "org"
     assert pii.pseudonymise(labels, b"k")[1] == [("email", 0, len(labels))]
     assert pii.pseudonymise("y" * 64 + "@mail.org", b"k")[1] and not pii.pseudonymise("y" * 65 + "@mail.org", b"k")[1]
+
+
+@pytest.mark.parametrize(
+    "source, expected",
+    [
+        ('{"password":\n    "Zx81kQ07pL"}', {"Zx81kQ07pL"}),
+        ("db:\n  password: |\n    Zx81kQ07pL\n    9fKq72LmPz\n  name: x", {"Zx81kQ07pL", "9fKq72LmPz"}),
+        ("api_secret: >-\n\n   Zx81kQ07pL\nother: y", {"Zx81kQ07pL"}),
+        ('password = \"\"\"Zx81kQ07pL\n9fKq72LmPz\"\"\"', {"Zx81kQ07pL", "9fKq72LmPz"}),
+        ("password = \\\n  'Zx81kQ07pL'", {"Zx81kQ07pL"}),
+        ('password = "Zx81kQ07" +\n   "9fKq72Lm"', {"Zx81kQ07", "9fKq72Lm"}),
+        ('password = "Zx81kQ07"\n   + "9fKq72Lm"', {"Zx81kQ07", "9fKq72Lm"}),
+        ("PASSWORD=$(cat <<EOF\nZx81kQ07pL\nEOF\n)", {"Zx81kQ07pL"}),
+        ("secret = <<~TXT\n  Zx81kQ07pL\nTXT\n", {"Zx81kQ07pL"}),
+        ("<passwd>\n  Zx81kQ07pL\n</passwd>", {"Zx81kQ07pL"}),
+        ("<passwd>" + "a1B2" * 300 + "</passwd>", {"a1B2" * 300}),
+        ('token = "' + "a1B2" * 3000 + '"', {"a1B2" * 3000}),
+        ("very_" * 60 + "secret_token = 'Zx81kQ07pL'", {"Zx81kQ07pL"}),
+        (".".join("abcdefghijklmnopqrstuvwxyz") + ".password = 'Zx81kQ07pL'", {"Zx81kQ07pL"}),
+        ("secrets:\n  count: 4\n  title: prose of words", set()),
+        ("The password:\n\nis not here", set()),
+        ("password: |\nnothing: x", set()),
+    ],
+)
+def test_literals_on_later_lines_and_of_any_length(source, expected):
+    assert {source[a:b] for a, b in secrets.lexed_spans(source)} == expected
+
+
+def test_the_lexer_takes_time_in_proportion_to_the_text():
+    import time
+
+    for piece in ('password = "x', "a:\n", "<a>", "'" * 3, '"' * 3 + "\n=", "--token ", "x = \\\n", "<<A\n", "token: |\n"):
+        began = time.process_time()
+        secrets.lexed_spans(piece * (200_000 // len(piece)))
+        assert time.process_time() - began < 20, piece
+
+
+def brute_odds(votes, tree, one, zero):
+    out = []
+    for row in votes:
+        total = 0.0
+        for i, p in enumerate(tree):
+            chance = []
+            for single, both in (one, zero):
+                if p < 0:
+                    on = single[i]
+                elif row[p]:
+                    on = both[i][p] / single[p]
+                else:
+                    on = (single[i] - both[i][p]) / (1 - single[p])
+                on = min(max(on, 1e-4), 1 - 1e-4)
+                chance.append(on if row[i] else 1 - on)
+            total += np.log(chance[0] / chance[1])
+        out.append(total)
+    return out
+
+
+def test_label_model_on_a_small_table_equals_plain_sums():
+    rng = np.random.default_rng(2)
+    votes = (rng.random((50, 5)) < 0.4).astype(float)
+    votes[:, 4] = votes[:, 1]
+    weight = rng.random(50)
+    single, both = toxicity.rates(votes, weight)
+    for i in range(5):
+        assert abs(single[i] - (sum(w for w, v in zip(weight, votes) if v[i]) + 1) / (weight.sum() + 2)) < 1e-9
+        for j in range(5):
+            assert abs(both[i, j] - (sum(w for w, v in zip(weight, votes) if v[i] and v[j]) + 0.5) / (weight.sum() + 2)) < 1e-9
+    one, zero = (single, both), toxicity.rates(votes, 1 - weight)
+    tree = toxicity.strongest_tree(toxicity.information(*one) + toxicity.information(*zero))
+    assert tree[4] == 1 or tree[1] == 4  # voters that say the same are tied to each other
+    assert np.allclose(toxicity.vote_odds(votes, tree, one, zero), brute_odds(votes, tree, one, zero))
+
+
+def test_a_voter_that_repeats_another_does_not_count_twice():
+    rng = np.random.default_rng(3)
+    truth = rng.random(6000) < 0.3
+    voter = lambda hit, miss: np.where(truth, rng.random(6000) < hit, rng.random(6000) < miss).astype(float)
+    a, b = voter(0.8, 0.1), voter(0.8, 0.1)
+    gold = truth.astype(float)
+    plain = toxicity.label_model(np.column_stack([a, b]), gold, 0.3)
+    copied = toxicity.label_model(np.column_stack([a, b, a, a]), gold, 0.3)
+    assert np.abs(plain - copied).max() < 0.05
