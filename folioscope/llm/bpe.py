@@ -7,7 +7,9 @@ its swallowed neighbour and of its left neighbour, so a piece of n bytes takes O
 
 Token ids travel as little-endian unsigned 32-bit integers in a binary column.
 
-Defined results: null text is encoded as the empty text (no ids); repeated rows get equal ids; null
+Defined results: null text is encoded as the empty text (no ids); an empty table gives no rows; ties of rank
+go to the leftmost pair; a very long text is encoded whole, and a pre-token of n bytes takes about 100 n bytes of
+memory; extra columns play no part; repeated rows get equal ids; null
 ids decode to null; an id that the vocabulary lacks raises. Lone surrogates can't occur in Spark strings.
 """
 

@@ -5,11 +5,12 @@ labelled documents; a language's profile is its most frequent n-grams in order.
 most frequent n-grams are ranked the same way and compared to each profile by the out-of-place
 distance: the sum of rank differences, with a fixed one for n-grams that the profile lacks.
 
-Defined results: null text and text without a letter give ``und`` and score 0; ties in counts go by
+Defined results: null text, empty text and text without a letter give ``und`` and score 0; ties in counts go by
 the n-gram's code, ties in distance to the language that sorts first; without training rows every
-text is ``und``. Rows with a null language aren't trained on. The number of languages is bounded by
-``MAX_LANGUAGES``, which is checked, so the profiles that workers get have a proven size. Extra columns
-are carried along; an output replaces a column of its name.
+text is ``und``; an empty table gives no rows. Rows with a null language aren't trained on; repeated rows count once
+each. A very long text is counted whole, at about 60 bytes of memory a character. Workers get the profiles of
+about ``LANGUAGES`` languages at once; with more languages, the documents pass through one block of profiles
+after another and keep the nearest. Extra columns are carried along; an output replaces a column of its name.
 """
 
 from __future__ import annotations
@@ -20,13 +21,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from folioscope.llm.common import make_room, settle, table
+from folioscope.llm.common import fields, make_room, settle, table
 
 #: n-grams of a profile, in a language and in a document.
 PROFILE = 400
-MAX_LANGUAGES = 2_000
+#: Languages whose profiles a worker holds at once, on average.
+LANGUAGES = 1_000
 #: Distinct n-grams of a language that a training task holds before it passes its counts on.
 HELD = 1_000_000
 UND = "und"
@@ -118,20 +121,30 @@ class Profiles:
 def predict_language(docs: DataFrame, profiles: DataFrame, text: str = "text", size: int = PROFILE) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (1: the document's order equals the profile's, 0: nothing in common)."""
     docs = make_room(docs, "lang_pred", "score")
-    rows = profiles.limit(MAX_LANGUAGES * size + 1).collect()  # bounded by the number of languages
-    if len(rows) > MAX_LANGUAGES * size:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    model = docs.sparkSession.sparkContext.broadcast(Profiles([tuple(r) for r in rows], size))
-    at = docs.columns.index(text)
+    n_blocks = max(1, -(-profiles.select("lang").distinct().count() // LANGUAGES))
+    at, out = docs.columns.index(text), docs.select("*", F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
+    schema = T.StructType([*docs.schema.fields, *fields("lang_pred string, score double").fields])
+    for b in range(n_blocks):
+        rows = profiles.where(F.pmod(F.xxhash64("lang"), F.lit(n_blocks)) == b).collect()  # one block of languages
+        model = docs.sparkSession.sparkContext.broadcast(Profiles([tuple(r) for r in rows], size))
+        out = out.mapInArrow(_nearest(model, at), schema)
+    return out
 
-    def predict(batches):
-        for batch in batches:
-            found = [model.value.predict(x.as_py()) for x in batch.column(at)]
-            names, scores = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
 
-    schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return docs.mapInArrow(predict, schema)
+def _nearest(model, at: int):
+    """One block of profiles: the predictions so far, or nearer ones of the block; of equal ones the language that sorts first."""
+
+    def run(batches):
+        for batch in batches:
+            best = []
+            for text, lang, score in zip(batch.column(at), *(batch.column(i).to_pylist() for i in (-2, -1))):
+                name, near = model.value.predict(text.as_py())
+                better = name != UND and (lang == UND or near > score or near == score and name < lang)
+                best.append((name, near) if better else (lang, score))
+            names, scores = zip(*best) if best else ((), ())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(names, pa.string()), pa.array(scores, pa.float64())], batch.schema.names)
+
+    return run
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

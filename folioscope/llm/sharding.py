@@ -10,7 +10,8 @@ Everything is DataFrame and SQL functions. The matrix is drawn in two levels (gr
 sqrt(P) partitions, then the partitions of each group in parallel), so no fold is longer than sqrt(P).
 
 Defined results: an empty table gives no rows; repeated rows are placed one by one; null columns
-are carried along; input columns are kept, but ``shard`` or ``slot`` is replaced.
+are carried along; input columns are kept, but ``shard`` or ``slot`` is replaced; very long texts move like any other
+row, so callers pass digests and ids where texts needn't move. Ties of the random keys go by the row's number.
 """
 
 from __future__ import annotations

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import struct
 import zlib
 
 import numpy as np
@@ -21,11 +22,12 @@ def test_container_round_trip(size):
     payload = random.Random(size).randbytes(size)
     stored = media.write_container(payload)
     info = media._probe(stored)
-    assert info["error"] is None and info["codec"] == "raw " and info["duration"] == size and info["n_samples"] == size // 192
-    assert info["payload_sha256"] == hashlib.sha256(payload).hexdigest() and info["tail_crc32"] == zlib.crc32(payload[-16:])
-    for k, frame in enumerate(info["keyframes"]):
+    (track,) = info["tracks"]
+    assert info["error"] is None and track["codec"] == "raw " and track["duration"] == size and track["n_samples"] == size // 192
+    assert track["payload_sha256"] == hashlib.sha256(payload).hexdigest() and track["tail_crc32"] == zlib.crc32(payload[-16:])
+    for k, frame in enumerate(track["keyframes"]):
         at = k * media.SYNC_EVERY * 192
-        assert stored[frame["offset"] : frame["offset"] + frame["size"]] == payload[at : at + 192]
+        assert stored[frame["offset"] : frame["offset"] + frame["size"]] == payload[at : at + 192] and frame["time"] == at
 
 
 def test_damaged_containers_have_an_error():
@@ -35,6 +37,69 @@ def test_damaged_containers_have_an_error():
     assert media._probe(None) is None
 
 
+def number(*values):
+    return struct.pack(f">{len(values)}I", *values)
+
+
+def track_box(number_, handler, *tables, timescale=1000):
+    tkhd = media._full(b"tkhd", number(0, 0, number_, 0, 0))
+    mdhd = media._full(b"mdhd", number(0, 0, timescale, 0), bytes(4))
+    hdlr = media._full(b"hdlr", bytes(4), handler, bytes(12))
+    stsd = media._full(b"stsd", number(1), media._box(b"avc1" if handler == b"vide" else b"mp4a", bytes(8)))
+    return media._box(b"trak", tkhd, media._box(b"mdia", mdhd, hdlr, media._box(b"minf", media._box(b"stbl", stsd, *tables))))
+
+
+def test_all_tracks_with_times_compact_sizes_and_user_data():
+    ftyp, data = media._box(b"ftyp", b"isom", bytes(4)), bytes(range(60))
+    start = len(ftyp) + 8
+    sound = [media._full(b"stts", number(1, 3, 5)), media._full(b"stz2", number(8, 3), bytes([4, 5, 6])), media._full(b"stsc", number(1, 1, 3, 1)), media._full(b"stco", number(1, start))]
+    picture = [
+        media._full(b"stts", number(2, 2, 10, 1, 20)), media._full(b"ctts", number(2, 1, 7, 2, 0xFFFFFFFF), version=1), media._full(b"stz2", number(4, 3), bytes([0x9A, 0xB0])),
+        media._full(b"stss", number(2, 1, 3)), media._full(b"stsc", number(2, 1, 2, 1, 2, 1, 1)), media._full(b"stco", number(2, start + 15, start + 40)),
+    ]
+    moov = media._box(b"moov", track_box(1, b"soun", *sound), track_box(2, b"vide", *picture), media._box(b"udta", media._box(b"name", b"x"), bytes(4)))
+    info = media._probe(ftyp + media._box(b"mdat", data) + moov)
+    assert info["error"] is None
+    first, second = info["tracks"]
+    assert (first["handler"], first["codec"], first["n_samples"], first["payload_bytes"], first["duration"]) == ("soun", "mp4a", 3, 15, 15)
+    assert [k["time"] for k in first["keyframes"]] == [0, 5, 10]
+    assert second["keyframes"] == [{"offset": start + 15, "size": 9, "time": 7}, {"offset": start + 40, "size": 11, "time": 19}] and second["duration"] == 40
+    assert second["payload_sha256"] == hashlib.sha256(data[15:34] + data[40:51]).hexdigest()
+
+
+def test_fragments_are_read():
+    empty = [media._full(k, number(0)) for k in (b"stts", b"stsc", b"stco")] + [media._full(b"stsz", number(0, 0))]
+    mvex = media._box(b"mvex", media._full(b"trex", number(1, 1, 10, 4, 0x10000)))
+    head = media._box(b"ftyp", b"isom", bytes(4)) + media._box(b"moov", track_box(1, b"vide", *empty), mvex)
+
+    def moof(data_offset):
+        run = media._full(b"trun", number(3, data_offset, 0), number(2, 4, 6), flags=0x205)
+        more = media._full(b"trun", number(2), flags=0)
+        return media._box(b"moof", media._full(b"mfhd", number(1)), media._box(b"traf", media._full(b"tfhd", number(1), flags=0x20000), media._full(b"tfdt", number(100)), run, more))
+
+    size = len(moof(0))
+    stored = head + moof(size + 8) + media._box(b"mdat", bytes(range(20))) + moof(size + 8) + media._box(b"mdat", bytes(range(20, 40)))
+    info = media._probe(stored)
+    (track,) = info["tracks"]
+    assert info["error"] is None and track["n_samples"] == 10 and track["payload_sha256"] == hashlib.sha256(bytes(range(40))).hexdigest()
+    assert track["keyframes"] == [{"offset": len(head) + size + 8, "size": 2, "time": 100}, {"offset": len(head) + 2 * size + 8 + 28, "size": 2, "time": 100}]
+    assert media._probe(head)["tracks"][0]["n_samples"] == 0 and media._probe(stored[:-9])["error"]
+
+
+def test_tables_that_claim_too_much_take_no_memory():
+    import tracemalloc
+
+    for table in (media._full(b"stsz", number(7, 50_000_000)), media._full(b"stsz", number(0, 0xFFFFFFFF)), media._full(b"stz2", number(4, 0xFFFFFFFF)), media._full(b"stts", number(0xFFFFFFFF))):
+        rest = [media._full(b"stts", number(1, 0xFFFFFFFF, 1)), media._full(b"stsc", number(1, 1, 0xFFFFFFFF, 1)), media._full(b"stco", number(1, 0))]
+        stored = media._box(b"moov", track_box(1, b"vide", *rest, table))
+        tracemalloc.start()
+        assert media._probe(stored)["error"]
+        assert tracemalloc.get_traced_memory()[1] < 2_000_000
+        tracemalloc.stop()
+    run = media._box(b"moof", media._box(b"traf", media._full(b"tfhd", number(1)), media._full(b"trun", number(0xFFFFFFFF))))
+    assert media._probe(media._box(b"moov", track_box(1, b"vide", media._full(b"stsz", number(0, 0))), media._box(b"mvex")) + run)["error"]
+
+
 def test_feistel_is_a_permutation_and_inverts():
     for size in (1, 2, 7, 100, 1009):
         p = pii.Permutation(b"k", "t", size)

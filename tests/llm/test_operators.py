@@ -42,7 +42,7 @@ def test_media(docs, empty):
     for r in got:
         raw = (r.text or "").encode()
         padded = raw + b" " * (max(192, -(-len(raw) // 192) * 192) - len(raw))
-        assert r.i.error is None and r.i.payload_sha256 == hashlib.sha256(padded).hexdigest() and r.i.payload_bytes == len(padded)
+        assert r.i.error is None and r.i.tracks[0].payload_sha256 == hashlib.sha256(padded).hexdigest() and r.i.tracks[0].payload_bytes == len(padded)
     nothing = docs.select(F.lit(None).cast("binary").alias("media"))
     assert media.media_columns(nothing, "media").where("media_info IS NOT NULL").count() == 0
     assert media.media_columns(empty.select(F.col("text").cast("binary").alias("media")), "media").count() == 0
