@@ -373,14 +373,18 @@ def contamination_of_texts(texts: DataFrame, benchmark: DataFrame, scratch: Scra
     return found
 
 
+@F.pandas_udf(T.LongType())
+def _count_words(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: len(words_of(t))).astype(np.int64)
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` with n_words, ``spans`` of hit words (array of start, end) and the distinct ``items`` found, sorted."""
     docs = make_room(docs, "n_words", "spans", "items", "text_key")
     key = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")).alias("text_key")
     scratch = Scratch(docs.sparkSession, "decontamination")
     found = contamination_of_texts(docs.select(key, F.col(f"`{text}`").alias("text")), benchmark, scratch, item_id, item_text, window)
-    n_words = F.regexp_count(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(RAW_WORD.pattern)).cast("long")
-    return docs.select("*", key, n_words.alias("n_words")).join(found, "text_key", "left").select(
+    return docs.select("*", key, _count_words(F.col(f"`{text}`")).alias("n_words")).join(found, "text_key", "left").select(
         *[F.col(f"`{c}`") for c in docs.columns], "n_words",
         F.coalesce("spans", F.array().cast(SPANS)).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )

@@ -162,7 +162,7 @@ class Block:
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         owners = np.full(len(distinct), NO_ID)
         np.minimum.at(owners, which, self.ids[self.doc[keep]])
-        parts = (self.anchor[keep][first] % np.uint64(n_parts)).astype(np.int64)
+        parts = (self.anchor[keep][first] % np.uint64(n_parts)).astype(np.uint16 if n_parts < 1 << 16 else np.int64)
         return keep, which, owners, starts[first], ends[first], hashing.by_value(parts)
 
 
@@ -224,14 +224,15 @@ def suffix_order(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(data)
     key = hashing.eights(data, ">u8")[:n].astype(np.uint64)
     order = np.argsort(key)
-    rank, begins = np.empty(n, np.int64), None
-    places, length = np.arange(n), FIRST  # where the suffixes that are still compared stand in the order
+    small = np.int32 if n < 1 << 31 else np.int64
+    rank, begins = np.empty(n, small), None
+    places, length = np.arange(n, dtype=small), FIRST  # where the suffixes that are still compared stand in the order
     suffixes, key = order, key[order]
     while True:
         new = np.ones(len(places), bool)
         np.not_equal(key[1:], key[:-1], out=new[1:])
         begins = new if begins is None else begins
-        rank[suffixes] = np.maximum.accumulate(np.where(new, places, 0))
+        rank[suffixes] = np.maximum.accumulate(np.where(new, places, small(0)))
         places = places[~(new & np.append(new[1:], True))]
         if length >= depth or not len(places):
             return order, begins
@@ -246,6 +247,12 @@ def suffix_order(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         length *= 2
 
 
+def _with_neighbours(values: np.ndarray) -> np.ndarray:
+    """Whether a value equals one beside it."""
+    same = values[1:] == values[:-1]
+    return np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(values) else np.zeros(0, bool)
+
+
 def repeated_windows(data: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Start positions of repeated ``least``-symbol strings without separators, and where each class begins among them.
 
@@ -257,14 +264,19 @@ def repeated_windows(data: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarr
     before = data[order - 1]
     before[order == 0] = SEPARATOR
     small = np.int32 if n < 1 << 23 else np.int64
-    step = np.empty(n, small)  # from a suffix to the one with one symbol more in front
-    step[np.argsort(before, kind="stable")] = np.arange(n, dtype=small)
+    step = np.empty(n, small)  # from a suffix's rank to that of the one with one symbol more in front; suffixes may be tied beyond ``least``
+    step[order] = np.arange(n, dtype=small)
+    step = step[order - 1]
     if least >= FIRST:
         separators = np.concatenate([[0], np.cumsum(data == SEPARATOR)])
-        whole = separators[np.minimum(order + FIRST, n)] == separators[order]
-        several = ~(begins & np.append(begins[1:], True)) & whole & (order + FIRST <= n)
-        ranks = np.flatnonzero(several).astype(small)
-        interval = (np.cumsum(begins, dtype=small) - small(1))[several]
+        whole = separators[FIRST:] == separators[:-FIRST]  # of the strings of FIRST symbols, those without a separator,
+        stretch = np.maximum.accumulate(np.where(data == SEPARATOR, np.arange(n), -1))
+        fits = np.zeros(n, bool)
+        fits[: len(whole)] = whole & (np.arange(n) - stretch > least - FIRST)[: len(whole)]  # and with so many symbols before them
+        ranks = np.flatnonzero(fits[order]).astype(small)
+        interval = (np.cumsum(begins, dtype=small) - small(1))[ranks]
+        several = _with_neighbours(interval)
+        ranks, interval = ranks[several], interval[several]
     else:
         ranks, interval = np.arange(n, dtype=small), np.zeros(n, small)
     target_of = np.empty(n, small)
@@ -279,11 +291,11 @@ def repeated_windows(data: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarr
         marked[to] = True
         ranks = np.flatnonzero(marked).astype(small)
         marked[ranks] = False
+        # the transform keeps suffixes of one interval with one symbol before them together and in order
         key = target_of[ranks]
-        new = np.ones(len(ranks), bool)
-        new[1:] = (key[1:] != key[:-1]) | (ranks[1:] != ranks[:-1] + 1)
-        several = ~(new & np.append(new[1:], True)) if len(ranks) else new
-        ranks, interval = ranks[several], (np.cumsum(new, dtype=small) - small(1))[several]
+        several = _with_neighbours(key)
+        ranks, key = ranks[several], key[several]
+        interval = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]]), dtype=small) if len(ranks) else key
     begins = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]])) if len(ranks) else np.zeros(0, np.int64)
     return order[ranks], begins
 
