@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from difflib import SequenceMatcher
 from html.parser import HTMLParser
@@ -10,7 +11,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Where abstracts are found on publisher pages: meta names and division classes.
+# Where abstracts are found on publisher pages, meta names and division classes, in order.
 META_NAMES = ("citation_abstract", "description", "og:description")
 DIVISION_CLASSES = ("abstract", "article-abstract", "summary")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -58,9 +59,9 @@ def outline(markup: str | None) -> list[tuple[str, dict, str]]:
 def candidates(markup: str | None) -> list[str]:
     """Texts that may be a page's abstract, most telling kind first."""
     parts = outline(markup)
-    metas = [a.get("content") or "" for t, a, _ in parts if t == "meta" and (a.get("name") or a.get("property") or "").lower() in META_NAMES]
+    metas = [a.get("content") or "" for name in META_NAMES for t, a, _ in parts if t == "meta" and (a.get("name") or "").lower() == name]
     paragraphs = [x for t, _, x in parts if t == "p" and "abstract" in x.lower()]
-    divisions = [x for t, a, x in parts if t == "div" and set((a.get("class") or "").lower().split()) & set(DIVISION_CLASSES)]
+    divisions = [x for name in DIVISION_CLASSES for t, a, x in parts if t == "div" and name in (a.get("class") or "").lower().split()]
     return [x for x in [*metas, *paragraphs, *divisions, *(x for t, _, x in parts if t == "article"), *(x for t, _, x in parts if t == "span")] if x]
 
 
@@ -90,10 +91,67 @@ def abstract_candidates(markup: pd.Series) -> pd.Series:
     return markup.map(candidates)
 
 
+def page_record(markup: str | None) -> dict:
+    """A page as {page_content, extra_context}: its candidates as paragraphs, and the named metas (or the title) beside them."""
+    context = {}
+    for tag, attributes, text in outline(markup):
+        if tag == "meta" and attributes.get("name") and attributes.get("content"):
+            context.setdefault(attributes["name"].lower(), attributes["content"])
+        elif tag == "title" and text:
+            context.setdefault("title", text)
+    return {"page_content": "\n\n".join(dict.fromkeys(candidates(markup))), "extra_context": context or {"title": ""}}
+
+
+@F.pandas_udf(T.StructType([T.StructField("page_content", T.StringType()), T.StructField("extra_context", T.MapType(T.StringType(), T.StringType()))]))
+def page_records(markup: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([page_record(x) for x in markup], columns=["page_content", "extra_context"])
+
+
+# Letters by their Unicode names.
+LETTERS = {
+    "AE": "ae", "OE": "oe", "SHARP S": "ss", "ETH": "d", "THORN": "th", "DOTLESS I": "i", "DOTLESS J": "j", "ENG": "ng", "KRA": "q", "LONG S": "s",
+    "ALPHA": "a", "BETA": "b", "GAMMA": "g", "DELTA": "d", "EPSILON": "e", "ZETA": "z", "ETA": "e", "THETA": "th", "IOTA": "i", "KAPPA": "k",
+    "LAMDA": "l", "MU": "m", "NU": "n", "XI": "x", "OMICRON": "o", "PI": "p", "RHO": "r", "SIGMA": "s", "FINAL SIGMA": "s", "TAU": "t", "UPSILON": "u",
+    "PHI": "ph", "CHI": "kh", "PSI": "ps", "OMEGA": "o",
+    "A": "a", "BE": "b", "VE": "v", "GHE": "g", "DE": "d", "IE": "e", "ZHE": "zh", "ZE": "z", "I": "i", "SHORT I": "i", "KA": "k", "EL": "l", "EM": "m",
+    "EN": "n", "O": "o", "PE": "p", "ER": "r", "ES": "s", "TE": "t", "U": "u", "EF": "f", "HA": "kh", "TSE": "ts", "CHE": "ch", "SHA": "sh",
+    "SHCHA": "shch", "HARD SIGN": "", "YERU": "y", "SOFT SIGN": "", "E": "e", "YU": "yu", "YA": "ya", "IO": "io", "UKRAINIAN IE": "ie", "YI": "yi", "BYELORUSSIAN-UKRAINIAN I": "i",
+}
+LETTER_NAME = re.compile(r"(?:LATIN|GREEK|CYRILLIC) (SMALL|CAPITAL) (?:LETTER|LIGATURE) (.+?)(?: WITH .+)?")
+
+
+def ascii_of(character: str) -> str:
+    """ASCII form of one character: base letters without accents and strokes, spelled letters, plain dashes and quotes; nothing where there is none."""
+    plain = unicodedata.normalize("NFKD", character).encode("ascii", "ignore").decode()
+    if plain or character.isascii():
+        return plain
+    base = unicodedata.normalize("NFD", character)[0]
+    kind, name = unicodedata.category(base), unicodedata.name(base, "")
+    if found := LETTER_NAME.fullmatch(name):
+        spelled = LETTERS.get(found[2], found[2].lower() if len(found[2]) == 1 else "")
+        return spelled.capitalize() if found[1] == "CAPITAL" else spelled
+    if kind == "Pd":
+        return "--" if name == "EM DASH" else "-"
+    if kind in ("Pi", "Pf"):
+        return "'" if "SINGLE" in name else '"' if "QUOTATION MARK" in name and "DOUBLE" in name else "<<" if "LEFT" in name else ">>"
+    return {"EURO SIGN": "EUR", "BULLET": "*", "MIDDLE DOT": "*", "MULTIPLICATION SIGN": "x", "DEGREE SIGN": "deg"}.get(name, "")
+
+
+class _Ascii(dict):
+    """Code point -> ASCII form, found when first asked for."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = found = ascii_of(chr(code))
+        return found
+
+
+ASCII = _Ascii()
+
+
 @F.pandas_udf(T.StringType())
 def ascii_fold(text: pd.Series) -> pd.Series:
-    """ASCII form of a text: accents dropped, other characters left out."""
-    return text.map(lambda x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode(), na_action="ignore")
+    """ASCII form of a text."""
+    return text.map(lambda x: x if x.isascii() else x.translate(ASCII), na_action="ignore")
 
 
 #: Commands whose argument is the text, and accents, of LaTeX source.

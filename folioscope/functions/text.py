@@ -99,24 +99,34 @@ def edit_ratio(a: Column, b: Column) -> Column:
     return F.when(longest == 0, F.lit(100.0)).otherwise(F.round(100 * (1 - F.levenshtein(a, b) / longest), 2))
 
 
+def first_part(value: Column, separator: str = ",") -> Column:
+    """What stands before the first separator."""
+    return F.trim(F.split_part(value, F.lit(separator), F.lit(1)))
+
+
+def clamped(value: Column, low: float, factor: float = 1) -> Column:
+    """``value`` times ``factor``, ``low`` at least."""
+    return F.greatest(value * factor, F.lit(low))
+
+
 def safe_ratio(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.coalesce(F.round(F.try_divide(part, whole), digits), F.lit(0.0))
 
 
-#: Shapes of citations, tried in this order; the first group is the title.
+# Shapes of citations, tried in this order; the first group is the title.
 CITATIONS = (
-    r'"([^"]+)"',
-    r"\(\d{4}[a-z]?\)[.,]?\s*([^.]+)\.",
-    r"\b\d{4}[.,]\s*([^.]+)\.",
-    r"^[^.]+\.\s*([^.]+)\.",
-    r"^([^,]+),",
+    r"\(\d{4}\)\.\s*(.*?)\.\s*(?:[A-Z][a-z]+\s+)+",  # before a journal's capitalised words
+    r"\(\d{4}\)\.\s*(.*?)\.\s*(?:https?://|www\.|\[|$)",  # before an address, a note or the end
+    r"\(\d{4}\)\.\s*([A-Z\s]+)\.",  # all capitals
+    r"\(\d{4}\)\.\s*(.*?)\.",
+    r"\(in press\)\.\s*(.*?)\.",
 )
 
 
 def citation_title(value: Column) -> Column:
-    """Title of a citation: bracketed notes and addresses dropped, then the first shape that matches."""
+    """Title of a citation: bracketed notes and addresses dropped, then the first shape that matches; capitals are softened."""
     bare = F.regexp_replace(F.regexp_replace(value, r"\[[^\]]*\]", ""), r"https?://\S+", "")
-    return F.coalesce(*[F.nullif(F.trim(F.regexp_extract(bare, shape, 1)), F.lit("")) for shape in CITATIONS])
+    return soften_capitals(F.coalesce(*[F.nullif(F.trim(F.regexp_extract(bare, shape, 1)), F.lit("")) for shape in CITATIONS]))
 
 
 def tagged_abstract(record: Column) -> Column:

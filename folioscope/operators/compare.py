@@ -36,6 +36,29 @@ def fuzzy_semi_join(left: DataFrame, right: DataFrame, threshold: float = 0.8) -
     return l.withColumn("value", F.array_join("chars", "")).join(matched, "value", "left_semi").select("title")
 
 
+def best_match(left: DataFrame, right: DataFrame, block: str, value: str) -> DataFrame:
+    """(block, value, best, ratio): of each left value the most similar right value of its block; of equal ones the smallest.
+
+    Only one row per left value leaves a task: matches are reduced as they are made.
+    """
+    other = right.select(block, F.col(value).alias("best")).distinct()
+    scored = left.select(block, value).distinct().join(other, block).withColumn("ratio", text.edit_ratio(F.col(value), F.col("best")))
+    top = F.min_by(F.struct("best", "ratio"), F.struct((-F.col("ratio")).alias("r"), "best")).alias("top")
+    return scored.groupBy(block, value).agg(top).select(block, value, "top.best", "top.ratio")
+
+
+def longest(values: DataFrame, key: str, value: str, shape: str) -> DataFrame:
+    """(key, longest): the longest value, one of the given shape before all others; of equal ones the smallest."""
+    fits = F.col(value).rlike(shape)
+    return values.groupBy(key).agg(F.min_by(value, F.struct((~fits).alias("a"), (-F.length(value)).alias("b"), F.col(value).alias("c"))).alias("longest"))
+
+
+def same_text(left: DataFrame, right: DataFrame, value: str, key: str) -> DataFrame:
+    """``left`` with the ``key`` of the first right row whose cleaned text is equal."""
+    first = right.select(text.clean(F.col(value)).alias("_text"), F.col(key).alias("found")).groupBy("_text").agg(F.min("found").alias("found"))
+    return left.withColumn("_text", text.clean(F.col(value))).join(first, "_text", "left").drop("_text")
+
+
 def summary(sides: DataFrame) -> DataFrame:
     """Counts, shares in percent, and the share of the right side that is found."""
     counted = sides.agg(*[F.count_if(F.col("side") == s).alias(n) for s, n in (("both", "found"), ("left", "left"), ("right", "right"))])

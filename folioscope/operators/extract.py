@@ -97,8 +97,10 @@ def _affiliations() -> Column:
     return F.map_from_arrays(names, places)
 
 
+#: Of a record without categories: empty lists at every level.
+NO_CATEGORIES = "named_struct('top', CAST(array() AS array<string>), 'mid', CAST(array() AS array<string>), 'low', CAST(array() AS array<string>))"
 for _name, _path in {"categories": "categories", "themes": "themes"}.items():
-    extractor(_name)(lambda p=_path: F.coalesce(F.col(p), F.array().cast(_LABELS)) if p == "themes" else F.col(p))
+    extractor(_name)(lambda p=_path: F.coalesce(F.col(p), F.array().cast(_LABELS) if p == "themes" else F.expr(NO_CATEGORIES)))
 extractor("extra_context")(lambda: F.col("extra_context"))
 extractor("citations")(lambda: F.coalesce(F.col("is-referenced-by-count"), F.lit(0)))
 extractor("license")(lambda: F.nullif(F.get("license", 0)["URL"], F.lit("")))
@@ -134,6 +136,12 @@ def inject(works: DataFrame, results: DataFrame, key: str = "DOI") -> DataFrame:
     return kept.join(results.select(key, F.struct("top", "mid", "low").alias("categories"), "themes"), key, "left")
 
 
+def general_info(works: DataFrame, prefix: str = "https://doi.org/") -> DataFrame:
+    """(title, journal, citations, address): a record's general information, its key as an address."""
+    named = attributes(works, ["title", "journal", "citations", "doi"])
+    return named.select(F.get("title", 0).alias("title"), "journal", "citations", F.concat(F.lit(prefix), "doi").alias("address"))
+
+
 def flatten(df: DataFrame, separator: str = "_") -> DataFrame:
     """Nested structs as flat columns."""
 

@@ -40,7 +40,8 @@ def _upsert(old: DataFrame, new: DataFrame, key: str, gate_on: str, sums: list[s
 
 def merge_categories(old: DataFrame, new: DataFrame) -> DataFrame:
     """(_id, doi_list, faculty, tc_count), all other columns of either side, and counts; the citation average is over all articles."""
-    counts = {"article_count": "doi_list", "faculty_count": "faculty"}
+    titled = "titles" in {*old.columns, *new.columns}
+    counts = {"article_count": "titles" if titled else "doi_list", "faculty_count": "faculty"}
     if "departments" in {*old.columns, *new.columns}:
         counts["department_count"] = "departments"
     out = _upsert(old, new, "_id", "doi_list", ["tc_count"], [*counts, "citation_average"])
@@ -54,6 +55,19 @@ def merge_authors(old: DataFrame, new: DataFrame) -> DataFrame:
     return out.withColumn("average_citations", F.try_divide("total_citations", "article_count")) if averaged else out
 
 
+def merge_rows(old: DataFrame, old_members: DataFrame, new: DataFrame, new_members: DataFrame, gate: str, sums: list[str], key: str = "_id") -> tuple[DataFrame, DataFrame]:
+    """Merged (sums, members): as the merges above, with sets held as rows (key, kind, item).
+
+    A key of which some ``gate`` member is stored already stays as it is. No step holds a key's whole set.
+    """
+    stored = old_members.where(F.col("kind") == gate)
+    gated = new_members.where(F.col("kind") == gate).join(stored, [key, "kind", "item"], "left_semi").select(key).distinct()
+    fresh, fresh_members = new.join(gated, key, "left_anti"), new_members.join(gated, key, "left_anti")
+    both = old.unionByName(fresh, allowMissingColumns=True)
+    first = [F.first(c, ignorenulls=True).alias(c) for c in both.columns if c not in (key, *sums)]
+    return both.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums], *first), old_members.unionByName(fresh_members).distinct()
+
+
 def recount(df: DataFrame, counts: dict[str, str]) -> DataFrame:
     """Counts from the sizes of their sets."""
     return df.withColumns({c: F.size(s).cast("long") for c, s in counts.items()})

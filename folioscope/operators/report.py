@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 
 def list_sheet(df: DataFrame, key: str, items: str, name: str) -> DataFrame:
-    """(key, item) rows of a list column."""
-    return df.select(key, F.explode(items).alias(name))
+    """(key, item) rows of a list column; a null or empty list is one row with a null item."""
+    return df.select(key, F.explode_outer(items).alias(name))
 
 
 def map_sheet(df: DataFrame, key: str, items: str) -> DataFrame:
-    """(key, name, value) rows of a map column."""
-    return df.select(key, F.explode(items).alias("name", "value"))
+    """(key, name, value) rows of a map column; a null or empty map is one row with nulls."""
+    return df.select(key, F.explode_outer(items).alias("name", "value"))
 
 
 def joined_lists(df: DataFrame) -> DataFrame:
@@ -25,14 +25,20 @@ def joined_lists(df: DataFrame) -> DataFrame:
 def standard_scores(df: DataFrame, columns: list[str]) -> DataFrame:
     """``z_<column>``: distance from the mean in sample standard deviations.
 
-    Mean and deviation are one aggregated row; a window over the whole table would put it in one task.
+    Mean and deviation are one aggregated row that every row gets; a window over the whole table would put it in one task.
     """
-    moments = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("avg", F.avg), ("std", F.stddev_samp))]).first()
+    moments = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("avg", F.avg), ("std", F.stddev_samp))]
 
     def score(c: str) -> Column:
-        return F.round(F.try_divide(F.col(c) - F.lit(moments[f"avg_{c}"]), F.lit(moments[f"std_{c}"]).cast("double")), 6).alias(f"z_{c}")
+        return F.round(F.try_divide(F.col(c) - F.col(f"avg_{c}"), F.col(f"std_{c}")), 6).alias(f"z_{c}")
 
-    return df.select(*df.columns, *[score(c) for c in columns])
+    return _with_totals(df, moments).select(*df.columns, *[score(c) for c in columns])
+
+
+def _with_totals(df: DataFrame, totals: list[Column]) -> DataFrame:
+    """``df`` with one row of totals beside every row; that row is all that is broadcast."""
+    one = df.agg(*totals).withColumn("_one", F.lit(1))
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one").drop("_one")
 
 
 def summary_stats(df: DataFrame, value: str) -> DataFrame:
@@ -51,5 +57,4 @@ def first_sorted(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 def normalised(df: DataFrame, column: str) -> DataFrame:
     """``rel_<column>``: share of the column's total."""
-    total = df.agg(F.sum(column)).first()[0]
-    return df.withColumn(f"rel_{column}", F.try_divide(F.col(column), F.lit(total)))
+    return _with_totals(df, [F.sum(column).alias("_total")]).withColumn(f"rel_{column}", F.try_divide(F.col(column), F.col("_total"))).drop("_total")

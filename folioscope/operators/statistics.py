@@ -22,6 +22,25 @@ def category_stats(facts: DataFrame) -> DataFrame:
     )
 
 
+def members(facts: DataFrame, key: str, kinds: dict[str, str]) -> DataFrame:
+    """(key, kind, item), distinct: the sets of every key as rows; ``kinds`` names each set's column.
+
+    A key's sets can be a large share of the corpus, so they stay rows until a writer builds arrays.
+    """
+    pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("item")) for kind, c in kinds.items()])
+    return facts.select(key, F.explode(pairs).alias("m")).select(key, "m.kind", "m.item").where("item IS NOT NULL").distinct()
+
+
+def member_counts(rows: DataFrame, key: str, counts: dict[str, str]) -> DataFrame:
+    """(key, counts): sizes of the named sets."""
+    return rows.groupBy(key).agg(*[F.count_if(F.col("kind") == kind).alias(name) for name, kind in counts.items()])
+
+
+def as_arrays(rows: DataFrame, key: str, kinds: list[str]) -> DataFrame:
+    """(key, an array for each kind): the shape of stored records, for writers."""
+    return rows.groupBy(key).agg(*[F.array_sort(F.collect_set(F.when(F.col("kind") == k, F.col("item")))).alias(k) for k in kinds])
+
+
 def author_category_stats(facts: DataFrame, last_write: bool = False) -> DataFrame:
     """An author's citations and articles in a category: summed, or with ``last_write`` those of the last article alone."""
     each = facts.groupBy("category", "author", "doi").agg(F.max("tc").alias("tc"), F.max("ordinal").alias("ordinal"))

@@ -35,6 +35,26 @@ def _q01b(spark, sf):
     return statistics.category_stats(facts(spark, sf, "affiliation"))
 
 
+AUTHOR_KINDS = {"dois": "doi", "titles": "title", "categories": "category", "journals": "journal", "department_affiliations": "affiliation", "months": "month"}
+CATEGORY_KINDS = {"faculty": "author", "departments": "affiliation", "titles": "title", "doi_list": "doi", "journals": "journal"}
+
+
+def members_sql(key: str, kinds: dict[str, str]) -> str:
+    """The sets of every key as rows."""
+    return WITH + " UNION ".join(f"SELECT {key}, '{k}' AS kind, CAST({c} AS VARCHAR) AS item FROM facts" for k, c in kinds.items())
+
+
+@query("q01c_category_sets", members_sql("category", CATEGORY_KINDS))
+def _q01c(spark, sf):
+    return statistics.members(facts(spark, sf), "category", CATEGORY_KINDS)
+
+
+@query("q02b_citation_maps", WITH + " SELECT category, author, doi, max(tc) AS tc FROM facts GROUP BY 1, 2, 3")
+def _q02b(spark, sf):
+    """The citation map of every author in every category, as rows."""
+    return facts(spark, sf).groupBy("category", "author", "doi").agg(F.max("tc").alias("tc"))
+
+
 @query("q02_author_category_stats", WITH + "SELECT category, author, CAST(sum(tc) AS BIGINT) AS total_citations, count(*) AS article_count, round(sum(tc) / count(*), 6) AS average_citations FROM facts GROUP BY 1, 2")
 def _q02(spark, sf):
     return statistics.author_category_stats(facts(spark, sf))
@@ -50,6 +70,11 @@ def _q04(spark, sf):
     return statistics.author_stats(facts(spark, sf)).withColumns({"categories": joined("categories"), "journals": joined("journals")})
 
 
+@query("q04b_author_sets", members_sql("author", AUTHOR_KINDS))
+def _q04b(spark, sf):
+    return statistics.members(facts(spark, sf), "author", AUTHOR_KINDS)
+
+
 @query("q05_article_category", WITH + "SELECT category, doi, max(title) AS title, max(tc) AS tc, max(journal) AS journal, string_agg(DISTINCT author, '|' ORDER BY author) AS authors, string_agg(DISTINCT affiliation, '|' ORDER BY affiliation) AS affiliations FROM facts GROUP BY 1, 2")
 def _q05(spark, sf):
     return statistics.article_category(facts(spark, sf)).withColumns({"authors": joined("authors"), "affiliations": joined("affiliations")})
@@ -202,17 +227,9 @@ def _q36(spark, sf):
     return report.log_histogram(citations(spark, sf), "tc", 0.0, 3.0)
 
 
-@query("q37_pivot_matrix", WITH + ", t AS (SELECT DISTINCT doi, top FROM ships), e AS (SELECT a.top AS src, b.top AS dst, count(*) AS weight FROM t a JOIN t b ON a.doi = b.doi AND a.top <> b.top GROUP BY 1, 2) SELECT src, CAST(sum(weight) FILTER (dst = 'AFRICA') AS BIGINT) AS \"AFRICA\", CAST(sum(weight) FILTER (dst = 'ASIA') AS BIGINT) AS \"ASIA\", CAST(sum(weight) FILTER (dst = 'EUROPE') AS BIGINT) AS \"EUROPE\" FROM e GROUP BY 1")
+@query("q37_pivot_matrix", WITH + ", t AS (SELECT DISTINCT doi, top FROM ships), e AS (SELECT a.top AS src, b.top AS dst, count(*) AS weight FROM t a JOIN t b ON a.doi = b.doi AND a.top <> b.top GROUP BY 1, 2) SELECT src, CAST(sum(weight) FILTER (dst = 'AFRICA') AS BIGINT) AS \"AFRICA\", CAST(sum(weight) FILTER (dst = 'ASIA') AS BIGINT) AS \"ASIA\", CAST(sum(weight) FILTER (dst = 'EUROPE') AS BIGINT) AS \"EUROPE\", CAST(sum(weight) FILTER (dst = 'AMERICA') AS BIGINT) AS \"AMERICA\", CAST(sum(weight) FILTER (dst = 'MIDDLE EAST') AS BIGINT) AS \"MIDDLE EAST\" FROM e GROUP BY 1")
 def _q37(spark, sf):
-    return graph.matrix(graph.coauthor_edges(authorships(spark, sf), member="top"), ["AFRICA", "ASIA", "EUROPE"])
-
-
-def _slice(spark, sf, condition: str) -> DataFrame:
-    return batches.batch_categories(facts(spark, sf).where(condition))
-
-
-def _shown(df: DataFrame, *lists: str) -> DataFrame:
-    return df.withColumns({c: F.array_join(F.transform(c, lambda x: x.cast("string")), "|") for c in lists})
+    return graph.matrix(graph.coauthor_edges(authorships(spark, sf), member="top"), ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"])
 
 
 MERGED_SQL = WITH + """, s AS (SELECT category, month {cond} AS early, doi, tc, author FROM facts),
@@ -222,21 +239,36 @@ t AS (SELECT _id, CAST(sum(tc) AS BIGINT) AS tc_count FROM a GROUP BY 1)
 SELECT _id, faculty, tc_count, article_count, faculty_count, round(tc_count / article_count, 6) AS citation_average FROM k JOIN t USING (_id)"""
 
 
+EARLY, LATE = "month < '1996-01'", "month >= '1996-01'"
+
+
+def _with_text(categories: DataFrame) -> DataFrame:
+    return categories.withColumn("faculty", joined("faculty"))
+
+
 @query("q38_merge_categories", MERGED_SQL.format(cond="< '1996-01'"))
 def _q38(spark, sf):
-    merged = merge.merge_categories(_slice(spark, sf, "month < '1996-01'"), _slice(spark, sf, "month >= '1996-01'"))
-    return _shown(merged, "faculty").drop("doi_list")
+    return _with_text(batches.merged(facts(spark, sf), [EARLY, LATE]))
 
 
-def _author_rows(spark, sf, condition: str) -> DataFrame:
-    each = facts(spark, sf).where(condition)
-    return each.groupBy(F.col("author").alias("_id")).agg(F.array_sort(F.collect_set("doi")).alias("dois"), F.array_sort(F.collect_set("category")).alias("categories"), F.sum("tc").alias("total_citations"))
+def _author_rows(spark, sf, condition: str) -> tuple[DataFrame, DataFrame]:
+    """(sums, members) of the authors in a slice of the facts."""
+    part = facts(spark, sf).where(condition)
+    sums = part.groupBy(F.col("author").alias("_id")).agg(F.sum("tc").alias("total_citations"))
+    return sums, statistics.members(part, "author", AUTHOR_KINDS).withColumnRenamed("author", "_id")
 
 
 @query("q39_merge_authors", WITH + "SELECT author AS _id, string_agg(DISTINCT category, '|' ORDER BY category) AS categories, CAST(sum(tc) AS BIGINT) AS total_citations, count(*) AS article_count FROM facts GROUP BY 1")
 def _q39(spark, sf):
-    merged = merge.merge_authors(_author_rows(spark, sf, "month < '1996-01'"), _author_rows(spark, sf, "month >= '1996-01'"))
-    return _shown(merged, "categories").drop("dois")
+    sums, members = merge.merge_rows(*_author_rows(spark, sf, EARLY), *_author_rows(spark, sf, LATE), gate="dois", sums=["total_citations"])
+    counts = statistics.member_counts(members, "_id", {"article_count": "dois"})
+    kinds = statistics.as_arrays(members.where("kind = 'categories'"), "_id", ["categories"])
+    return sums.join(counts, "_id").join(kinds, "_id").withColumn("categories", joined("categories"))
+
+
+@query("q39b_merged_author_sets", members_sql("author AS _id", AUTHOR_KINDS))
+def _q39b(spark, sf):
+    return merge.merge_rows(*_author_rows(spark, sf, EARLY), *_author_rows(spark, sf, LATE), gate="dois", sums=["total_citations"])[1]
 
 
 @query("q40_insert_ignore", "SELECT o_orderkey AS _id, o_orderdate < TIMESTAMP '1996-01-01' AS stored, o_orderkey AS ordinal FROM orders")
@@ -249,21 +281,19 @@ def _q40(spark, sf):
 
 @query("q41_replay_noop", MERGED_SQL.format(cond="< '1996-01'"))
 def _q41(spark, sf):
-    new = _slice(spark, sf, "month >= '1996-01'")
-    merged = merge.merge_categories(_slice(spark, sf, "month < '1996-01'"), new)
-    return _shown(merge.merge_categories(merged, new), "faculty").drop("doi_list")
+    return _with_text(batches.merged(facts(spark, sf), [EARLY, LATE, LATE]))
 
 
 @query("q47_list_sheet", WITH + "SELECT DISTINCT category, author FROM facts")
 def _q47(spark, sf):
-    return report.list_sheet(facts(spark, sf).groupBy("category").agg(F.collect_set("author").alias("faculty")), "category", "faculty", "author")
+    return report.list_sheet(statistics.article_category(facts(spark, sf)), "category", "authors", "author").distinct()
 
 
 @query("q48_map_sheet", WITH + "SELECT category, author, count(*) AS articles FROM facts GROUP BY 1, 2")
 def _q48(spark, sf):
-    counted = facts(spark, sf).groupBy("category", "author").agg(F.count("*").alias("articles"))
-    maps = counted.groupBy("category").agg(F.map_from_entries(F.collect_list(F.struct("author", "articles"))).alias("m"))
-    return report.map_sheet(maps, "category", "m").toDF("category", "author", "articles")
+    """Maps of each article's authors, as rows, then summed."""
+    maps = facts(spark, sf).groupBy("category", "doi").agg(F.map_from_entries(F.collect_set(F.struct("author", F.lit(1).cast("long")))).alias("m"))
+    return report.map_sheet(maps, "category", "m").groupBy("category", F.col("name").alias("author")).agg(F.sum("value").alias("articles"))
 
 
 @query("q49_name_block_groups", "SELECT lower(split_part(p_name, ' ', -1)) || '|' || lower(substr(p_name, 1, 1)) AS key, count(*) AS n, count(DISTINCT p_brand) AS brands FROM part GROUP BY 1 HAVING count(*) >= 2")
@@ -274,9 +304,9 @@ def _q49(spark, sf):
 
 @query("q50_classify_flatten", WITH + "SELECT top AS key, CAST('' AS VARCHAR) AS parent, top AS label, 'top' AS level FROM people GROUP BY 1 UNION ALL SELECT top, top, affiliation, 'mid' FROM people GROUP BY top, affiliation UNION ALL SELECT top, top || '/' || affiliation, author, 'low' FROM people")
 def _q50(spark, sf):
-    mids = _dimension(spark, sf).groupBy("top", "mid").agg(F.collect_list("low").alias("lows"))
-    tree = mids.groupBy("top").agg(F.map_from_entries(F.collect_list(F.struct("mid", "lows"))).alias("m")).select(F.col("top").alias("key"), F.create_map("top", "m").alias("tree"))
-    return classify.label_rows(tree, "key", F.col("tree"))
+    """A small tree per lowest label; what several trees have in common is one row."""
+    tree = _dimension(spark, sf).select(F.col("top").alias("key"), F.create_map("top", F.create_map("mid", F.array("low"))).alias("tree"))
+    return classify.label_rows(tree, "key", F.col("tree")).distinct()
 
 
 @query("q52_month_micro_batches", MERGED_SQL.format(cond="< '1996-01'"))
@@ -284,7 +314,7 @@ def _q52(spark, sf):
     from folioscope.plans.storage import shared_folder
 
     yearly = facts(spark, sf).select(F.substring("month", 1, 4).alias("month"), "category", "doi", "author", "tc")
-    return _shown(batches.merged_by_month(spark, yearly, shared_folder(spark)), "faculty").drop("doi_list")
+    return _with_text(batches.merged_by_month(spark, yearly, shared_folder(spark)))
 
 
 @query("q54_drop_null_columns", "SELECT s_suppkey, s_name FROM supplier")
@@ -302,6 +332,21 @@ def _q56(spark, sf):
     return facts(spark, sf).where("tc > 150").select("doi", "tc", "title").distinct()
 
 
+@query("q76_general_info", "SELECT o_orderkey, 'Article ' || CAST(o_orderkey AS VARCHAR) AS title, o_orderpriority AS journal, CAST(o_orderkey % 7 AS BIGINT) AS citations, 'https://doi.org/' || CAST(o_orderkey AS VARCHAR) AS address FROM orders")
+def _q76(spark, sf):
+    key = F.col("o_orderkey").cast("string")
+    works = table(spark, sf, "orders").select(
+        F.array(F.concat(F.lit("Article "), key)).alias("title"), F.array("o_orderpriority").alias("container-title"), (F.col("o_orderkey") % 7).cast("long").alias("is-referenced-by-count"), key.alias("DOI")
+    )
+    return extract.general_info(works).withColumn("o_orderkey", F.regexp_extract("address", r"(\d+)$", 1).cast("long"))
+
+
+@query("q77_results_with_taxonomy", "WITH " + FACTS_SQL + "SELECT doi, top, affiliation AS mid, author AS low FROM ships")
+def _q77(spark, sf):
+    """Classification results joined to their taxonomy paths."""
+    return authorships(spark, sf).select("doi", F.col("author").alias("low")).join(_dimension(spark, sf), "low").select("doi", "top", "mid", "low")
+
+
 @query("q57_roster_departments", WITH + "SELECT author, string_agg(DISTINCT affiliation, '|' ORDER BY affiliation) AS departments, count(DISTINCT affiliation) AS n FROM people GROUP BY 1")
 def _q57(spark, sf):
     rosters = authors(spark, sf).groupBy("author").agg(F.array_sort(F.collect_set("affiliation")).alias("d"))

@@ -6,16 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions import markup, minhash, text
-from folioscope.operators import classify, compare, names
+from folioscope.operators import classify, compare, names, report
 from folioscope.plans.catalogue import query
 from folioscope.plans.frames import table
 from folioscope.sources import readers
 
 #: Distinct character trigrams in SQL; shorter texts are their own only one.
 GRAMS_SQL = "CASE WHEN length({v}) >= 3 THEN list_distinct(list_transform(range(1, length({v}) - 1), lambda i: substring({v}, i, 3))) WHEN length({v}) > 0 THEN [{v}] ELSE [] END"
-COUNT = 20
-#: Hashes of the operator's own default, which the b queries and q21c use.
-FULL_COUNT = 100
+#: Hashes of a signature, the operator's default.
+COUNT = 100
 
 
 @query("q16_ngrams", f"SELECT p_partkey, array_to_string(list_sort({GRAMS_SQL.format(v='p_name')}), '|') AS grams FROM part")
@@ -23,38 +22,38 @@ def _q16(spark, sf):
     return table(spark, sf, "part").select("p_partkey", F.array_join(F.array_sort(text.ngrams(F.col("p_name"), 3)), "|").alias("grams"))
 
 
-def _signature_sql(count: int = COUNT) -> str:
-    cells = ", ".join(f"list_min(list_transform(xs, lambda x: (x * {a} + {b}) % {minhash.PRIME}))" for a, b in minhash.coefficients(count))
-    numbers = f"list_transform({GRAMS_SQL.format(v='p_name')}, lambda g: CAST('0x' || substr(md5(g), 1, 8) AS BIGINT) % {minhash.PRIME})"
+def _signature_sql(column: str) -> str:
+    cells = ", ".join(f"list_min(list_transform(xs, lambda x: (x * {a} + {b}) % {minhash.PRIME}))" for a, b in minhash.coefficients(COUNT))
+    numbers = f"list_transform({GRAMS_SQL.format(v=column)}, lambda g: CAST('0x' || substr(md5(g), 1, 8) AS BIGINT) % {minhash.PRIME})"
     return f"sig AS (SELECT p_partkey, [{cells}] AS s FROM (SELECT p_partkey, {numbers} AS xs FROM part))"
 
 
-def _signatures(spark, sf, count: int = COUNT) -> DataFrame:
-    return table(spark, sf, "part").select("p_partkey", minhash.signature(text.ngrams(F.col("p_name"), 3), count).alias("s"))
+def _signatures(spark, sf, column: str) -> DataFrame:
+    return table(spark, sf, "part").select("p_partkey", minhash.signature(text.ngrams(F.col(column), 3), COUNT).alias("s"))
 
 
-@query("q17_minhash_signature", f"WITH {_signature_sql()} SELECT p_partkey, array_to_string(s, ',') AS signature FROM sig")
+@query("q17_minhash_signature", f"WITH {_signature_sql('p_type')} SELECT p_partkey, array_to_string(s, ',') AS signature FROM sig")
 def _q17(spark, sf):
-    return _joined(_signatures(spark, sf))
+    return _joined(_signatures(spark, sf, "p_type"))
 
 
-@query("q17b_minhash_signature_full", f"WITH {_signature_sql(FULL_COUNT)} SELECT p_partkey, array_to_string(s, ',') AS signature FROM sig")
+@query("q17b_minhash_signature_full", f"WITH {_signature_sql('p_name')} SELECT p_partkey, array_to_string(s, ',') AS signature FROM sig")
 def _q17b(spark, sf):
-    return _joined(_signatures(spark, sf, FULL_COUNT))
+    return _joined(_signatures(spark, sf, "p_name"))
 
 
 def _joined(signed: DataFrame) -> DataFrame:
     return signed.select("p_partkey", F.array_join(F.transform("s", lambda x: x.cast("string")), ",").alias("signature"))
 
 
-@query("q18_signature_similarity", f"WITH {_signature_sql()} SELECT a.p_partkey, len(list_filter(list_zip(a.s, b.s), lambda z: z[1] = z[2])) / {COUNT} AS similarity FROM sig a JOIN sig b ON b.p_partkey = a.p_partkey + 1")
+@query("q18_signature_similarity", f"WITH {_signature_sql('p_type')} SELECT a.p_partkey, len(list_filter(list_zip(a.s, b.s), lambda z: z[1] = z[2])) / {COUNT} AS similarity FROM sig a JOIN sig b ON b.p_partkey = a.p_partkey + 1")
 def _q18(spark, sf):
-    return _to_next(_signatures(spark, sf))
+    return _to_next(_signatures(spark, sf, "p_type"))
 
 
-@query("q18b_signature_similarity_full", f"WITH {_signature_sql(FULL_COUNT)} SELECT a.p_partkey, len(list_filter(list_zip(a.s, b.s), lambda z: z[1] = z[2])) / {FULL_COUNT} AS similarity FROM sig a JOIN sig b ON b.p_partkey = a.p_partkey + 1")
+@query("q18b_signature_similarity_full", f"WITH {_signature_sql('p_name')} SELECT a.p_partkey, len(list_filter(list_zip(a.s, b.s), lambda z: z[1] = z[2])) / {COUNT} AS similarity FROM sig a JOIN sig b ON b.p_partkey = a.p_partkey + 1")
 def _q18b(spark, sf):
-    return _to_next(_signatures(spark, sf, FULL_COUNT))
+    return _to_next(_signatures(spark, sf, "p_name"))
 
 
 def _to_next(signed: DataFrame) -> DataFrame:
@@ -111,23 +110,25 @@ def _q21c(spark, sf):
     return names.minhash_pairs(_values(spark, sf))
 
 
-REGULAR_SQL = r"regexp_replace(lower(substr(text, 1, 60)), '[^\p{L}\p{N}_]+', '', 'g')"
+#: Whole texts, regularised. Sides are by language here, by source further down.
+REGULAR_SQL = r"regexp_replace(lower(text), '[^\p{L}\p{N}_]+', '', 'g')"
+ENGLISH, OTHERS = "lang = 'en'", "(lang <> 'en' OR lang IS NULL)"
 
 
 def _titles(spark, sf, condition: str) -> DataFrame:
-    return table(spark, sf, "documents").where(condition).select(F.substring("text", 1, 60).alias("title"))
+    return table(spark, sf, "documents").where(condition).select(F.col("text").alias("title"))
 
 
 @query("q23_regularise", f"SELECT doc_id, {REGULAR_SQL} AS title FROM documents")
 def _q23(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.regularise(F.substring("text", 1, 60)).alias("title"))
+    return table(spark, sf, "documents").select("doc_id", text.regularise(F.col("text")).alias("title"))
 
 
-SIDES_SQL = f"l AS (SELECT DISTINCT {REGULAR_SQL} AS title FROM documents WHERE doc_id % 2 = 0), r AS (SELECT DISTINCT {REGULAR_SQL} AS title FROM documents WHERE doc_id % 2 = 1), s AS (SELECT coalesce(l.title, r.title) AS title, CASE WHEN l.title IS NOT NULL AND r.title IS NOT NULL THEN 'both' WHEN r.title IS NULL THEN 'left' ELSE 'right' END AS side FROM l FULL JOIN r ON l.title = r.title WHERE coalesce(l.title, r.title) <> '')"
+SIDES_SQL = f"l AS (SELECT DISTINCT {REGULAR_SQL} AS title FROM documents WHERE {ENGLISH}), r AS (SELECT DISTINCT {REGULAR_SQL} AS title FROM documents WHERE {OTHERS}), s AS (SELECT coalesce(l.title, r.title) AS title, CASE WHEN l.title IS NOT NULL AND r.title IS NOT NULL THEN 'both' WHEN r.title IS NULL THEN 'left' ELSE 'right' END AS side FROM l FULL JOIN r ON l.title = r.title WHERE coalesce(l.title, r.title) <> '')"
 
 
 def _sides(spark, sf) -> DataFrame:
-    return compare.compare(compare.regularised(_titles(spark, sf, "doc_id % 2 = 0")), compare.regularised(_titles(spark, sf, "doc_id % 2 = 1")))
+    return compare.compare(compare.regularised(_titles(spark, sf, ENGLISH)), compare.regularised(_titles(spark, sf, OTHERS)))
 
 
 @query("q24_set_compare", f"WITH {SIDES_SQL} SELECT title, side FROM s")
@@ -147,8 +148,8 @@ def _q26(spark, sf):
     return compare.summary(_sides(spark, sf))
 
 
-#: The whole text, and sides by source; documents without one are on the right.
-WHOLE_SQL = r"regexp_replace(lower(text), '[^\p{L}\p{N}_]+', '', 'g')"
+#: Sides by source; documents without one are on the right.
+WHOLE_SQL = REGULAR_SQL
 LEFT, RIGHT = "source < 'src2'", "(source >= 'src2' OR source IS NULL)"
 
 
@@ -175,11 +176,11 @@ def _q26b(spark, sf):
     return compare.summary(_whole_sides(spark, sf))
 
 
-@query("q27_citation_title", "SELECT p_partkey, p_name AS title FROM part")
+@query("q27_citation_title", "SELECT p_partkey, CASE WHEN p_partkey % 5 = 2 THEN array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') ELSE p_name END AS title FROM part")
 def _q27(spark, sf):
-    k = F.col("p_partkey") % 3
-    quoted, dated, plain = F.concat(F.lit('Doe, J. "'), "p_name", F.lit('", Journal [x]')), F.concat(F.lit("Doe, J. (2019). "), "p_name", F.lit(". https://x.org/a")), F.concat("p_name", F.lit(", Journal of Parts"))
-    citation = F.when(k == 0, quoted).when(k == 1, dated).otherwise(plain)
+    """One shape of citation for each remainder: journal, address, capitals, plain, in press."""
+    shapes = [("(2019). ", "p_name", ". Journal Of Parts 3(2) [note]"), ("(2019). ", "p_name", ". https://x.org/a"), ("(2019). ", F.upper("p_name"), ". 12 pages"), ("(2019). ", "p_name", ". 12 pages"), ("(in press). ", "p_name", ". Parts")]
+    citation = F.element_at(F.array(*[F.concat(F.lit("Doe, J. " + before), name, F.lit(after)) for before, name, after in shapes]), (F.col("p_partkey") % 5 + 1).cast("int"))
     return table(spark, sf, "part").select("p_partkey", text.citation_title(citation).alias("title"))
 
 
@@ -212,12 +213,22 @@ def _q46(spark, sf):
     return table(spark, sf, "events").select("event_id", F.size(keys).cast("long").alias("n_keys"), F.array_join(F.array_sort(keys), "|").alias("keys"))
 
 
+class Forgetful(classify.KeywordClient):
+    """Answers with a label that doesn't exist until it is told so; for texts that begin with a vowel it never learns."""
+
+    def choose(self, text, level, parent, options, banned):
+        if not banned or text[:1].lower() in "aeiou":
+            return [f"no such {level}"]
+        return super().choose(text, level, parent, options, banned)
+
+
 @query("q51_validate_retry")
 def _q51(spark, sf):
+    """Every choice is refused once and asked for again; documents that never get a valid one come back with their error."""
     tree = {"Common words": {"English": ["the and of", "is are was"], "French": ["le la les", "de du des"]}, "Other words": {"German": ["der die das"], "Spanish": ["el los las"]}}
-    done = classify.classify(table(spark, sf, "documents").select("doc_id", "text"), "text", tree)
+    done = classify.classify(table(spark, sf, "documents").select("doc_id", "text"), "text", tree, Forgetful)
     lists = {c: F.array_join(f"classification.{c}", "|") for c in ("top", "mid", "low", "themes")}
-    return done.where("classification.error IS NULL").select("doc_id", *[e.alias(c) for c, e in lists.items()])
+    return done.select("doc_id", "classification.error", *[e.alias(c) for c, e in lists.items()])
 
 
 @query("q53_section_fill", "WITH l AS (SELECT conv_id AS doc, turn AS line, CASE WHEN turn % 3 = 0 THEN 'part ' || turn ELSE NULL END AS own, role || ' ' || turn AS citation FROM conversations) SELECT doc, line, section, citation, CAST(line AS VARCHAR) AS total FROM (SELECT *, last_value(own IGNORE NULLS) OVER (PARTITION BY doc ORDER BY line) AS section FROM l) WHERE own IS NULL")
@@ -256,3 +267,80 @@ def _q62(spark, sf):
 @query("q63_match_ratio")
 def _q63(spark, sf):
     return table(spark, sf, "part").select("p_partkey", markup.match_ratio(F.col("p_name"), F.col("p_type")).alias("ratio"))
+
+
+BEST_SQL = "round(100 * (1 - levenshtein(t.v, m.v) / greatest(length(t.v), length(m.v))), 2)"
+
+
+@query("q64_best_match", f"WITH t AS (SELECT DISTINCT p_brand AS b, p_type AS v FROM part), m AS (SELECT DISTINCT p_brand AS b, p_name AS v FROM part) SELECT t.b AS block, t.v AS value, m.v AS best, {BEST_SQL} AS ratio FROM t JOIN m USING (b) QUALIFY row_number() OVER (PARTITION BY t.b, t.v ORDER BY {BEST_SQL} DESC, m.v) = 1")
+def _q64(spark, sf):
+    part = table(spark, sf, "part")
+    left, right = (part.select(F.col("p_brand").alias("block"), F.col(c).alias("value")) for c in ("p_type", "p_name"))
+    return compare.best_match(left, right, "block", "value")
+
+
+@query("q65_longest_name", "SELECT p_brand AS brand, p_name AS longest FROM (SELECT DISTINCT p_brand, p_name FROM part) QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY NOT regexp_matches(p_name, '^[a-m]'), length(p_name) DESC, p_name) = 1")
+def _q65(spark, sf):
+    return compare.longest(table(spark, sf, "part").withColumnRenamed("p_brand", "brand"), "brand", "p_name", "^[a-m]")
+
+
+@query("q66_shape_filter", "SELECT p_partkey FROM part WHERE regexp_matches(p_name, '^[a-z]+ [a-z]*ing?[a-z]*$') AND p_type <> 'ECONOMY'")
+def _q66(spark, sf):
+    return table(spark, sf, "part").where(F.col("p_name").rlike("^[a-z]+ [a-z]*ing?[a-z]*$") & (F.col("p_type") != "ECONOMY")).select("p_partkey")
+
+
+@query("q67_contains_not_equal", "SELECT s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE contains(n_name, 'NATION_1') AND n_name <> 'NATION_1'")
+def _q67(spark, sf):
+    both = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    return both.where(F.contains("n_name", F.lit("NATION_1")) & (F.col("n_name") != "NATION_1")).select("s_suppkey")
+
+
+@query("q68_large_groups_first", "SELECT p_brand AS brand, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 3 ORDER BY n DESC, brand LIMIT 20")
+def _q68(spark, sf):
+    sizes = table(spark, sf, "part").groupBy(F.col("p_brand").alias("brand")).agg(F.count("*").alias("n"))
+    return report.first_sorted(sizes.where("n > 3"), 20, F.desc("n"), F.col("brand"))
+
+
+@query("q69_same_text", r"WITH d AS (SELECT doc_id, trim(regexp_replace(regexp_replace(lower(text), '[!-/:-@\[-`{-~]', '', 'g'), '[ \t\n\r\f\v]+', ' ', 'g')) AS c FROM documents), f AS (SELECT c, min(doc_id) AS found FROM d GROUP BY 1) SELECT doc_id, found FROM d LEFT JOIN f USING (c)")
+def _q69(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return compare.same_text(docs, docs, "text", "doc_id").select("doc_id", "found")
+
+
+@query("q70_lookup_with_default", "SELECT doc_id, coalesce(CAST(quality AS VARCHAR), 'none') AS quality FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) USING (doc_id)")
+def _q70(spark, sf):
+    known = table(spark, sf, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    return table(spark, sf, "documents").select("doc_id").join(known, "doc_id", "left").select("doc_id", F.coalesce(F.col("quality").cast("string"), F.lit("none")).alias("quality"))
+
+
+@query("q71_first_part_clamped", "SELECT page_id, trim(split_part(url, '/', 3)) AS host, greatest(length(url) * 10, 200) AS size FROM pages")
+def _q71(spark, sf):
+    host = F.trim(F.split_part("url", F.lit("/"), F.lit(3)))
+    return table(spark, sf, "pages").select("page_id", text.first_part(F.concat(host, F.lit(",x"))).alias("host"), text.clamped(F.length("url"), 200, 10).cast("long").alias("size"))
+
+
+@query("q72_extracted_list", "SELECT lang, count(*) AS n, count(DISTINCT text) AS distinct_texts FROM documents WHERE text IS NOT NULL GROUP BY 1")
+def _q72(spark, sf):
+    texts = table(spark, sf, "documents").where("text IS NOT NULL")
+    return texts.groupBy("lang").agg(F.count("*").alias("n"), F.countDistinct("text").alias("distinct_texts"))
+
+
+@query("q73_match_counters", "SELECT p_brand AS brand, count(*) FILTER (p_partkey % 3 = 0) AS matched, count(*) FILTER (p_partkey % 3 <> 0) AS unmatched FROM part GROUP BY 1")
+def _q73(spark, sf):
+    """Citations with and without a recognisable title."""
+    citation = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("Doe, J. (2019). "), "p_name", F.lit(". Parts"))).otherwise(F.concat("p_name", F.lit(", no year")))
+    found = table(spark, sf, "part").select(F.col("p_brand").alias("brand"), text.citation_title(citation).alias("title"))
+    return found.groupBy("brand").agg(F.count_if(F.col("title").isNotNull()).alias("matched"), F.count_if(F.col("title").isNull()).alias("unmatched"))
+
+
+@query("q74_warning_counts", "SELECT warning, count(*) AS n FROM (SELECT 'no text' AS warning FROM documents WHERE text IS NULL OR text = '' UNION ALL SELECT 'no source' FROM documents WHERE source IS NULL UNION ALL SELECT 'no language' FROM documents WHERE lang IS NULL) GROUP BY 1")
+def _q74(spark, sf):
+    kinds = {"no text": F.coalesce(F.col("text") == "", F.lit(True)), "no source": F.col("source").isNull(), "no language": F.col("lang").isNull()}
+    found = F.filter(F.array(*[F.when(c, F.lit(k)) for k, c in kinds.items()]), lambda x: x.isNotNull())
+    return table(spark, sf, "documents").select(F.explode(found).alias("warning")).groupBy("warning").agg(F.count("*").alias("n"))
+
+
+@query("q75_page_records")
+def _q75(spark, sf):
+    found = table(spark, sf, "pages").select("page_id", markup.page_records(F.col("html")).alias("r"))
+    return found.select("page_id", "r.page_content", F.to_json("r.extra_context").alias("extra_context"))

@@ -25,9 +25,11 @@ def months(start: str, end: str) -> list[Month]:
     return [Month(n // 12, n % 12 + 1) for n in range(y0 * 12 + m0 - 1, y1 * 12 + m1)]
 
 
-def page_url(base: str, part: Month, cursor: str, affiliation: str | None, rows: int) -> str:
+def page_url(base: str, part: Month, cursor: str, affiliation: str | None, rows: int, has_abstract: bool = False) -> str:
     last = calendar.monthrange(part.year, part.month)[1]
     wanted = f"from-pub-date:{part.year}-{part.month:02d}-01,until-pub-date:{part.year}-{part.month:02d}-{last}"
+    if has_abstract:
+        wanted += ",has-abstract:true"
     query = {"filter": wanted, "rows": rows, "cursor": cursor, "sort": "published", "order": "asc"}
     if affiliation:
         query["query.affiliation"] = affiliation
@@ -47,11 +49,11 @@ def fetch(url: str, retries: int = 5, wait: float = 3.0, opener=urllib.request.u
     raise AssertionError("unreachable")
 
 
-def pages(base: str, part: Month, affiliation: str | None, rows: int, get=fetch):
+def pages(base: str, part: Month, affiliation: str | None, rows: int, get=fetch, has_abstract: bool = False):
     """Every item of a month: cursors are followed until a page is empty."""
     cursor = "*"
     while True:
-        message = get(page_url(base, part, cursor, affiliation, rows))["message"]
+        message = get(page_url(base, part, cursor, affiliation, rows, has_abstract))["message"]
         yield from message["items"]
         if not message["items"] or not message.get("next-cursor"):
             return
@@ -66,7 +68,7 @@ class WorksReader(DataSourceReader):
         return months(self.options["from"], self.options["until"])
 
     def read(self, partition: Month):
-        for item in pages(self.options["url"], partition, self.options.get("affiliation"), int(self.options.get("rows", 1000))):
+        for item in pages(self.options["url"], partition, self.options.get("affiliation"), int(self.options.get("rows", 1000)), has_abstract=self.options.get("hasabstract", self.options.get("hasAbstract", "false")) == "true"):
             yield (json.dumps(item),)
 
 

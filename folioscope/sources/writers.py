@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folioscope.operators import merge, report
 
@@ -11,6 +12,16 @@ def write_json(df: DataFrame, path: str, extend: bool = False) -> None:
     df.write.mode("append" if extend else "overwrite").json(path)
 
 
+def update_json(spark: SparkSession, df: DataFrame, stored: str, path: str, key: str) -> None:
+    """The rows of ``stored`` with those of ``df`` in place of rows of their key, written to another path."""
+    merge.update_map(spark.read.schema(df.schema).json(stored), df, key).write.mode("overwrite").json(path)
+
+
+def write_raw(df: DataFrame, path: str, raw: str = "raw") -> None:
+    """Raw outputs of a step beside their keys, as JSON rows."""
+    df.withColumn(raw, F.to_json(F.col(raw)) if df.schema[raw].dataType.typeName() in ("struct", "map", "array") else F.col(raw)).write.mode("overwrite").json(path)
+
+
 def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{folder}/{name}")

@@ -7,39 +7,73 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.operators import merge
+from folioscope.operators import merge, statistics
 
+#: The sets of a category, and which of them keeps a batch from being merged twice.
+KINDS, GATE = {"doi_list": "doi", "faculty": "author"}, "doi_list"
 
-def batch_categories(facts: DataFrame) -> DataFrame:
-    """A batch's rows (category, doi, author, tc) in the shape of stored categories."""
+
+def batch_sums(facts: DataFrame) -> DataFrame:
+    """(_id, tc_count) of a batch's rows; an article's citations count once per category."""
     articles = facts.groupBy("category", "doi").agg(F.max("tc").alias("tc"))
-    totals = articles.groupBy("category").agg(F.array_sort(F.collect_set("doi")).alias("doi_list"), F.sum("tc").alias("tc_count"))
-    people = facts.groupBy("category").agg(F.array_sort(F.collect_set("author")).alias("faculty"))
-    return totals.join(people, "category").withColumnRenamed("category", "_id")
+    return articles.groupBy(F.col("category").alias("_id")).agg(F.sum("tc").alias("tc_count"))
+
+
+def batch_members(facts: DataFrame) -> DataFrame:
+    """(_id, kind, item) of a batch's rows."""
+    return statistics.members(facts, "category", KINDS).withColumnRenamed("category", "_id")
+
+
+def categories(sums: DataFrame, members: DataFrame) -> DataFrame:
+    """Stored categories: sums, counts, and the faculty as an array."""
+    counts = statistics.member_counts(members, "_id", {"article_count": "doi_list", "faculty_count": "faculty"})
+    people = statistics.as_arrays(members.where("kind = 'faculty'"), "_id", ["faculty"])
+    return sums.join(counts, "_id").join(people, "_id").withColumn("citation_average", F.round(F.try_divide("tc_count", "article_count"), 6))
 
 
 def merge_stream(facts: DataFrame, state: str, checkpoint: str) -> None:
-    """Run all available micro-batches of a streaming frame; ``state`` holds a folder per batch.
+    """Run all available micro-batches of a streaming frame; ``state`` gets a folder of new rows per batch.
 
-    A batch that is run again reads the same predecessor and writes the same folder, so a crash between
-    write and commit changes nothing.
+    A batch reads the rows of the batches before it and writes its own, so its cost goes with its own size, and
+    a batch that is run again after a crash writes the same folder again.
     """
 
     def step(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = batch_categories(batch)
-        old = spark.read.parquet(f"{state}/{number - 1}") if number else spark.createDataFrame([], new.schema)
-        merge.merge_categories(old, new).write.mode("overwrite").parquet(f"{state}/{number}")
+        sums, members = batch_sums(batch), batch_members(batch)
+        if number:
+            stored = batch.sparkSession.read.parquet(f"{state}/members").where(F.col("batch") < number).where(F.col("kind") == GATE)
+            gated = members.where(F.col("kind") == GATE).join(stored, ["_id", "kind", "item"], "left_semi").select("_id").distinct()
+            sums, members = sums.join(gated, "_id", "left_anti"), members.join(gated, "_id", "left_anti")
+        members.write.mode("overwrite").parquet(f"{state}/members/batch={number}")
+        sums.write.mode("overwrite").parquet(f"{state}/sums/batch={number}")
 
     facts.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def merged_state(spark: SparkSession, state: str) -> DataFrame:
+    """The categories that all batches make together."""
+    sums = spark.read.parquet(f"{state}/sums").groupBy("_id").agg(F.sum("tc_count").alias("tc_count"))
+    return categories(sums, spark.read.parquet(f"{state}/members").drop("batch").distinct())
+
+
 def merged_by_month(spark: SparkSession, facts: DataFrame, folder: str) -> DataFrame:
     """Facts with a ``month`` column run through the stream, a batch per month; the final state."""
     root = f"{folder}/stream-{uuid.uuid4().hex}"
-    months = [r.month for r in facts.select("month").distinct().orderBy("month").collect()]  # one row per calendar month
+    facts.write.partitionBy("month").parquet(f"{root}/facts")  # computed once; a month is a folder
+    settled = spark.read.schema(facts.schema).parquet(f"{root}/facts")
+    months = [r.month for r in settled.select("month").distinct().orderBy("month").collect()]  # one row per calendar month
+    plain = settled.drop("month")
     for month in months:
-        facts.where(F.col("month") == month).drop("month").write.mode("append").parquet(f"{root}/in")
-        stream = spark.readStream.schema(facts.drop("month").schema).parquet(f"{root}/in")
-        merge_stream(stream, f"{root}/state", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/state/{len(months) - 1}")
+        settled.where(F.col("month") == month).drop("month").write.mode("append").parquet(f"{root}/in")
+        merge_stream(spark.readStream.schema(plain.schema).parquet(f"{root}/in"), f"{root}/state", f"{root}/checkpoint")
+    return merged_state(spark, f"{root}/state")
+
+
+def merged(facts: DataFrame, conditions: list[str]) -> DataFrame:
+    """Facts merged slice by slice, without a stream."""
+    old = None
+    for condition in conditions:
+        part = facts.where(condition)
+        new = batch_sums(part), batch_members(part)
+        old = merge.merge_rows(*old, *new, gate=GATE, sums=["tc_count"]) if old else new
+    return categories(*old)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscope.functions import markup, minhash, text
-from folioscope.operators import classify, extract, merge, names, statistics, taxonomy
+from folioscope.operators import classify, compare, extract, merge, names, report, statistics, taxonomy
 from folioscope.sources import readers, rest, writers
 from folioscope.streaming import batches
 
@@ -35,10 +35,19 @@ def one(spark, expression):
         (lambda: text.month_end(F.lit(2024), F.lit(2)), date(2024, 2, 29)),
         (lambda: text.person_key(F.lit("Lee, Ann")), "lee|a"),
         (lambda: text.person_key(F.lit("Ann Lee")), "lee|a"),
-        (lambda: text.citation_title(F.lit('Lee, A. "On x" [note] https://a.b/c')), "On x"),
+        (lambda: text.citation_title(F.lit("Lee, A. (2019). On x: a view. Journal Of Views 3, 1-2.")), "On x: a view"),
+        (lambda: text.citation_title(F.lit("Lee, A. (2019). On x [note]. https://a.b/c")), "On x"),
+        (lambda: text.citation_title(F.lit("Lee, A. (2019). ON X AND Y. 3, 1")), "On X And Y"),
+        (lambda: text.citation_title(F.lit("Lee, A. (2019). On x. 3, 1")), "On x"),
+        (lambda: text.citation_title(F.lit("Lee, A. (in press). On x. Views")), "On x"),
+        (lambda: text.citation_title(F.lit('Lee, A. "On x", Views')), None),
+        (lambda: text.first_part(F.lit("Dept, Uni, Town")), "Dept"),
+        (lambda: text.clamped(F.lit(3), 200, 10), 200),
+        (lambda: text.clamped(F.lit(30), 200, 10), 300),
         (lambda: text.safe_ratio(F.lit(1), F.lit(0)), 0.0),
         (lambda: text.tagged_abstract(F.lit("AB one\n   two\nC1 x")), "one\n   two"),
-        (lambda: markup.ascii_fold(F.lit("Éa ß")), "Ea "),
+        (lambda: markup.ascii_fold(F.lit("Éa ß Ørsted Łódź Þór æ — – “q” ‘s’ … €5 漢")), "Ea ss Orsted Lodz Thor ae -- - \"q\" 's' ... EUR5 "),
+        (lambda: markup.ascii_fold(F.lit("Привет, Щука; Ελλάς")), "Privet, Shchuka; Ellas"),
         (lambda: markup.match_ratio(F.lit("abcd"), F.lit("abxd")), 75.0),
         (lambda: markup.latex_text(F.lit(r"\emph{a} $b$")), "a b"),
     ],
@@ -51,6 +60,10 @@ def test_markup():
     page = '<meta name="description" content="M"><div class="abstract">D <b>x</b></div><p>An Abstract</p><span>S</span>'
     assert markup.candidates(page) == ["M", "An Abstract", "D x", "S"]
     assert markup.markdown("<jats:sec><jats:title>Aim:</jats:title><jats:p>P</jats:p></jats:sec>") == "## Aim:\nP"
+    order = '<div class="summary">s</div><div class="abstract">a</div><meta property="og:description" content="P"><meta name="description" content="d"><meta name="citation_abstract" content="c">'
+    assert markup.candidates(order) == ["c", "d", "a", "s"]
+    assert markup.page_record('<title>T</title><meta name="Keywords" content="x, y"><p>Abstract: z</p>') == {"page_content": "Abstract: z", "extra_context": {"title": "T", "keywords": "x, y"}}
+    assert markup.page_record("") == {"page_content": "", "extra_context": {"title": ""}}
     assert markup.markdown(None) is None and markup.candidates("<p><b>open") == []
 
 
@@ -187,3 +200,93 @@ def test_merged_state_keeps_all_columns(spark, tmp_path):
     assert got["b"]["departments"] == ["d9"] and got["b"]["themes"] is None and got["b"]["tc_count"] == 1
     author = spark.read.parquet(f"{tmp_path}/v2/faculty_data").first().asDict()
     assert author == {"_id": "p", "dois": ["1", "2"], "categories": ["c1", "c2"], "titles": ["t1", "t2"], "department_affiliations": ["d1", "d2"], "name": "P", "total_citations": 4, "article_count": 2}
+
+
+def test_files_are_read_and_written(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n1,x\n2,y\n")
+    assert [(r.a, r.b) for r in readers.table_file(spark, str(tmp_path / "t.csv")).orderBy("a").collect()] == [("1", "x"), ("2", "y")]
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in (1, 2):
+        (folder / f"{i}.json").write_text(json.dumps([{"DOI": f"d{i}"}]))
+    assert sorted(r.DOI for r in readers.works(spark, str(folder)).collect()) == ["d1", "d2"]
+    assert one(spark, readers.rtf_text(F.lit(r"{\rtf1\b Section|\par a|1|}"))) == "Section|\na|1|"
+
+    rows = spark.createDataFrame([("a", 1, ["x", "y"]), ("b", 2, None)], "_id string, n long, l array<string>")
+    writers.write_json(rows, f"{tmp_path}/j")
+    writers.write_json(rows.where("n = 1"), f"{tmp_path}/j", extend=True)
+    assert spark.read.json(f"{tmp_path}/j").count() == 3
+    writers.update_json(spark, rows.where("n = 2").withColumn("n", F.lit(9).cast("long")), f"{tmp_path}/j", f"{tmp_path}/j2", "_id")
+    assert sorted((r._id, r.n) for r in spark.read.json(f"{tmp_path}/j2").collect()) == [("a", 1), ("a", 1), ("b", 9)]
+    writers.write_raw(rows.withColumn("raw", F.struct("n")), f"{tmp_path}/raw")
+    assert sorted(r.raw for r in spark.read.json(f"{tmp_path}/raw").collect()) == ['{"n":1}', '{"n":2}']
+    writers.write_tables({n: rows for n in readers.STORED}, f"{tmp_path}/s")
+    assert {n: t.count() for n, t in readers.snapshot(spark, f"{tmp_path}/s").items()} == {n: 2 for n in readers.STORED}
+    assert readers.stored_keys(spark, f"{tmp_path}/s").columns == ["_id"]
+    assert writers.without(rows, "l").columns == ["_id", "n"]
+    writers.split_files(rows, f"{tmp_path}/each")
+    assert len([p for p in (tmp_path / "each").glob("*.json") if p.stat().st_size]) == 2  # Spark adds an empty file for an empty first partition
+    writers.write_report(rows, f"{tmp_path}/report")
+    assert {(r._id, r.l) for r in spark.read.option("header", True).csv(f"{tmp_path}/report").collect()} == {("a", "x, y"), ("b", None)}
+    writers.empty_table(spark, f"{tmp_path}/none", rows)
+    assert spark.read.parquet(f"{tmp_path}/none").count() == 0
+
+
+def test_sheets_keep_rows_without_items(spark):
+    rows = spark.createDataFrame([("a", ["x"], {"k": 1}), ("b", [], {}), ("c", None, None)], "key string, items array<string>, named map<string, int>")
+    assert sorted((r.key, r.item or "") for r in report.list_sheet(rows, "key", "items", "item").collect()) == [("a", "x"), ("b", ""), ("c", "")]
+    assert sorted((r.key, r.value or 0) for r in report.map_sheet(rows, "key", "named").collect()) == [("a", 1), ("b", 0), ("c", 0)]
+
+
+def test_records_get_their_classification(works, spark):
+    results = spark.createDataFrame([("d1", ["A"], ["B"], ["C"], ["t"])], "DOI string, top array<string>, mid array<string>, low array<string>, themes array<string>")
+    got = {r.DOI: r for r in extract.inject(works, results).collect()}
+    assert got["d1"].categories.mid == ["B"] and got["d1"].themes == ["t"] and got["d2"].categories is None
+    assert extract.attributes(works, ["categories"]).first().categories.top == []
+    assert extract.general_info(works).where("title IS NOT NULL").first()[3] == "https://doi.org/d1"
+    several = spark.sql("SELECT array(named_struct('categories', array('a', 'b')), named_struct('categories', array('c'))) AS x")
+    assert several.select(classify.collected(F.col("x")).alias("c")).first().c == ["a", "b", "c"]
+
+
+def test_fetch_waits_when_it_is_asked_to(monkeypatch):
+    import io
+    import urllib.error
+
+    def opener(url):
+        calls.append(url)
+        if len(calls) < 3:
+            raise urllib.error.HTTPError(url, 429, "slow down", {}, None)
+        return io.StringIO('{"ok": 1}')
+
+    calls: list[str] = []
+    assert rest.fetch("u", retries=5, wait=0, opener=opener) == {"ok": 1} and len(calls) == 3
+    calls = []
+    with pytest.raises(urllib.error.HTTPError):
+        rest.fetch("u", retries=1, wait=0, opener=opener)
+    assert "has-abstract%3Atrue" in rest.page_url("http://x", rest.Month(2020, 2), "*", None, 5, True)
+
+
+def test_works_are_a_data_source():
+    options = {"url": "http://x", "from": "2020-01", "until": "2020-03"}
+    source = rest.WorksSource(options)
+    assert source.name() == "works" and len(source.reader(source.schema()).partitions()) == 3
+
+
+def test_merged_rows_are_gated_and_kept(spark):
+    kinds = "_id string, kind string, item string"
+    old = spark.createDataFrame([("a", 3, "A"), ("b", 1, "B")], "_id string, tc_count long, name string")
+    held = spark.createDataFrame([("a", "doi_list", "1"), ("a", "themes", "m1"), ("b", "doi_list", "9")], kinds)
+    new = spark.createDataFrame([("a", 4, "ignored"), ("b", 5, None), ("c", 2, "C")], "_id string, tc_count long, name string")
+    more = spark.createDataFrame([("a", "doi_list", "2"), ("a", "themes", "m1"), ("a", "departments", "d"), ("b", "doi_list", "9"), ("b", "themes", "m8"), ("c", "doi_list", "7")], kinds)
+    sums, members = merge.merge_rows(old, held, new, more, "doi_list", ["tc_count"])
+    assert {r._id: (r.tc_count, r.name) for r in sums.collect()} == {"a": (7, "A"), "b": (1, "B"), "c": (2, "C")}
+    assert {tuple(r) for r in members.collect()} == {("a", "doi_list", "1"), ("a", "doi_list", "2"), ("a", "themes", "m1"), ("a", "departments", "d"), ("b", "doi_list", "9"), ("c", "doi_list", "7")}
+    arrays = {r._id: (r.doi_list, r.themes) for r in statistics.as_arrays(members, "_id", ["doi_list", "themes"]).collect()}
+    assert arrays["a"] == (["1", "2"], ["m1"]) and arrays["b"] == (["9"], [])
+
+
+def test_best_match_and_longest(spark):
+    left = spark.createDataFrame([("x", "smith"), ("y", "lee")], "block string, value string")
+    right = spark.createDataFrame([("x", "smyth"), ("x", "smithe"), ("x", "jones"), ("z", "lee")], "block string, value string")
+    assert [tuple(r) for r in compare.best_match(left, right, "block", "value").collect()] == [("x", "smith", "smithe", 83.33)]
+    assert [r.longest for r in compare.longest(right.where("block = 'x'"), "block", "value", "^s.*h$").collect()] == ["smyth"]

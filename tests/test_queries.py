@@ -70,4 +70,38 @@ def test_texts_that_differ_behind_their_opening_are_different(spark, tmp_path):
     assert {r.doc_id: r.title for r in QUERIES["q23b_regularise_whole"](spark, str(tmp_path)).collect()} == whole
     got = {r.title: r.side for r in QUERIES["q24b_compare_sources"](spark, str(tmp_path)).collect()}
     assert got == {whole[1]: "both", whole[2]: "right", whole[4]: "left", whole[6]: "right"}
+    assert {r.doc_id: r.title for r in QUERIES["q23_regularise"](spark, str(tmp_path)).collect()} == whole
     assert QUERIES["q26b_recall_sources"](spark, str(tmp_path)).first()[:3] == (1, 1, 2)
+
+
+def test_candidates_markdown_and_ascii_of_small_tables(spark, tmp_path):
+    """q42, q44, q62 and q75, which SQL can't express, against tables worked out by hand."""
+    pages = [
+        (1, '<meta name="description" content="D"><p>An abstract.</p><article>A</article>', "D\nAn abstract.\nA", "An abstract."),
+        (2, "<jats:sec><jats:title>Aim</jats:title><jats:p>P <i>q</i></jats:p></jats:sec>", "", "## Aim:\nP q"),
+        (3, None, "", None),
+        (4, "", "", None),
+    ]
+    spark.createDataFrame([p[:2] for p in pages], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r.page_id: r.candidates for r in QUERIES["q42_meta_candidates"](spark, str(tmp_path)).collect()} == {p[0]: p[2] for p in pages}
+    assert {r.page_id: r.markdown for r in QUERIES["q44_jats_markdown"](spark, str(tmp_path)).collect()} == {p[0]: p[3] for p in pages}
+    records = {r.page_id: (r.page_content, r.extra_context) for r in QUERIES["q75_page_records"](spark, str(tmp_path)).collect()}
+    assert records[1] == ("D\n\nAn abstract.\n\nA", '{"description":"D"}') and records[3] == ("", '{"title":""}')
+    texts = [(1, "Naïve Åse, São Tomé"), (2, None), (3, ""), (4, "Жук — ß")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.folded for r in QUERIES["q62_ascii_fold"](spark, str(tmp_path)).collect()} == {1: "Naive Ase, Sao Tome", 2: None, 3: "", 4: "Zhuk -- ss"}
+
+
+def test_refused_choices_are_asked_for_again(spark, tmp_path):
+    texts = [(1, "the river"), (2, "is it"), (3, "zebra der die"), (4, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["q51_validate_retry"](spark, str(tmp_path)).collect()}
+    assert got[1].error is None and got[1].low == "the and of" and got[3].error is None
+    assert got[2].error == "no valid top label below None" and got[4].error == "no text"
+
+
+def test_recall_of_signature_pairs(spark):
+    """Exact pairs with a similarity of 0.6 or more, of which signatures find nine in ten at least."""
+    exact = {(r.category, r.v1, r.v2) for r in QUERIES["q19_exact_jaccard_pairs"](spark, DATA).collect() if r.similarity >= 0.6}
+    found = {(r.category, r.v1, r.v2) for r in QUERIES["q21c_minhash_pairs"](spark, DATA).collect()}
+    assert exact and len(exact & found) >= 0.9 * len(exact)
