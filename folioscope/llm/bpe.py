@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 
 from folioscope.llm.common import table
 
-#: Pre-tokens that a worker remembers in each of two generations (about 60 MB each); longer ones aren't remembered.
-REMEMBERED, REMEMBERED_CHARS = 300_000, 64
+#: Pre-tokens that a worker remembers in each of two generations (about 40 MB each); longer ones aren't remembered.
+REMEMBERED, REMEMBERED_CHARS = 200_000, 64
 NO_PAIR = 1 << 62
 
 

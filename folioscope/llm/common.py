@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 #: Rows of one Arrow batch. Texts average a few kilobytes, so a batch is about a megabyte.
 BATCH_ROWS = 512
 #: Bytes of one Arrow batch; a batch has one row at least, however long its text is.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

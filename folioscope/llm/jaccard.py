@@ -49,16 +49,16 @@ from folioscope.llm.components import components
 
 SIZE, PERCENT = 4, 85
 #: Text bytes of one fragment (an n-gram comes from about seven bytes).
-FRAGMENT_BYTES = 8_000_000
+FRAGMENT_BYTES = 4_000_000
 LEAST_FRAGMENTS = 16
 #: n-grams of one batch of sets.
-HELD = 600_000
+HELD = 400_000
 #: Keys of sets that a task remembers to have passed on; copies of them aren't sent again.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Characters that are hashed in one go, about 40 bytes of memory each.
 AT_ONCE = 500_000
 #: n-grams and sets of one block of a cell, and columns of one product of counts.
-BLOCK_TOKENS, BLOCK_SETS, COLUMNS = 400_000, 600, 2_048
+BLOCK_TOKENS, BLOCK_SETS, COLUMNS = 300_000, 600, 2_048
 #: Strips of the global order in which overlaps are counted.
 STRIPS = 8
 

@@ -31,7 +31,7 @@ PROFILE = 400
 #: Languages whose profiles a worker holds at once, on average.
 LANGUAGES = 1_000
 #: Distinct n-grams of a language that a training task holds before it passes its counts on.
-HELD = 1_000_000
+HELD = 400_000
 UND = "und"
 
 
