@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 
 from folioscope.llm.common import table
 
-#: Pre-tokens that a worker remembers in each of two generations (about 40 MB each); longer ones aren't remembered.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 64
+#: Pre-tokens that a worker remembers in each of two generations (about 60 MB each) unless told otherwise; longer ones aren't remembered.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 64
 NO_PAIR = 1 << 62
 
 
@@ -87,11 +87,12 @@ class Vocabulary(dict):
     When the table is full it becomes the older generation, from which entries in use come back.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, remembered: int = REMEMBERED):
         import regex
 
         super().__init__()
         self.older: dict[str, bytes] = {}
+        self.remembered = remembered
         with open(path, "rb") as lines:  # a file of the installed tokenizer package, present on every node
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.tokens = dict(zip(self.ranks.values(), self.ranks.keys()))
@@ -102,7 +103,7 @@ class Vocabulary(dict):
         if ids is None:
             ids = np.array(merge_piece(piece.encode(), self.ranks), "<u4").tobytes()
         if len(piece) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.remembered:
                 self.older = dict(self)
                 self.clear()
             self[piece] = ids
@@ -115,9 +116,9 @@ class Vocabulary(dict):
         return None if ids is None else b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
-def _vocabulary(path: str, pattern: str) -> Vocabulary:
-    return Vocabulary(path, pattern)
+@lru_cache(maxsize=1)
+def _vocabulary(path: str, pattern: str, remembered: int = REMEMBERED) -> Vocabulary:
+    return Vocabulary(path, pattern, remembered)
 
 
 def encode(text: Column, path: str, pattern: str) -> Column:
@@ -143,12 +144,12 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
 CHECKED = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("round_trip", T.BooleanType())])
 
 
-def encode_checked(text: Column, path: str, pattern: str) -> Column:
+def encode_checked(text: Column, path: str, pattern: str, remembered: int = REMEMBERED) -> Column:
     """A struct of the ids and of whether decoding them gives the text's bytes, in one pass over the workers."""
 
     @F.pandas_udf(CHECKED)
     def ids(texts: pd.Series) -> pd.DataFrame:
-        v = _vocabulary(path, pattern)
+        v = _vocabulary(path, pattern, remembered)
         coded = texts.map(v.encode)
         return pd.DataFrame({"ids": coded, "round_trip": [v.decode(c) == t.encode() for c, t in zip(coded, texts)]})
 

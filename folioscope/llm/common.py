@@ -51,7 +51,7 @@ class Scratch:
 
     def settle(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -235,11 +235,11 @@ def _bits_of(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _bit_slices(batches):
     """The task's windows as slices of the bit table."""
-    bits = np.zeros(BITS, bool)
+    bits = np.zeros(BITS // 8, np.uint8)
     for batch in batches:
         for at in _bits_of(batch.column(0).to_numpy().view(np.uint64)):
-            bits[at] = True
-    rows = [(i, part.tobytes()) for i, part in enumerate(np.packbits(bits).reshape(SLICES, -1)) if part.any()]
+            np.bitwise_or.at(bits, at >> 3, np.uint8(128) >> (at & 7).astype(np.uint8))
+    rows = [(i, part.tobytes()) for i, part in enumerate(bits.reshape(SLICES, -1)) if part.any()]
     numbers, parts = zip(*rows) if rows else ((), ())
     yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(parts, pa.binary())], ["slice", "bits"])
 

@@ -52,7 +52,7 @@ SIZE, PERCENT = 4, 85
 FRAGMENT_BYTES = 4_000_000
 LEAST_FRAGMENTS = 16
 #: n-grams of one batch of sets.
-HELD = 400_000
+HELD = 300_000
 #: Keys of sets that a task remembers to have passed on; copies of them aren't sent again.
 REMEMBERED = 100_000
 #: Characters that are hashed in one go, about 40 bytes of memory each.

@@ -30,8 +30,8 @@ from folioscope.llm.common import fields, make_room, settle, table
 PROFILE = 400
 #: Languages whose profiles a worker holds at once, on average.
 LANGUAGES = 1_000
-#: Distinct n-grams of a language that a training task holds before it passes its counts on.
-HELD = 400_000
+#: Distinct n-grams of a language that a training task holds before it passes its counts on, and n-grams that it counts at once.
+HELD, AT_ONCE = 400_000, 400_000
 UND = "und"
 
 
@@ -70,18 +70,27 @@ def _count(batches):
         grams, counts = held.pop(lang)
         return pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.int64()), pa.array(counts, pa.int64())], ["lang", "gram", "n"])
 
+    def add(lang, found):
+        grams, counts = np.unique(np.concatenate(found), return_counts=True)
+        if lang in held:
+            grams, at = np.unique(np.concatenate([held[lang][0], grams]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([held[lang][1], counts]), len(grams)).astype(np.int64)
+        held[lang] = grams, counts
+
+    parts: dict[str, list[np.ndarray]] = {}
+    sizes: dict[str, int] = {}
     for batch in batches:
-        parts: dict[str, list[np.ndarray]] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            parts.setdefault(lang, []).append(ngrams(text.as_py()))
-        for lang, found in parts.items():
-            grams, counts = np.unique(np.concatenate(found), return_counts=True)
-            if lang in held:
-                grams, at = np.unique(np.concatenate([held[lang][0], grams]), return_inverse=True)
-                counts = np.bincount(at, np.concatenate([held[lang][1], counts]), len(grams)).astype(np.int64)
-            held[lang] = grams, counts
-            if len(grams) > HELD:
-                yield rows(lang)
+            found = ngrams(text.as_py())
+            parts.setdefault(lang, []).append(found)
+            sizes[lang] = sizes.get(lang, 0) + len(found)
+            if sizes[lang] > AT_ONCE:
+                add(lang, parts.pop(lang))
+                sizes[lang] = 0
+                if len(held[lang][0]) > HELD:
+                    yield rows(lang)
+    for lang, found in parts.items():
+        add(lang, found)
     for lang in list(held):
         yield rows(lang)
 
