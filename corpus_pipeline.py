@@ -25,6 +25,9 @@ from folioscope.llm.common import packed, shared_dir, table, unpacked
 #: No SQL: language profiles, pseudonyms and token ids aren't SQL expressions; tests compare with brute force.
 ORACLE_SQL = None
 
+#: Pre-tokens that a worker remembers; workers keep what they hold from stage to stage, so fewer than the operator's own.
+REMEMBERED = 100_000
+
 #: Near copies share so many percent of their distinct shingles of so many words.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
@@ -60,7 +63,7 @@ def counted(docs: DataFrame) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit), their number, and whether decoding gives the text back."""
     path, pattern = bpe.default_files()
-    coded = docs.select("doc_id", "lang", "source", bpe.encode_checked(F.col("text"), path, pattern).alias("coded"))
+    coded = docs.select("doc_id", "lang", "source", bpe.encode_checked(F.col("text"), path, pattern, REMEMBERED).alias("coded"))
     return coded.select(
         "doc_id", "lang", "source", "coded.ids",
         F.expr("CAST(octet_length(coded.ids) div 4 AS BIGINT)").alias("n_tokens"), "coded.round_trip",
