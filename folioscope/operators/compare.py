@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions import text
-from folioscope.operators import names
 
 
 def regularised(titles: DataFrame, column: str = "title") -> DataFrame:
@@ -24,16 +23,29 @@ def compare(left: DataFrame, right: DataFrame) -> DataFrame:
 def fuzzy_semi_join(left: DataFrame, right: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Left titles with a right title whose character sets have at least the given Jaccard similarity.
 
-    Titles with equal character sets are one row, so candidates are few; they meet on one of their rarest characters.
+    Titles with equal character sets are one row. Above a similarity of one half, different sets that match
+    have two characters or more in common, so a left and a right set meet on a pair of their rarest characters.
     """
-    chars = lambda df: df.withColumn("chars", F.array_sort(F.array_distinct(F.split("title", ""))))
-    l, r = chars(left), chars(right).select("chars").distinct()
-    sets = l.select("chars").distinct().withColumn("value", F.array_join("chars", "")).select(F.lit("all").alias("category"), "value")
-    others = r.withColumn("value", F.array_join("chars", "")).select(F.lit("all").alias("category"), "value")
-    pairs = names.similar_pairs(sets.union(others), threshold - 1e-9, size=1)
-    linked = pairs.select(F.col("v1").alias("value"), F.col("v2").alias("other")).union(pairs.select("v2", "v1")).union(sets.select("value", F.col("value").alias("other")))
-    matched = linked.join(others.select(F.col("value").alias("other")), "other", "left_semi").select("value").distinct()
-    return l.withColumn("value", F.array_join("chars", "")).join(matched, "value", "left_semi").select("title")
+    if not 0.5 < threshold <= 1:
+        raise ValueError("threshold must be above 0.5")
+    keyed = lambda df: df.withColumn("chars", F.array_join(F.array_sort(F.array_distinct(F.split("title", ""))), ""))
+    titles = keyed(left)
+    l, r = titles.select("chars").distinct(), keyed(right).select("chars").distinct()
+    tokens = l.union(r).distinct().select("chars", F.explode(F.split("chars", "")).alias("char"))
+    rare = tokens.join(tokens.groupBy("char").agg(F.count("*").alias("df")), "char")
+    # a set's characters are bounded by the alphabet, however many titles have it
+    ranked = rare.groupBy("chars").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "char"))), lambda x: x["char"]).alias("ranked"))
+    n = F.size("ranked")
+    first = ranked.select("chars", n.alias("n"), F.slice("ranked", F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 2).cast("int")).alias("first"))
+    pairs = F.flatten(F.transform("first", lambda x, i: F.transform(F.slice("first", i + 2, F.size("first")), lambda y: F.concat(x, y))))
+    keys = first.select("chars", "n", F.explode(pairs).alias("pair"))
+    near = (F.col("n") >= threshold * F.col("m") - 1e-9) & (F.col("m") >= threshold * F.col("n") - 1e-9)
+    others = keys.join(r, "chars", "left_semi").toDF("other", "m", "pair")
+    met = keys.join(l, "chars", "left_semi").join(others, "pair").where(near).select("chars", "other").distinct()
+    both = F.size(F.array_intersect(F.split("chars", ""), F.split("other", "")))
+    alike = both >= threshold * (F.length("chars") + F.length("other") - both) - 1e-9
+    matched = met.where(alike).select("chars").union(l.join(r, "chars", "left_semi")).distinct()
+    return titles.join(matched, "chars", "left_semi").select("title")
 
 
 def best_match(left: DataFrame, right: DataFrame, block: str, value: str) -> DataFrame:

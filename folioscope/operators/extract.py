@@ -64,8 +64,8 @@ def known_authors() -> Column:
 
 
 def quarantined(works: DataFrame) -> DataFrame:
-    """(DOI, author): authors without both names or a place in the sequence."""
-    return works.select("DOI", F.explode(F.filter("author", lambda a: ~complete(a))).alias("author"))
+    """(DOI, author, error_id): authors without both names or a place in the sequence; the id is random and no key."""
+    return works.select("DOI", F.explode(F.filter("author", lambda a: ~complete(a))).alias("author")).withColumn("error_id", F.uuid())
 
 
 def _names(kind: str) -> Column:
