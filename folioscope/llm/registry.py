@@ -10,6 +10,7 @@ from folioscope.llm.bpe import op5_bpe
 from folioscope.llm.decontamination import OP3_SQL, op3_decontamination
 from folioscope.llm.jaccard import OP10_SQL, op10_jaccard
 from folioscope.llm.language import op4_language
+from folioscope.llm.manifest import OP11_SQL, op11_manifest
 from folioscope.llm.media import op1_media
 from folioscope.llm.pii import op2_pii
 from folioscope.llm.repeats import OP6_SQL, op6_repeats
@@ -30,8 +31,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_sharding": op9_sharding,
         "op10_jaccard": op10_jaccard,
+        "op11_manifest": op11_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL, "op6_repeats": OP6_SQL, "op10_jaccard": OP10_SQL}
+    return {"op3_decontamination": OP3_SQL, "op6_repeats": OP6_SQL, "op10_jaccard": OP10_SQL, "op11_manifest": OP11_SQL}
