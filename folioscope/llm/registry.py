@@ -13,6 +13,7 @@ from folioscope.llm.language import op4_language
 from folioscope.llm.manifest import OP11_SQL, op11_manifest
 from folioscope.llm.media import op1_media
 from folioscope.llm.near import OP13_SQL, op13_minhash
+from folioscope.llm.phrases import OP12_SQL, op12_phrases
 from folioscope.llm.pii import op2_pii
 from folioscope.llm.repeats import OP6_SQL, op6_repeats
 from folioscope.llm.secrets import op7_secrets
@@ -33,9 +34,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_sharding": op9_sharding,
         "op10_jaccard": op10_jaccard,
         "op11_manifest": op11_manifest,
+        "op12_phrases": op12_phrases,
         "op13_minhash": op13_minhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL, "op6_repeats": OP6_SQL, "op10_jaccard": OP10_SQL, "op11_manifest": OP11_SQL, "op13_minhash": OP13_SQL}
+    return {"op3_decontamination": OP3_SQL, "op6_repeats": OP6_SQL, "op10_jaccard": OP10_SQL, "op11_manifest": OP11_SQL, "op12_phrases": OP12_SQL, "op13_minhash": OP13_SQL}
