@@ -44,8 +44,8 @@ BANDS, ROWS = 36, 7
 HASHES = BANDS * ROWS
 #: Equal minima that a candidate pair must have.
 AGREE = 176
-#: Shingles that are hashed in one go.
-SLICE = 4_096
+#: Shingles that are hashed in one go, so that their values stay in a processor's cache.
+SLICE = 128
 #: Sets of a block of signatures, and rows of small buckets that are compared in one go.
 BLOCK, UNIT = 512, 4_096
 #: Shingles and sets of a block of full sets, and strips in which overlaps are counted.
@@ -58,12 +58,16 @@ SHIFTS = hashing.mix(MULTIPLIERS + _U(17))
 
 def signature(grams: np.ndarray) -> np.ndarray:
     """Least value of every hash function over a set of shingles."""
-    out = np.full(HASHES, np.iinfo(np.uint64).max, _U)
     numbers = grams >> _U(32)
+    rest = -len(numbers) % SLICE
+    numbers = np.concatenate([numbers, numbers[:1].repeat(rest)])  # a repeated shingle changes no minimum
+    values = np.empty((HASHES, SLICE), _U)
+    least = np.full((HASHES, SLICE), np.iinfo(np.uint64).max, _U)
     for at in range(0, len(numbers), SLICE):
-        values = MULTIPLIERS[:, None] * numbers[None, at : at + SLICE]
-        values += SHIFTS[:, None]
-        np.minimum(out, values.min(axis=1), out=out)
+        np.multiply(MULTIPLIERS[:, None], numbers[None, at : at + SLICE], out=values)
+        np.add(values, SHIFTS[:, None], out=values)
+        np.minimum(least, values, out=least)
+    out = least.min(axis=1)
     return out >> _U(32)
 
 

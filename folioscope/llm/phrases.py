@@ -30,6 +30,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -142,6 +143,16 @@ def fragments(ranks: np.ndarray, reach: int) -> np.ndarray:
     return out[(out[:, reach - 1] > 0) | (out[:, reach + 1] > 0)]
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, a row of the array after the other."""
+    return zstandard.compress(np.ascontiguousarray(values, np.int64).tobytes(), 1)
+
+
+def loosened(cells: pa.ChunkedArray, rows: int) -> np.ndarray:
+    """The numbers of all cells side by side, in so many rows."""
+    return np.concatenate([np.frombuffer(zstandard.decompress(x.as_buffer()), np.int64).reshape(rows, -1) for x in cells], axis=1)
+
+
 ROUTED = pa.schema([("part", pa.int32()), ("dealt", pa.bool_()), ("weights", pa.binary()), ("rows", pa.binary())])
 ROUTED_DDL = "part int, dealt boolean, weights binary, rows binary"
 
@@ -170,13 +181,15 @@ def _routed(parts: int, longest: int, share: int):
         for column in grams.T:
             mixed = hashing.mix(mixed * hashing.STEP + column.astype(_U))
         part = (hashing.mix(key * hashing.STEP + mixed % shares.astype(_U)) % _U(parts)).astype(np.int64)
-        order, groups, cuts = hashing.by_value(2 * part + (shares > 1))
+        groups = 2 * part + (shares > 1)
+        order = np.lexsort((key, groups))
         grams, weights = grams[order], weights[order]
+        _, groups, cuts = hashing.by_value(groups[order])
         spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
         return pa.table(
             [
                 pa.array((groups // 2).astype(np.int32)), pa.array(groups % 2 == 1),
-                pa.array([weights[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([grams[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array([squeezed(weights[a:b]) for a, b in spans], pa.binary()), pa.array([squeezed(grams[a:b].T) for a, b in spans], pa.binary()),
             ], schema=ROUTED,
         )
 
@@ -202,8 +215,7 @@ def _mined(longest: int, least: int):
     """One part's n-grams; counts of dealt pivots are not final, so all of them go on."""
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        rows = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in group["rows"]]).reshape(-1, 2 * longest - 1)
-        weights = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in group["weights"]])
+        rows, weights = loosened(group["rows"], 2 * longest - 1).T, loosened(group["weights"], 1)[0]
         found = mine(rows, weights, longest, 1 if key[1].as_py() else least)
         lists = [pa.ListArray.from_arrays(np.arange(0, g.size + 1, g.shape[1], dtype=np.int32), g.ravel()) for g, _ in found]
         return pa.table([pa.chunked_array(lists), pa.chunked_array([pa.array(c) for _, c in found])], schema=GRAMS)

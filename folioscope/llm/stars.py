@@ -23,10 +23,8 @@ def star_components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     before, turn = None, 0
     while True:
         turn += 1
-        large = scratch.settle(_large_star(edges), f"{name}-large-{turn}")
-        small = scratch.settle(_small_star(large), f"{name}-edges-{turn}")
-        scratch.drop(f"{name}-edges-{turn - 1}", f"{name}-large-{turn}")
-        edges = small
+        edges = scratch.settle(_small_star(_large_star(edges)), f"{name}-edges-{turn}")
+        scratch.drop(f"{name}-edges-{turn - 1}")
         # count and sums of hashes: the links of two rounds are equal
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
