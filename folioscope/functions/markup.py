@@ -5,80 +5,43 @@ from __future__ import annotations
 import re
 import unicodedata
 from difflib import SequenceMatcher
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioscope.functions.pagetree import PageTree
+
 # Where abstracts are found on publisher pages, meta names and division classes, in order.
 META_NAMES = ("citation_abstract", "description", "og:description")
 DIVISION_CLASSES = ("abstract", "article-abstract", "summary")
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-
-
-class _Outline(HTMLParser):
-    """Collects (tag, attributes, text) of the elements that a page's abstract can be in."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, dict, list[str]]] = []
-        self.closed: list[tuple[str, dict, str]] = []
-
-    def handle_starttag(self, tag, attrs):
-        if tag in VOID:
-            self.closed.append((tag, dict(attrs), ""))
-        else:
-            self.open.append((tag, dict(attrs), []))
-
-    def handle_startendtag(self, tag, attrs):
-        self.closed.append((tag, dict(attrs), ""))
-
-    def handle_endtag(self, tag):
-        for i in reversed(range(len(self.open))):
-            if self.open[i][0] == tag:
-                for name, attrs, text in reversed(self.open[i:]):
-                    self.closed.append((name, attrs, " ".join("".join(text).split())))
-                del self.open[i:]
-                return
-
-    def handle_data(self, data):
-        for _, _, text in self.open:
-            text.append(data)
-
-
-def outline(markup: str | None) -> list[tuple[str, dict, str]]:
-    parser = _Outline()
-    parser.feed(markup or "")
-    parser.close()
-    for name, attrs, text in reversed(parser.open):
-        parser.closed.append((name, attrs, " ".join("".join(text).split())))
-    return parser.closed
 
 
-def candidates(markup: str | None) -> list[str]:
+def candidates(markup: str | None, page: PageTree | None = None) -> list[str]:
     """Texts that may be a page's abstract, most telling kind first."""
-    parts = outline(markup)
-    metas = [a.get("content") or "" for name in META_NAMES for t, a, _ in parts if t == "meta" and (a.get("name") or "").lower() == name]
-    paragraphs = [x for t, _, x in parts if t == "p" and "abstract" in x.lower()]
-    divisions = [x for name in DIVISION_CLASSES for t, a, x in parts if t == "div" and name in (a.get("class") or "").lower().split()]
-    return [x for x in [*metas, *paragraphs, *divisions, *(x for t, _, x in parts if t == "article"), *(x for t, _, x in parts if t == "span")] if x]
+    page = page or PageTree(markup)
+    named: dict[str, list[str]] = {}
+    for e in page.elements:
+        if e.tag == "meta":
+            named.setdefault((e.attributes.get("name") or "").lower(), []).append(e.attributes.get("content") or "")
+    metas = [x for name in META_NAMES for x in named.get(name, [])]
+    paragraphs = [x for x in page.texts("p") if "abstract" in x.lower()]
+    classed = [(set((e.attributes.get("class") or "").lower().split()), e) for e in page.elements if e.tag == "div" and e.attributes.get("class")]
+    divisions = [page.text(e) for name in DIVISION_CLASSES for names, e in classed if name in names]
+    return [x for x in [*metas, *paragraphs, *divisions, *page.texts("article"), *page.texts("span")] if x]
 
 
 def markdown(markup: str | None) -> str | None:
-    """Titled sections as headings with their paragraphs; without sections the paragraphs alone."""
+    """Titled sections as headings with their paragraphs; without sections the paragraphs alone, and without those the text."""
     if not markup:
         return None
-    lines, parts = [], outline(markup)
-    tags = {t for t, _, _ in parts}
-    sectioned = "jats:sec" in tags or "sec" in tags
-    for tag, _, text in parts:
-        tag = tag.removeprefix("jats:")
-        if tag == "title" and sectioned and text:
-            lines.append(f"## {text.rstrip(':')}:")
-        elif tag == "p" and text:
-            lines.append(text)
-    return "\n".join(lines) or " ".join(x for t, _, x in parts if t not in ("title", "p")) or None
+    lines, page = [], PageTree(markup)
+    sectioned = any(e.tag.removeprefix("jats:") == "sec" for e in page.elements)
+    for e in page.elements:
+        tag = e.tag.removeprefix("jats:")
+        if tag in ("title", "p") and (text := page.text(e)) and (tag == "p" or sectioned):
+            lines.append(text if tag == "p" else f"## {text.rstrip(':')}:")
+    return "\n".join(lines) or page.text() or None
 
 
 @F.pandas_udf(T.StringType())
@@ -93,13 +56,13 @@ def abstract_candidates(markup: pd.Series) -> pd.Series:
 
 def page_record(markup: str | None) -> dict:
     """A page as {page_content, extra_context}: its candidates as paragraphs, and the named metas (or the title) beside them."""
-    context = {}
-    for tag, attributes, text in outline(markup):
-        if tag == "meta" and attributes.get("name") and attributes.get("content"):
-            context.setdefault(attributes["name"].lower(), attributes["content"])
-        elif tag == "title" and text:
+    context, page = {}, PageTree(markup)
+    for e in page.elements:
+        if e.tag == "meta" and e.attributes.get("name") and e.attributes.get("content"):
+            context.setdefault(e.attributes["name"].lower(), e.attributes["content"])
+        elif e.tag == "title" and (text := page.text(e)):
             context.setdefault("title", text)
-    return {"page_content": "\n\n".join(dict.fromkeys(candidates(markup))), "extra_context": context or {"title": ""}}
+    return {"page_content": "\n\n".join(dict.fromkeys(candidates(markup, page))), "extra_context": context or {"title": ""}}
 
 
 @F.pandas_udf(T.StructType([T.StructField("page_content", T.StringType()), T.StructField("extra_context", T.MapType(T.StringType(), T.StringType()))]))
