@@ -23,12 +23,10 @@ def token_number(token: Column) -> Column:
 
 def signature(tokens: Column, count: int = 100, seed: int = 7) -> Column:
     """Least value of every hash function over the tokens; null entries for no tokens."""
-    numbers = F.transform(tokens, token_number)
-
-    def least(a: int, b: int) -> Column:
-        return F.array_min(F.transform(numbers, lambda x: (x * a + b) % PRIME))
-
-    return F.array(*[least(a, b) for a, b in coefficients(count, seed)])
+    least = lambda numbers, a, b: F.array_min(F.transform(numbers, lambda x: (x * a + b) % PRIME))
+    # numbers are bound as a lambda's argument, so tokens are hashed once and not once per function
+    bound = F.transform(F.array(F.transform(tokens, token_number)), lambda numbers: F.array(*[least(numbers, a, b) for a, b in coefficients(count, seed)]))
+    return F.element_at(bound, 1)
 
 
 def similarity(left: Column, right: Column) -> Column:

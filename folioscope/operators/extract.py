@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,3 +160,22 @@ def drop_empty_columns(df: DataFrame) -> DataFrame:
     """Columns with a value in some row, found in one aggregation."""
     counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first()
     return df.select(*[F.col(f"`{c}`") for c in df.columns if counts[c]])
+
+
+def observed_counts(df: DataFrame, kinds: dict[str, Column], name: str = "warnings") -> tuple[DataFrame, Observation]:
+    """``df`` as it is, and an observation that counts the rows of every kind while ``df`` is written, in the same pass.
+
+    The counts are there when an action on the returned frame has ended. On a stream, give ``name`` alone to
+    ``stream_counts``: observations of a stream arrive with its progress.
+    """
+    seen = Observation(name)
+    return df.observe(seen, *_counters(kinds)), seen
+
+
+def stream_counts(df: DataFrame, kinds: dict[str, Column], name: str = "warnings") -> DataFrame:
+    """A stream whose progress events carry the counts of every kind under ``name`` (``observedMetrics``), batch by batch."""
+    return df.observe(name, *_counters(kinds))
+
+
+def _counters(kinds: dict[str, Column]) -> list[Column]:
+    return [F.count_if(F.coalesce(c, F.lit(False))).alias(kind) for kind, c in kinds.items()]

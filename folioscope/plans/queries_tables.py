@@ -9,7 +9,8 @@ from folioscope.functions import text
 from folioscope.operators import classify, compare, extract, graph, merge, names, report, statistics, taxonomy
 from folioscope.plans.catalogue import query
 from folioscope.plans.frames import FACTS_SQL, authors, authorships, citations, facts, table
-from folioscope.streaming import batches
+from folioscope.plans.storage import shared_folder
+from folioscope.streaming import batches, keyed
 
 WITH = f"WITH {FACTS_SQL}"
 
@@ -248,7 +249,7 @@ def _with_text(categories: DataFrame) -> DataFrame:
 
 @query("q38_merge_categories", MERGED_SQL.format(cond="< '1996-01'"))
 def _q38(spark, sf):
-    return _with_text(batches.merged(facts(spark, sf), [EARLY, LATE]))
+    return _with_text(batches.merged(facts(spark, sf), [EARLY, LATE], shared_folder(spark)))
 
 
 def _author_rows(spark, sf, condition: str) -> tuple[DataFrame, DataFrame]:
@@ -281,7 +282,7 @@ def _q40(spark, sf):
 
 @query("q41_replay_noop", MERGED_SQL.format(cond="< '1996-01'"))
 def _q41(spark, sf):
-    return _with_text(batches.merged(facts(spark, sf), [EARLY, LATE, LATE]))
+    return _with_text(batches.merged(facts(spark, sf), [EARLY, LATE, LATE], shared_folder(spark)))
 
 
 @query("q47_list_sheet", WITH + "SELECT DISTINCT category, author FROM facts")
@@ -311,10 +312,16 @@ def _q50(spark, sf):
 
 @query("q52_month_micro_batches", MERGED_SQL.format(cond="< '1996-01'"))
 def _q52(spark, sf):
-    from folioscope.plans.storage import shared_folder
+    rows = facts(spark, sf).select("month", "category", "doi", "author", "tc")
+    return _with_text(batches.merged_by_month(spark, rows, shared_folder(spark)))
 
-    yearly = facts(spark, sf).select(F.substring("month", 1, 4).alias("month"), "category", "doi", "author", "tc")
-    return _with_text(batches.merged_by_month(spark, yearly, shared_folder(spark)))
+
+@query("q52b_keyed_state", MERGED_SQL.format(cond="< '1999'"))
+def _q52b(spark, sf):
+    """The same by keyed state: every fourth month's worth of facts comes a second time, which changes nothing."""
+    rows = facts(spark, sf).select("month", "category", "doi", "author", "tc")
+    again = rows.where("substring(month, 6, 2) IN ('04', '08', '12')").withColumn("month", F.concat("month", F.lit("-again")))
+    return _with_text(keyed.merged_by_quarter(spark, rows.union(again), shared_folder(spark)))
 
 
 @query("q54_drop_null_columns", "SELECT s_suppkey, s_name FROM supplier")

@@ -7,73 +7,79 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.operators import merge, statistics
+from folioscope.operators import statistics
 
 #: The sets of a category, and which of them keeps a batch from being merged twice.
 KINDS, GATE = {"doi_list": "doi", "faculty": "author"}, "doi_list"
 
 
-def batch_sums(facts: DataFrame) -> DataFrame:
-    """(_id, tc_count) of a batch's rows; an article's citations count once per category."""
-    articles = facts.groupBy("category", "doi").agg(F.max("tc").alias("tc"))
-    return articles.groupBy(F.col("category").alias("_id")).agg(F.sum("tc").alias("tc_count"))
+def batch_items(facts: DataFrame, *by: str) -> DataFrame:
+    """(_id, kind, item, tc), distinct, of a batch's rows (and of every value of ``by``): a category's members, its articles with their citations."""
+    kinds = [F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("item"), (F.col("tc") if kind == GATE else F.lit(None).cast("long")).alias("tc")) for kind, c in KINDS.items()]
+    rows = facts.select(*by, F.col("category").alias("_id"), F.explode(F.array(*kinds)).alias("m")).select(*by, "_id", "m.*").where("item IS NOT NULL")
+    return rows.groupBy(*by, "_id", "kind", "item").agg(F.max("tc").alias("tc"))
 
 
-def batch_members(facts: DataFrame) -> DataFrame:
-    """(_id, kind, item) of a batch's rows."""
-    return statistics.members(facts, "category", KINDS).withColumnRenamed("category", "_id")
+def ungated(items: DataFrame, stored: DataFrame) -> DataFrame:
+    """A batch's items without those of categories of which some article is stored already."""
+    gated = items.where(F.col("kind") == GATE).join(stored.where(F.col("kind") == GATE), ["_id", "kind", "item"], "left_semi").select("_id").distinct()
+    return items.join(gated, "_id", "left_anti")
 
 
-def categories(sums: DataFrame, members: DataFrame) -> DataFrame:
-    """Stored categories: sums, counts, and the faculty as an array."""
+def categories(items: DataFrame) -> DataFrame:
+    """Stored categories of all added items: sums, counts, and the faculty as an array."""
+    sums = items.groupBy("_id").agg(F.sum("tc").alias("tc_count"))
+    members = items.select("_id", "kind", "item").distinct()
     counts = statistics.member_counts(members, "_id", {"article_count": "doi_list", "faculty_count": "faculty"})
     people = statistics.as_arrays(members.where("kind = 'faculty'"), "_id", ["faculty"])
     return sums.join(counts, "_id").join(people, "_id").withColumn("citation_average", F.round(F.try_divide("tc_count", "article_count"), 6))
 
 
+ADDED = "_id string, kind string, item string, tc long"
+
+
 def merge_stream(facts: DataFrame, state: str, checkpoint: str) -> None:
-    """Run all available micro-batches of a streaming frame; ``state`` gets a folder of new rows per batch.
+    """Run all available micro-batches of a streaming frame; ``state`` gets a folder of added items per batch.
 
-    A batch reads the rows of the batches before it and writes its own, so its cost goes with its own size, and
+    A batch reads the articles of the batches before it and writes its own items, so its cost goes with its own size, and
     a batch that is run again after a crash writes the same folder again.
     """
 
     def step(batch: DataFrame, number: int) -> None:
-        sums, members = batch_sums(batch), batch_members(batch)
+        items = batch_items(batch)
         if number:
-            stored = batch.sparkSession.read.parquet(f"{state}/members").where(F.col("batch") < number).where(F.col("kind") == GATE)
-            gated = members.where(F.col("kind") == GATE).join(stored, ["_id", "kind", "item"], "left_semi").select("_id").distinct()
-            sums, members = sums.join(gated, "_id", "left_anti"), members.join(gated, "_id", "left_anti")
-        members.write.mode("overwrite").parquet(f"{state}/members/batch={number}")
-        sums.write.mode("overwrite").parquet(f"{state}/sums/batch={number}")
+            stored = batch.sparkSession.read.schema(f"{ADDED}, batch long").parquet(f"{state}/added").where(F.col("batch") < number)
+            items = ungated(items, stored)
+        items.write.mode("overwrite").parquet(f"{state}/added/batch={number}")
 
     facts.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def merged_state(spark: SparkSession, state: str) -> DataFrame:
     """The categories that all batches make together."""
-    sums = spark.read.parquet(f"{state}/sums").groupBy("_id").agg(F.sum("tc_count").alias("tc_count"))
-    return categories(sums, spark.read.parquet(f"{state}/members").drop("batch").distinct())
+    return categories(spark.read.schema(f"{ADDED}, batch long").parquet(f"{state}/added").drop("batch"))
 
 
 def merged_by_month(spark: SparkSession, facts: DataFrame, folder: str) -> DataFrame:
-    """Facts with a ``month`` column run through the stream, a batch per month; the final state."""
+    """Facts with a ``month`` column run through one stream, a micro-batch per month; the final state."""
     root = f"{folder}/stream-{uuid.uuid4().hex}"
-    facts.write.partitionBy("month").parquet(f"{root}/facts")  # computed once; a month is a folder
-    settled = spark.read.schema(facts.schema).parquet(f"{root}/facts")
-    months = [r.month for r in settled.select("month").distinct().orderBy("month").collect()]  # one row per calendar month
-    plain = settled.drop("month")
-    for month in months:
-        settled.where(F.col("month") == month).drop("month").write.mode("append").parquet(f"{root}/in")
-        merge_stream(spark.readStream.schema(plain.schema).parquet(f"{root}/in"), f"{root}/state", f"{root}/checkpoint")
+    merge_stream(monthly(spark, facts, f"{root}/facts"), f"{root}/state", f"{root}/checkpoint")
     return merged_state(spark, f"{root}/state")
 
 
-def merged(facts: DataFrame, conditions: list[str]) -> DataFrame:
-    """Facts merged slice by slice, without a stream."""
-    old = None
-    for condition in conditions:
-        part = facts.where(condition)
-        new = batch_sums(part), batch_members(part)
-        old = merge.merge_rows(*old, *new, gate=GATE, sums=["tc_count"]) if old else new
-    return categories(*old)
+def monthly(spark: SparkSession, facts: DataFrame, path: str, files: int = 1) -> DataFrame:
+    """A stream of the facts that are written to ``path``, a file per month and so many files per micro-batch."""
+    facts.repartition("month").write.partitionBy("month").parquet(path)
+    return spark.readStream.schema(spark.read.parquet(path).drop("month").schema.add("month", "string")).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def merged(facts: DataFrame, conditions: list[str], folder: str) -> DataFrame:
+    """Facts merged slice by slice, without a stream; they are read once, and every slice's items are kept in ``folder``."""
+    slices = F.filter(F.array(*[F.when(F.expr(c), F.lit(i)) for i, c in enumerate(conditions)]), lambda x: x.isNotNull())
+    path = f"{folder}/slices-{uuid.uuid4().hex}"
+    batch_items(facts.withColumn("slice", F.explode(slices)), "slice").write.partitionBy("slice").parquet(path)
+    items = facts.sparkSession.read.schema(f"{ADDED}, slice int").parquet(path)
+    stored = items.where("slice = 0").drop("slice")
+    for i in range(1, len(conditions)):
+        stored = stored.union(ungated(items.where(F.col("slice") == i).drop("slice"), stored))
+    return categories(stored)
