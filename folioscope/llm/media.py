@@ -51,6 +51,10 @@ def _box(kind: bytes, *parts: bytes) -> bytes:
     return struct.pack(">I4sQ", 1, kind, len(body) + 16) + body
 
 
+#: Durations that stand for an unknown one, by the width of the field.
+UNKNOWN_32, UNKNOWN_64 = (1 << 32) - 1, (1 << 64) - 1
+
+
 def _full(kind: bytes, *parts: bytes, version: int = 0, flags: int = 0) -> bytes:
     return _box(kind, struct.pack(">I", version << 24 | flags), *parts)
 
@@ -157,6 +161,8 @@ class Track:
         elif kind == b"mdhd":
             version, _ = box.head()
             _, _, self.timescale, self.duration = box.take(">QQIQ" if version == 1 else ">IIII")
+            if self.duration == (UNKNOWN_64 if version == 1 else UNKNOWN_32):
+                self.duration = None  # not stated: the sum of the samples' durations counts
         elif kind == b"hdlr":
             self.handler = box.take(">8s4s")[1].decode("latin-1")
         elif kind == b"stsd":
@@ -356,7 +362,9 @@ def _probe(data: bytes | None) -> dict | None:
         tracks = [_described(data, t) for t in read_tracks(data)]
         if not tracks:
             raise ValueError("no track")
-    except ValueError as damaged:
+        if any(not 0 <= t[k] < 1 << 63 for t in tracks for k in ("duration", "track_id", "timescale") if t[k] is not None):
+            raise ValueError("a number is out of range")
+    except (ValueError, OverflowError) as damaged:
         return {"error": str(damaged), "tracks": None}
     return {"error": None, "tracks": tracks}
 

@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +50,7 @@ PLACEHOLDER = re.compile(r"(?i)(x+|\*+|\.+|changeme|example|placeholder|none|nul
 LEAST_SCORE = 0.8
 #: One of these has to be there for a base assignment to match, or for a name to be sensitive enough.
 BASE_HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
-LEXED_HINTS = (b"pass", b"pwd", b"secret", b"token", b"key", b"credential", b"auth", b"bearer", b"pin")
+LEXED_HINTS = tuple(p.encode() for p in SENSITIVE)
 
 LEX = re.compile(
     r"""(?P<triple>\"{3}(?:[^"\\]|\\.|"(?!""))*+\"{3}|'{3}(?:[^'\\]|\\.|'(?!''))*+'{3})
@@ -68,6 +70,7 @@ OPEN_END = re.compile(r"(?:[=:+,(\[{\\]|=>)[\x20\t\r]*\Z")
 OPEN_BLOCK = re.compile(r"[:=][\x20\t]*[|>][+-]?\d?[\x20\t\r]*\Z")
 OPEN_TAG = re.compile(r"<([A-Za-z_][\w.-]*)>[^<>]*\Z", re.ASCII)
 OPEN_HERE = re.compile(r"<<[-~]?[\x20\t]*[\"']?([A-Za-z_]\w*)", re.ASCII)
+CLOSING = re.compile(r"^[\x20\t]*+([A-Za-z_]\w*+)[\x20\t]*+[;,)]*+\r?$", re.MULTILINE | re.ASCII)
 BLOCK_HEAD = re.compile(r"[\x20\t]*[|>][+-]?\d?[\x20\t\r]*\n")
 ASSIGNS = ("=", ":", "=>", ":=")
 BARE_VALUE = re.compile(r"[^\s\"'`,;(){}\[\]<>]+")
@@ -134,10 +137,20 @@ def _block_end(text: str, head: int, at: int) -> int:
     return max(end, 0)
 
 
+@lru_cache(maxsize=1)
+def _closings(text: str) -> dict[str, list[int]]:
+    """Starts of the lines that hold one word alone, by word; found once for a text."""
+    found: dict[str, list[int]] = {}
+    for line in CLOSING.finditer(text):
+        found.setdefault(line[1], []).append(line.start())
+    return found
+
+
 def _here_end(text: str, word: str, at: int) -> int:
-    """Start of the line that closes a here-document, or -1."""
-    closing = re.compile(rf"^[\x20\t]*{word}[\x20\t]*[;,)]*\r?$", re.MULTILINE).search(text, at)
-    return closing.start() if closing else -1
+    """Start of the first line from ``at`` on that closes a here-document, or -1."""
+    starts = _closings(text).get(word, [])
+    i = bisect_left(starts, at)
+    return starts[i] if i < len(starts) else -1
 
 
 def _statements(text: str):
