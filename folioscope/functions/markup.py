@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioscope.functions.latex import latex_to_text
 from folioscope.functions.pagetree import PageTree
 
 # Where abstracts are found on publisher pages, meta names and division classes, in order.
@@ -117,12 +118,10 @@ def ascii_fold(text: pd.Series) -> pd.Series:
     return text.map(lambda x: x if x.isascii() else x.translate(ASCII), na_action="ignore")
 
 
-#: Commands whose argument is the text, and accents, of LaTeX source.
 @F.pandas_udf(T.StringType())
 def latex_text(text: pd.Series) -> pd.Series:
-    """LaTeX source as plain text: commands and maths marks dropped, arguments kept."""
-    out = text.str.replace(r"\\[\"'`^~=.]\{?(\w)\}?", r"\1", regex=True).str.replace(r"\\[A-Za-z]+\*?\s?", "", regex=True)
-    return out.str.replace(r"[{}$]", "", regex=True)
+    """LaTeX source as plain text."""
+    return text.map(latex_to_text, na_action="ignore")
 
 
 @F.pandas_udf(T.DoubleType())

@@ -8,6 +8,7 @@ around it (summary, themes, top to low recursion, validation, retries) is the sa
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable
 
 import pandas as pd
@@ -31,7 +32,7 @@ class KeywordClient:
 
     def themes(self, text: str) -> list[str]:
         words = re.findall(r"[^\W\d_]{6,}", text.lower())
-        return sorted(set(words), key=lambda w: (-words.count(w), w))[:5]
+        return [w for w, _ in sorted(Counter(words).items(), key=lambda x: (-x[1], x[0]))[:5]]
 
 
 def validated(client, text: str, level: str, parent: str | None, options: list[str]) -> list[str]:

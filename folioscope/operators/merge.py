@@ -63,8 +63,9 @@ def merge_rows(old: DataFrame, old_members: DataFrame, new: DataFrame, new_membe
     stored = old_members.where(F.col("kind") == gate)
     gated = new_members.where(F.col("kind") == gate).join(stored, [key, "kind", "item"], "left_semi").select(key).distinct()
     fresh, fresh_members = new.join(gated, key, "left_anti"), new_members.join(gated, key, "left_anti")
-    both = old.unionByName(fresh, allowMissingColumns=True)
-    first = [F.first(c, ignorenulls=True).alias(c) for c in both.columns if c not in (key, *sums)]
+    both = old.withColumn("_side", F.lit(0)).unionByName(fresh.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    # the stored side's value, where it has one
+    first = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_side"))).alias(c) for c in both.columns if c not in (key, "_side", *sums)]
     return both.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums], *first), old_members.unionByName(fresh_members).distinct()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from folioscope.operators import classify, compare, extract, graph, merge, names
 from folioscope.plans.catalogue import query
 from folioscope.plans.frames import FACTS_SQL, authors, authorships, citations, facts, table
 from folioscope.plans.storage import shared_folder
+from folioscope.sources import sheets
 from folioscope.streaming import batches, keyed
 
 WITH = f"WITH {FACTS_SQL}"
@@ -358,3 +361,27 @@ def _q77(spark, sf):
 def _q57(spark, sf):
     rosters = authors(spark, sf).groupBy("author").agg(F.array_sort(F.collect_set("affiliation")).alias("d"))
     return rosters.select("author", F.array_join("d", "|").alias("departments"), F.size("d").cast("long").alias("n"))
+
+
+#: Warnings about a line: dates out of order, sent back, sold at a high discount.
+LINE_WARNINGS = {"late": "l_shipdate >= TIMESTAMP '1998-01-01'", "sent back": "l_returnflag = 'R'", "high discount": "l_discount > 0.08", "large": "l_quantity > 45"}
+
+
+@query("q74b_observed_warnings", " UNION ALL ".join(f"SELECT '{k}' AS warning, count(*) AS n FROM lineitem WHERE {c}" for k, c in LINE_WARNINGS.items()))
+def _q74b(spark, sf):
+    """Counters beside an output: the lines are written once, and the counts come with that pass."""
+    lines, seen = extract.observed_counts(table(spark, sf, "lineitem"), {k: F.expr(c) for k, c in LINE_WARNINGS.items()})
+    lines.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list(seen.get.items()), "warning string, n long")
+
+
+@query("q79_workbook_rows", "SELECT n_name AS nation, s_name, s_acctbal > 0 AS positive FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def _q79(spark, sf):
+    """Suppliers written as a workbook per nation, and read back from the sheets."""
+    nation = table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("nation"))
+    rows = table(spark, sf, "supplier").join(nation, "s_nationkey").select("nation", "s_name", (F.col("s_acctbal") > 0).alias("positive"))
+    folder = f"{shared_folder(spark)}/workbooks-{uuid.uuid4().hex}"
+    sheets.write_workbooks(rows, folder, "nation").write.format("noop").mode("overwrite").save()
+    spark.dataSource.register(sheets.Workbook)
+    found = sheets.header_rows(spark.read.format("workbook").load(folder), ["s_name", "positive"])
+    return found.select(F.col("sheet").alias("nation"), "s_name", F.col("positive").cast("boolean").alias("positive"))

@@ -344,3 +344,9 @@ def _q74(spark, sf):
 def _q75(spark, sf):
     found = table(spark, sf, "pages").select("page_id", markup.page_records(F.col("html")).alias("r"))
     return found.select("page_id", "r.page_content", F.to_json("r.extra_context").alias("extra_context"))
+
+
+@query("q78_latex_text", "SELECT p_partkey, p_name || ' — “' || p_type || '” (α ≤ ' || p_size || '/2) é' AS plain FROM part")
+def _q78(spark, sf):
+    source = F.concat(F.lit("\\emph{"), "p_name", F.lit("} --- ``\\textbf{{"), "p_type", F.lit("}}''~($\\alpha \\leq \\frac{"), F.col("p_size").cast("string"), F.lit("}{2}$) \\'e % a note"))
+    return table(spark, sf, "part").select("p_partkey", markup.latex_text(source).alias("plain"))
