@@ -138,7 +138,7 @@ class WorksSource(DataSource):
         return "value string"
 
     def reader(self, schema) -> DataSourceReader:
-        return (PushingReader if self.options.get("pushdown") == "true" else WorksReader)(self.options, schema.names)
+        return (PushingReader if self.options.get("pushdown") == "true" else WorksReader)(self.options, getattr(schema, "names", ["value"]))
 
     def streamReader(self, schema) -> DataSourceStreamReader:
-        return WorksStream(self.options, schema.names)
+        return WorksStream(self.options, getattr(schema, "names", ["value"]))
