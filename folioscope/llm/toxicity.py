@@ -3,22 +3,24 @@
 1. Lexicons. Words and word beginnings that are much more frequent in toxic rows are learned from a
    bounded sample of labelled rows, separately on two halves. Whatever has enough evidence is an entry.
 2. Voters. The lexicons are dealt into many small ones, which vote "toxic" or abstain; patterns of
-   shouting, insulting address and density vote as well. They vote on the labelled sample and on a bounded
-   sample of rows without a label. For fitting, a row of one half is voted on with the other half's
-   lexicons, so no voter has seen the row's label.
+   shouting, insulting address and density vote as well. They vote on every row of the table; rows outside the
+   labelled sample take part without a label. For fitting, a row of one half is voted on with the other half's
+   lexicons, so no voter has seen the row's label. Rows with equal votes and sums are counted as one.
 3. Label model. A generative model of the hidden class and the votes, in which a vote depends on the class
    and on one other vote: expectation maximisation estimates each voter's accuracy and the pairwise
    correlations within both classes, and the strongest correlations (the tree of greatest conditional
    mutual information) enter the model. Labels count as evidence for accuracies and correlations alone;
-   every row's posterior comes from its votes.
-4. Classifier. A logistic regression on the votes and hit counts is trained on the posteriors of all rows of
-   both samples and scores the whole table.
+   every row's posterior comes from its votes. Where rows without a label outnumber the sample, each weighs
+   in proportion less, so that together they weigh as much as the sample, however large the table is. Every step is
+   a sum over the counted votes, made by the tasks; only sums come to the driver.
+4. Classifier. A logistic regression on the votes and hit counts is trained on the posteriors of all rows, with
+   the same weights and by the same kind of sums, and scores the whole table.
 
 Defined results: null and empty texts get the score of a text without hits; without labelled rows
 of both classes no lexicon can be learned and every score is the prior (0 without rows); repeated
-rows score alike and weigh once each; an empty table gives no rows; ties in the samples' order go by id. A very
-long text is scored whole, in time and memory in proportion to its length. Rows of the sample with a null label
-aren't learned from. Extra columns are carried along; an input column named ``score`` is replaced.
+rows score alike and weigh once each; an empty table gives no rows; ties in the sample's order go by id; rows
+with a null id have no label. A very
+long text is scored whole, in time and memory in proportion to its length. Null labels count as none. Extra columns are carried along; an input column named ``score`` is replaced.
 """
 
 from __future__ import annotations
@@ -31,10 +33,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import make_room, settle, table
+from folioscope.llm.common import Scratch, make_room, table
 
-#: Labelled rows that are learned from at most, and rows without a label, both chosen by a hash of their id.
-SAMPLE, UNLABELLED = 12_000, 12_000
+#: Labelled rows that are learned from at most, chosen by a hash of their id.
+SAMPLE = 12_000
 #: The least evidence for a lexicon entry: rows, log odds, and log odds in standard errors. The sample bounds their number.
 LEAST_ROWS, LEAST_ODDS, LEAST_Z = 3, 1.5, 3.0
 #: Small lexicons that vote: each holds the entries of one band of log odds.
@@ -112,10 +114,21 @@ class Lexicon:
         return out
 
 
+def masses(votes: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Of rows with these weights: their sum, each voter's votes, and how often every two voters vote together."""
+    return np.concatenate([[weight.sum()], weight @ votes, ((votes * weight[:, None]).T @ votes).ravel()])
+
+
+def smoothed(total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rates of single voters and of pairs from their masses."""
+    m = math.isqrt(len(total))  # 1 + m + m * m numbers
+    n = total[0] + 2
+    return (total[1 : m + 1] + 1) / n, (total[m + 1 :].reshape(m, m) + 0.5) / n
+
+
 def rates(votes: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of rows with these weights: each voter's rate, and how often two voters vote together; both smoothed."""
-    n = weight.sum() + 2
-    return (weight @ votes + 1) / n, ((votes * weight[:, None]).T @ votes + 0.5) / n
+    return smoothed(masses(votes, weight))
 
 
 def information(single: np.ndarray, both: np.ndarray) -> np.ndarray:
@@ -158,34 +171,59 @@ def vote_odds(votes: np.ndarray, tree: np.ndarray, one: tuple, zero: tuple) -> n
     return out
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, prior: float) -> np.ndarray:
-    """Posterior of class 1 for every row. ``votes`` are 0/1; ``gold`` is 0, 1 or nan where there is no label."""
-    labelled, base = ~np.isnan(gold), math.log(prior / (1 - prior))
-    post = np.where(votes.sum(1) >= 2, 0.8, 0.1)
-    tree = None
+def logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def posterior(votes: np.ndarray, prior: float, model: tuple | None) -> np.ndarray:
+    """Probability of class 1 that each row's votes give; without a model, a guess by their number."""
+    if model is None:
+        return np.where(votes.sum(1) >= 2, 0.8, 0.1)
+    return logistic(math.log(prior / (1 - prior)) + vote_odds(votes, *model))
+
+
+def class_masses(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, prior: float, model: tuple | None) -> np.ndarray:
+    """Masses of class 1 and of class 0; a row without a label (nan) belongs to both by its posterior."""
+    share = np.where(np.isnan(gold), posterior(votes, prior, model), np.nan_to_num(gold))
+    return np.stack([masses(votes, weight * share), masses(votes, weight * (1 - share))])
+
+
+def estimate(measure) -> tuple:
+    """The label model (tree, rates of class 1, rates of class 0). ``measure`` gives the class masses under a model."""
+    model = None
     for round_ in range(ROUNDS):
-        weight = np.where(labelled, np.nan_to_num(gold), post)
-        one, zero = rates(votes, weight), rates(votes, 1 - weight)
+        totals = measure(model)
+        one, zero = map(smoothed, totals)
         if round_ <= ROUNDS // 2:  # later rounds keep the tree, so that the steps settle
-            share = weight.mean()
+            share = totals[0][0] / max(totals[0][0] + totals[1][0], 1e-9)
             tree = strongest_tree(share * information(*one) + (1 - share) * information(*zero))
-        new = 1 / (1 + np.exp(-np.clip(base + vote_odds(votes, tree, one, zero), -30, 30)))
-        moved = np.abs(new - post).max()
-        post = new
-        if round_ > ROUNDS // 2 and moved < 1e-6:
+        settled = model is not None and (tree == model[0]).all() and all(np.abs(a[1] - b[1]).max() < 1e-6 for a, b in zip((one, zero), model[1:]))
+        model = (tree, one, zero)
+        if settled:
             break
-    return post
+    return model
+
 
+def label_model(votes: np.ndarray, gold: np.ndarray, prior: float) -> np.ndarray:
+    """Posterior of class 1 for every row of a small table. ``votes`` are 0/1; ``gold`` is 0, 1 or nan where there is no label."""
+    weight = np.ones(len(votes))
+    return posterior(votes, prior, estimate(lambda model: class_masses(votes, gold, weight, prior, model)))
 
-def fit_logistic(x: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Weights (the last one is the constant) by Newton steps on soft labels, with a ridge."""
+
+def slopes(x: np.ndarray, target: np.ndarray, weight: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Weighted gradient and curvature of the logistic loss at ``w`` (the last weight is the constant), and the rows' weight."""
     x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
+    p = logistic(x @ w)
+    return np.concatenate([(weight * (p - target)) @ x, ((x * (weight * p * (1 - p))[:, None]).T @ x).ravel(), [weight.sum()]])
+
+
+def fit_logistic(measure, size: int) -> np.ndarray:
+    """Weights by Newton steps on soft labels, with a ridge. ``measure`` gives the slopes at some weights."""
+    w = np.zeros(size)
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - target) / len(x) + RIDGE * w
-        curvature = (x * (p * (1 - p))[:, None]).T @ x / len(x) + RIDGE * np.eye(len(w))
-        step = np.linalg.solve(curvature, gradient)
+        total = measure(w)
+        gradient = total[:size] / total[-1] + RIDGE * w
+        step = np.linalg.solve(total[size:-1].reshape(size, size) / total[-1] + RIDGE * np.eye(size), gradient)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
@@ -197,10 +235,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def _lexicons(counts: DataFrame, pos: list[int], neg: list[int]) -> list[Lexicon]:
+def _lexicons(scratch: Scratch, counts: DataFrame, pos: list[int], neg: list[int]) -> list[Lexicon]:
     """Lexicons of half 0, of half 1 and of both. The entries come to the driver: the sample has a bounded number of rows, and an entry needs several."""
     sides = counts.groupBy("feature").agg(*[F.sum(F.when(F.col("half") == h, F.col(c)).otherwise(0)).alias(f"{c}{h}") for h in (0, 1) for c in ("pos", "neg")])
-    sides = settle(sides.where(F.col("pos0") + F.col("pos1") >= LEAST_ROWS))
+    sides = scratch.settle(sides.where(F.col("pos0") + F.col("pos1") >= LEAST_ROWS), "features")
     out = []
     for halves in ((0,), (1,), (0, 1)):
         p, n = sum(pos[h] for h in halves), sum(neg[h] for h in halves)
@@ -215,15 +253,50 @@ def _lexicons(counts: DataFrame, pos: list[int], neg: list[int]) -> list[Lexicon
     return out
 
 
-def _samples(docs: DataFrame, labels: DataFrame, text: str) -> DataFrame:
-    """(text, half, toxic) of the labelled sample and, with a null ``toxic``, of the sample without labels."""
-    known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
-    first = lambda df, n: df.withColumn("at", F.xxhash64("doc_id")).orderBy("at", "doc_id").limit(n)
-    others = docs.select("doc_id").where("doc_id IS NOT NULL").join(known, "doc_id", "left_anti").distinct()
-    sample = first(known, SAMPLE).unionByName(first(others, UNLABELLED).withColumn("toxic", F.lit(None).cast("long")))
-    sample = settle(sample.select("doc_id", "toxic", F.pmod(F.xxhash64("at"), F.lit(2)).alias("half")))
-    # at most SAMPLE + UNLABELLED rows of three numbers are broadcast
-    return docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(sample), "doc_id").select("text", "half", "toxic")
+def _half(doc_id: str = "doc_id") -> Column:
+    return F.pmod(F.xxhash64(F.xxhash64(doc_id)), F.lit(2)).alias("half")
+
+
+def _vote(batches, lexicons):
+    """(votes, total, most, toxic, n): rows with equal votes (as bits) and sums, counted within the task."""
+    held: dict[tuple, int] = {}
+
+    def rows():
+        columns = list(zip(*held)) or [()] * 4
+        kinds = (pa.int64(), pa.float64(), pa.float64(), pa.int64())
+        out = [pa.array(c, k) for c, k in zip(columns, kinds)] + [pa.array(list(held.values()), pa.int64())]
+        held.clear()
+        return pa.RecordBatch.from_arrays(out, ["votes", "total", "most", "toxic", "n"])
+
+    for batch in batches:
+        for text, half, toxic in zip(*(c.to_pylist() for c in batch.columns)):
+            *votes, total, most = lexicons[1 - half].vector(text).tolist()
+            key = (sum(1 << i for i, v in enumerate(votes) if v), total, most, toxic)
+            held[key] = held.get(key, 0) + 1
+        if len(held) > 100_000:
+            yield rows()
+    yield rows()
+
+
+def _voted(batch: pa.RecordBatch, lighter: float, use_labels: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Votes, labels (nan where there is none) and weights of counted rows."""
+    bits = batch.column("votes").to_numpy()
+    label = batch.column("toxic").cast(pa.float64()).to_numpy(zero_copy_only=False)
+    weight = batch.column("n").to_numpy() * np.where(np.isnan(label), lighter, 1.0)
+    votes = (bits[:, None] >> np.arange(N_FEATURES) & 1).astype(float)
+    return votes, label if use_labels else np.full(len(label), np.nan), weight
+
+
+def _summed(df: DataFrame, work) -> np.ndarray:
+    """The sum over all batches of ``df`` of the numbers that ``work`` makes of a batch; tasks add up their own first."""
+
+    def add(batches):
+        found = [work(b) for b in batches if b.num_rows]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([np.sum(found, axis=0).tolist()], pa.list_(pa.float64()))], ["x"])
+
+    numbers = df.mapInArrow(add, "x array<double>").select(F.posexplode("x").alias("i", "x"))
+    return np.array([r.x for r in sorted(numbers.groupBy("i").agg(F.sum("x").alias("x")).collect())])
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", use_labels: bool = True) -> tuple[Lexicon, np.ndarray]:
@@ -231,30 +304,48 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", use_labels: bool
 
     Without ``use_labels`` only the lexicons learn from labels, not the label model.
     """
-    rows = settle(_samples(docs, labels, text))  # the bounded samples, read several times
-    sizes = {(r.half, r.toxic): r.n for r in rows.where("toxic IS NOT NULL").groupBy("half", "toxic").agg(F.count("*").alias("n")).collect()}
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
+    sample = scratch.settle(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE), "sample")
+    own = docs.select("doc_id", F.col(f"`{text}`").alias("text"))
+    # at most SAMPLE rows of two numbers are broadcast, here and below
+    rows = scratch.settle(own.join(F.broadcast(sample), "doc_id").select("text", _half(), "toxic"), "rows")
+    sizes = {(r.half, r.toxic): r.n for r in rows.groupBy("half", "toxic").agg(F.count("*").alias("n")).collect()}
     pos = [sum(v for (h, t), v in sizes.items() if h == half and t) for half in (0, 1)]
     neg = [sum(v for (h, t), v in sizes.items() if h == half and not t) for half in (0, 1)]
+    n = sum(pos) + sum(neg)
     if not sum(pos) or not sum(neg):
-        prior = sum(pos) / max(1, sum(pos) + sum(neg))
+        scratch.drop()
+        prior = sum(pos) / max(1, n)
         w = np.zeros(N_FEATURES + 3)
         w[-1] = math.log(max(prior, 1e-9) / max(1 - prior, 1e-9))
         return Lexicon([]), w
-    counts = rows.where("toxic IS NOT NULL").mapInArrow(_count_features, "feature string, half long, pos long, neg long")
-    lexicons = _lexicons(counts, pos, neg)
+    counts = rows.mapInArrow(_count_features, "feature string, half long, pos long, neg long")
+    lexicons = _lexicons(scratch, counts, pos, neg)
     shared = docs.sparkSession.sparkContext.broadcast(lexicons)
+    every = own.join(F.broadcast(sample), "doc_id", "left").select("text", _half(), "toxic")
+    voted = every.mapInArrow(lambda batches: _vote(batches, shared.value), "votes long, total double, most double, toxic long, n long")
+    voted = scratch.settle(voted.groupBy("votes", "total", "most", "toxic").agg(F.sum("n").alias("n")), "voted")
+    patterns = scratch.settle(voted.groupBy("votes", "toxic").agg(F.sum("n").alias("n")), "patterns")
+    others = voted.where("toxic IS NULL").agg(F.sum("n")).first()[0] or 0
+    lighter, prior = min(1.0, n / max(1, others)), sum(pos) / n
 
-    def vote(batches):
-        for batch in batches:
-            found = [(shared.value[1 - half].vector(t).tolist(), toxic) for t, half, toxic in zip(*(c.to_pylist() for c in batch.columns))]
-            x, y = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int64())], ["x", "y"])
+    def measured(model):
+        return _summed(patterns, lambda b: class_masses(*_voted(b, lighter, use_labels), prior, model).ravel()).reshape(2, -1)
+
+    model = estimate(measured)
+
+    def sloped(w):
+        def work(batch):
+            votes, _, weight = _voted(batch, lighter, use_labels)
+            x = np.column_stack([votes, batch.column("total").to_numpy(), batch.column("most").to_numpy()])
+            return slopes(x, posterior(votes, prior, model), weight, w)
+
+        return _summed(voted, work)
 
-    voted = rows.mapInArrow(vote, "x array<double>, y long").collect()  # the bounded samples' votes
-    x = np.array([r.x for r in voted])
-    gold = np.array([float("nan") if r.y is None or not use_labels else float(r.y) for r in voted])
-    post = label_model(x[:, :N_FEATURES], gold, sum(pos) / (sum(pos) + sum(neg)))
-    return lexicons[2], fit_logistic(x, post)
+    weights = fit_logistic(sloped, N_FEATURES + 3)
+    scratch.drop()
+    return lexicons[2], weights
 
 
 def score_toxicity(docs: DataFrame, model: tuple[Lexicon, np.ndarray], text: str = "text") -> DataFrame:
@@ -267,7 +358,7 @@ def score_toxicity(docs: DataFrame, model: tuple[Lexicon, np.ndarray], text: str
         lexicon, w = shared.value
         for batch in batches:
             x = np.array([lexicon.vector(t.as_py()) for t in batch.column(at)]).reshape(batch.num_rows, -1)
-            p = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))) if batch.num_rows else np.zeros(0)
+            p = logistic(x @ w[:-1] + w[-1]) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], [*batch.schema.names, "score"])
 
     return docs.mapInArrow(score, docs.select("*", F.lit(0.0).alias("score")).schema)

@@ -11,8 +11,9 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from folioscope.llm import jaccard, manifest, media, near, phrases, registry, secrets, stars
+from folioscope.llm import jaccard, manifest, media, near, phrases, registry, secrets, stars, toxicity
 from folioscope.llm.common import Scratch
 from tests.llm.test_kernels import prose
 from tests.llm.test_operators import SCHEMA, rows
@@ -223,3 +224,32 @@ def test_scan_is_linear(line):
 
     cost(500)
     assert cost(16_000) < 8 * cost(4_000) + 0.2
+
+
+def test_counted_votes_are_the_rows_themselves():
+    rng = np.random.default_rng(4)
+    votes = (rng.random((400, 4)) < 0.3).astype(float)
+    gold = np.where(rng.random(400) < 0.5, np.nan, rng.integers(0, 2, 400).astype(float))
+    rows = np.column_stack([votes, np.nan_to_num(gold, nan=-1)])
+    kinds, counts = np.unique(rows, axis=0, return_counts=True)
+    few, labels = kinds[:, :4], np.where(kinds[:, 4] < 0, np.nan, kinds[:, 4])
+    whole = toxicity.estimate(lambda m: toxicity.class_masses(votes, gold, np.ones(400), 0.3, m))
+    counted = toxicity.estimate(lambda m: toxicity.class_masses(few, labels, counts.astype(float), 0.3, m))
+    assert (whole[0] == counted[0]).all() and all(np.allclose(a, b) for i in (1, 2) for a, b in zip(whole[i], counted[i]))
+    x, target, w = rng.random((400, 4)), rng.random(400), rng.random(5)
+    plain = sum((1 / (1 + np.exp(-(w[:4] @ r + w[4]))) - t) * np.append(r, 1) for r, t in zip(x, target))
+    assert np.allclose(toxicity.slopes(x, target, np.ones(400), w)[:5], plain)
+
+
+def test_every_row_without_a_label_takes_part(spark, monkeypatch):
+    """All rows outside the sample are in the fit, in total as heavy as the sample."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 100)
+    texts = [f"you are a rotten{'est' * (i % 2)} knave number{i % 7}" if i % 3 == 0 else f"a calm remark about subject{i % 11}" for i in range(600)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "no id"), (7, "again"), (8, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)], "doc_id long, toxic int")
+    seen, sums, summed = [], [], toxicity._summed
+    monkeypatch.setattr(toxicity, "fit_logistic", lambda measure, size: seen.append(measure(np.zeros(size))) or np.zeros(size))
+    monkeypatch.setattr(toxicity, "_summed", lambda df, work: sums.append([df.agg(F.sum("n")).first()[0], df.where("toxic IS NOT NULL").agg(F.sum("n")).first()[0]]) or summed(df, work))
+    toxicity.fit(docs, labels)
+    total, labelled = sums[-1]
+    assert total == 603 and labelled in (100, 101, 102) and abs(seen[-1][-1] - 2 * labelled) < 1e-6
