@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,15 +50,60 @@ def fuzzy_semi_join(left: DataFrame, right: DataFrame, threshold: float = 0.8) -
     return titles.join(matched, "chars", "left_semi").select("title")
 
 
-def best_match(left: DataFrame, right: DataFrame, block: str, value: str) -> DataFrame:
+def match_candidates(left: DataFrame, right: DataFrame, share: float) -> DataFrame:
+    """(block, value, best), distinct: all pairs of a block whose edit distance is at most ``1 - share`` of the longer length, and some others.
+
+    So many edits leave one of a right value's segments whole, if it has one segment more than there can be edits. A
+    segment that is whole is found in the left value near its own place: edits before it shift it by one each, and so do
+    those behind it, counted from the ends. Pairs meet on (block, length, segment's number, segment's text).
+    """
+    if not 0.5 < share <= 1:
+        raise ValueError("share must be above 0.5")
+    whole = lambda c: F.floor(c + 1e-9).cast("int")
+    edits = lambda n: whole(n * (1 - share) / share)  # noqa: E731 (at most, in a pair with a value of this length)
+    start = lambda i, n: whole(i * n / (edits(n) + 1))
+    size = lambda i, n: start(i + 1, n) - start(i, n)
+    key = lambda text, m, i, at: F.struct(m.alias("m"), i.alias("i"), text.substr(at + 1, size(i, m)).alias("part"))
+
+    def near(text, n, m, i):
+        """Keys of the left text's parts that segment i of a right value of length m can be."""
+        own, behind = start(i, m), start(i, m) + n - m
+        low = F.greatest(own - i, behind - (edits(m) - i), F.lit(0))
+        high = F.least(own + i, behind + (edits(m) - i), n - size(i, m))
+        return F.transform(F.filter(F.sequence(low, F.greatest(low, high)), lambda at: at <= high), lambda at: key(text, m, i, at))
+
+    best, value, n = F.col("best"), F.col("value"), F.length("value")
+    kept = right.select("block", "best", F.explode(F.transform(F.sequence(F.lit(0), edits(F.length(best))), lambda i: key(best, F.length(best), i, start(i, F.length(best))))).alias("at"))
+    lengths = F.sequence(F.ceil(n * share - 1e-9).cast("int"), whole(n / share))
+    sought = left.select("block", "value", F.explode(lengths).alias("m"))
+    sought = sought.select("block", "value", "m", F.explode(F.sequence(F.lit(0), edits(F.col("m")))).alias("i"))
+    sought = sought.select("block", "value", F.explode(near(value, n, F.col("m"), F.col("i"))).alias("at")).distinct()
+    return sought.join(kept, ["block", "at"]).select("block", "value", "best").distinct()
+
+
+def best_match(left: DataFrame, right: DataFrame, block: str, value: str, shares: tuple[float, ...] = (0.9, 0.75)) -> DataFrame:
     """(block, value, best, ratio): of each left value the most similar right value of its block; of equal ones the smallest.
 
-    Only one row per left value leaves a task: matches are reduced as they are made.
+    Values are first looked up among those so similar that an index finds all of them (``match_candidates``), share by
+    share downwards: what is found above a share can't be surpassed by what wasn't met. Only values without anything that
+    similar are compared with their block's values one by one. Only one row per left value leaves a task, as matches are
+    reduced while they are made. Null blocks and null values have no match; a block without right values gives no rows.
     """
-    other = right.select(block, F.col(value).alias("best")).distinct()
-    scored = left.select(block, value).distinct().join(other, block).withColumn("ratio", text.edit_ratio(F.col(value), F.col("best")))
-    top = F.min_by(F.struct("best", "ratio"), F.struct((-F.col("ratio")).alias("r"), "best")).alias("top")
-    return scored.groupBy(block, value).agg(top).select(block, value, "top.best", "top.ratio")
+    rest = left.select(F.col(f"`{block}`").alias("block"), F.col(f"`{value}`").alias("value")).where("value IS NOT NULL").distinct()
+    other = right.select(F.col(f"`{block}`").alias("block"), F.col(f"`{value}`").alias("best")).where("best IS NOT NULL").distinct()
+
+    def best(pairs: DataFrame) -> DataFrame:
+        scored = pairs.withColumn("ratio", text.edit_ratio(F.col("value"), F.col("best")))
+        top = F.min_by(F.struct("best", "ratio"), F.struct((-F.col("ratio")).alias("r"), "best")).alias("top")
+        return scored.groupBy("block", "value").agg(top).select("block", "value", "top.best", "top.ratio")
+
+    found = []
+    for share in shares:
+        # ratios are rounded, so one at the very edge is left to the next step, which knows its equals
+        found.append(best(match_candidates(rest, other, share)).where(F.col("ratio") > 100 * share + 0.01))
+        rest = rest.join(found[-1], ["block", "value"], "left_anti")
+    found.append(best(rest.join(other, "block")))
+    return reduce(DataFrame.union, found).select(F.col("block").alias(block), F.col("value").alias(value), "best", "ratio")
 
 
 def longest(values: DataFrame, key: str, value: str, shape: str) -> DataFrame:

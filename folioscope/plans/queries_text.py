@@ -279,6 +279,14 @@ def _q64(spark, sf):
     return compare.best_match(left, right, "block", "value")
 
 
+@query("q64b_misspelt_match", f"WITH t AS (SELECT DISTINCT p_brand AS b, CASE WHEN p_partkey % 3 = 0 THEN substr(p_name, 2) WHEN p_partkey % 3 = 1 THEN p_name || 's' ELSE replace(p_name, 'e', 'i') END AS v FROM part), m AS (SELECT DISTINCT p_brand AS b, p_name AS v FROM part) SELECT t.b AS block, t.v AS value, m.v AS best, {BEST_SQL} AS ratio FROM t JOIN m USING (b) QUALIFY row_number() OVER (PARTITION BY t.b, t.v ORDER BY {BEST_SQL} DESC, m.v) = 1")
+def _q64b(spark, sf):
+    """Names in three misspellings, matched with the names of their brand."""
+    part, k = table(spark, sf, "part").withColumnRenamed("p_brand", "block"), F.col("p_partkey") % 3
+    wrong = F.when(k == 0, F.expr("substr(p_name, 2)")).when(k == 1, F.concat("p_name", F.lit("s"))).otherwise(F.replace("p_name", F.lit("e"), F.lit("i")))
+    return compare.best_match(part.select("block", wrong.alias("value")), part.select("block", F.col("p_name").alias("value")), "block", "value")
+
+
 @query("q65_longest_name", "SELECT p_brand AS brand, p_name AS longest FROM (SELECT DISTINCT p_brand, p_name FROM part) QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY NOT regexp_matches(p_name, '^[a-m]'), length(p_name) DESC, p_name) = 1")
 def _q65(spark, sf):
     return compare.longest(table(spark, sf, "part").withColumnRenamed("p_brand", "brand"), "brand", "p_name", "^[a-m]")

@@ -293,6 +293,44 @@ def test_best_match_and_longest(spark):
     assert [r.longest for r in compare.longest(right.where("block = 'x'"), "block", "value", "^s.*h$").collect()] == ["smyth"]
 
 
+def edits(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def test_best_match_against_all_pairs(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randrange(0, 13)))
+    sides = [{(rng.choice("xy"), word()) for _ in range(120)} for _ in range(2)]
+    left, right = (spark.createDataFrame([*s, ("x", None), (None, "abc")], "block string, value string") for s in sides)
+    ratio = lambda a, b: round(100 * (1 - edits(a, b) / max(len(a), len(b))), 2) if a or b else 100.0
+    expected = {}
+    for block, v in sides[0]:
+        if options := [(-ratio(v, w), w) for b, w in sides[1] if b == block]:
+            expected[block, v] = min(options)
+    got = {(r.block, r.value): (-r.ratio, r.best) for r in compare.best_match(left, right, "block", "value").collect()}
+    assert got == expected
+    for share in (0.6, 0.75, 0.9, 1.0):
+        pairs = compare.match_candidates(left.where("value IS NOT NULL"), right.where("value IS NOT NULL").withColumnRenamed("value", "best"), share)
+        met = {tuple(r) for r in pairs.collect()}
+        assert {(b, v, w) for b, v in sides[0] for c, w in sides[1] if b == c and edits(v, w) <= (1 - share) * max(len(v), len(w)) + 1e-9} <= met
+
+
+def test_a_large_block_is_matched_through_its_index(spark):
+    """One block of 100,000 values: candidates are far fewer than the ten thousand million pairs."""
+    letters = [F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), (F.abs(F.xxhash64("id", F.lit(i))) % 26 + 1).cast("int"), F.lit(1)) for i in range(14)]
+    names = spark.range(100_000).select("id", F.lit("x").alias("block"), F.concat(*letters).alias("value"))
+    wrong = names.select("block", F.when(F.col("id") % 2 == 0, F.concat("value", F.lit("q"))).otherwise(F.expr("substr(value, 2)")).alias("value"))
+    n = compare.match_candidates(wrong, names.withColumnRenamed("value", "best").drop("id"), 0.9).count()
+    assert 100_000 <= n < 200_000
+    found = compare.best_match(wrong, names.drop("id"), "block", "value")
+    assert found.where("ratio > 92").count() == wrong.distinct().count() == 100_000
+
+
 def test_fuzzy_semi_join_against_all_pairs(spark):
     """Small alphabets, so that sizes, near misses and equal sets all occur; repeated and one-letter titles too."""
     rng = random.Random(4)
