@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions import text
@@ -22,32 +22,51 @@ def compare(left: DataFrame, right: DataFrame) -> DataFrame:
     return merged.select("title", F.when(F.col("l") + F.col("r") == 2, "both").when(F.col("l") == 1, "left").otherwise("right").alias("side"))
 
 
+def set_candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """(chars, other), distinct: all pairs of character sets with at least this Jaccard similarity, and some others.
+
+    Sets of one column ``chars``, distinct characters as text. Two such sets differ by fewer than d + 1 characters, d given
+    by the right set's size. With the alphabet dealt into d + 2 parts, at least two parts have no differing character: pairs
+    meet where they agree on two parts. Characters are dealt by frequency in turn, so that all parts tell sets apart.
+    """
+    def tokens(df):
+        return df.select("chars", F.explode(F.split("chars", "")).alias("char"))
+
+    # the ranking's one task has a row per character, at most the whole of Unicode
+    ranked = tokens(left).union(tokens(right)).groupBy("char").agg(F.count("*").alias("df")).select("char", F.row_number().over(Window.orderBy(F.desc("df"), "char")).alias("rank"))
+    differing = lambda m: F.floor(m * (1 - threshold) / threshold + 1e-9).cast("int")
+
+    def numbered(df):
+        return tokens(df).join(ranked, "char").groupBy("chars").agg(F.array_sort(F.collect_list("rank")).alias("ranks"))
+
+    def keyed(df):
+        """Keys of sets for a partner size ``m``: two parts and what the set has in them."""
+        last, part = differing(F.col("m")) + 1, lambda x: x % (differing(F.col("m")) + 2)
+        pairs = df.select("chars", "m", "ranks", F.explode(F.sequence(F.lit(0), last - 1)).alias("p"))
+        pairs = pairs.select("chars", "m", "ranks", "p", F.explode(F.sequence(F.col("p") + 1, last)).alias("q"))
+        own = F.filter("ranks", lambda x: (part(x) == F.col("p")) | (part(x) == F.col("q")))
+        return pairs.select("chars", "m", "p", "q", F.array_join(own.cast("array<string>"), ",").alias("own"))
+
+    n = F.size("ranks")
+    kept = keyed(numbered(right).withColumn("m", n)).withColumnRenamed("chars", "other")
+    sizes = F.sequence(F.ceil(n * threshold - 1e-9).cast("int"), F.floor(n / threshold + 1e-9).cast("int"))
+    sought = keyed(numbered(left).withColumn("m", F.explode(sizes)))
+    return sought.join(kept, ["m", "p", "q", "own"]).select("chars", "other").distinct()
+
+
 def fuzzy_semi_join(left: DataFrame, right: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Left titles with a right title whose character sets have at least the given Jaccard similarity.
 
-    Titles with equal character sets are one row. Above a similarity of one half, different sets that match
-    have two characters or more in common, so a left and a right set meet on a pair of their rarest characters.
+    Titles with equal character sets are one row; sets meet through ``set_candidates`` and are then compared exactly.
     """
     if not 0.5 < threshold <= 1:
         raise ValueError("threshold must be above 0.5")
     keyed = lambda df: df.withColumn("chars", F.array_join(F.array_sort(F.array_distinct(F.split("title", ""))), ""))
     titles = keyed(left)
-    l, r = titles.select("chars").distinct(), keyed(right).select("chars").distinct()
-    tokens = l.union(r).distinct().select("chars", F.explode(F.split("chars", "")).alias("char"))
-    rare = tokens.join(tokens.groupBy("char").agg(F.count("*").alias("df")), "char")
-    # a set's characters are bounded by the alphabet, however many titles have it
-    ranked = rare.groupBy("chars").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "char"))), lambda x: x["char"]).alias("ranked"))
-    n = F.size("ranked")
-    first = ranked.select("chars", n.alias("n"), F.slice("ranked", F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 2).cast("int")).alias("first"))
-    pairs = F.flatten(F.transform("first", lambda x, i: F.transform(F.slice("first", i + 2, F.size("first")), lambda y: F.concat(x, y))))
-    keys = first.select("chars", "n", F.explode(pairs).alias("pair"))
-    near = (F.col("n") >= threshold * F.col("m") - 1e-9) & (F.col("m") >= threshold * F.col("n") - 1e-9)
-    others = keys.join(r, "chars", "left_semi").toDF("other", "m", "pair")
-    met = keys.join(l, "chars", "left_semi").join(others, "pair").where(near).select("chars", "other").distinct()
+    met = set_candidates(titles.select("chars").distinct(), keyed(right).select("chars").distinct(), threshold)
     both = F.size(F.array_intersect(F.split("chars", ""), F.split("other", "")))
     alike = both >= threshold * (F.length("chars") + F.length("other") - both) - 1e-9
-    matched = met.where(alike).select("chars").union(l.join(r, "chars", "left_semi")).distinct()
-    return titles.join(matched, "chars", "left_semi").select("title")
+    return titles.join(met.where(alike).select("chars").distinct(), "chars", "left_semi").select("title")
 
 
 def match_candidates(left: DataFrame, right: DataFrame, share: float) -> DataFrame:

@@ -11,9 +11,7 @@ def coauthor_edges(authorships: DataFrame, item: str = "doi", member: str = "aut
 
     An item's members are few, so the self join on the item is linear in practice; items are distinct first.
     """
-    pairs = authorships.select(item, member).distinct()
-    a, b = pairs.toDF(item, "src"), pairs.toDF(item, "dst")
-    return a.join(b, item).where("src < dst").groupBy("src", "dst").agg(F.count("*").alias("weight"))
+    return edge_items(authorships, item, member).groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -22,11 +20,16 @@ def degrees(edges: DataFrame) -> DataFrame:
     return ends.groupBy("node").agg(F.count("*").alias("degree"), F.sum("weight").alias("strength"))
 
 
-def edge_articles(authorships: DataFrame, item: str = "doi", member: str = "author") -> DataFrame:
-    """Edges with the sorted items that make them."""
+def edge_items(authorships: DataFrame, item: str = "doi", member: str = "author") -> DataFrame:
+    """(src, dst, item) with src < dst: the items that make each edge, as rows; an edge can have any number of them."""
     pairs = authorships.select(item, member).distinct()
     a, b = pairs.toDF(item, "src"), pairs.toDF(item, "dst")
-    return a.join(b, item).where("src < dst").groupBy("src", "dst").agg(F.array_sort(F.collect_list(item)).alias("articles"))
+    return a.join(b, item).where("src < dst").select("src", "dst", item)
+
+
+def edge_articles(authorships: DataFrame, item: str = "doi", member: str = "author") -> DataFrame:
+    """Edges with the sorted items that make them as an array: the shape of stored records, for edges known to be small."""
+    return edge_items(authorships, item, member).groupBy("src", "dst").agg(F.array_sort(F.collect_list(item)).alias("articles"))
 
 
 def matrix(edges: DataFrame, nodes: list[str]) -> DataFrame:

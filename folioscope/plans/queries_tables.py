@@ -191,6 +191,11 @@ def _q30b(spark, sf):
     return graph.edge_articles(authorships(spark, sf)).withColumn("articles", F.array_join(F.transform("articles", lambda x: x.cast("string")), "|"))
 
 
+@query("q30c_edge_items", WITH + "SELECT a.author AS src, b.author AS dst, a.doi AS doi FROM ships a JOIN ships b ON a.doi = b.doi AND a.author < b.author")
+def _q30c(spark, sf):
+    return graph.edge_items(authorships(spark, sf))
+
+
 @query("q31_degree", WITH + f", {EDGES_SQL} SELECT node, count(*) AS degree, CAST(sum(weight) AS BIGINT) AS strength FROM (SELECT src AS node, weight FROM edges UNION ALL SELECT dst, weight FROM edges) GROUP BY 1")
 def _q31(spark, sf):
     return graph.degrees(graph.coauthor_edges(authorships(spark, sf)))

@@ -143,6 +143,13 @@ def _q25(spark, sf):
     return compare.fuzzy_semi_join(types, called)
 
 
+@query("q25b_similar_names", "WITH n AS (SELECT DISTINCT replace(lower(p_name), ' ', '') AS title FROM part WHERE p_size < 25), m AS (SELECT DISTINCT replace(lower(p_name), ' ', '') AS title FROM part WHERE p_size >= 25), a AS (SELECT title, list_distinct(string_split(title, '')) AS c FROM n), b AS (SELECT title, list_distinct(string_split(title, '')) AS c FROM m) SELECT DISTINCT a.title FROM a JOIN b ON len(list_intersect(a.c, b.c)) >= 0.8 * len(list_distinct(list_concat(a.c, b.c)))")
+def _q25b(spark, sf):
+    """Names of small parts that look like one of a large part."""
+    part = table(spark, sf, "part").withColumn("title", F.col("p_name"))
+    return compare.fuzzy_semi_join(compare.regularised(part.where("p_size < 25")), compare.regularised(part.where("p_size >= 25")))
+
+
 @query("q26_recall_pct", f"WITH {SIDES_SQL}, c AS (SELECT count_if(side = 'both') AS found, count_if(side = 'left') AS l, count_if(side = 'right') AS r FROM s) SELECT CAST(found AS BIGINT) AS found, CAST(l AS BIGINT) AS left_only, CAST(r AS BIGINT) AS right_only, round(100.0 * r / (found + r), 2) AS missing_percent, round(100 - 100.0 * r / (found + r), 2) AS recall_percent, CAST(floor((found + r) / r) AS BIGINT) AS one_in FROM c")
 def _q26(spark, sf):
     return compare.summary(_sides(spark, sf))

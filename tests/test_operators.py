@@ -343,3 +343,17 @@ def test_fuzzy_semi_join_against_all_pairs(spark):
         assert got == want and got
     with pytest.raises(ValueError):
         compare.fuzzy_semi_join(left, right, 0.5)
+
+
+def test_set_candidates_hold_all_similar_sets_and_few_others(spark):
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789éß"
+    pick = lambda: "".join(sorted(rng.sample(letters, rng.randrange(1, 22))))
+    left = {pick() for _ in range(1500)}
+    near = {"".join(sorted(set(c) ^ set(rng.sample(letters, 2)))) for c in sorted(left)[::3]} - {""}
+    right = {pick() for _ in range(1000)} | near
+    pairs = compare.set_candidates(*(spark.createDataFrame([(c,) for c in s], "chars string") for s in (left, right)), 0.8)
+    met = {tuple(r) for r in pairs.collect()}
+    alike = {(a, b) for a in left for b in right if len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b)) - 1e-9}
+    assert len(alike) > 200 and alike <= met and len(met) < len(left) * len(right) / 50
+    assert compare.set_candidates(spark.createDataFrame([], "chars string"), spark.createDataFrame([("ab",)], "chars string"), 0.8).count() == 0
