@@ -131,6 +131,18 @@ def longest(values: DataFrame, key: str, value: str, shape: str) -> DataFrame:
     return values.groupBy(key).agg(F.min_by(value, F.struct((~fits).alias("a"), (-F.length(value)).alias("b"), F.col(value).alias("c"))).alias("longest"))
 
 
+def roster_join(roster: DataFrame, names: DataFrame, value: str, shape: str) -> DataFrame:
+    """``roster`` with ``key`` (last name and initial) and ``standard``: the longest of ``names`` with that key, one of the given shape first.
+
+    Without such a name, and for a null one, ``standard`` is null; every roster row stays, repeated ones too. Names are one
+    row per key before they meet the roster, so a frequent key multiplies nothing.
+    """
+    keyed = lambda df: df.withColumn("key", text.person_key(F.col(f"`{value}`")))
+    standard = longest(keyed(names.where(F.col(f"`{value}`").isNotNull())), "key", value, shape).withColumnRenamed("longest", "standard")
+    own = keyed(roster.drop("key", "standard")).withColumn("key", F.when(F.col(f"`{value}`").isNotNull(), F.col("key")))
+    return own.join(standard, "key", "left")
+
+
 def same_text(left: DataFrame, right: DataFrame, value: str, key: str) -> DataFrame:
     """``left`` with the ``key`` of the first right row whose cleaned text is equal."""
     first = right.select(text.clean(F.col(value)).alias("_text"), F.col(key).alias("found")).groupBy("_text").agg(F.min("found").alias("found"))

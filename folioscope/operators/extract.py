@@ -179,3 +179,15 @@ def stream_counts(df: DataFrame, kinds: dict[str, Column], name: str = "warnings
 
 def _counters(kinds: dict[str, Column]) -> list[Column]:
     return [F.count_if(F.coalesce(c, F.lit(False))).alias(kind) for kind, c in kinds.items()]
+
+
+def extracted_lists(df: DataFrame, key: str, lists: dict[str, str]) -> DataFrame:
+    """(key, list, item): the non-null values of each named column, or the elements of each named array, as rows without a shuffle."""
+    kinds = dict(df.dtypes)
+
+    def tagged(name: str, column: str):
+        items = F.col(f"`{column}`")
+        items = items.cast("array<string>") if kinds[column].startswith("array") else F.array(items.cast("string"))
+        return F.coalesce(F.transform(items, lambda x: F.struct(F.lit(name).alias("list"), x.alias("item"))), F.array().cast("array<struct<list:string,item:string>>"))
+
+    return df.select(key, F.explode(F.flatten(F.array(*[tagged(name, c) for name, c in lists.items()]))).alias("m")).select(key, "m.list", "m.item").where("item IS NOT NULL")

@@ -311,6 +311,13 @@ def _q49(spark, sf):
     return keyed.where("n >= 2")
 
 
+@query("q49b_roster_join", "WITH k AS (SELECT p_partkey, p_name, p_size, lower(split_part(p_name, ' ', -1)) || '|' || lower(substr(p_name, 1, 1)) AS key FROM part), s AS (SELECT key, p_name AS standard FROM (SELECT DISTINCT key, p_name FROM k WHERE p_size >= 25) QUALIFY row_number() OVER (PARTITION BY key ORDER BY NOT regexp_matches(p_name, '^[a-m]'), length(p_name) DESC, p_name) = 1) SELECT p_partkey, key, p_name, standard FROM k LEFT JOIN s USING (key) WHERE p_size < 25")
+def _q49b(spark, sf):
+    """Names of small parts with the standard form of their key among the large parts."""
+    part = table(spark, sf, "part")
+    return compare.roster_join(part.where("p_size < 25").select("p_partkey", "p_name"), part.where("p_size >= 25").select("p_name"), "p_name", "^[a-m]")
+
+
 @query("q50_classify_flatten", WITH + "SELECT top AS key, CAST('' AS VARCHAR) AS parent, top AS label, 'top' AS level FROM people GROUP BY 1 UNION ALL SELECT top, top, affiliation, 'mid' FROM people GROUP BY top, affiliation UNION ALL SELECT top, top || '/' || affiliation, author, 'low' FROM people")
 def _q50(spark, sf):
     """A small tree per lowest label; what several trees have in common is one row."""

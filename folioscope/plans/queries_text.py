@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions import markup, minhash, text
-from folioscope.operators import classify, compare, names, report
+from folioscope.operators import classify, compare, extract, names, report
 from folioscope.plans.catalogue import query
 from folioscope.plans.frames import table
 from folioscope.sources import readers
@@ -340,6 +340,12 @@ def _q72(spark, sf):
     return texts.groupBy("lang").agg(F.count("*").alias("n"), F.countDistinct("text").alias("distinct_texts"))
 
 
+@query("q72b_extracted_items", "SELECT doc_id, 'titles' AS list, source AS item FROM documents WHERE source IS NOT NULL UNION ALL SELECT doc_id, 'abstracts', text FROM documents WHERE text IS NOT NULL UNION ALL SELECT doc_id, 'languages', lang FROM documents WHERE lang IS NOT NULL")
+def _q72b(spark, sf):
+    """The lists themselves."""
+    return extract.extracted_lists(table(spark, sf, "documents"), "doc_id", {"titles": "source", "abstracts": "text", "languages": "lang"})
+
+
 @query("q73_match_counters", "SELECT p_brand AS brand, count(*) FILTER (p_partkey % 3 = 0) AS matched, count(*) FILTER (p_partkey % 3 <> 0) AS unmatched FROM part GROUP BY 1")
 def _q73(spark, sf):
     """Citations with and without a recognisable title."""

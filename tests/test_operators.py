@@ -357,3 +357,16 @@ def test_set_candidates_hold_all_similar_sets_and_few_others(spark):
     alike = {(a, b) for a in left for b in right if len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b)) - 1e-9}
     assert len(alike) > 200 and alike <= met and len(met) < len(left) * len(right) / 50
     assert compare.set_candidates(spark.createDataFrame([], "chars string"), spark.createDataFrame([("ab",)], "chars string"), 0.8).count() == 0
+
+
+def test_roster_join_keeps_every_row(spark):
+    roster = spark.createDataFrame([("Doe, Jane", 1), ("Doe, Jane", 2), ("Roe, R", 3), (None, 4)], "name string, key int")
+    known = spark.createDataFrame([("Doe, Jane A.",), ("Doe, Jacqueline",), (None,), ("Poe, E",)], "name string")
+    got = sorted((r.name or "", r.key, r.standard) for r in compare.roster_join(roster, known, "name", r"^[A-Za-z]+, [A-Za-z]+ [A-Z]\.$").collect())
+    assert got == [("", None, None), ("Doe, Jane", "doe|j", "Doe, Jane A."), ("Doe, Jane", "doe|j", "Doe, Jane A."), ("Roe, R", "roe|r", None)]
+
+
+def test_extracted_lists(spark):
+    df = spark.createDataFrame([(1, "t", ["a", None, "b"]), (2, None, None), (3, "t", [])], "id int, title string, authors array<string>")
+    got = sorted(tuple(r) for r in extract.extracted_lists(df, "id", {"titles": "title", "authors": "authors"}).collect())
+    assert got == [(1, "authors", "a"), (1, "authors", "b"), (1, "titles", "t"), (3, "titles", "t")]
