@@ -7,15 +7,16 @@ letter case stay, check digits are computed anew. The permutation depends on the
 alone, so equal values have equal pseudonyms in all documents, different values different ones, and
 the key's holder can invert it (``restore``). A phone number's last ten digits are one domain, whatever
 its punctuation and country code, so all spellings of a number stay linked; numbers of the North American
-plan stay valid. Accounts are read in either case. An IPv6 address is permuted as a number and written in
+plan stay valid. A day is one value in all spellings (year first, day first, or month first where only that is a date); a
+card is one value with and without groups. Accounts are read in either case. An IPv6 address is permuted as a number and written in
 its normal form.
 
 The key has no default: callers pass it. ``session_key`` reads it from ``spark.folioscope.pseudonym.key``;
 where that is unset it draws one for the run, which nobody keeps, so pseudonyms are linked within the run
 and can't be inverted.
 
-Mail addresses, which hold neither numbers nor dates, keep their domain; their local part's letters
-and digits are permuted the same way. By the standard a local part has 64 characters at most and a label 63; what is
+Mail addresses keep their domain; their local part's letters and digits are permuted the same way, as one value
+whatever numbers or dates it holds. By the standard a local part has 64 characters at most and a label 63; what is
 longer is no address and isn't touched.
 
 Defined results: null text stays null and has no spans; empty text stays empty; an empty table gives no
@@ -110,13 +111,55 @@ def _put_digits(pattern: str, digits: str) -> str:
     return DIGIT.sub(lambda _: next(new), pattern)
 
 
+def _check_digit(body: str) -> int:
+    """The digit that makes ``body`` valid when it is put behind it."""
+    total = sum(int(d) if i % 2 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(body)))
+    return -total % 10
+
+
+def _mixed(digits: str) -> bool:
+    """No valid number of 13 digits or more at the start of ``digits`` is one digit repeated."""
+    return not any(len(set(digits[:n])) == 1 and luhn(digits[:n]) for n in range(13, len(digits) + 1))
+
+
+def _card_digits(digits: str, key: bytes, back: bool) -> str:
+    """The digits of a card's pseudonym: valid at exactly the lengths from 13 on at which the card's digits are.
+
+    From the thirteenth on a digit is told as its distance from the check digit of what stands before it, which is 0 where
+    the number could end. Zeros stay and the rest is permuted, so where a card ends doesn't depend on its grouping. A longer
+    number that begins with a valid one of 16 digits keeps those linked with that card; only what is behind them is permuted besides.
+    """
+    known = 16 if len(digits) > 16 and luhn(digits[:16]) else 0
+    head = _card_digits(digits[:16], key, back) if known else digits[0]
+    places = range(known or 1, len(digits))
+    steps = [(int(digits[i]) - (_check_digit(digits[:i]) if i >= 12 else 0)) % 10 for i in places]
+    bases = [10 if i < 12 else 9 if step else 1 for i, step in zip(places, steps)]
+    x, size = 0, 1
+    for base, step in zip(bases, steps):
+        size *= base
+        x = x * base + (step - 1 if base == 9 else step)
+
+    def write(x: int) -> str:
+        at = []
+        for base in reversed(bases):
+            x, digit = divmod(x, base)
+            at.append(digit + 1 if base == 9 else digit)
+        new = head
+        for i, step in zip(places, reversed(at)):
+            new += str((step + (_check_digit(new) if i >= 12 else 0)) % 10)
+        return new
+
+    source = (head if back else digits[:16]) if known else digits[0]
+    tweak = f"card {source} {''.join('0' if base == 1 else '1' for base in bases)}"
+    return write(Permutation(key, tweak, size).apply(x, lambda y: _mixed(write(y)), back))
+
+
 def _card(value: str, key: bytes, back: bool) -> str | None:
     digits = "".join(DIGIT.findall(value))
-    if not 13 <= len(digits) <= 19 or not luhn(digits) or len(set(digits)) == 1:
+    if not 13 <= len(digits) <= 19 or not luhn(digits) or not _mixed(digits):
         return None
-    n = len(digits) - 2
-    body = f"{_permutation(key, 'card' + digits[0], 10**n).apply(int(digits[1:-1]), None, back):0{n}d}"
-    return _put_digits(value, next(d for c in range(10) if luhn(d := digits[0] + body + str(c))))
+    new = _card_digits(digits, key, back)
+    return new and _put_digits(value, new)
 
 
 def _plan(digits: str) -> bool:
@@ -163,6 +206,7 @@ def _ip6(value: str, key: bytes, back: bool) -> str | None:
 
 
 def _day(year: str, month: str, day: str, key: bytes, back: bool) -> date | None:
+    """The pseudonym of a day. Days after the twelfth stay such days, so every spelling is read in the same order again."""
     try:
         found = date(int(year), int(month), int(day))
     except ValueError:
@@ -170,7 +214,8 @@ def _day(year: str, month: str, day: str, key: bytes, back: bool) -> date | None
     if not FIRST_DAY <= found <= LAST_DAY:
         return None
     n = (LAST_DAY - FIRST_DAY).days + 1
-    return FIRST_DAY + timedelta(_permutation(key, "date", n).apply((found - FIRST_DAY).days, None, back))
+    same = lambda x: ((FIRST_DAY + timedelta(x)).day > 12) == (found.day > 12)
+    return FIRST_DAY + timedelta(_permutation(key, "date", n).apply((found - FIRST_DAY).days, same, back))
 
 
 def _iso(value: str, key: bytes, back: bool) -> str | None:
@@ -179,19 +224,12 @@ def _iso(value: str, key: bytes, back: bool) -> str | None:
 
 
 def _dmy(value: str, key: bytes, back: bool) -> str | None:
-    """Day first; month first where only that is a date. Both readings keep to their own half of the calendar's days."""
+    """Day first; month first where only that is a date."""
     a, b, year = value[:2], value[3:5], value[6:]
     day_first = int(b) <= 12
-    try:
-        found = date(int(year), int(b if day_first else a), int(a if day_first else b))
-    except ValueError:
+    new = _day(year, b if day_first else a, a if day_first else b, key, back)
+    if new is None:
         return None
-    if not FIRST_DAY <= found <= LAST_DAY:
-        return None
-    n = (LAST_DAY - FIRST_DAY).days + 1
-    fits = None if day_first else (lambda x: (FIRST_DAY + timedelta(x)).day > 12)
-    x = _permutation(key, "date" if day_first else "date, month first", n).apply((found - FIRST_DAY).days, fits, back)
-    new = FIRST_DAY + timedelta(x)
     first, second = (f"{new:%d}", f"{new:%m}") if day_first else (f"{new:%m}", f"{new:%d}")
     return f"{first}{value[2]}{second}{value[5]}{new:%Y}"
 
@@ -240,6 +278,7 @@ MAKE = {"email": _email, "iban": _iban, "ip6": _ip6, "iso": _iso, "dmy": _dmy, "
 
 #: Every value holds a digit or an at sign; these are rare in text and quick to find.
 ANCHOR = re.compile(r"(?<![0-9])[0-9]|@", re.ASCII)
+BEFORE_AT = re.compile(r"[A-Za-z0-9._%+-]{1,64}@", re.ASCII)
 LOCAL_PART = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z", re.ASCII)
 
 
@@ -250,6 +289,10 @@ def _starts(text: str, anchor: int):
         if local:
             yield local.start()
         return
+    # a mail address goes before what its local part may hold
+    if BEFORE_AT.match(text, anchor) and (local := LOCAL_PART.search(text, max(0, anchor - 64), anchor)):
+        if (match := FIND.match(text, local.start())) and match["email"]:
+            yield local.start()
     if anchor >= 2 and text[anchor - 2 : anchor].isalpha():
         yield anchor - 2
     if ":" in text[max(0, anchor - 3) : anchor + 5]:

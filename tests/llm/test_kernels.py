@@ -4,6 +4,7 @@ import hashlib
 import random
 import struct
 import zlib
+from datetime import date, datetime, timedelta
 
 import numpy as np
 import pytest
@@ -139,6 +140,70 @@ def test_long_cards_in_groups_are_found_and_restored():
         assert spans == [("card", 0, 19 if pii.luhn(digits[:16]) else 23)] and pii.pseudonymise(new, b"k", back=True) == (text, spans)
 
 
+def grouped(digits, rng):
+    out = ""
+    while digits:
+        n = rng.choice((3, 4, 4, 4, 5, 6))
+        out, digits = out + " " * bool(out) + digits[:n], digits[n:]
+    return out
+
+
+def test_cards_are_linked_and_inverted_in_every_grouping():
+    """By rules of its own: the ends a grouping allows are tried from the shortest, and the first valid one is a card."""
+    rng, single = random.Random(4), {}
+    for n in range(600):
+        size = rng.randrange(13, 20)
+        body = rng.choice("3456") + "".join(rng.choice("0123456789") for _ in range(size - 2))
+        digits = next(body + str(c) for c in range(10) if pii.luhn(body + str(c)))
+        single[digits] = pii.pseudonymise(digits, b"k")[0]
+        assert len(single[digits]) == size and pii.luhn(single[digits]) and pii.pseudonymise(single[digits], b"k", back=True)[0] == digits
+        assert [pii.luhn(digits[:i]) for i in range(13, size)] == [pii.luhn(single[digits][:i]) for i in range(13, size)]
+        text = grouped(digits, rng)
+        ends = [i for i, c in enumerate(text + " ") if c == " " and pii.luhn(text[:i].replace(" ", "")) and 13 <= len(text[:i].replace(" ", "")) <= 19]
+        new, spans = pii.pseudonymise(text, b"k")
+        card = text[: ends[0]].replace(" ", "")
+        if len(text.split()[0]) + len(text.split()[1]) > 6 and spans and spans[0][0] == "card":
+            assert spans[0] == ("card", 0, ends[0]) and new[: ends[0]].replace(" ", "") == pii.pseudonymise(card, b"k")[0]
+        assert pii.pseudonymise(new, b"k", back=True) == (text, spans)
+    assert len(set(single.values())) == len(single)
+
+
+def test_a_long_card_keeps_the_card_it_begins_with():
+    digits = "4539148803436467008"
+    new = pii.pseudonymise(digits, b"k")[0]
+    short = pii.pseudonymise(digits[:16], b"k")[0]
+    assert new[:16] == short != digits[:16] and pii.luhn(new) and pii.pseudonymise(new, b"k", back=True)[0] == digits
+    assert pii.pseudonymise("4539 1488 0343 6467 008", b"k")[0].replace(" ", "")[:16] == short
+    images = {pii.pseudonymise(x, b"k")[0] for i in range(1000) if pii.luhn(x := digits[:16] + f"{i:03d}")}
+    assert len(images) == 100
+
+
+def test_a_card_of_one_digit_is_none():
+    for text in ("0000 0000 0000 0", "0000000000000 000", "0000 0000 0000 0 109", "8888888888888888", "6666 6666 6666 6"):
+        new, spans = pii.pseudonymise(text, b"k")
+        assert pii.pseudonymise(new, b"k", back=True) == (text, spans)
+    assert pii.pseudonymise("4444 4444 4444 4448", b"k")[1] == [("card", 0, 19)]
+
+
+def test_a_day_is_one_value_in_all_spellings():
+    for day in [date(1900, 1, 1) + timedelta(i) for i in range(0, 73049, 37)]:
+        spellings = [f"{day:%Y-%m-%d}", f"{day:%Y/%m/%d}", f"{day:%d/%m/%Y}", f"{day:%d.%m.%Y}"] + [f"{day:%m/%d/%Y}"] * (day.day > 12)
+        new = [pii.pseudonymise(f"on {x}.", b"k")[0][3:-1] for x in spellings]
+        forms = ["%Y-%m-%d", "%Y/%m/%d", "%d/%m/%Y", "%d.%m.%Y", "%m/%d/%Y"]
+        assert len({datetime.strptime(x, f) for x, f in zip(new, forms)}) == 1
+        assert [pii.pseudonymise(f"on {x}.", b"k", back=True)[0][3:-1] for x in new] == spellings
+
+
+@pytest.mark.parametrize("address", ["max.2020-01-01@x.com", "25.03.2020@x.org", "a-10.0.0.7@mail.example.com", "call.212-555-0143@x.com", "n4539148803436467@x.com"])
+def test_an_address_goes_before_what_it_holds(address):
+    new, spans = pii.pseudonymise(f"to {address} at 2020-01-01", b"k")
+    assert spans == [("email", 3, 3 + len(address)), ("iso", 7 + len(address), 17 + len(address))]
+    local = new[3:].split("@")[0]
+    assert local != address.split("@")[0] and [c.isdigit() for c in local] == [c.isdigit() for c in address.split("@")[0]]
+    assert pii.pseudonymise(new, b"k", back=True) == (f"to {address} at 2020-01-01", spans)
+    assert not pii.pseudonymise("y" * 70 + "@x.com", b"k")[1] and pii.pseudonymise("at 2020-01-01@home", b"k")[1] == [("iso", 3, 13)]
+
+
 @pytest.mark.parametrize("account", ["AT611904300234573201", "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00", "BE68539007547034"])
 def test_words_behind_an_account_do_not_hide_it(account):
     alone = pii.pseudonymise(account, b"k")[0]
