@@ -48,6 +48,27 @@ def facts(spark: SparkSession, sf_dir: str, category: str = "top") -> DataFrame:
     )
 
 
+def works(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per article and author with all fields of a record; a part's type is a theme, region, nation and supplier are the levels."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    lines = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    articles = lines.groupBy(F.col("l_orderkey").alias("doi")).agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("long").alias("tc"), F.min("p_name").alias("abstract"),
+        F.array_sort(F.collect_set("p_type")).alias("themes"), F.date_format(F.min("l_shipdate"), "yyyy-MM-dd").alias("date_published_online"),
+        F.collect_set("l_suppkey").alias("suppkeys"),
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("doi"), F.col("o_orderpriority").alias("journal"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_published_print"),
+        F.concat(F.lit("https://license.example/"), "o_orderstatus").alias("license_url"),
+    )
+    name = F.col("doi").cast("string")
+    return (
+        articles.join(orders, "doi").withColumns({"title": F.concat(F.lit("Article "), name), "download_url": F.concat(F.lit("https://doi.org/"), name, F.lit(".pdf"))})
+        .withColumn("suppkey", F.explode("suppkeys")).drop("suppkeys").join(authors(spark, sf_dir), "suppkey")
+        .drop("suppkey").withColumns({"mid": F.col("affiliation"), "low": F.col("author")})
+    )
+
+
 #: The same in SQL, as common table expressions.
 FACTS_SQL = """
 cites AS (SELECT l_orderkey AS doi, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS BIGINT) AS tc FROM lineitem GROUP BY 1),
@@ -56,3 +77,12 @@ ships AS (SELECT doi, author, affiliation, top FROM (SELECT DISTINCT l_orderkey
 facts AS (SELECT top AS category, ships.doi, 'Article ' || CAST(ships.doi AS VARCHAR) AS title, tc, author, affiliation, o_orderpriority AS journal, strftime(o_orderdate, '%Y-%m') AS month
   FROM ships JOIN cites USING (doi) JOIN orders ON ships.doi = o_orderkey)
 """
+#: ``works`` in SQL, after ``FACTS_SQL``.
+WORKS_SQL = """
+lines AS (SELECT * FROM lineitem LEFT JOIN part ON l_partkey = p_partkey),
+articles AS (SELECT l_orderkey AS doi, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS BIGINT) AS tc, min(p_name) AS abstract, strftime(min(l_shipdate), '%Y-%m-%d') AS date_published_online FROM lines GROUP BY 1),
+themes AS (SELECT DISTINCT l_orderkey AS doi, p_type AS theme FROM lines WHERE p_type IS NOT NULL),
+works AS (SELECT a.*, o_orderpriority AS journal, strftime(o_orderdate, '%Y-%m-%d') AS date_published_print, 'https://license.example/' || o_orderstatus AS license_url,
+  'Article ' || CAST(a.doi AS VARCHAR) AS title, 'https://doi.org/' || CAST(a.doi AS VARCHAR) || '.pdf' AS download_url, author, affiliation, top, affiliation AS mid, author AS low
+  FROM articles a JOIN orders ON a.doi = o_orderkey JOIN ships ON a.doi = ships.doi)
+"""

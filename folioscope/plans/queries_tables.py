@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions import text
-from folioscope.operators import classify, compare, extract, graph, merge, names, report, statistics, taxonomy
+from folioscope.operators import classify, compare, extract, graph, merge, names, records, report, statistics, taxonomy
 from folioscope.plans.catalogue import query
-from folioscope.plans.frames import FACTS_SQL, authors, authorships, citations, facts, table
+from folioscope.plans.frames import FACTS_SQL, WORKS_SQL, authors, authorships, citations, facts, table, works
 from folioscope.plans.storage import shared_folder
 from folioscope.sources import sheets
 from folioscope.streaming import batches, keyed
@@ -397,3 +397,110 @@ def _q79(spark, sf):
     spark.dataSource.register(sheets.Workbook)
     found = sheets.header_rows(spark.read.format("workbook").load(folder), ["s_name", "positive"])
     return found.select(F.col("sheet").alias("nation"), "s_name", F.col("positive").cast("boolean").alias("positive"))
+
+
+WORKS = f"WITH {FACTS_SQL}, {WORKS_SQL}"
+LEVELLED_SQL = ", levelled AS (" + " UNION ALL ".join(f"SELECT '{level}' AS level, {level} AS category, doi, title, tc, author, affiliation FROM works" for level in taxonomy.LEVELS) + ")"
+
+
+def url_sql(label: str) -> str:
+    return f"replace(url_encode({label}), '%2F', '/')"
+
+
+def _author_items() -> str:
+    """(author, kind, item) of all sets, with repeats."""
+    single = {"titles": "title", "dois": "CAST(doi AS VARCHAR)", "department_affiliations": "affiliation", "journals": "journal"}
+    single |= {f"{level}_level_categories": level for level in taxonomy.LEVELS} | {f"{level}_category_urls": url_sql(level) for level in taxonomy.LEVELS}
+    rows = [f"SELECT author, '{kind}' AS kind, {item} AS item FROM works" for kind, item in single.items()]
+    rows += [f"SELECT author, 'categories', {level} FROM works UNION SELECT author, 'category_urls', {url_sql(level)} FROM works" for level in taxonomy.LEVELS]
+    return " UNION ".join([*rows, "SELECT author, 'themes', theme FROM works JOIN themes USING (doi)"])
+
+
+CATEGORY_ITEMS = LEVELLED_SQL + ", items AS (" + " UNION ".join(
+    [f"SELECT level, category, '{kind}' AS kind, {item} AS item FROM levelled" for kind, item in {"faculty": "author", "departments": "affiliation", "titles": "title", "doi_list": "CAST(doi AS VARCHAR)"}.items()]
+    + ["SELECT level, category, 'themes', theme FROM levelled JOIN themes USING (doi)"]
+) + ")"
+
+
+@query("q01d_category_records", WORKS + CATEGORY_ITEMS + f""", sizes AS (SELECT level, category, count(*) FILTER (kind = 'faculty') AS faculty_count, count(*) FILTER (kind = 'departments') AS department_count,
+ count(*) FILTER (kind = 'titles') AS article_count, count(*) FILTER (kind = 'doi_list') AS doi_count, count(*) FILTER (kind = 'themes') AS theme_count FROM items GROUP BY 1, 2),
+cited AS (SELECT level, category, CAST(sum(tc) AS BIGINT) AS tc_count FROM (SELECT DISTINCT level, category, doi, tc FROM levelled) GROUP BY 1, 2)
+SELECT *, {url_sql('category')} AS url, round(tc_count / article_count, 6) AS citation_average FROM sizes JOIN cited USING (level, category)""")
+def _q01d(spark, sf):
+    return records.category_records(works(spark, sf))
+
+
+@query("q01e_category_record_sets", WORKS + CATEGORY_ITEMS + " SELECT * FROM items")
+def _q01e(spark, sf):
+    return records.category_sets(works(spark, sf))
+
+
+@query("q04c_author_record_sets", WORKS + " " + _author_items())
+def _q04c(spark, sf):
+    return records.author_sets(works(spark, sf))
+
+
+AUTHOR_SIZES = ", ".join(f"count(*) FILTER (kind = '{k}') AS {k}_count" for k in (
+    "titles", "department_affiliations", "journals", "themes", "categories", "category_urls", *(f"{level}_{rest}" for level in taxonomy.LEVELS for rest in ("level_categories", "category_urls"))
+))
+
+
+@query("q04d_author_records", WORKS + f""", items AS ({_author_items()}), sizes AS (SELECT author, {AUTHOR_SIZES} FROM items GROUP BY 1),
+cited AS (SELECT author, CAST(sum(tc) AS BIGINT) AS total_citations, count(*) AS article_count FROM (SELECT DISTINCT author, doi, tc FROM works) GROUP BY 1)
+SELECT *, round(total_citations / article_count, 6) AS average_citations FROM cited JOIN sizes USING (author)""")
+def _q04d(spark, sf):
+    return records.author_records(works(spark, sf))
+
+
+def _list_sql(item: str) -> str:
+    return f"string_agg(DISTINCT {item}, '|' ORDER BY {item})"
+
+
+RECORD_SQL = f""", levelled AS (SELECT doi, unnest([top, mid, low]) AS category FROM works),
+lists AS (SELECT doi, {_list_sql('category')} AS categories, {_list_sql(url_sql('category'))} AS category_urls FROM levelled GROUP BY 1),
+subjects AS (SELECT doi, {_list_sql('theme')} AS themes FROM themes GROUP BY 1),
+posts AS (SELECT doi, string_agg(author || '=' || affiliations, ';' ORDER BY author) AS faculty_affiliations FROM (SELECT doi, author, string_agg(DISTINCT affiliation, ',' ORDER BY affiliation) AS affiliations FROM works GROUP BY 1, 2) GROUP BY 1),
+record AS (SELECT doi, doi AS _id, CAST(doi AS VARCHAR) AS url, title, tc AS tc_count, journal, abstract, license_url, date_published_print, date_published_online, download_url, {_list_sql('author')} AS faculty_members,
+ {', '.join(f"{_list_sql(level)} AS {level}_level_categories, {_list_sql(url_sql(level))} AS {level}_category_urls" for level in taxonomy.LEVELS)} FROM works GROUP BY ALL)
+"""
+RECORD_LISTS = ("faculty_members", "themes", "categories", "category_urls", *(f"{level}_{rest}" for level in taxonomy.LEVELS for rest in ("level_categories", "category_urls")))
+
+
+def _flat(whole: DataFrame) -> DataFrame:
+    """Lists and the map as text."""
+    posts = F.transform(F.map_entries("faculty_affiliations"), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], ",")))
+    return whole.withColumns({c: joined(c) for c in RECORD_LISTS} | {"faculty_affiliations": F.array_join(posts, ";")})
+
+
+@query("q06b_article_records", WORKS + RECORD_SQL + "SELECT record.*, themes, faculty_affiliations, categories, category_urls FROM record JOIN lists USING (doi) JOIN subjects USING (doi) JOIN posts USING (doi)")
+def _q06b(spark, sf):
+    return _flat(records.article_records(works(spark, sf)))
+
+
+@query("q05b_category_article_records", WORKS + RECORD_SQL + "SELECT DISTINCT category, record.*, themes, faculty_affiliations, categories, category_urls FROM record JOIN lists USING (doi) JOIN subjects USING (doi) JOIN posts USING (doi) JOIN levelled USING (doi)")
+def _q05b(spark, sf):
+    return _flat(records.category_articles(works(spark, sf)))
+
+
+@query("q33b_rollup_of_parts", WORKS + "SELECT affiliation, count(*) AS article_count, CAST(sum(tc) AS BIGINT) AS total_citations FROM (SELECT DISTINCT affiliation, doi, tc FROM works WHERE contains(affiliation, 'NATION_1') AND affiliation <> 'NATION_1') GROUP BY 1")
+def _q33b(spark, sf):
+    return records.affiliation_rollup(works(spark, sf), "NATION_1")
+
+
+@query("q33c_rollup_of_parts_by_author", WORKS + "SELECT affiliation, count(*) AS article_count, CAST(sum(tc) AS BIGINT) AS total_citations FROM works WHERE contains(affiliation, 'NATION_1') AND affiliation <> 'NATION_1' GROUP BY 1")
+def _q33c(spark, sf):
+    return records.affiliation_rollup(works(spark, sf), "NATION_1", per_author=True)
+
+
+@query("q28b_outer_joins_of_statistics", WITH + """, ac AS (SELECT category, author, CAST(sum(tc) AS BIGINT) AS total_citations, count(*) AS article_count FROM facts WHERE month < '1996' GROUP BY 1, 2),
+au AS (SELECT author, CAST(sum(tc) AS BIGINT) AS total_citations, count(*) AS article_count FROM facts WHERE month >= '1994' GROUP BY 1),
+ca AS (SELECT category, CAST(sum(tc) AS BIGINT) AS tc_count, count(*) AS article_count FROM (SELECT DISTINCT category, doi, tc FROM facts WHERE affiliation <> 'NATION_1') GROUP BY 1),
+one AS (SELECT coalesce(ac.author, au.author) AS author, category, ac.total_citations AS total_citations, ac.article_count AS article_count, au.total_citations AS total_citations_author, au.article_count AS article_count_author FROM ac FULL JOIN au ON ac.author = au.author)
+SELECT coalesce(one.category, ca.category) AS category, author, total_citations, one.article_count AS article_count, total_citations_author, article_count_author, tc_count, ca.article_count AS article_count_category FROM one FULL JOIN ca ON one.category = ca.category""")
+def _q28b(spark, sf):
+    """Statistics of authors in categories with those of authors, then of categories; equal names get suffixes."""
+    every = facts(spark, sf)
+    own = statistics.author_category_stats(every.where("month < '1996'")).drop("average_citations")
+    overall = statistics.author_stats(every.where("month >= '1994'")).select("author", "total_citations", "article_count")
+    by_category = statistics.category_stats(every.where("affiliation <> 'NATION_1'")).select("category", "tc_count", "article_count")
+    return records.outer_join(records.outer_join(own, overall, ["author"], ("", "_author")), by_category, ["category"], ("", "_category"))
