@@ -1,4 +1,4 @@
-"""Corpus preparation in stages, each written as Parquet in the shared folder and read again.
+"""Corpus preparation in stages, each written as Parquet in the shared folder, read again and deleted after the next.
 
 Stages: language identification, near-duplicate removal, benchmark decontamination, pseudonyms,
 tokenisation. All but the last return the columns of documents.
@@ -13,14 +13,13 @@ handled whole. Extra columns are carried through, whatever their names, up to th
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.llm import bpe, decontamination, jaccard, language, pii
-from folioscope.llm.common import packed, shared_dir, table, unpacked
+from folioscope.llm.common import Scratch, packed, table, unpacked
 
 #: No SQL: language profiles, pseudonyms and token ids aren't SQL expressions; tests compare with brute force.
 ORACLE_SQL = None
@@ -80,10 +79,11 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after another, on the documents table."""
-    docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages, one after another, on the documents table; a stage's table is deleted when the next one's is written."""
+    docs, scratch, before = table(spark, sf_dir, "documents"), Scratch(spark, "pipeline"), None
     for i, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}_{name}")
-        docs = spark.read.parquet(f"{folder}/{i}_{name}")
+        docs = scratch.settle(stage(spark, docs, sf_dir), f"{i}_{name}")
+        if before:
+            scratch.drop(before)
+        before = f"{i}_{name}"
     return docs
