@@ -258,6 +258,27 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(nothing)).count() == 0
 
 
+def test_pipeline_with_nulls_repeats_and_a_long_text(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+
+    def some(n: int) -> str:
+        return " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+
+    one, other, passage, long = some(80), some(90), some(60), some(400_000)
+    data = [
+        (1, one, "en", "s"), (1, one, "en", "s"), (5, one, "en", None), (2, None, "en", "s"), (3, "", "en", "s"), (4, "12 34", "en", "s"),
+        (None, other, "en", "s"), (None, None, None, None), (6, some(70), None, None), (7, long, "en", "s"), (8, long + " more", "en", "s"),
+        (9, passage, "en", "s"), (10, f"{some(400)} {passage[:100]} card 4539 1488 0343 6467", "en", "s"), *((i, some(30), "en", "s") for i in range(20, 40)),
+    ]
+    spark.createDataFrame([(*r, None if r[1] is None else len(r[1])) for r in data], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("b", passage), (None, "zz yy"), ("c", None)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id for r in out), key=str) == sorted([1, 1, None, 6, 7, 10, *range(20, 40)], key=str)
+    assert all(r.round_trip and r.n_tokens > 0 for r in out) and max(r.n_tokens for r in out) > 400_000
+
+
 def test_near_copies_of_the_pipeline_share_four_fifths_of_five_word_shingles(spark, tmp_path):
     import corpus_pipeline
 
