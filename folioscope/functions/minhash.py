@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PRIME = 999983
 
@@ -23,10 +27,27 @@ def token_number(token: Column) -> Column:
 
 def signature(tokens: Column, count: int = 100, seed: int = 7) -> Column:
     """Least value of every hash function over the tokens; null entries for no tokens."""
-    least = lambda numbers, a, b: F.array_min(F.transform(numbers, lambda x: (x * a + b) % PRIME))
-    # numbers are bound as a lambda's argument, so tokens are hashed once and not once per function
-    bound = F.transform(F.array(F.transform(tokens, token_number)), lambda numbers: F.array(*[least(numbers, a, b) for a, b in coefficients(count, seed)]))
-    return F.element_at(bound, 1)
+    return _least(count, seed)(F.array_compact(F.transform(tokens, token_number)))
+
+
+def _least(count: int, seed: int):
+    """UDF: arrays of numbers to ``count`` least hashes each, a hash function over a whole Arrow batch at a time."""
+    pairs = coefficients(count, seed)
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def least(numbers: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(numbers), 0).to_numpy(zero_copy_only=False)
+        found = np.zeros((len(numbers), count), dtype=np.int64)
+        filled = sizes > 0
+        if filled.any():
+            distinct, at = np.unique(numbers.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+            starts = (np.cumsum(sizes) - sizes)[filled]
+            for i, (a, b) in enumerate(pairs):
+                found[filled, i] = np.minimum.reduceat(((distinct * a + b) % PRIME)[at], starts)
+        offsets = np.arange(0, (len(numbers) + 1) * count, count, dtype=np.int32)
+        return pa.ListArray.from_arrays(offsets, pa.array(found.ravel(), mask=np.repeat(~filled, count)))
+
+    return least
 
 
 def similarity(left: Column, right: Column) -> Column:

@@ -1,5 +1,6 @@
 """Expressions and operators on small hand-made inputs."""
 
+import hashlib
 import json
 import random
 from datetime import date
@@ -370,3 +371,20 @@ def test_extracted_lists(spark):
     df = spark.createDataFrame([(1, "t", ["a", None, "b"]), (2, None, None), (3, "t", [])], "id int, title string, authors array<string>")
     got = sorted(tuple(r) for r in extract.extracted_lists(df, "id", {"titles": "title", "authors": "authors"}).collect())
     assert got == [(1, "authors", "a"), (1, "authors", "b"), (1, "titles", "t"), (3, "titles", "t")]
+
+
+def test_minhash_of_null_and_empty_tokens_and_of_a_batch(spark):
+    tokens = [None, [], [None], ["ab"], ["ab", None, "cd", "ab"], ["e" * 5000]]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(tokens)], "i int, t array<string>").coalesce(1).select("i", minhash.signature(F.col("t"), 5).alias("s")).collect()
+
+    def expected(words):
+        xs = [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % minhash.PRIME for w in words or [] if w is not None]
+        return [min((x * a + b) % minhash.PRIME for x in xs) if xs else None for a, b in minhash.coefficients(5)]
+
+    assert {r.i: r.s for r in got} == {i: expected(t) for i, t in enumerate(tokens)}
+
+
+def test_minhash_runs_over_batches(spark):
+    """Interpreted lambdas, a hash function and token at a time, took most of the time."""
+    plan = spark.range(1).select(minhash.signature(F.array(F.lit("a"))))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "array_min" not in plan
