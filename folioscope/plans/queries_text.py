@@ -43,22 +43,25 @@ def _q17b(spark, sf):
 
 
 def _joined(signed: DataFrame) -> DataFrame:
-    return signed.select("p_partkey", F.array_join(F.transform("s", lambda x: x.cast("string")), ",").alias("signature"))
+    return signed.select("p_partkey", F.array_join(F.col("s").cast("array<string>"), ",").alias("signature"))
 
 
 @query("q18_signature_similarity", f"WITH {_signature_sql('p_type')} SELECT a.p_partkey, len(list_filter(list_zip(a.s, b.s), lambda z: z[1] = z[2])) / {COUNT} AS similarity FROM sig a JOIN sig b ON b.p_partkey = a.p_partkey + 1")
 def _q18(spark, sf):
-    return _to_next(_signatures(spark, sf, "p_type"))
+    return _to_next(spark, sf, "p_type")
 
 
 @query("q18b_signature_similarity_full", f"WITH {_signature_sql('p_name')} SELECT a.p_partkey, len(list_filter(list_zip(a.s, b.s), lambda z: z[1] = z[2])) / {COUNT} AS similarity FROM sig a JOIN sig b ON b.p_partkey = a.p_partkey + 1")
 def _q18b(spark, sf):
-    return _to_next(_signatures(spark, sf, "p_name"))
+    return _to_next(spark, sf, "p_name")
 
 
-def _to_next(signed: DataFrame) -> DataFrame:
-    after = signed.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("s").alias("t"))
-    return signed.join(after, "p_partkey").select("p_partkey", minhash.similarity(F.col("s"), F.col("t")).alias("similarity"))
+def _to_next(spark, sf, column: str) -> DataFrame:
+    """Neighbours meet by their values and are signed together, so signatures are neither shuffled nor broadcast."""
+    here = table(spark, sf, "part").select("p_partkey", F.col(column).alias("here"))
+    after = here.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("here").alias("after"))
+    s, t = (minhash.signature(text.ngrams(F.col(c), 3), COUNT) for c in ("here", "after"))
+    return here.join(after.hint("merge"), "p_partkey").select("p_partkey", minhash.similarity(s, t).alias("similarity"))
 
 
 #: Names by category in two spellings, with near and exact repeats.

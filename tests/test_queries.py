@@ -105,3 +105,9 @@ def test_recall_of_signature_pairs(spark):
     exact = {(r.category, r.v1, r.v2) for r in QUERIES["q19_exact_jaccard_pairs"](spark, DATA).collect() if r.similarity >= 0.6}
     found = {(r.category, r.v1, r.v2) for r in QUERIES["q21c_minhash_pairs"](spark, DATA).collect()}
     assert exact and len(exact & found) >= 0.9 * len(exact)
+
+
+@pytest.mark.parametrize("name", ["q18_signature_similarity", "q18b_signature_similarity_full"])
+def test_neighbours_meet_without_a_broadcast_of_signatures(spark, name):
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "ArrowEvalPython" not in plan[plan.index("SortMergeJoin") :]
