@@ -20,67 +20,69 @@ from folioscope.operators.taxonomy import LEVELS
 ARTICLE_FIELDS = ("title", "tc", "journal", "abstract", "license_url", "date_published_print", "date_published_online", "download_url")
 
 
-def _labels() -> Column:
-    return F.array(*LEVELS)
+#: (kind, column) of the sets; ``themes`` is last, as its column is an array. Urls follow from distinct labels (``URLS``).
+AUTHOR_KINDS = [
+    ("titles", "title"), ("dois", "doi"), ("department_affiliations", "affiliation"), ("journals", "journal"),
+    *[(f"{level}_level_categories", level) for level in LEVELS], *[("categories", level) for level in LEVELS], ("themes", "themes"),
+]
+CATEGORY_KINDS = [("faculty", "author"), ("departments", "affiliation"), ("titles", "title"), ("doi_list", "doi"), ("themes", "themes")]
+URLS = {"categories": "category_urls", **{f"{level}_level_categories": f"{level}_category_urls" for level in LEVELS}}
 
 
-def _author_kinds() -> dict[str, Column]:
-    single = {"titles": "title", "dois": "doi", "department_affiliations": "affiliation", "journals": "journal"}
-    kinds = {kind: F.array(F.col(c).cast("string")) for kind, c in single.items()}
-    kinds |= {"themes": F.col("themes"), "categories": _labels(), "category_urls": F.transform(_labels(), text.url_path)}
-    for level in LEVELS:
-        kinds |= {f"{level}_level_categories": F.array(level), f"{level}_category_urls": F.array(text.url_path(F.col(level)))}
-    return kinds
+def _named(names: list[str], number: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(name) for name in names]), number + 1)
 
 
-def _category_kinds() -> dict[str, Column]:
-    single = {"faculty": "author", "departments": "affiliation", "titles": "title", "doi_list": "doi"}
-    return {kind: F.array(F.col(c).cast("string")) for kind, c in single.items()} | {"themes": F.col("themes")}
+def _members(rows: DataFrame, keys: list[str], kinds: list[tuple[str, str]], article: str) -> DataFrame:
+    """(keys, kind, item, tc): distinct items; citations ride on the articles' own.
 
+    Items are exploded by place and kinds are numbers until they are distinct, so a row costs no lambda and no kind's name.
+    """
+    names = list(dict.fromkeys(kind for kind, _ in kinds))
+    items = F.concat(F.array(*[F.col(c).cast("string") for _, c in kinds[:-1]]), F.coalesce(kinds[-1][1], F.array().cast("array<string>")))
+    number = F.element_at(F.array(*[F.lit(names.index(kind)) for kind, _ in kinds]), F.least("place", F.lit(len(kinds) - 1)) + 1)
+    found = rows.select(*keys, "tc", F.posexplode(items).alias("place", "item")).where("item IS NOT NULL").withColumn("number", number)
+    cited = F.when(F.col("number") == names.index(article), F.col("tc")).alias("tc")
+    distinct = found.select(*keys, "number", "item", cited).groupBy(*keys, "number", "item").agg(F.max("tc").alias("tc"))
+    return distinct.select(*keys, _named(names, F.col("number")).alias("kind"), "item", "tc")
 
-def _members(rows: DataFrame, keys: list[str], kinds: dict[str, Column], article: str) -> DataFrame:
-    """(keys, kind, item, tc): distinct items; citations ride on the articles' own."""
-
-    def tagged(kind: str, items: Column) -> Column:
-        cited = F.col("tc") if kind == article else F.lit(None).cast("long")
-        return F.transform(items, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("item"), cited.alias("tc")))
 
-    none = F.array().cast("array<struct<kind:string,item:string,tc:bigint>>")
-    every = F.concat(*[F.coalesce(tagged(kind, items), none) for kind, items in kinds.items()])
-    found = rows.select(*keys, F.explode(every).alias("m")).select(*keys, "m.*").where("item IS NOT NULL")
-    return found.groupBy(*keys, "kind", "item").agg(F.max("tc").alias("tc"))
+def _author_members(works: DataFrame) -> DataFrame:
+    return _members(works.where("author IS NOT NULL"), ["author"], AUTHOR_KINDS, "dois")
 
 
 def _by_label(works: DataFrame) -> DataFrame:
     """A row of ``works`` per level, as (level, category)."""
-    at = F.array(*[F.struct(F.lit(level).alias("level"), F.col(level).alias("category")) for level in LEVELS])
-    return works.withColumn("at", F.explode(at)).select("at.level", "at.category", "doi", "title", "tc", "author", "affiliation", "themes").where("category IS NOT NULL")
+    rows = works.select("doi", "title", "tc", "author", "affiliation", "themes", F.posexplode(F.array(*LEVELS)).alias("at", "category"))
+    return rows.where("category IS NOT NULL").withColumn("level", _named(LEVELS, F.col("at"))).drop("at")
 
 
 def author_sets(works: DataFrame) -> DataFrame:
-    """(author, kind, item): an author's thirteen sets as rows."""
-    return _members(works.where("author IS NOT NULL"), ["author"], _author_kinds(), "dois").drop("tc")
+    """(author, kind, item): an author's thirteen sets as rows. Different labels have different urls, so these need no grouping."""
+    kind = F.col("kind")
+    of_label = F.struct(F.element_at(F.create_map(*[F.lit(x) for pair in URLS.items() for x in pair]), kind).alias("kind"), text.url_path(F.col("item")).alias("item"))
+    own = F.struct("kind", "item")
+    each = F.when(kind.isin(*URLS), F.array(own, of_label)).otherwise(F.array(own))
+    return _author_members(works).select("author", F.explode(each).alias("m")).select("author", "m.*")
 
 
 def author_records(works: DataFrame) -> DataFrame:
     """An author's totals, each article once, and the size of each set; the sets themselves are ``author_sets``."""
-    kinds = _author_kinds()
-    sizes = [F.count_if(F.col("kind") == kind).alias(f"{kind}_count") for kind in kinds if kind != "dois"]
-    totals = _members(works.where("author IS NOT NULL"), ["author"], kinds, "dois").groupBy("author").agg(
-        F.sum("tc").alias("total_citations"), F.count_if(F.col("kind") == "dois").alias("article_count"), *sizes
-    )
+    kinds = {kind: kind for kind, _ in AUTHOR_KINDS if kind != "dois"} | {url: kind for kind, url in URLS.items()}
+    sizes = [F.count_if(F.col("kind") == kind).alias(f"{name}_count") for name, kind in kinds.items()]
+    totals = _author_members(works).groupBy("author").agg(F.sum("tc").alias("total_citations"), F.count_if(F.col("kind") == "dois").alias("article_count"), *sizes)
     return totals.withColumn("average_citations", F.round(F.try_divide("total_citations", "article_count"), 6))
 
 
 def category_sets(works: DataFrame) -> DataFrame:
     """(level, category, kind, item): the sets of every category at its level, as rows."""
-    return _members(_by_label(works), ["level", "category"], _category_kinds(), "doi_list").drop("tc")
+    return _members(_by_label(works), ["level", "category"], CATEGORY_KINDS, "doi_list").drop("tc")
 
 
 def category_records(works: DataFrame) -> DataFrame:
     """A category's record at its level: name, url, counts, citations and their average per article title."""
     counts = {"faculty": "faculty_count", "departments": "department_count", "titles": "article_count", "doi_list": "doi_count", "themes": "theme_count"}
-    sized = _members(_by_label(works), ["level", "category"], _category_kinds(), "doi_list").groupBy("level", "category").agg(
+    sized = _members(_by_label(works), ["level", "category"], CATEGORY_KINDS, "doi_list").groupBy("level", "category").agg(
         F.sum("tc").alias("tc_count"), *[F.count_if(F.col("kind") == kind).alias(name) for kind, name in counts.items()]
     )
     return sized.withColumns({"url": text.url_path(F.col("category")), "citation_average": F.round(F.try_divide("tc_count", "article_count"), 6)})
