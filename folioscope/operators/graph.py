@@ -29,7 +29,7 @@ def edge_items(authorships: DataFrame, item: str = "doi", member: str = "author"
 
 def edge_articles(authorships: DataFrame, item: str = "doi", member: str = "author") -> DataFrame:
     """Edges with the sorted items that make them as an array: the shape of stored records, for edges known to be small."""
-    return edge_items(authorships, item, member).groupBy("src", "dst").agg(F.array_sort(F.collect_list(item)).alias("articles"))
+    return edge_items(authorships, item, member).groupBy("src", "dst").agg(F.sort_array(F.collect_list(item)).alias("articles"))
 
 
 def matrix(edges: DataFrame, nodes: list[str]) -> DataFrame:

@@ -41,7 +41,7 @@ def member_counts(rows: DataFrame, key: str, counts: dict[str, str]) -> DataFram
 
 def as_arrays(rows: DataFrame, key: str, kinds: list[str]) -> DataFrame:
     """(key, an array for each kind): the shape of stored records, for writers."""
-    return rows.groupBy(key).agg(*[F.array_sort(F.collect_set(F.when(F.col("kind") == k, F.col("item")))).alias(k) for k in kinds])
+    return rows.groupBy(key).agg(*[F.sort_array(F.collect_set(F.when(F.col("kind") == k, F.col("item")))).alias(k) for k in kinds])
 
 
 def author_category_stats(facts: DataFrame, last_write: bool = False) -> DataFrame:
@@ -63,7 +63,7 @@ def author_stats(facts: DataFrame) -> DataFrame:
     return totals.join(kinds, "author").select(
         "author", "total_citations", "article_count",
         F.round(F.try_divide("total_citations", "article_count"), 6).alias("average_citations"),
-        F.array_sort("categories").alias("categories"), F.array_sort("journals").alias("journals"),
+        F.sort_array("categories").alias("categories"), F.sort_array("journals").alias("journals"),
     )
 
 
@@ -71,7 +71,7 @@ def article_category(facts: DataFrame) -> DataFrame:
     """One record per category and article: sets united, scalars of the last write."""
     return facts.groupBy("category", "doi").agg(
         F.max_by("title", "ordinal").alias("title"), F.max_by("tc", "ordinal").alias("tc"), F.max_by("journal", "ordinal").alias("journal"),
-        F.array_sort(F.collect_set("author")).alias("authors"), F.array_sort(F.collect_set("affiliation")).alias("affiliations"),
+        F.sort_array(F.collect_set("author")).alias("authors"), F.sort_array(F.collect_set("affiliation")).alias("affiliations"),
     )
 
 
@@ -79,7 +79,7 @@ def article_details(facts: DataFrame) -> DataFrame:
     """One record per article with its categories."""
     return facts.groupBy("doi").agg(
         F.max_by("title", "ordinal").alias("title"), F.max_by("tc", "ordinal").alias("tc"), F.max_by("journal", "ordinal").alias("journal"),
-        F.array_sort(F.collect_set("author")).alias("authors"), F.array_sort(F.collect_set("category")).alias("categories"),
+        F.sort_array(F.collect_set("author")).alias("authors"), F.sort_array(F.collect_set("category")).alias("categories"),
     )
 
 
