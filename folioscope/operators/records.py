@@ -91,29 +91,27 @@ def category_records(works: DataFrame) -> DataFrame:
 def article_records(works: DataFrame) -> DataFrame:
     """An article's record of 22 fields (``doi`` is also its ``_id``); sets are sorted arrays, ``faculty_affiliations`` a map.
 
-    Both groupings use one shuffle by article.
+    Both groupings use one shuffle by article. Sorted arrays have no nulls, so ``sort_array`` is taken, which is compiled.
     """
 
     def united(column: str) -> Column:
-        return F.array_sort(F.array_distinct(F.flatten(F.collect_list(column))))
+        return F.sort_array(F.array_compact(F.array_distinct(F.flatten(F.collect_list(column)))))
 
     sets = {level: F.collect_set(level).alias(level) for level in LEVELS}
     people = works.where("doi IS NOT NULL").repartition("doi").groupBy("doi", "author").agg(
-        *[F.max(c).alias(c) for c in ARTICLE_FIELDS], F.array_sort(F.collect_set("affiliation")).alias("affiliations"),
+        *[F.max(c).alias(c) for c in ARTICLE_FIELDS], F.sort_array(F.collect_set("affiliation")).alias("affiliations"),
         F.flatten(F.collect_set("themes")).alias("themes"), *sets.values(),
     )
     named = F.when(F.col("author").isNotNull(), F.struct("author", "affiliations"))
     whole = people.groupBy("doi").agg(
         *[F.max(c).alias(c) for c in ARTICLE_FIELDS],
-        F.array_sort(F.collect_set("author")).alias("faculty_members"), F.map_from_entries(F.array_sort(F.collect_list(named))).alias("faculty_affiliations"),
-        F.array_compact(united("themes")).alias("themes"), *[united(level).alias(f"{level}_level_categories") for level in LEVELS],
+        F.sort_array(F.collect_set("author")).alias("faculty_members"), F.map_from_entries(F.sort_array(F.collect_list(named))).alias("faculty_affiliations"),
+        united("themes").alias("themes"), *[united(level).alias(f"{level}_level_categories") for level in LEVELS],
     )
     levels = [F.col(f"{level}_level_categories") for level in LEVELS]
-    urls = {f"{level}_category_urls": F.array_sort(F.transform(labels, text.url_path)) for level, labels in zip(LEVELS, levels)}
-    categories = F.array_sort(F.array_distinct(F.concat(*levels)))
-    return whole.withColumnRenamed("tc", "tc_count").withColumns(
-        {"_id": F.col("doi"), "url": text.url_path(F.col("doi").cast("string")), "categories": categories, "category_urls": F.array_sort(F.transform(categories, text.url_path))} | urls
-    )
+    urls = {f"{level}_category_urls": F.sort_array(F.transform(labels, text.url_path)) for level, labels in zip(LEVELS, levels)}
+    with_urls = whole.withColumnRenamed("tc", "tc_count").withColumns({"_id": F.col("doi"), "url": text.url_path(F.col("doi").cast("string")), "categories": F.sort_array(F.array_distinct(F.concat(*levels)))} | urls)
+    return with_urls.withColumn("category_urls", F.sort_array(F.array_distinct(F.concat(*urls))))
 
 
 def category_articles(works: DataFrame) -> DataFrame:

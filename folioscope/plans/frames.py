@@ -32,15 +32,21 @@ def authors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def authorships(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doi, author, affiliation, top), distinct."""
-    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doi"), F.col("l_suppkey").alias("suppkey")).distinct()
-    return lines.join(authors(spark, sf_dir), "suppkey").select("doi", "author", "affiliation", "top")
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("doi")).agg(F.collect_set("l_suppkey").alias("suppkeys"))
+    return lines.select("doi", F.explode("suppkeys").alias("suppkey")).join(authors(spark, sf_dir), "suppkey").select("doi", "author", "affiliation", "top")
 
 
 def facts(spark: SparkSession, sf_dir: str, category: str = "top") -> DataFrame:
-    """One row per article, author and category."""
+    """One row per article, author and category.
+
+    An article's lines are shuffled once, for its citations and its authors; the rows are then dealt by author.
+    """
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doi"), F.col("o_orderpriority").alias("journal"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    articles = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("doi")).agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("long").alias("tc"), F.collect_set("l_suppkey").alias("suppkeys")
+    )
     return (
-        authorships(spark, sf_dir).join(citations(spark, sf_dir), "doi").join(orders, "doi")
+        articles.join(orders, "doi").select("doi", "tc", "journal", "month", F.explode("suppkeys").alias("suppkey")).join(authors(spark, sf_dir), "suppkey")
         .select(
             F.col(category).alias("category"), "doi", F.concat(F.lit("Article "), F.col("doi").cast("string")).alias("title"), "tc",
             "author", "affiliation", "journal", "month", F.col("doi").alias("ordinal"),
@@ -48,25 +54,40 @@ def facts(spark: SparkSession, sf_dir: str, category: str = "top") -> DataFrame:
     )
 
 
-def works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per article and author with all fields of a record; a part's type is a theme, region, nation and supplier are the levels."""
+def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(suppkey, people): a row per key, however many rows ``authors`` has of it."""
+    return authors(spark, sf_dir).groupBy("suppkey").agg(F.collect_list(F.struct("author", "affiliation", "top")).alias("people"))
+
+
+def works(spark: SparkSession, sf_dir: str, by_article: bool = False) -> DataFrame:
+    """One row per article and author with all fields of a record; a part's type is a theme, region, nation and supplier are the levels.
+
+    With ``by_article`` the authors come to the narrow lines and not to the articles' wide rows, which stay dealt by article.
+    """
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     lines = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    if by_article:
+        people = _people(spark, sf_dir)
+        lines = lines.join(people, F.col("l_suppkey") == F.col("suppkey"), "left")
+        found = F.collect_set(F.when(F.col("people").isNotNull(), F.struct("suppkey", "people")))
+    else:
+        found = F.collect_set("l_suppkey")
     articles = lines.groupBy(F.col("l_orderkey").alias("doi")).agg(
         F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("long").alias("tc"), F.min("p_name").alias("abstract"),
-        F.array_sort(F.collect_set("p_type")).alias("themes"), F.date_format(F.min("l_shipdate"), "yyyy-MM-dd").alias("date_published_online"),
-        F.collect_set("l_suppkey").alias("suppkeys"),
+        F.sort_array(F.collect_set("p_type")).alias("themes"), F.date_format(F.min("l_shipdate"), "yyyy-MM-dd").alias("date_published_online"),
+        found.alias("found"),
     )
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("doi"), F.col("o_orderpriority").alias("journal"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_published_print"),
         F.concat(F.lit("https://license.example/"), "o_orderstatus").alias("license_url"),
     )
     name = F.col("doi").cast("string")
-    return (
-        articles.join(orders, "doi").withColumns({"title": F.concat(F.lit("Article "), name), "download_url": F.concat(F.lit("https://doi.org/"), name, F.lit(".pdf"))})
-        .withColumn("suppkey", F.explode("suppkeys")).drop("suppkeys").join(authors(spark, sf_dir), "suppkey")
-        .drop("suppkey").withColumns({"mid": F.col("affiliation"), "low": F.col("author")})
-    )
+    whole = articles.join(orders, "doi").withColumns({"title": F.concat(F.lit("Article "), name), "download_url": F.concat(F.lit("https://doi.org/"), name, F.lit(".pdf"))})
+    if by_article:
+        each = whole.withColumn("person", F.explode(F.flatten("found.people"))).select("*", "person.*").drop("person")
+    else:
+        each = whole.withColumn("suppkey", F.explode("found")).join(authors(spark, sf_dir), "suppkey").drop("suppkey")
+    return each.drop("found").withColumns({"mid": F.col("affiliation"), "low": F.col("author")})
 
 
 #: The same in SQL, as common table expressions.

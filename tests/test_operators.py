@@ -388,3 +388,30 @@ def test_minhash_runs_over_batches(spark):
     """Interpreted lambdas, a hash function and token at a time, took most of the time."""
     plan = spark.range(1).select(minhash.signature(F.array(F.lit("a"))))._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "array_min" not in plan
+
+
+def test_facts_shuffle_lines_once(spark):
+    """Citations and authorships read lines twice before, and distinct pairs took a task's memory."""
+    from folioscope.plans import frames
+
+    plan = frames.facts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey#") and plan.count("Relation [l_orderkey#") == 1
+    by_article = frames.works(spark, "/root/testdata/sf0.001", by_article=True)
+    assert sorted(map(str, by_article.collect())) == sorted(map(str, frames.works(spark, "/root/testdata/sf0.001").select(*by_article.columns).collect()))
+
+
+def test_batches_are_bounded_and_stricter_bounds_stay(spark):
+    from folioscope.session import prepare
+
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = {key: spark.conf.get(key) for key in (rows, size)}
+    try:
+        spark.conf.unset(size)
+        prepare(spark)
+        assert spark.conf.get(rows) == held[rows] == "64" and int(spark.conf.get(size).rstrip("b")) == 8 << 20
+        spark.conf.set(rows, "0")
+        prepare(spark)
+        assert 0 < int(spark.conf.get(rows)) <= 10000
+    finally:
+        for key, value in held.items():
+            spark.conf.set(key, value)
