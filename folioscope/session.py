@@ -10,6 +10,8 @@ SEMANTICS = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.adaptive.enabled": "true",
 }
+#: The most rows and bytes of one Arrow batch, so that Python holds few long texts at a time; a batch has one row at least.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 10000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 
 
 def build(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -28,7 +30,11 @@ def build(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str) ->
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the semantic settings to a session made elsewhere."""
+    """Apply the semantic settings to a session made elsewhere, and the bounds of a batch; a stricter bound of the session stays."""
     for key, value in SEMANTICS.items():
         spark.conf.set(key, value)
+    for key, most in BATCH.items():
+        held = spark.conf.get(key).rstrip("b")
+        if not held.isdigit() or not 0 < int(held) <= most:
+            spark.conf.set(key, str(most))
     return spark
