@@ -28,11 +28,11 @@ def ungated(items: DataFrame, stored: DataFrame) -> DataFrame:
 
 def categories(items: DataFrame) -> DataFrame:
     """Stored categories of all added items: sums, counts, and the faculty as an array."""
-    sums = items.groupBy("_id").agg(F.sum("tc").alias("tc_count"))
-    members = items.select("_id", "kind", "item").distinct()
-    counts = statistics.member_counts(members, "_id", {"article_count": "doi_list", "faculty_count": "faculty"})
-    people = statistics.as_arrays(members.where("kind = 'faculty'"), "_id", ["faculty"])
-    return sums.join(counts, "_id").join(people, "_id").withColumn("citation_average", F.round(F.try_divide("tc_count", "article_count"), 6))
+    members = items.groupBy("_id", "kind", "item").agg(F.sum("tc").alias("tc"))
+    sizes = {"article_count": "doi_list", "faculty_count": "faculty"}
+    counts = members.groupBy("_id").agg(F.sum("tc").alias("tc_count"), *[F.count_if(F.col("kind") == kind).alias(name) for name, kind in sizes.items()])
+    people = statistics.as_arrays(items.where("kind = 'faculty'").select("_id", "kind", "item").distinct(), "_id", ["faculty"])
+    return counts.join(people, "_id").withColumn("citation_average", F.round(F.try_divide("tc_count", "article_count"), 6))
 
 
 ADDED = "_id string, kind string, item string, tc long"
@@ -41,23 +41,45 @@ ADDED = "_id string, kind string, item string, tc long"
 def merge_stream(facts: DataFrame, state: str, checkpoint: str) -> None:
     """Run all available micro-batches of a streaming frame; ``state`` gets a folder of added items per batch.
 
-    A batch reads the articles of the batches before it and writes its own items, so its cost goes with its own size, and
-    a batch that is run again after a crash writes the same folder again.
+    A batch reads nothing of the batches before it, so its cost goes with its own size; what it may add is decided when the state
+    is read (``accepted``). A batch that is run again after a crash writes the same folder again.
     """
 
     def step(batch: DataFrame, number: int) -> None:
-        items = batch_items(batch)
-        if number:
-            stored = batch.sparkSession.read.schema(f"{ADDED}, batch long").parquet(f"{state}/added").where(F.col("batch") < number)
-            items = ungated(items, stored)
-        items.write.mode("overwrite").parquet(f"{state}/added/batch={number}")
+        batch_items(batch).write.mode("overwrite").parquet(f"{state}/added/batch={number}")
 
     facts.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def accepted(items: DataFrame) -> DataFrame:
+    """Items of numbered batches (``ADDED`` and batch) without those that ``ungated`` would hold back, batch after batch.
+
+    Articles are grouped once for all batches. Only those of several batches go on, as pairs of batches of a category; a batch is
+    held back from a category if it shares an article with an earlier one that isn't.
+    """
+    articles = items.where((F.col("kind") == GATE) & F.col("_id").isNotNull()).select("_id", "item", "batch")
+    repeated = articles.groupBy("_id", "item").agg(F.min("batch").alias("lo"), F.max("batch").alias("hi")).where("lo < hi").select("_id", "item")
+    together = articles.join(repeated, ["_id", "item"], "left_semi").groupBy("_id", "item").agg(F.sort_array(F.collect_set("batch")).alias("all"))
+    each = together.select("_id", "all").distinct().select("_id", "all", F.posexplode("all").alias("at", "batch")).where("at > 0")
+    pairs = each.select("_id", "batch", F.explode(F.slice("all", F.lit(1), F.col("at"))).alias("earlier")).distinct()
+    shared = pairs.groupBy("_id", "batch").agg(F.collect_list("earlier").alias("earlier")).groupBy("_id").agg(F.sort_array(F.collect_list(F.struct("batch", "earlier"))).alias("all"))
+
+    def judged(held, next):
+        met = F.exists(next["earlier"], lambda number: ~F.array_contains(held, number))
+        return F.when(met, F.array_append(held, next["batch"])).otherwise(held)
+
+    held = shared.select("_id", F.explode(F.aggregate("all", F.array().cast("array<bigint>"), judged)).alias("batch"))
+    return items.join(held, ["_id", "batch"], "left_anti")
+
+
+def added(spark: SparkSession, state: str) -> DataFrame:
+    """All batches' items with the number of their batch."""
+    return spark.read.schema(f"{ADDED}, batch long").parquet(f"{state}/added")
+
+
 def merged_state(spark: SparkSession, state: str) -> DataFrame:
     """The categories that all batches make together."""
-    return categories(spark.read.schema(f"{ADDED}, batch long").parquet(f"{state}/added").drop("batch"))
+    return categories(accepted(added(spark, state)).drop("batch"))
 
 
 def merged_by_month(spark: SparkSession, facts: DataFrame, folder: str) -> DataFrame:
@@ -68,8 +90,11 @@ def merged_by_month(spark: SparkSession, facts: DataFrame, folder: str) -> DataF
 
 
 def monthly(spark: SparkSession, facts: DataFrame, path: str, files: int = 1) -> DataFrame:
-    """A stream of the facts that are written to ``path``, a file per month and so many files per micro-batch."""
-    facts.repartition("month").write.partitionBy("month").parquet(path)
+    """A stream of the facts that are written to ``path``, a file per month and so many files per micro-batch.
+
+    Row groups are small, so that several tasks read a month's file.
+    """
+    facts.repartition("month").write.option("parquet.block.size", 4 << 20).partitionBy("month").parquet(path)
     return spark.readStream.schema(spark.read.parquet(path).drop("month").schema.add("month", "string")).option("maxFilesPerTrigger", files).parquet(path)
 
 

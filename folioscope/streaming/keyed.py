@@ -119,8 +119,8 @@ def merge_keyed(facts: DataFrame, state: str, checkpoint: str) -> None:
 
 
 def keyed_state(spark: SparkSession, state: str) -> DataFrame:
-    """The categories that all batches make together."""
-    return batches.merged_state(spark, state)
+    """The categories that all batches make together; the store has judged what they may add."""
+    return batches.categories(batches.added(spark, state).drop("batch"))
 
 
 def merged_by_quarter(spark: SparkSession, facts: DataFrame, folder: str) -> DataFrame:
