@@ -11,6 +11,8 @@ a set; a key without members has no rows. Rows without an author, label or DOI g
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,10 +116,10 @@ def article_records(works: DataFrame) -> DataFrame:
     return with_urls.withColumn("category_urls", F.sort_array(F.array_distinct(F.concat(*urls))))
 
 
-def category_articles(works: DataFrame) -> DataFrame:
-    """The articles' records under each of their categories, at any level; built once per article."""
-    records = article_records(works)
-    return records.withColumn("category", F.explode("categories"))
+def category_articles(works: DataFrame, shape: Callable[[DataFrame], DataFrame] = lambda whole: whole) -> DataFrame:
+    """The articles' records under each of their categories, at any level; built once per article, and so is what ``shape`` makes of them."""
+    shaped = shape(article_records(works).withColumn("category", F.col("categories")))
+    return shaped.withColumn("category", F.explode("category"))
 
 
 def affiliation_rollup(works: DataFrame, part_of: str, per_author: bool = False) -> DataFrame:
