@@ -69,6 +69,18 @@ def merge_rows(old: DataFrame, old_members: DataFrame, new: DataFrame, new_membe
     return both.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums], *first), old_members.unionByName(fresh_members).distinct()
 
 
+def ungated_facts(facts: DataFrame, key: str, article: str, later: Column) -> DataFrame:
+    """The facts that merging those with ``later`` into the others keeps, as ``merge_rows`` does; rows where it is null are in neither.
+
+    A key of which some ``article`` is on both sides takes no later facts. Facts are dealt by key while they are rows, so that sets
+    of keys need no further shuffle; a key's facts come to one task, which holds its distinct items on disk if need be.
+    """
+    known = facts.withColumn("_later", later).where("_later IS NOT NULL")
+    sides = known.where(F.col(key).isNotNull() & F.col(article).isNotNull()).groupBy(key, article).agg(F.min("_later").alias("lo"), F.max("_later").alias("hi"))
+    gated = sides.where("lo <> hi").select(key).distinct().withColumn("_gated", F.lit(True))
+    return known.join(gated, key, "left").where("NOT _later OR _gated IS NULL").drop("_later", "_gated")
+
+
 def recount(df: DataFrame, counts: dict[str, str]) -> DataFrame:
     """Counts from the sizes of their sets."""
     return df.withColumns({c: F.size(s).cast("long") for c, s in counts.items()})
