@@ -90,35 +90,61 @@ def category_records(works: DataFrame) -> DataFrame:
     return sized.withColumns({"url": text.url_path(F.col("category")), "citation_average": F.round(F.try_divide("tc_count", "article_count"), 6)})
 
 
-def article_records(works: DataFrame) -> DataFrame:
-    """An article's record of 22 fields (``doi`` is also its ``_id``); sets are sorted arrays, ``faculty_affiliations`` a map.
+def articles(works: DataFrame) -> DataFrame:
+    """A row per article of ``works``: (doi, fields, themes, people, top, mid, low), of which ``themes`` and the levels may hold items twice.
 
-    Both groupings use one shuffle by article. Sorted arrays have no nulls, so ``sort_array`` is taken, which is compiled.
+    ``people`` are structs that begin with (author, affiliation). One shuffle by article and one grouping, of plain rows.
     """
+    rows = works.where("doi IS NOT NULL").select("doi", *ARTICLE_FIELDS, "themes", F.struct("author", "affiliation", *LEVELS).alias("person"))
+    whole = rows.repartition("doi").groupBy("doi").agg(
+        *[F.max(c).alias(c) for c in ARTICLE_FIELDS], F.flatten(F.collect_set("themes")).alias("themes"), F.collect_set("person").alias("people")
+    )
+    return whole.select("*", *[F.col("people")[level].alias(level) for level in LEVELS])
 
-    def united(column: str) -> Column:
-        return F.sort_array(F.array_compact(F.array_distinct(F.flatten(F.collect_list(column)))))
 
-    sets = {level: F.collect_set(level).alias(level) for level in LEVELS}
-    people = works.where("doi IS NOT NULL").repartition("doi").groupBy("doi", "author").agg(
-        *[F.max(c).alias(c) for c in ARTICLE_FIELDS], F.sort_array(F.collect_set("affiliation")).alias("affiliations"),
-        F.flatten(F.collect_set("themes")).alias("themes"), *sets.values(),
-    )
-    named = F.when(F.col("author").isNotNull(), F.struct("author", "affiliations"))
-    whole = people.groupBy("doi").agg(
-        *[F.max(c).alias(c) for c in ARTICLE_FIELDS],
-        F.sort_array(F.collect_set("author")).alias("faculty_members"), F.map_from_entries(F.sort_array(F.collect_list(named))).alias("faculty_affiliations"),
-        united("themes").alias("themes"), *[united(level).alias(f"{level}_level_categories") for level in LEVELS],
-    )
+def _distinct(items: Column) -> Column:
+    """The sorted items without nulls; all of it is compiled, unlike ``array_compact``."""
+    return F.sort_array(F.array_except(items, F.array(F.lit(None).cast("string"))))
+
+
+def _by_author(people: Column, starts: Column) -> Column:
+    """The map from authors to affiliations: each author is a slice of the sorted people, so that the work is linear in their number. Both must be columns."""
+
+    def entry(at: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(starts, k + 1), F.size(people))
+        return F.struct(F.get(people, at)["author"].alias("author"), _distinct(F.slice(people, at + 1, end - at)["affiliation"]).alias("affiliations"))
+
+    return F.map_from_entries(F.transform(starts, entry))
+
+
+def records_of(articles: DataFrame) -> DataFrame:
+    """The record of 22 fields of each of ``articles`` (``doi`` is also its ``_id``); sets are sorted arrays, ``faculty_affiliations`` a map."""
+    people, starts = F.col("people"), F.col("starts")
+    sets = {f"{level}_level_categories": _distinct(F.col(level)) for level in LEVELS} | {"themes": _distinct(F.col("themes"))}
+    whole = articles.withColumns(sets | {"people": F.sort_array("people")}).drop(*LEVELS)
+    start = F.transform(people, lambda p, at: F.when(p["author"].isNotNull() & ~p["author"].eqNullSafe(F.get(people, at - 1)["author"]), at))
     levels = [F.col(f"{level}_level_categories") for level in LEVELS]
     urls = {f"{level}_category_urls": F.sort_array(F.transform(labels, text.url_path)) for level, labels in zip(LEVELS, levels)}
-    with_urls = whole.withColumnRenamed("tc", "tc_count").withColumns({"_id": F.col("doi"), "url": text.url_path(F.col("doi").cast("string")), "categories": F.sort_array(F.array_distinct(F.concat(*levels)))} | urls)
-    return with_urls.withColumn("category_urls", F.sort_array(F.array_distinct(F.concat(*urls))))
+    named = whole.withColumn("starts", F.array_compact(start)).withColumns({
+        "faculty_members": _distinct(people["author"]), "faculty_affiliations": _by_author(people, starts), "categories": F.sort_array(F.array_distinct(F.concat(*levels))),
+        "_id": F.col("doi"), "url": text.url_path(F.col("doi").cast("string")),
+    } | urls)
+    return named.withColumnRenamed("tc", "tc_count").withColumn("category_urls", F.sort_array(F.array_distinct(F.concat(*urls)))).drop("people", "starts")
+
+
+def article_records(works: DataFrame) -> DataFrame:
+    """``records_of`` the articles of ``works``."""
+    return records_of(articles(works))
 
 
 def category_articles(works: DataFrame, shape: Callable[[DataFrame], DataFrame] = lambda whole: whole) -> DataFrame:
+    """``under_categories`` of the articles of ``works``."""
+    return under_categories(articles(works), shape)
+
+
+def under_categories(articles: DataFrame, shape: Callable[[DataFrame], DataFrame] = lambda whole: whole) -> DataFrame:
     """The articles' records under each of their categories, at any level; built once per article, and so is what ``shape`` makes of them."""
-    shaped = shape(article_records(works).withColumn("category", F.col("categories")))
+    shaped = shape(records_of(articles).withColumn("category", F.col("categories")))
     return shaped.withColumn("category", F.explode("category"))
 
 

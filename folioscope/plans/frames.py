@@ -54,40 +54,63 @@ def facts(spark: SparkSession, sf_dir: str, category: str = "top") -> DataFrame:
     )
 
 
-def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(suppkey, people): a row per key, however many rows ``authors`` has of it."""
-    return authors(spark, sf_dir).groupBy("suppkey").agg(F.collect_list(F.struct("author", "affiliation", "top")).alias("people"))
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``records.articles`` of ``works``, by one grouping of narrow rows.
 
-
-def works(spark: SparkSession, sf_dir: str, by_article: bool = False) -> DataFrame:
-    """One row per article and author with all fields of a record; a part's type is a theme, region, nation and supplier are the levels.
-
-    With ``by_article`` the authors come to the narrow lines and not to the articles' wide rows, which stay dealt by article.
+    Lines go to their parts and, apart from that, to their suppliers with nothing but what an article takes from there. What comes back is
+    dealt by article once, with the orders as further rows; names of nations and regions are looked up after that. No sets or wide rows are shuffled.
     """
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    lines = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-    if by_article:
-        people = _people(spark, sf_dir)
-        lines = lines.join(people, F.col("l_suppkey") == F.col("suppkey"), "left")
-        found = F.collect_set(F.when(F.col("people").isNotNull(), F.struct("suppkey", "people")))
-    else:
-        found = F.collect_set("l_suppkey")
-    articles = lines.groupBy(F.col("l_orderkey").alias("doi")).agg(
-        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("long").alias("tc"), F.min("p_name").alias("abstract"),
-        F.sort_array(F.collect_set("p_type")).alias("themes"), F.date_format(F.min("l_shipdate"), "yyyy-MM-dd").alias("date_published_online"),
-        found.alias("found"),
-    )
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "doi").where("doi IS NOT NULL")
+    of_parts = lines.select("doi", "l_partkey", "l_quantity", F.to_date("l_shipdate").alias("shipped")).join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    of_people = lines.select("doi", "l_suppkey").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("doi"), F.col("o_orderpriority").alias("journal"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_published_print"),
-        F.concat(F.lit("https://license.example/"), "o_orderstatus").alias("license_url"),
+        F.col("o_orderkey").alias("doi"), F.col("o_orderpriority").alias("journal"), F.to_date("o_orderdate").alias("printed"), "o_orderstatus", F.lit(True).alias("ordered")
     )
+    rows = of_parts.drop("l_partkey", "p_partkey").unionByName(of_people.drop("l_suppkey", "s_suppkey"), allowMissingColumns=True).unionByName(orders, allowMissingColumns=True)
+    placed = (
+        rows.repartition("doi").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    )
+    person = F.struct(F.col("s_name").alias("author"), F.col("n_name").alias("affiliation"), F.col("r_name").alias("top"))
+    whole = placed.groupBy("doi").agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("long").alias("tc"), F.min("p_name").alias("abstract"), F.collect_set("p_type").alias("themes"), F.min("shipped").alias("shipped"),
+        F.max("journal").alias("journal"), F.max("printed").alias("printed"), F.max("o_orderstatus").alias("status"), F.max("ordered").alias("ordered"),
+        F.collect_set(F.when(F.col("r_regionkey").isNotNull(), person)).alias("people"),
+    )
     name = F.col("doi").cast("string")
-    whole = articles.join(orders, "doi").withColumns({"title": F.concat(F.lit("Article "), name), "download_url": F.concat(F.lit("https://doi.org/"), name, F.lit(".pdf"))})
+    return whole.where(F.col("ordered") & (F.size("people") > 0)).select(
+        "doi", F.concat(F.lit("Article "), name).alias("title"), "tc", "journal", "abstract", F.concat(F.lit("https://license.example/"), "status").alias("license_url"),
+        F.date_format("printed", "yyyy-MM-dd").alias("date_published_print"), F.date_format("shipped", "yyyy-MM-dd").alias("date_published_online"),
+        F.concat(F.lit("https://doi.org/"), name, F.lit(".pdf")).alias("download_url"), "themes", "people",
+        F.col("people")["top"].alias("top"), F.col("people")["affiliation"].alias("mid"), F.col("people")["author"].alias("low"),
+    )
+
+
+def works(spark: SparkSession, sf_dir: str, by_article: bool = False) -> DataFrame:
+    """One row per article and author with all fields of a record; a part's type is a theme, region, nation and supplier are the levels.
+
+    With ``by_article`` these are the people of ``articles``, each once, and rows stay dealt by article.
+    """
     if by_article:
-        each = whole.withColumn("person", F.explode(F.flatten("found.people"))).select("*", "person.*").drop("person")
+        each = articles(spark, sf_dir).drop("top", "mid", "low").withColumns({"themes": F.sort_array("themes"), "person": F.explode("people")}).select("*", "person.*").drop("person", "people")
     else:
-        each = whole.withColumn("suppkey", F.explode("found")).join(authors(spark, sf_dir), "suppkey").drop("suppkey")
-    return each.drop("found").withColumns({"mid": F.col("affiliation"), "low": F.col("author")})
+        parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+        lines = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        grouped = lines.groupBy(F.col("l_orderkey").alias("doi")).agg(
+            F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("long").alias("tc"), F.min("p_name").alias("abstract"),
+            F.sort_array(F.collect_set("p_type")).alias("themes"), F.date_format(F.min("l_shipdate"), "yyyy-MM-dd").alias("date_published_online"),
+            F.collect_set("l_suppkey").alias("found"),
+        )
+        orders = table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias("doi"), F.col("o_orderpriority").alias("journal"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_published_print"),
+            F.concat(F.lit("https://license.example/"), "o_orderstatus").alias("license_url"),
+        )
+        name = F.col("doi").cast("string")
+        whole = grouped.join(orders, "doi").withColumns({"title": F.concat(F.lit("Article "), name), "download_url": F.concat(F.lit("https://doi.org/"), name, F.lit(".pdf"))})
+        each = whole.withColumn("suppkey", F.explode("found")).join(authors(spark, sf_dir), "suppkey").drop("suppkey", "found")
+    return each.withColumns({"mid": F.col("affiliation"), "low": F.col("author")})
 
 
 #: The same in SQL, as common table expressions.
