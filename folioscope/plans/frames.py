@@ -58,7 +58,8 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``records.articles`` of ``works``, by one grouping of narrow rows.
 
     Lines go to their parts and, apart from that, to their suppliers with nothing but what an article takes from there. What comes back is
-    dealt by article once, with the orders as further rows; names of nations and regions are looked up after that. No sets or wide rows are shuffled.
+    dealt by article once, with the orders as further rows; names of nations and regions, a fixed few, are looked up after that. No sets or wide rows are shuffled.
+    The session's number of partitions is given, as adaptive execution would otherwise join them to ones too large to be sorted in memory.
     """
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
@@ -70,8 +71,8 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = of_parts.drop("l_partkey", "p_partkey").unionByName(of_people.drop("l_suppkey", "s_suppkey"), allowMissingColumns=True).unionByName(orders, allowMissingColumns=True)
     placed = (
-        rows.repartition("doi").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doi").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        .join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     )
     person = F.struct(F.col("s_name").alias("author"), F.col("n_name").alias("affiliation"), F.col("r_name").alias("top"))
     whole = placed.groupBy("doi").agg(

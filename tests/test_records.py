@@ -137,6 +137,7 @@ def test_only_plain_rows_are_shuffled(spark):
     for name in ("q05b_category_article_records", "q06b_article_records"):
         plan = catalogue.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert plan.count("ObjectHashAggregate(") == 2 and plan.rindex("ObjectHashAggregate(") < plan.index("Exchange hashpartitioning")
+        assert plan.count("REPARTITION_BY_NUM") == 1  # the session's partitions aren't joined to ones that sort on disk
     assert all(kind.startswith(("array", "struct")) == (name in ("themes", "people", "top", "mid", "low")) for name, kind in frames.articles(spark, "/root/testdata/sf0.001").dtypes)
 
 
